@@ -62,7 +62,11 @@ def sessionize(
     u, t, i = user_col, ts_col, tiebreak_col
     ts = F.col(t)
 
-    df = add_bucket(events, [u], t, bucketing)
+    # Rows without a user or a time cannot be placed in a session.  Filtering them
+    # explicitly (instead of letting the join infer it on one side) keeps both join
+    # inputs identical, so the big (user, bucket) exchange is computed once and reused.
+    df = add_bucket(events.filter(F.col(u).isNotNull() & ts.isNotNull()), [u], t, bucketing)
+    df = df.filter(F.col(BUCKET).isNotNull())
     for name, pred in delimiters.items():
         df = df.withColumn(f"{name}_delim", F.coalesce(pred, F.lit(False)))
 

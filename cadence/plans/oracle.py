@@ -88,6 +88,79 @@ HOUR_FLOORED = f"""{EV}, src AS (
 NOT_DW = "type = 'SearchEvent' OR (type = 'SongEvent' AND coalesce(playlist_type <> 'DiscoverWeekly', true))"
 
 
+def _panes_sql(gap_ms: int, interval_ms: int) -> str:
+    # Theta join: every pane counts the session's songs with ts <= pane.
+    return f"""
+WITH {EV}, src AS (SELECT * FROM ev), {_sessions_cte('src', gap_ms)},
+sess AS (
+  SELECT user_id, sid, min(ts_ms) AS start_ms, max(ts_ms) AS last_ms,
+         min(ts_ms) - min(ts_ms) % {interval_ms} + {interval_ms} AS f
+  FROM s GROUP BY user_id, sid
+),
+spine AS (
+  SELECT user_id, sid, start_ms, last_ms,
+         unnest(list_distinct(list_concat(
+           CASE WHEN f <= last_ms + {gap_ms} - 1 THEN range(f, last_ms + {gap_ms}, {interval_ms}) ELSE [] END,
+           [last_ms + {gap_ms} - 1]))) AS pane_ms
+  FROM sess
+)
+SELECT sp.user_id,
+       CAST(sp.start_ms AS BIGINT) AS start_ms,
+       CAST(max(e.ts_ms) + {gap_ms} AS BIGINT) AS end_ms,
+       CAST(sp.pane_ms AS BIGINT) AS pane_ms,
+       CAST(sum(CASE WHEN e.type = 'SongEvent' THEN 1 ELSE 0 END) AS BIGINT) AS songs,
+       sp.pane_ms = sp.last_ms + {gap_ms} - 1 AS is_final
+FROM spine sp JOIN s e ON e.user_id = sp.user_id AND e.sid = sp.sid AND e.ts_ms <= sp.pane_ms
+GROUP BY sp.user_id, sp.sid, sp.start_ms, sp.last_ms, sp.pane_ms
+"""
+
+
+MARKER = "((ts_ms // 1000) % 60) < 2"
+
+
+def _watermark_sql(marker: str) -> str:
+    return f"""
+WITH {EV}
+SELECT event_id, arrival_ms, ts_ms,
+       max(CASE WHEN {marker} THEN ts_ms END)
+         OVER (ORDER BY arrival_ms, event_id ROWS UNBOUNDED PRECEDING) AS watermark_ms
+FROM ev
+"""
+
+
+def _late_sql(marker: str, gap_ms: int) -> str:
+    return f"""
+WITH {EV},
+w AS (
+  SELECT *, max(CASE WHEN {marker} THEN ts_ms END)
+    OVER (ORDER BY arrival_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark_ms
+  FROM ev
+)
+SELECT event_id, user_id, ts_ms, arrival_ms, watermark_ms
+FROM w WHERE watermark_ms IS NOT NULL AND ts_ms + {gap_ms} - 1 <= watermark_ms
+"""
+
+
+def _iso(ms: str) -> str:
+    return (
+        f"(strftime(epoch_ms({ms}), '%Y-%m-%dT%H:%M:%S') || CASE WHEN {ms} % 1000 = 0 THEN '' "
+        f"ELSE '.' || lpad(CAST({ms} % 1000 AS VARCHAR), 3, '0') END || 'Z')"
+    )
+
+
+def _message_sql(inner: str, expr: str) -> str:
+    return f"SELECT user_id, {expr} AS message FROM ({inner})"
+
+
+def oracles_base() -> dict[str, str]:
+    return {
+        "session_stats_window": _session_stats_sql(f"{EV}, src AS (SELECT * FROM ev)", DRIVER_GAP_MS, ">", "window"),
+        "session_stats_span": _session_stats_sql(f"{EV}, src AS (SELECT * FROM ev)", DRIVER_GAP_MS, ">", "span"),
+        "discover_weekly_runs": _runs_sql(NOT_DW, DRIVER_GAP_MS),
+        "listening_runs": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS),
+    }
+
+
 def oracles() -> dict[str, str]:
     return {
         "normalize_events": f"""
@@ -104,6 +177,45 @@ FROM ev
         "discover_weekly_runs": _runs_sql(NOT_DW, DRIVER_GAP_MS),
         "listening_runs": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS),
         "split_runs_custom": _runs_sql("device_type = 'Mobile'", DRIVER_GAP_MS),
+        "json_roundtrip": f"WITH {EV} SELECT {EV_COLS} FROM ev",
+        "quarantine_bad_events": """
+SELECT event_id,
+       event_id % 97 >= 5 AS is_valid,
+       CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'malformed' WHEN 2 THEN 'unknown_type'
+                          WHEN 3 THEN 'bad_enum' WHEN 4 THEN 'missing_field' END AS error
+FROM events
+""",
+        "early_session_panes": _panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
+        "punctuated_watermark": _watermark_sql(MARKER),
+        "max_watermark": _watermark_sql("true"),
+        "late_events_punctuated": _late_sql(MARKER, LATE_GAP_MS),
+        "late_events_max": _late_sql("true", LATE_GAP_MS),
+        "messages_m1": _message_sql(
+            oracles_base()["session_stats_window"],
+            "'User: ' || user_id || ' session took ' || duration_s || ' seconds and ' || songs || ' songs' || chr(10) "
+            f"|| '            starting at ' || {_iso('start_ms')} || ' and ending at ' || {_iso('end_ms')} || '.'",
+        ),
+        "messages_m2": _message_sql(
+            oracles_base()["discover_weekly_runs"],
+            "'UserId ' || user_id || ' listened ' || songs || ' songs for ' || length_s "
+            "|| ' seconds consecutively from Discover' || chr(10) || 'Weekly'",
+        ),
+        "messages_m3": _message_sql(
+            oracles_base()["listening_runs"], "'UserId ' || user_id || ' listened ' || songs || ' songs consecutively'"
+        ),
+        "messages_m4": _message_sql(
+            oracles_base()["session_stats_span"],
+            "'User ' || user_id || ' session took ' || duration_s || ' seconds and ' || songs || ' songs.'",
+        ),
+        "messages_m5": _message_sql(
+            oracles_base()["discover_weekly_runs"],
+            "'UserId ' || user_id || ' listened ' || songs || ' songs for ' || length_s "
+            "|| ' seconds consecutively from Discover Weekly'",
+        ),
+        "messages_m6": _message_sql(
+            oracles_base()["listening_runs"],
+            "'UserId ' || user_id || ' listened ' || songs || ' songs for ' || length_s || ' seconds consecutively'",
+        ),
     }
 
 

@@ -12,8 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.predicates import is_search, is_watermark_marker, not_discover_weekly, song_flag
+from cadence.functions import codec
+from cadence.functions import messages as M
+from cadence.functions.predicates import is_watermark_marker, song_flag
 from cadence.operators import sessions as S
+from cadence.operators import watermark as WM
+from cadence.operators.panes import early_session_panes
+from cadence.schema import EVENT_COLUMNS
 from cadence.sources.driver_table import load_events
 
 DRIVER_GAP_MS = 43_200_000
@@ -67,6 +72,96 @@ def q_split_runs_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.split_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, F.col("device_type") == F.lit("Mobile"))
 
 
+def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """decode(encode(e)) == e for every event; any invalid record fails the query."""
+    wire = codec.encode(load_events(spark, sf_dir))
+    return codec.decode(wire, on_error="fail").select(*EVENT_COLUMNS)
+
+
+# Damage kinds applied to the wire text of every event with pmod(event_id, 97) < 5.
+def damaged_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wire = codec.encode(load_events(spark, sf_dir))
+    kind = F.pmod(F.col("event_id"), F.lit(97))
+    v = F.col("value")
+    bad = (
+        F.when(kind == 0, F.concat(F.lit("{bad"), v))
+        .when(kind == 1, F.regexp_replace(v, '"timestamp":[0-9]+', '"timestamp":"x"'))
+        .when(kind == 2, F.regexp_replace(v, '"type":"[A-Za-z]+"', '"type":"X"'))
+        .when(kind == 3, F.regexp_replace(v, '"deviceType":"[A-Za-z]+"', '"deviceType":"Tablet"'))
+        .when(kind == 4, F.regexp_replace(v, '"userId":"[^"]*",', ""))
+        .otherwise(v)
+    )
+    return wire.select("event_id", bad.alias("value"))
+
+
+def q_quarantine_bad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its verdict: error is NULL for good records."""
+    flagged = codec.decode(damaged_wire(spark, sf_dir), on_error="flag")
+    return flagged.select("event_id", F.col("error").isNull().alias("is_valid"), "error")
+
+
+def q_early_session_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return early_session_panes(load_events(spark, sf_dir), DRIVER_GAP_MS, DRIVER_INTERVAL_MS)
+
+
+def _watermark_cols(df: DataFrame) -> DataFrame:
+    return df.select("event_id", "arrival_ms", "ts_ms", "watermark_ms")
+
+
+def q_punctuated_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _watermark_cols(WM.punctuated_watermark(load_events(spark, sf_dir, with_arrival=True)))
+
+
+def q_max_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _watermark_cols(WM.max_watermark(load_events(spark, sf_dir, with_arrival=True)))
+
+
+def _late(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    ev = load_events(spark, sf_dir, with_arrival=True)
+    return WM.late_events(ev, LATE_GAP_MS, mode).select("event_id", "user_id", "ts_ms", "arrival_ms", "watermark_ms")
+
+
+def q_late_events_punctuated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late(spark, sf_dir, "punctuated")
+
+
+def q_late_events_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late(spark, sf_dir, "max")
+
+
+def q_messages_m1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = q_session_stats_window(spark, sf_dir)
+    return st.select(
+        "user_id",
+        M.session_message_window(F.col("user_id"), F.col("start_ms"), F.col("end_ms"), F.col("duration_s"), F.col("songs")).alias("message"),
+    )
+
+
+def q_messages_m2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = q_discover_weekly_runs(spark, sf_dir)
+    return r.select("user_id", M.discover_weekly_message_window(F.col("user_id"), F.col("length_s"), F.col("songs")).alias("message"))
+
+
+def q_messages_m3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = q_listening_runs(spark, sf_dir)
+    return r.select("user_id", M.listening_message_window(F.col("user_id"), F.col("songs")).alias("message"))
+
+
+def q_messages_m4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = q_session_stats_span(spark, sf_dir)
+    return st.select("user_id", M.session_message_span(F.col("user_id"), F.col("duration_s"), F.col("songs")).alias("message"))
+
+
+def q_messages_m5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = q_discover_weekly_runs(spark, sf_dir)
+    return r.select("user_id", M.discover_weekly_message_span(F.col("user_id"), F.col("length_s"), F.col("songs")).alias("message"))
+
+
+def q_messages_m6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = q_listening_runs(spark, sf_dir)
+    return r.select("user_id", M.listening_message_span(F.col("user_id"), F.col("length_s"), F.col("songs")).alias("message"))
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "normalize_events": q_normalize_events,
@@ -77,4 +172,17 @@ def registry() -> dict[str, QueryFn]:
         "discover_weekly_runs": q_discover_weekly_runs,
         "listening_runs": q_listening_runs,
         "split_runs_custom": q_split_runs_custom,
+        "json_roundtrip": q_json_roundtrip,
+        "quarantine_bad_events": q_quarantine_bad_events,
+        "early_session_panes": q_early_session_panes,
+        "punctuated_watermark": q_punctuated_watermark,
+        "max_watermark": q_max_watermark,
+        "late_events_punctuated": q_late_events_punctuated,
+        "late_events_max": q_late_events_max,
+        "messages_m1": q_messages_m1,
+        "messages_m2": q_messages_m2,
+        "messages_m3": q_messages_m3,
+        "messages_m4": q_messages_m4,
+        "messages_m5": q_messages_m5,
+        "messages_m6": q_messages_m6,
     }

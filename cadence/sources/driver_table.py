@@ -37,9 +37,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_ms(ts_ntz: Column) -> Column:
-    """Epoch milliseconds (floored) of a TIMESTAMP_NTZ, independent of the session zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts_ntz)
-    return floor_div(micros, 1000)
+    """Epoch milliseconds (floored) of a TIMESTAMP_NTZ, read as UTC wall-clock.
+
+    Built from date and time-of-day fields, so it never depends on the session
+    time zone (a cast to TIMESTAMP would, including its DST jumps)."""
+    days = F.unix_date(ts_ntz.cast("date")).cast("bigint")
+    sec_us = F.date_part(F.lit("SECOND"), ts_ntz)  # decimal(8,6): seconds with microseconds
+    millis_in_minute = F.floor(sec_us * F.lit(1000)).cast("bigint")
+    return (
+        days * F.lit(86_400_000)
+        + F.hour(ts_ntz).cast("bigint") * F.lit(3_600_000)
+        + F.minute(ts_ntz).cast("bigint") * F.lit(60_000)
+        + millis_in_minute
+    )
 
 
 def arrival_ms(ts_ms: Column, event_id: Column) -> Column:
