@@ -152,6 +152,44 @@ def _message_sql(inner: str, expr: str) -> str:
     return f"SELECT user_id, {expr} AS message FROM ({inner})"
 
 
+def _draw(slot: int) -> str:
+    digest = f"md5(CAST(event_id AS VARCHAR) || '#{slot // 4}')"
+    return f"(CAST(CAST(('0x' || substr({digest}, {1 + 8 * (slot % 4)}, 8)) AS BIGINT) AS DOUBLE) / 4294967296.0)"
+
+
+def _uuid(kind: str, idx: str) -> str:
+    h = f"md5('{kind}-' || CAST(CAST(floor({idx}) AS BIGINT) AS VARCHAR))"
+    return (
+        f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' "
+        f"|| substr({h}, 17, 4) || '-' || substr({h}, 21, 12))"
+    )
+
+
+GENERATE_SQL = f"""
+WITH d AS (
+  SELECT event_id, {_draw(0)} AS c, {_draw(1)} AS dv, {_draw(2)} AS u, {_draw(3)} AS p, {_draw(4)} AS sg
+  FROM events
+),
+g AS (
+  SELECT event_id, c > 0.3 AS song,
+         CASE WHEN c > 0.3 THEN 'SongEvent' ELSE 'SearchEvent' END AS type,
+         1704067200000 + (event_id * 1000) // 2 AS ts_ms,
+         {_uuid('user', 'u * 30')} AS user_id,
+         CASE WHEN c > 0.3 THEN 'EndSong' WHEN c > 0.1 THEN 'NextSong' ELSE 'SearchSong' END AS event_type,
+         CASE WHEN dv > 0.6 THEN 'Desktop' ELSE 'Mobile' END AS device_type,
+         CASE WHEN p > 0.3 THEN 'DiscoverWeekly' WHEN p > 0.1 THEN 'DailyMix' ELSE 'ChillHits' END AS playlist_type,
+         {_uuid('song', 'sg * 20')} AS songid
+  FROM d
+)
+SELECT event_id,
+       '{{"type":"' || type || '","timestamp":' || CAST(ts_ms AS VARCHAR) || ',"userId":"' || user_id
+       || '","eventType":"' || event_type || '","deviceType":"' || device_type || '"'
+       || CASE WHEN song THEN ',"playlistType":"' || playlist_type || '","songid":"' || songid || '"' ELSE '' END
+       || '}}' AS value
+FROM g
+"""
+
+
 def oracles_base() -> dict[str, str]:
     return {
         "session_stats_window": _session_stats_sql(f"{EV}, src AS (SELECT * FROM ev)", DRIVER_GAP_MS, ">", "window"),
@@ -216,6 +254,12 @@ FROM events
             oracles_base()["listening_runs"],
             "'UserId ' || user_id || ' listened ' || songs || ' songs for ' || length_s || ' seconds consecutively'",
         ),
+        "generate_events": GENERATE_SQL,
+        # Streams replay the same events: the batch SQL is their oracle.
+        "stream_session_stats": oracles_base()["session_stats_window"],
+        "stream_discover_weekly_runs": oracles_base()["discover_weekly_runs"],
+        "stream_listening_runs": oracles_base()["listening_runs"],
+        "stream_early_panes_final": oracles_base()["session_stats_window"],
     }
 
 

@@ -19,7 +19,11 @@ from cadence.operators import sessions as S
 from cadence.operators import watermark as WM
 from cadence.operators.panes import early_session_panes
 from cadence.schema import EVENT_COLUMNS
-from cadence.sources.driver_table import load_events
+from cadence.sources import generator as G
+from cadence.sources.driver_table import load_events, read_table
+from cadence.streaming import sessions as SS
+from cadence.streaming.panes import stream_early_panes
+from cadence.streaming.replay import replay
 
 DRIVER_GAP_MS = 43_200_000
 DRIVER_INTERVAL_MS = 10_800_000
@@ -162,6 +166,37 @@ def q_messages_m6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("user_id", M.listening_message_span(F.col("user_id"), F.col("length_s"), F.col("songs")).alias("message"))
 
 
+def q_generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One synthetic wire event per driver event id (the generator's work grows with the table)."""
+    seeds = read_table(spark, sf_dir, "events").select("event_id")
+    return G.to_wire(G.generate_from_seeds(seeds, "event_id"))
+
+
+def q_stream_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = lambda s, delay: SS.stream_session_stats(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-sessions")
+
+
+def q_stream_discover_weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = lambda s, delay: SS.stream_discover_weekly_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-dw")
+
+
+def q_stream_listening_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = lambda s, delay: SS.stream_listening_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-listening")
+
+
+def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final pane of every session from the stateful stream operator (= session stats)."""
+    op = lambda s, delay: stream_early_panes(s, DRIVER_GAP_MS, DRIVER_INTERVAL_MS, watermark_delay_ms=delay)
+    panes = replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-panes")
+    final = panes.filter(F.col("is_final"))
+    return final.select(
+        "user_id", "start_ms", "end_ms", ((F.col("end_ms") - F.col("start_ms")) / 1000).cast("bigint").alias("duration_s"), "songs"
+    )
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "normalize_events": q_normalize_events,
@@ -185,4 +220,9 @@ def registry() -> dict[str, QueryFn]:
         "messages_m4": q_messages_m4,
         "messages_m5": q_messages_m5,
         "messages_m6": q_messages_m6,
+        "generate_events": q_generate_events,
+        "stream_session_stats": q_stream_session_stats,
+        "stream_discover_weekly_runs": q_stream_discover_weekly_runs,
+        "stream_listening_runs": q_stream_listening_runs,
+        "stream_early_panes_final": q_stream_early_panes_final,
     }
