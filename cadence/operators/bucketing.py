@@ -49,29 +49,25 @@ class Bucketing:
 
 
 FIXED_DAY = Bucketing()
+# Batch default: day buckets, and finer buckets for any key above 2M rows.
+ADAPTIVE = Bucketing(adaptive=True)
 
 
 def fixed_bucket(ts: Column, width_ms: int) -> Column:
     return floor_div(ts, width_ms)
 
 
-def add_bucket(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> DataFrame:
-    """Add the ``_bkt`` column: fixed width, or widths adapted to heavy keys."""
-    base = fixed_bucket(F.col(ts_col), bucketing.width_ms)
-    if not bucketing.adaptive:
-        return df.withColumn(BUCKET, base)
+def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> DataFrame | None:
+    """Keys holding more than ``target_rows`` rows, each with its own bucket width.
 
-    # Heavy keys: more rows than one bucket should hold.  Partial aggregation keeps
-    # this cheap: one row per key per map task crosses the shuffle.
+    One aggregation job (partial aggregation: one row per key per map task crosses
+    the shuffle).  At most ``rows / target_rows`` keys can qualify; the list reaches
+    the driver only after checking it has at most ``max_heavy_keys`` entries, and
+    ``None`` (use the fixed width) is returned otherwise."""
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")
     )
-    heavy = stats.filter(F.col("_n") > F.lit(bucketing.target_rows))
-    n_heavy = heavy.count()
-    if n_heavy == 0 or n_heavy > bucketing.max_heavy_keys:
-        # Nothing to refine, or the table is too big to broadcast: fixed width.
-        return df.withColumn(BUCKET, base)
-    heavy = heavy.select(
+    heavy = stats.filter(F.col("_n") > F.lit(bucketing.target_rows)).select(
         *keys,
         F.col("_lo"),
         F.greatest(
@@ -79,11 +75,21 @@ def add_bucket(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing
             ((F.col("_hi") - F.col("_lo") + 1) * F.lit(bucketing.target_rows) / F.col("_n")).cast("bigint"),
         ).alias("_w"),
     )
-    # Buckets only order rows *within* one key, so heavy and light keys may use different
-    # numberings.  The broadcast side has at most max_heavy_keys rows (checked above).
+    rows = heavy.limit(bucketing.max_heavy_keys + 1).collect()
+    if not rows or len(rows) > bucketing.max_heavy_keys:
+        return None
+    return df.sparkSession.createDataFrame(rows, heavy.schema)
+
+
+def add_bucket(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> DataFrame:
+    """Add the ``_bkt`` column: fixed width, or widths adapted to heavy keys."""
+    base = fixed_bucket(F.col(ts_col), bucketing.width_ms)
+    heavy = heavy_keys(df, keys, ts_col, bucketing) if bucketing.adaptive else None
+    if heavy is None:
+        return df.withColumn(BUCKET, base)
+    # Buckets only order rows *within* one key, so heavy and light keys may use
+    # different numberings.  The broadcast side is the checked, bounded list above.
     joined = df.join(F.broadcast(heavy), on=keys, how="left")
-    bucket = F.when(
-        F.col("_w").isNotNull(),
-        ((F.col(ts_col) - F.col("_lo")) - F.pmod(F.col(ts_col) - F.col("_lo"), F.col("_w"))) / F.col("_w"),
-    ).cast("bigint")
+    offset = F.col(ts_col) - F.col("_lo")
+    bucket = F.when(F.col("_w").isNotNull(), ((offset - F.pmod(offset, F.col("_w"))) / F.col("_w")).cast("bigint"))
     return joined.withColumn(BUCKET, F.coalesce(bucket, base)).drop("_lo", "_w")

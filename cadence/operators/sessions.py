@@ -33,10 +33,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
-from cadence.operators.bucketing import BUCKET, FIXED_DAY, Bucketing, add_bucket
+from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket
 
 SESSION_START = "session_start_ms"
 IS_SESSION_START = "is_session_start"
+SONG = "song"
+
+
+def song_measure() -> dict[str, Column]:
+    """The per-event measure session stats and panes sum: 1 for a song, else 0."""
+    return {SONG: song_flag()}
 
 
 def _splits(delta: Column, gap_ms: int, merge_touching: bool) -> Column:
@@ -48,29 +54,47 @@ def sessionize(
     gap_ms: int,
     *,
     delimiters: Mapping[str, Column] | None = None,
+    measures: Mapping[str, Column] | None = None,
     merge_touching: bool = True,
-    bucketing: Bucketing = FIXED_DAY,
+    bucketing: Bucketing = ADAPTIVE,
     user_col: str = "user_id",
     ts_col: str = "ts_ms",
     tiebreak_col: str = "event_id",
 ) -> DataFrame:
-    """Add ``session_start_ms``, ``is_session_start`` and, per delimiter ``d``,
-    ``d_delim`` (bool) and ``d_run`` (struct<t, i>: position opening the run)."""
+    """Annotate events with their session and runs.
+
+    Output columns: ``user_col, ts_col, tiebreak_col``, one column per ``measures``
+    entry (per-event values the caller aggregates later, e.g. a song flag),
+    ``session_start_ms``, ``is_session_start`` and, per delimiter ``d``, ``d_delim``
+    (bool) and ``d_run`` (struct: position of the event opening the run).
+
+    Only these columns cross the shuffle.  The per-event pass and the per-bucket
+    summary read exactly the same columns (the summary's first-event position
+    carries the measures), so Spark computes the (user, bucket) exchange once and
+    the summary reuses it instead of shuffling the events a second time.
+    """
     if gap_ms <= 0:
         raise ValueError("gap_ms must be positive")
     delimiters = dict(delimiters or {})
+    measures = dict(measures or {})
     u, t, i = user_col, ts_col, tiebreak_col
     ts = F.col(t)
 
     # Rows without a user or a time cannot be placed in a session.  Filtering them
-    # explicitly (instead of letting the join infer it on one side) keeps both join
-    # inputs identical, so the big (user, bucket) exchange is computed once and reused.
-    df = add_bucket(events.filter(F.col(u).isNotNull() & ts.isNotNull()), [u], t, bucketing)
+    # explicitly (instead of letting the join infer it on one side only) also keeps
+    # both inputs of the join below identical.
+    narrow = events.filter(F.col(u).isNotNull() & ts.isNotNull()).select(
+        u,
+        t,
+        i,
+        *[m.alias(name) for name, m in measures.items()],
+        *[F.coalesce(pred, F.lit(False)).alias(f"{name}_delim") for name, pred in delimiters.items()],
+    )
+    df = add_bucket(narrow, [u], t, bucketing)
     df = df.filter(F.col(BUCKET).isNotNull())
-    for name, pred in delimiters.items():
-        df = df.withColumn(f"{name}_delim", F.coalesce(pred, F.lit(False)))
 
     pos = F.struct(ts.alias("t"), F.col(i).alias("i"))
+    first = F.struct(ts.alias("t"), F.col(i).alias("i"), *[F.col(m) for m in measures])
     w = Window.partitionBy(u, BUCKET).orderBy(t, i)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -87,7 +111,7 @@ def sessionize(
 
     # Level 2: one summary row per (user, bucket); same partitioning, so no exchange.
     summary = df.groupBy(u, BUCKET).agg(
-        F.min(pos).alias("_first"),
+        F.min(first).alias("_first"),
         F.max(t).alias("_bmax"),
         F.max(F.when(F.col("_lstart"), ts)).alias("_blsess"),
         *[
@@ -98,36 +122,34 @@ def sessionize(
     before = Window.partitionBy(u).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_cmax", F.max("_bmax").over(before))
     first_ts = F.col("_first.t")
+    first_pos = F.struct(first_ts.alias("t"), F.col("_first.i").alias("i"))
     summary = summary.withColumn(
         "_fstart", F.col("_cmax").isNull() | _splits(first_ts - F.col("_cmax"), gap_ms, merge_touching)
     )
-    first_if_start = F.when(F.col("_fstart"), F.col("_first"))
     summary = summary.select(
         u,
         BUCKET,
-        "_first",
+        F.col("_first").alias("_first"),
         "_cmax",
         "_fstart",
         F.max(F.coalesce(F.col("_blsess"), F.when(F.col("_fstart"), first_ts))).over(before).alias("_csess"),
         *[
-            F.max(F.greatest(F.col(f"_bl_{n}"), first_if_start)).over(before).alias(f"_c_{n}")
+            F.max(F.greatest(F.col(f"_bl_{n}"), F.when(F.col("_fstart"), first_pos))).over(before).alias(f"_c_{n}")
             for n in delimiters
         ],
     )
 
     out = df.join(summary, on=[u, BUCKET], how="inner")
     prev = F.coalesce(F.col("_lprev"), F.col("_cmax"))
-    result = [
-        F.col(c) for c in events.columns
-    ] + [
-        F.coalesce(F.col("_lsess"), F.when(F.col("_fstart"), first_ts), F.col("_csess")).alias(SESSION_START),
+    first_pos = F.struct(F.col("_first.t").alias("t"), F.col("_first.i").alias("i"))
+    first_if_start = F.when(F.col("_fstart"), first_pos)
+    result = [F.col(u), ts, F.col(i), *[F.col(m) for m in measures]] + [
+        F.coalesce(F.col("_lsess"), F.when(F.col("_fstart"), F.col("_first.t")), F.col("_csess")).alias(SESSION_START),
         (prev.isNull() | _splits(ts - prev, gap_ms, merge_touching)).alias(IS_SESSION_START),
     ]
     for name in delimiters:
         result.append(F.col(f"{name}_delim"))
-        result.append(
-            F.greatest(F.col(f"_l_{name}"), first_if_start, F.col(f"_c_{name}")).alias(f"{name}_run")
-        )
+        result.append(F.greatest(F.col(f"_l_{name}"), first_if_start, F.col(f"_c_{name}")).alias(f"{name}_run"))
     return out.select(*result)
 
 
@@ -141,6 +163,8 @@ def session_stats_from(
 ) -> DataFrame:
     """``(user_id, start_ms, end_ms, duration_s, songs)`` per session.
 
+    ``annotated`` comes from ``sessionize(..., measures=song_measure())``.
+
     duration="window": end = last event + gap, duration includes the gap.
     duration="span":   end = last event,       duration = last - first.
     Search-only sessions are kept with 0 songs.
@@ -148,7 +172,7 @@ def session_stats_from(
     if duration not in ("window", "span"):
         raise ValueError("duration must be 'window' or 'span'")
     agg = annotated.groupBy(user_col, SESSION_START).agg(
-        F.max(ts_col).alias("_last"), F.sum(song_flag()).cast("bigint").alias("songs")
+        F.max(ts_col).alias("_last"), F.sum(SONG).cast("bigint").alias("songs")
     )
     end = F.col("_last") + F.lit(gap_ms) if duration == "window" else F.col("_last")
     return agg.select(
@@ -166,9 +190,11 @@ def session_stats(
     *,
     duration: str = "window",
     merge_touching: bool = True,
-    bucketing: Bucketing = FIXED_DAY,
+    bucketing: Bucketing = ADAPTIVE,
 ) -> DataFrame:
-    annotated = sessionize(events, gap_ms, merge_touching=merge_touching, bucketing=bucketing)
+    annotated = sessionize(
+        events, gap_ms, measures=song_measure(), merge_touching=merge_touching, bucketing=bucketing
+    )
     return session_stats_from(annotated, gap_ms, duration=duration)
 
 
@@ -200,7 +226,7 @@ def split_runs(
     delimiter: Column,
     *,
     merge_touching: bool = True,
-    bucketing: Bucketing = FIXED_DAY,
+    bucketing: Bucketing = ADAPTIVE,
 ) -> DataFrame:
     """Split every session at events matching ``delimiter``; one row per non-empty run."""
     annotated = sessionize(
@@ -209,11 +235,11 @@ def split_runs(
     return runs_from(annotated, "split")
 
 
-def discover_weekly_runs(events: DataFrame, gap_ms: int, *, bucketing: Bucketing = FIXED_DAY) -> DataFrame:
+def discover_weekly_runs(events: DataFrame, gap_ms: int, *, bucketing: Bucketing = ADAPTIVE) -> DataFrame:
     """Unbroken runs of Discover-Weekly songs (broken by a search or another playlist)."""
     return split_runs(events, gap_ms, not_discover_weekly(), bucketing=bucketing)
 
 
-def listening_runs(events: DataFrame, gap_ms: int, *, bucketing: Bucketing = FIXED_DAY) -> DataFrame:
+def listening_runs(events: DataFrame, gap_ms: int, *, bucketing: Bucketing = ADAPTIVE) -> DataFrame:
     """Unbroken runs of songs until the listener searches or skips (a search event)."""
     return split_runs(events, gap_ms, is_search(), bucketing=bucketing)

@@ -46,15 +46,15 @@ def test_panes_accumulate(make_events):
     ]
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_panes_random_against_brute_force(make_events, seed):
+@pytest.mark.parametrize("seed,interval", [(3, INTERVAL), (4, INTERVAL), (5, 30_000), (6, 7)])
+def test_panes_random_against_brute_force(make_events, seed, interval):
     rnd = random.Random(seed)
     rows = [
         (song if rnd.random() < 0.7 else search)(rnd.randrange(200_000), eid, user=f"u{rnd.randrange(4)}")
         for eid in range(150)
     ]
-    got = panes(early_session_panes(make_events(rows), GAP, INTERVAL, panes_per_block=2))
-    assert got == brute.panes(rows, GAP, INTERVAL)
+    got = panes(early_session_panes(make_events(rows), GAP, interval))
+    assert got == brute.panes(rows, GAP, interval)
 
 
 def _arrival_rows(seed, n=300):
