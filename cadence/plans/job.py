@@ -180,3 +180,46 @@ def start_streaming_job(
             )
         )
     return queries
+
+
+def write_generated(
+    spark: SparkSession,
+    n: int,
+    fmt: str,
+    *,
+    path: str | None = None,
+    topic: str = "songs",
+    options: dict[str, str] | None = None,
+    max_interval_ms: int = 1000,
+    max_time_deviation_ms: int = 0,
+) -> None:
+    """Batch generator job: ``n`` synthetic wire events to Kafka (topic) or files (path)."""
+    from cadence.sources.generator import generate_events, to_wire
+
+    wire = to_wire(
+        generate_events(spark, n, max_interval_ms=max_interval_ms, max_time_deviation_ms=max_time_deviation_ms)
+    )
+    w = wire.write.options(**(options or {}))
+    if fmt == "kafka":
+        w.format("kafka").option("topic", topic).save()
+    else:
+        w.mode("append").format(fmt).save(path)
+
+
+def start_generator(
+    spark: SparkSession,
+    rows_per_second: int,
+    fmt: str,
+    *,
+    checkpoint: str | None = None,
+    path: str | None = None,
+    topic: str = "songs",
+    options: dict[str, str] | None = None,
+    max_time_deviation_ms: int = 0,
+) -> StreamingQuery:
+    """Streaming generator job: a ``rate`` source turned into wire events, to a sink."""
+    from cadence.sources.generator import generate_event_stream, to_wire
+
+    wire = to_wire(generate_event_stream(spark, rows_per_second, max_time_deviation_ms=max_time_deviation_ms))
+    ck = checkpoint or os.path.join(checkpoint_root(spark), "cadence-generator")
+    return start_sink(wire, fmt, ck, path=path, topic=topic, options=options)

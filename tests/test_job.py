@@ -84,3 +84,32 @@ def test_streaming_job_files(spark):
     assert len(user1) == 5 and all("3 songs" in p and "ending at 1970-01-01T00:00:24Z." in p for p in user1)
     dw = spark.read.parquet(os.path.join(out, "discover_weekly")).filter(F.col("value").contains("~s"))
     assert dw.count() == 0
+
+
+def test_generator_jobs(spark):
+    root = scratch_path(spark, "gen")
+    job.write_generated(spark, 500, "parquet", path=os.path.join(root, "batch"))
+    wire = spark.read.parquet(os.path.join(root, "batch"))
+    assert wire.count() == 500 and codec.decode(wire, on_error="flag").filter("error IS NOT NULL").count() == 0
+    q = job.start_generator(spark, 20, "parquet", path=os.path.join(root, "stream"), checkpoint=os.path.join(root, "ck"))
+    try:
+        q.processAllAvailable()
+        import time
+
+        time.sleep(3)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(os.path.join(root, "stream")).count() > 0
+
+
+def test_text_source_stream(spark):
+    root = scratch_path(spark, "text")
+    inp = os.path.join(root, "in")
+    data = [song(1_000, 0), search(2_000, 1), song(3_000, 2)]
+    codec.encode(spark.createDataFrame(data, EVENT_SCHEMA)).select("value").coalesce(1).write.text(inp)
+    ev = read_event_stream(spark, "text", path=inp)
+    q = ev.writeStream.format("memory").queryName("text_src_test").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r.ts_ms, r.type) for r in spark.sql("SELECT * FROM text_src_test").collect())
+    assert got == [(1_000, "SongEvent"), (2_000, "SearchEvent"), (3_000, "SongEvent")]
