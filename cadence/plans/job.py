@@ -11,9 +11,12 @@ kinds of run; every result is an aggregation of that one DataFrame.  When severa
 results are written, ``materialize=True`` cuts the lineage with ``checkpoint()``
 (the shared ``spark.checkpoint.dir``) so the event shuffle runs once.
 
-Streaming: one ``session_window`` state store serves all three closed-session
-analyses (written per micro-batch with ``foreachBatch``, idempotently per batch
-id); early panes are a second query with ``transformWithState``.
+Streaming: one stateful query serves all three closed-session analyses (written
+per micro-batch with ``foreachBatch``, idempotently per batch id).  By default it
+is the bounded-state ``transformWithState`` operator (state: events not yet behind
+the watermark plus one open session per user); ``bounded_state=False`` uses the
+all-JVM ``session_window`` aggregation, which buffers each open session's events.
+Early panes are a second query with ``transformWithState``.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from cadence.operators.panes import early_session_panes
 from cadence.operators.sessions import runs_from, session_stats_from, sessionize, song_measure
 from cadence.options import JobOptions
 from cadence.session import checkpoint_root
+from cadence.streaming import runs as SR
 from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
 from cadence.streaming.sinks import start_sink
@@ -127,6 +131,7 @@ def start_streaming_job(
     dialect: str = "window",
     watermark_delay_ms: int = 0,
     available_now: bool = False,
+    bounded_state: bool = True,
 ) -> list[StreamingQuery]:
     """Start the enabled analyses on a decoded event stream; returns the queries.
 
@@ -142,21 +147,27 @@ def start_streaming_job(
     queries: list[StreamingQuery] = []
     want_closed = options.discover_weekly or options.subsession_stats or (options.session_stats and not options.early_panes)
     if want_closed:
-        sessions = SS.closed_sessions(
-            events,
-            options.gap_ms,
-            delimiters={DW: not_discover_weekly(), LISTEN: is_search()},
-            watermark_delay_ms=watermark_delay_ms,
-        )
+        delimiters = {DW: not_discover_weekly(), LISTEN: is_search()}
+        if bounded_state:
+            sessions = SR.stream_sessions_and_runs(
+                events, options.gap_ms, delimiters, watermark_delay_ms=watermark_delay_ms,
+                merge_touching=options.merge_touching,
+            )
+            stats_of = lambda b: SR.sessions_of(b, options.gap_ms, options.duration)
+            runs_of = SR.runs_of
+        else:
+            sessions = SS.closed_sessions(events, options.gap_ms, delimiters=delimiters, watermark_delay_ms=watermark_delay_ms)
+            stats_of = lambda b: SS.stats_of_sessions(b, options.gap_ms, options.duration)
+            runs_of = SS.runs_of_sessions
 
         def per_batch(batch: DataFrame, batch_id: int) -> None:
             results: dict[str, DataFrame] = {}
             if options.session_stats and not options.early_panes:
-                results["session_stats"] = SS.stats_of_sessions(batch, options.gap_ms, options.duration)
+                results["session_stats"] = stats_of(batch)
             if options.discover_weekly:
-                results["discover_weekly"] = SS.runs_of_sessions(batch, DW)
+                results["discover_weekly"] = runs_of(batch, DW)
             if options.subsession_stats:
-                results["subsessions"] = SS.runs_of_sessions(batch, LISTEN)
+                results["subsessions"] = runs_of(batch, LISTEN)
             for name, df in messages(results, dialect).items():
                 _write_batch(df, sink_fmt, targets[name], batch_id, sink_options)
 

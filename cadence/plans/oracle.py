@@ -260,6 +260,9 @@ FROM events
         "stream_discover_weekly_runs": oracles_base()["discover_weekly_runs"],
         "stream_listening_runs": oracles_base()["listening_runs"],
         "stream_early_panes_final": oracles_base()["session_stats_window"],
+        "stream_incremental_sessions": oracles_base()["session_stats_window"],
+        "stream_incremental_listening_runs": oracles_base()["listening_runs"],
+        "stream_incremental_discover_weekly_runs": oracles_base()["discover_weekly_runs"],
     }
 
 

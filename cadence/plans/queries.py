@@ -24,6 +24,7 @@ from cadence.sources.driver_table import load_events, read_table
 from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
 from cadence.streaming.replay import replay
+from cadence.streaming import runs as SR
 
 DRIVER_GAP_MS = 43_200_000
 DRIVER_INTERVAL_MS = 10_800_000
@@ -197,6 +198,26 @@ def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _incremental(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    op = lambda s, delay: SR.stream_sessions_and_runs(
+        s, DRIVER_GAP_MS, SR.default_delimiters(), watermark_delay_ms=delay
+    )
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label=label)
+
+
+def q_stream_incremental_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session stats from the bounded-state stream operator."""
+    return SR.sessions_of(_incremental(spark, sf_dir, "stream-incr-sessions"), DRIVER_GAP_MS)
+
+
+def q_stream_incremental_listening_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SR.runs_of(_incremental(spark, sf_dir, "stream-incr-listen"), "listen")
+
+
+def q_stream_incremental_discover_weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SR.runs_of(_incremental(spark, sf_dir, "stream-incr-dw"), "dw")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "normalize_events": q_normalize_events,
@@ -225,4 +246,7 @@ def registry() -> dict[str, QueryFn]:
         "stream_discover_weekly_runs": q_stream_discover_weekly_runs,
         "stream_listening_runs": q_stream_listening_runs,
         "stream_early_panes_final": q_stream_early_panes_final,
+        "stream_incremental_sessions": q_stream_incremental_sessions,
+        "stream_incremental_listening_runs": q_stream_incremental_listening_runs,
+        "stream_incremental_discover_weekly_runs": q_stream_incremental_discover_weekly_runs,
     }

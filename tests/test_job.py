@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from conftest import search, song
 from pyspark.sql import functions as F
 
@@ -54,7 +55,8 @@ def test_messages_both_dialects(spark, make_events):
     assert span["subsessions"] == ["UserId 1 listened 2 songs for 1 seconds consecutively"]
 
 
-def test_streaming_job_files(spark):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_streaming_job_files(spark, bounded):
     root = scratch_path(spark, "job")
     inp = os.path.join(root, "in")
     data = [song(1_000, 0), song(2_000, 1), search(3_000, 2), song(4_000, 3), song(500_000, 4, user="2")]
@@ -66,7 +68,7 @@ def test_streaming_job_files(spark):
         ev = read_event_stream(spark, "parquet", path=inp, options={"maxFilesPerTrigger": "1"})
         for q in job.start_streaming_job(
             spark, ev, opts, sink_fmt="parquet", output_root=os.path.join(root, "out"),
-            checkpoint_dir=os.path.join(root, "ck"), available_now=True,
+            checkpoint_dir=os.path.join(root, "ck"), available_now=True, bounded_state=bounded,
         ):
             q.awaitTermination()
 

@@ -94,3 +94,53 @@ def test_stateful_operator_drops_rows_at_the_previous_watermark(spark):
     out = run_batches(spark, batches, lambda s: stream_early_panes(s, gap, 5_000), "tws-late")
     finals = sorted((r.start_ms, r.songs) for r in out.filter("is_final AND user_id = '1'").collect())
     assert finals == [(100_000, 1), (200_000, 1)]
+
+
+def test_session_fold_logic():
+    from cadence.streaming.runs import SessionFold
+
+    fold = SessionFold(20_000, 1)
+    ev = [(1_000, 1, 1, False), (2_000, 2, 1, False), (3_000, 3, 0, True), (4_000, 4, 1, False), (90_000, 5, 1, False)]
+    sess, out = fold.fold(None, ev, ["l"])
+    assert out == [("l", 1_000, 1_000, 2_000, 2), ("l", 1_000, 4_000, 4_000, 1), ("session", 1_000, 1_000, 4_000, 3)]
+    assert sess[:3] == [90_000, 90_000, 1]
+
+
+def test_incremental_runs_match_batch(spark, make_events):
+    import random
+
+    import brute
+    from cadence.streaming.runs import default_delimiters, runs_of, sessions_of, stream_sessions_and_runs
+
+    rnd = random.Random(11)
+    rows = [
+        (song if rnd.random() < 0.7 else search)(rnd.randrange(300_000), eid, user=f"u{rnd.randrange(3)}")
+        if rnd.random() < 0.8
+        else song(rnd.randrange(300_000), eid, user=f"u{rnd.randrange(3)}", playlist="DiscoverWeekly")
+        for eid in range(120)
+    ]
+    gap = 20_000
+    op = lambda s, d: stream_sessions_and_runs(s, gap, default_delimiters(), watermark_delay_ms=d)
+    tagged = replay(spark, make_events(rows), op, gap, n_files=4)
+    assert sorted(tuple(r) for r in sessions_of(tagged, gap).collect()) == brute.session_stats(rows, gap)
+    assert sorted(tuple(r) for r in runs_of(tagged, "listen").collect()) == brute.runs(
+        rows, gap, lambda e: e[3] == "SearchEvent"
+    )
+    assert sorted(tuple(r) for r in runs_of(tagged, "dw").collect()) == brute.runs(
+        rows, gap, lambda e: e[3] == "SearchEvent" or e[6] != "DiscoverWeekly"
+    )
+
+
+def test_incremental_runs_in_order_batches(spark):
+    from cadence.streaming.runs import default_delimiters, runs_of, stream_sessions_and_runs
+
+    batches = [
+        [song(1_000, 1), song(2_000, 2)],
+        [search(3_000, 3), song(4_000, 4)],
+        [song(100_000, 5)],
+        [search(10_000_000, 6, user="~s")],
+        [search(20_000_000, 7, user="~s")],
+    ]
+    out = run_batches(spark, batches, lambda s: stream_sessions_and_runs(s, 20_000, default_delimiters()), "incr")
+    got = sorted((r.session_start_ms, r.start_ms, r.songs) for r in runs_of(out, "listen").filter("user_id = '1'").collect())
+    assert got == [(1_000, 1_000, 2), (1_000, 4_000, 1), (100_000, 100_000, 1)]
