@@ -37,7 +37,7 @@ HEADLINE = [
     "generate_events",
 ]
 # Streams run once (each replays the whole table through a file stream).
-STREAMS = ["stream_session_stats", "stream_early_panes_final"]
+STREAMS = ["stream_session_stats", "stream_incremental_listening_runs", "stream_early_panes_final"]
 
 
 def run(spark, name: str) -> float:
