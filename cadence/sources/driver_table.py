@@ -22,7 +22,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.predicates import floor_div
 
 # Fixed values of the adapter (documented mapping above).
 SEARCH_SOURCE_TYPES = ("signup", "error")

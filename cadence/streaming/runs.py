@@ -79,56 +79,84 @@ class SessionFold:
 
 
 class IncrementalRunsProcessor(StatefulProcessor):
+    """State per user: ``pending`` events, and one ``meta`` value holding the open
+    session (or NULLs), the timer currently armed and the earliest pending time.
+    A batch that does not move the timer costs two state calls per user."""
+
     def __init__(self, gap_ms: int, delimiter_names: list[str], merge_touching: bool = True):
         self.gap = gap_ms
         self.names = list(delimiter_names)
-        self.folder = SessionFold(gap_ms, len(self.names), merge_touching)
+        self.n = len(self.names)
+        self.folder = SessionFold(gap_ms, self.n, merge_touching)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        d = "".join(f", d{k} BOOLEAN" for k in range(len(self.names)))
+        d = "".join(f", d{k} BOOLEAN" for k in range(self.n))
         self.pending = handle.getListState("pending", f"ts BIGINT, eid BIGINT, song BIGINT{d}")
-        r = "".join(f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" for k in range(len(self.names)))
-        self.open = handle.getValueState("open", f"start BIGINT, last BIGINT, songs BIGINT{r}")
-
-    def _arm(self, pending: list, sess: list | None) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        times = [min(p[0] for p in pending)] if pending else []
-        if sess is not None:
-            times.append(sess[1] + self.gap)
-        if times:
-            self.handle.registerTimer(min(times))
+        r = "".join(f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" for k in range(self.n))
+        self.meta = handle.getValueState("meta", f"start BIGINT, last BIGINT, songs BIGINT{r}, timer BIGINT, min_pending BIGINT")
+
+    def _unpack(self):
+        m = self.meta.get()
+        if m is None:
+            return None, None, None
+        m = list(m)
+        sess = m[: 3 + 3 * self.n] if m[0] is not None else None
+        return sess, m[-2], m[-1]
+
+    def _save(self, sess, timer, min_pending) -> None:
+        if sess is None and timer is None:
+            self.meta.clear()
+            return
+        body = list(sess) if sess is not None else [None] * (3 + 3 * self.n)
+        self.meta.update(tuple(body + [timer, min_pending]))
+
+    def _rearm(self, armed, sess, min_pending):
+        times = [t for t in (min_pending, sess[1] + self.gap if sess is not None else None) if t is not None]
+        want = min(times) if times else None
+        if want != armed:
+            if armed is not None:
+                self.handle.deleteTimer(armed)
+            if want is not None:
+                self.handle.registerTimer(want)
+        return want
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [
-            (r.ts_ms, r.event_id if r.event_id is not None else 0, int(r.song), *[bool(r[f"_d{k}"]) for k in range(len(self.names))])
+            (r.ts_ms, r.event_id if r.event_id is not None else 0, int(r.song), *[bool(r[f"_d{k}"]) for k in range(self.n)])
             for r in rows
         ]
+        if not new:
+            return iter([])
         self.pending.appendList(new)
-        sess = list(self.open.get()) if self.open.exists() else None
-        self._arm(list(self.pending.get()), sess)
+        sess, armed, min_pending = self._unpack()
+        lowest = min(e[0] for e in new)
+        min_pending = lowest if min_pending is None else min(min_pending, lowest)
+        timer = self._rearm(armed, sess, min_pending)
+        if timer != armed or lowest == min_pending:
+            self._save(sess, timer, min_pending)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
+        sess, armed, _ = self._unpack()
+        if armed == expiredTimerInfo.getExpiryTimeInMs():
+            armed = None  # this timer has fired and is gone
         pending = sorted(tuple(p) for p in self.pending.get())
         due = [p for p in pending if p[0] <= wm]
-        keep = [p for p in pending if p[0] > wm]
-        sess = list(self.open.get()) if self.open.exists() else None
+        keep = pending[len(due):]
         sess, out = self.folder.fold(sess, due, self.names)
         if sess is not None and sess[1] + self.gap <= wm:
             self.folder.close(sess, out, self.names)
             sess = None
-        if keep:
-            self.pending.put(keep)
-        else:
-            self.pending.clear()
-        if sess is None:
-            self.open.clear()
-        else:
-            self.open.update(tuple(sess))
-        self._arm(keep, sess)
+        if due:
+            if keep:
+                self.pending.put(keep)
+            else:
+                self.pending.clear()
+        min_pending = keep[0][0] if keep else None
+        timer = self._rearm(armed, sess, min_pending)
+        self._save(sess, timer, min_pending)
         user = key[0]
         return iter([Row(kind=k, user_id=user, session_start_ms=s, start_ms=a, end_ms=b, songs=n) for k, s, a, b, n in out])
 
