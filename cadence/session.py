@@ -56,3 +56,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (needed by ``transformWithState``,
+    whose processor objects are unpickled there).  Zips the package once per
+    SparkContext and adds it with ``addPyFile``, Spark's own way of shipping code."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cadence_shipped", False):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    folder = os.path.join(root, f"cadence-pyfiles-{uuid.uuid4().hex[:12]}") if "://" not in root else tempfile.mkdtemp()
+    os.makedirs(folder, exist_ok=True)
+    zpath = os.path.join(folder, "cadence.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    sc._cadence_shipped = True

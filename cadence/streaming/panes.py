@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from cadence.session import ship_package
 from cadence.functions.predicates import song_flag
 from cadence.streaming.sessions import EVENT_TIME, with_event_time
 
@@ -124,6 +125,7 @@ def stream_early_panes(events: DataFrame, gap_ms: int, interval_ms: int, *, wate
 
     Needs the RocksDB state store provider (set on the session before start)."""
     spark = events.sparkSession
+    ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     ev = with_event_time(events, watermark_delay_ms).select(

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from cadence.session import ship_package
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
 from cadence.streaming.panes import ROCKSDB_PROVIDER
 from cadence.streaming.sessions import EVENT_TIME, with_event_time
@@ -174,6 +175,7 @@ def stream_sessions_and_runs(
 ) -> DataFrame:
     """Closed sessions and runs of every delimiter, as rows tagged by ``kind``."""
     spark = events.sparkSession
+    ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     names = list(delimiters)

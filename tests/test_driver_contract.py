@@ -48,3 +48,30 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert _hash(rows, df.columns) == _hash(orows, ocols)
+
+
+@pytest.mark.parametrize("name", ["normalize_events", "messages_m1", "punctuated_watermark", "generate_events"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    res = con.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert _hash(rows, df.columns) == _hash(res.fetchall(), ocols)
+
+
+def test_epoch_ms_is_zone_free_across_dst(spark):
+    from pyspark.sql import functions as F
+
+    from cadence.sources.driver_table import epoch_ms
+
+    df = spark.createDataFrame([("2024-07-01 12:34:56.789123",), ("1969-12-31 23:59:59.999999",)], "s string")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        got = [r.ms for r in df.select(epoch_ms(F.col("s").cast("timestamp_ntz")).alias("ms")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [1719837296789, -1]
