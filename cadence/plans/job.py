@@ -136,9 +136,17 @@ def start_streaming_job(
     """Start the enabled analyses on a decoded event stream; returns the queries.
 
     Kafka sinks write to the option topics; file sinks write under ``output_root``
-    (one sub-folder per result).  Checkpoints default to the shared checkpoint dir."""
+    (one sub-folder per result).  The checkpoint defaults to a folder of the shared
+    checkpoint dir named after the job's identity (source plan, sinks, options), so a
+    restarted job resumes and two different jobs never share one."""
     sink_options = sink_options or {}
-    ck = checkpoint_dir or os.path.join(checkpoint_root(spark), "cadence-job")
+    if checkpoint_dir is None:
+        import hashlib
+
+        identity = repr((events._jdf.queryExecution().logical().toString(), sink_fmt, sorted(sink_options.items()),
+                         output_root, options, dialect, watermark_delay_ms, bounded_state))
+        job_id = hashlib.sha256(identity.encode()).hexdigest()[:16]
+    ck = checkpoint_dir or os.path.join(checkpoint_root(spark), f"cadence-job-{job_id}")
     targets = (
         topics(options)
         if sink_fmt == "kafka"
@@ -232,5 +240,8 @@ def start_generator(
     from cadence.sources.generator import generate_event_stream, to_wire
 
     wire = to_wire(generate_event_stream(spark, rows_per_second, max_time_deviation_ms=max_time_deviation_ms))
-    ck = checkpoint or os.path.join(checkpoint_root(spark), "cadence-generator")
+    import hashlib
+
+    job_id = hashlib.sha256(repr((fmt, path, topic, sorted((options or {}).items()))).encode()).hexdigest()[:16]
+    ck = checkpoint or os.path.join(checkpoint_root(spark), f"cadence-generator-{job_id}")
     return start_sink(wire, fmt, ck, path=path, topic=topic, options=options)
