@@ -53,6 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--output", default=None, help="folder for file sinks")
     a.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     a.add_argument("--checkpoint", default=None, help="checkpoint folder (default: derived from the job)")
+    a.add_argument("--late-events-output", default=None, help="folder for the view of late events")
+    a.add_argument("--late-events-mode", choices=("punctuated", "max"), default="punctuated")
     return p
 
 
@@ -102,6 +104,7 @@ def main(argv: list[str] | None = None) -> int:
         spark, events, opts, sink_fmt=args.sink_format, sink_options=kafka if args.sink_format == "kafka" else {},
         output_root=args.output, dialect=args.dialect, watermark_delay_ms=args.watermark_delay,
         available_now=args.available_now, checkpoint_dir=args.checkpoint,
+        late_events_output=args.late_events_output, late_events_mode=args.late_events_mode,
     )
     for q in queries:
         q.awaitTermination()

@@ -132,6 +132,8 @@ def start_streaming_job(
     watermark_delay_ms: int = 0,
     available_now: bool = False,
     bounded_state: bool = True,
+    late_events_output: str | None = None,
+    late_events_mode: str = "punctuated",
 ) -> list[StreamingQuery]:
     """Start the enabled analyses on a decoded event stream; returns the queries.
 
@@ -198,6 +200,15 @@ def start_streaming_job(
                 available_now=available_now,
             )
         )
+    if late_events_output:
+        from cadence.streaming.late import start_late_event_view
+
+        queries.append(
+            start_late_event_view(
+                events, options.gap_ms, os.path.join(ck, "late"), late_events_output, mode=late_events_mode,
+                delay_ms=watermark_delay_ms, available_now=available_now,
+            )
+        )
     return queries
 
 

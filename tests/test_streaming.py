@@ -144,3 +144,43 @@ def test_incremental_runs_in_order_batches(spark):
     out = run_batches(spark, batches, lambda s: stream_sessions_and_runs(s, 20_000, default_delimiters()), "incr")
     got = sorted((r.session_start_ms, r.start_ms, r.songs) for r in runs_of(out, "listen").filter("user_id = '1'").collect())
     assert got == [(1_000, 1_000, 2), (1_000, 4_000, 1), (100_000, 100_000, 1)]
+
+
+def test_late_event_view(spark):
+    from cadence.streaming.late import start_late_event_view
+
+    root = scratch_path(spark, "late-view")
+    inp, out = os.path.join(root, "in"), os.path.join(root, "out")
+    batches = [
+        [song(50_000, 0), song(80_000, 1)],          # max watermark -> 80 s
+        [song(20_000, 2), song(79_000, 3)],          # 20 s: [20 s, 70 s) ended by 80 s -> late; 79 s is not
+        [song(121_000, 4), song(60_500, 5)],         # watermark still 80 s here: 60.5 s + 20 s - 1 ms > 80 s
+    ]
+    for rows in batches:
+        codec.encode(spark.createDataFrame(rows, EVENT_SCHEMA)).coalesce(1).write.mode("append").parquet(inp)
+        ev = read_event_stream(spark, "parquet", path=inp, options={"maxFilesPerTrigger": "1"})
+        start_late_event_view(ev, 20_000, os.path.join(root, "ck"), out, mode="max", available_now=True).awaitTermination()
+    got = sorted((r.event_id, r.watermark_ms) for r in spark.read.parquet(os.path.join(out, "batch=*")).collect())
+    assert got == [(2, 80_000)]
+
+
+def test_late_event_view_matches_batch_replay(spark, make_events):
+    """One event per micro-batch, in arrival order: the stream view flags exactly
+    the events the batch replay flags."""
+    from cadence.operators import watermark as WM
+    from cadence.streaming.late import start_late_event_view
+
+    arrivals = [61_000, 5_000, 121_500, 64_000, 100_000, 125_000, 30_000, 181_000, 150_000]
+    rows = [song(ts, eid) for eid, ts in enumerate(arrivals)]
+    replay_df = make_events(rows).withColumn("arrival_ms", F.col("event_id"))
+    expected = sorted(r.event_id for r in WM.late_events(replay_df, 20_000, "punctuated").collect())
+    assert expected  # markers at 61 s, 121.5 s, 181 s make some events late
+
+    root = scratch_path(spark, "late-view-eq")
+    inp, out = os.path.join(root, "in"), os.path.join(root, "out")
+    for r in rows:
+        codec.encode(spark.createDataFrame([r], EVENT_SCHEMA)).coalesce(1).write.mode("append").parquet(inp)
+        ev = read_event_stream(spark, "parquet", path=inp, options={"maxFilesPerTrigger": "1"})
+        start_late_event_view(ev, 20_000, os.path.join(root, "ck"), out, available_now=True).awaitTermination()
+    got = sorted(r.event_id for r in spark.read.parquet(os.path.join(out, "batch=*")).collect())
+    assert got == expected
