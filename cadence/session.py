@@ -44,7 +44,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="cadence-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():  # noqa: SLF001
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -80,3 +80,29 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
     sc._cadence_shipped = True
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text record; plain file I/O for local paths, Spark's text
+    writer for cluster file systems (``hdfs://``, ``s3a://``, ...)."""
+    if "://" not in path:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        with open(tmp, "w") as f:
+            f.write(text)
+        os.replace(tmp, path)
+    else:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    if "://" not in path:
+        if not os.path.exists(path):
+            return None
+        with open(path) as f:
+            return f.read()
+    try:
+        row = spark.read.text(path).first()
+    except Exception:  # noqa: BLE001 - a missing record reads as None
+        return None
+    return row.value if row else None

@@ -9,7 +9,7 @@ query.  Each micro-batch is compared with the watermark known *before* it:
 An event is late when its own session window has already ended by then:
 ``ts + gap - 1 <= watermark`` (the batch replay in ``cadence.operators.watermark``
 uses the same rule per event).  The watermark after each batch is one number (an
-aggregate of the batch) kept in a small file per batch id under the checkpoint
+aggregate of the batch) kept in a small record per batch id under the checkpoint
 folder, so a restarted or replayed batch sees exactly the watermark it saw first.
 """
 
@@ -23,20 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadence.functions.predicates import is_watermark_marker
+from cadence.session import read_note, write_note
 
 
-def _state_file(folder: str, batch_id: int) -> str:
-    return os.path.join(folder, f"{batch_id}.json")
-
-
-def _read_watermark(folder: str, batch_id: int) -> int | None:
-    """Watermark after ``batch_id`` (None when nothing has set it yet)."""
-    for b in range(batch_id, -1, -1):
-        p = _state_file(folder, b)
-        if os.path.exists(p):
-            with open(p) as f:
-                return json.load(f)["watermark_ms"]
-    return None
+def _record(folder: str, batch_id: int) -> str:
+    return os.path.join(folder, f"batch-{batch_id}.json")
 
 
 def start_late_event_view(
@@ -54,21 +45,21 @@ def start_late_event_view(
     if mode not in ("punctuated", "max"):
         raise ValueError("mode must be 'punctuated' or 'max'")
     wm_folder = os.path.join(checkpoint, "late-watermarks")
-    os.makedirs(wm_folder, exist_ok=True)
+    spark = events.sparkSession
     candidate = F.when(is_watermark_marker(), F.col("ts_ms")) if mode == "punctuated" else F.col("ts_ms") - F.lit(delay_ms)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        before = _read_watermark(wm_folder, batch_id - 1)
+        note = read_note(spark, _record(wm_folder, batch_id - 1)) if batch_id > 0 else None
+        before = json.loads(note)["watermark_ms"] if note else None
         if before is not None:
             late = batch.filter(F.col("ts_ms") + F.lit(gap_ms - 1) <= F.lit(before)).withColumn(
                 "watermark_ms", F.lit(before).cast("bigint")
             )
             late.write.mode("overwrite").format(fmt).save(os.path.join(output, f"batch={batch_id}"))
         top = batch.agg(F.max(candidate).alias("m")).first()["m"]
-        after = before if top is None else (top if before is None else max(before, top))
-        if after is not None:
-            with open(_state_file(wm_folder, batch_id), "w") as f:
-                json.dump({"watermark_ms": int(after)}, f)
+        after = before if top is None else (int(top) if before is None else max(before, int(top)))
+        # Every batch leaves its record (even when unchanged), so the next reads one.
+        write_note(spark, _record(wm_folder, batch_id), json.dumps({"watermark_ms": after}))
 
     w = events.writeStream.option("checkpointLocation", os.path.join(checkpoint, "query")).foreachBatch(per_batch)
     if available_now:
