@@ -57,6 +57,20 @@ def fixed_bucket(ts: Column, width_ms: int) -> Column:
     return floor_div(ts, width_ms)
 
 
+# Profiles of inputs already seen in this process.  A profile only chooses bucket
+# widths, never results, so a reused one is always correct; it is keyed by the
+# canonical plan and the input files so a changed input is profiled again.
+_PROFILES: dict[tuple, object] = {}
+
+
+def profile_key(df: DataFrame, *parts) -> tuple:
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - inputs without files (e.g. local relations)
+        files = ()
+    return (df.semanticHash(), files, *parts)
+
+
 def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> DataFrame | None:
     """Keys holding more than ``target_rows`` rows, each with its own bucket width.
 
@@ -75,8 +89,12 @@ def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing
             ((F.col("_hi") - F.col("_lo") + 1) * F.lit(bucketing.target_rows) / F.col("_n")).cast("bigint"),
         ).alias("_w"),
     )
-    rows = heavy.limit(bucketing.max_heavy_keys + 1).collect()
-    if not rows or len(rows) > bucketing.max_heavy_keys:
+    key = profile_key(df, tuple(keys), ts_col, bucketing.target_rows, bucketing.max_heavy_keys)
+    if key not in _PROFILES:
+        rows = heavy.limit(bucketing.max_heavy_keys + 1).collect()
+        _PROFILES[key] = None if not rows or len(rows) > bucketing.max_heavy_keys else rows
+    rows = _PROFILES[key]
+    if rows is None:
         return None
     return df.sparkSession.createDataFrame(rows, heavy.schema)
 
