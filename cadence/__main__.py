@@ -25,10 +25,11 @@ def _parser() -> argparse.ArgumentParser:
 
     g = sub.add_parser("generate", help="write synthetic events")
     g.add_argument("brokers", nargs="?", default="", help="Kafka bootstrap servers")
-    g.add_argument("--topic", default="songs")
-    g.add_argument("--rows-per-second", type=int, default=2)
+    g.add_argument("-t", "--topic", default="songs")
+    g.add_argument("--rows-per-second", type=int, default=None,
+                   help="stream rate (default: from --max-interval, mean pause max/2 ms)")
     g.add_argument("--count", type=int, default=0, help="batch mode: write this many events and stop")
-    g.add_argument("--max-interval", type=int, default=1000, help="ms; batch pacing")
+    g.add_argument("-m", "--max-interval", type=int, default=1000, help="max ms between consecutive events")
     g.add_argument("--max-time-deviation", type=int, default=0, help="ms of timestamp jitter")
     g.add_argument("--sink-format", default="kafka")
     g.add_argument("--path", default=None)
@@ -38,9 +39,10 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--topic", default="songs")
     a.add_argument("--session-gap", type=int, default=20, help="seconds")
     a.add_argument("--trigger-interval", type=int, default=5, help="seconds between early panes")
-    a.add_argument("--no-discover-weekly", action="store_true")
-    a.add_argument("--no-subsession-stats", action="store_true")
-    a.add_argument("--no-session-stats", action="store_true")
+    # Both spellings: --no-x and the reference's --nox.
+    a.add_argument("--no-discover-weekly", "--nodiscover-weekly", dest="no_discover_weekly", action="store_true")
+    a.add_argument("--no-subsession-stats", "--nosubsession-stats", dest="no_subsession_stats", action="store_true")
+    a.add_argument("--no-session-stats", "--nosession-stats", dest="no_session_stats", action="store_true")
     a.add_argument("--no-early-panes", action="store_true")
     a.add_argument("--dialect", choices=("window", "span"), default="window")
     a.add_argument("--watermark-delay", type=int, default=0, help="ms")
@@ -89,8 +91,9 @@ def main(argv: list[str] | None = None) -> int:
                 max_interval_ms=args.max_interval, max_time_deviation_ms=args.max_time_deviation,
             )
             return 0
+        rate = args.rows_per_second or max(1, round(2000 / max(args.max_interval, 1)))
         q = job.start_generator(
-            spark, args.rows_per_second, args.sink_format, path=args.path, topic=args.topic, options=kafka,
+            spark, rate, args.sink_format, path=args.path, topic=args.topic, options=kafka,
             max_time_deviation_ms=args.max_time_deviation,
         )
         q.awaitTermination()

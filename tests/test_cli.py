@@ -14,6 +14,8 @@ def test_flags_map_to_options():
     o = options_from(args)
     assert (o.session_gap_s, o.discover_weekly, o.subsession_stats, o.duration, o.early_panes) == (30, False, True, "span", False)
     assert options_from(_parser().parse_args(["analyze"])).early_panes is True
+    legacy = options_from(_parser().parse_args(["analyze", "kafka:9092", "--nodiscover-weekly", "--nosession-stats"]))
+    assert (legacy.discover_weekly, legacy.session_stats, legacy.subsession_stats) == (False, False, True)
 
 
 def test_generate_then_analyze_files(tmp_path):
