@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 from cadence.functions import codec
 from cadence.functions import messages as M
-from cadence.functions.predicates import is_watermark_marker, song_flag
+from cadence.functions.predicates import floor_div, is_watermark_marker, song_flag
 from cadence.operators import sessions as S
 from cadence.operators import watermark as WM
 from cadence.operators.panes import early_session_panes
 from cadence.schema import EVENT_COLUMNS
 from cadence.sources import generator as G
 from cadence.sources.driver_table import load_events, read_table
+from cadence.streaming import runs as SR
 from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
 from cadence.streaming.replay import replay
-from cadence.streaming import runs as SR
 
 DRIVER_GAP_MS = 43_200_000
 DRIVER_INTERVAL_MS = 10_800_000
@@ -194,7 +194,7 @@ def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     panes = replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-panes")
     final = panes.filter(F.col("is_final"))
     return final.select(
-        "user_id", "start_ms", "end_ms", ((F.col("end_ms") - F.col("start_ms")) / 1000).cast("bigint").alias("duration_s"), "songs"
+        "user_id", "start_ms", "end_ms", floor_div(F.col("end_ms") - F.col("start_ms"), 1000).alias("duration_s"), "songs"
     )
 
 
