@@ -99,10 +99,14 @@ def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing
     return df.sparkSession.createDataFrame(rows, heavy.schema)
 
 
-def add_bucket(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> DataFrame:
-    """Add the ``_bkt`` column: fixed width, or widths adapted to heavy keys."""
+def add_bucket(
+    df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing, heavy: DataFrame | None = None
+) -> DataFrame:
+    """Add the ``_bkt`` column: fixed width, or widths adapted to the heavy keys
+    (``heavy``, as returned by ``heavy_keys``; computed here when not given)."""
     base = fixed_bucket(F.col(ts_col), bucketing.width_ms)
-    heavy = heavy_keys(df, keys, ts_col, bucketing) if bucketing.adaptive else None
+    if heavy is None and bucketing.adaptive:
+        heavy = heavy_keys(df, keys, ts_col, bucketing)
     if heavy is None:
         return df.withColumn(BUCKET, base)
     # Buckets only order rows *within* one key, so heavy and light keys may use

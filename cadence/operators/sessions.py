@@ -19,10 +19,13 @@ Semantics
 
 Execution (see ``cadence.operators.bucketing``)
 -----------------------------------------------
-One hash exchange on ``(user, bucket)`` and one sort feed a local Window; a small
-per-bucket summary (partial aggregation, no extra exchange) is carried across the
-user's buckets and joined back on ``(user, bucket)``.  No Window ever holds all
-of one user's rows, and nothing is collected.
+The default (adaptive) bucketing first profiles rows per user.  When no user
+exceeds the per-task bound, the plan is one hash exchange on the user, one sort
+and one ordered pass.  Otherwise (and always with fixed-width bucketing) one hash
+exchange on ``(user, bucket)`` and one sort feed a local Window; a small
+per-bucket summary (partial aggregation, reusing that exchange) is carried across
+the user's buckets and joined back on ``(user, bucket)``.  No Window ever holds
+more than one bucket of a heavy user, and nothing unbounded is collected.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
-from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket
+from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket, heavy_keys
 
 SESSION_START = "session_start_ms"
 IS_SESSION_START = "is_session_start"
@@ -90,7 +93,13 @@ def sessionize(
         *[m.alias(name) for name, m in measures.items()],
         *[F.coalesce(pred, F.lit(False)).alias(f"{name}_delim") for name, pred in delimiters.items()],
     )
-    df = add_bucket(narrow, [u], t, bucketing)
+    heavy = None
+    if bucketing.adaptive:
+        heavy = heavy_keys(narrow, [u], t, bucketing)
+        if heavy is None:
+            # No user exceeds the per-task bound: one ordered pass per user suffices.
+            return _single_pass(narrow, gap_ms, delimiters, measures, merge_touching, u, t, i)
+    df = add_bucket(narrow, [u], t, bucketing, heavy)
     df = df.filter(F.col(BUCKET).isNotNull())
 
     pos = F.struct(ts.alias("t"), F.col(i).alias("i"))
@@ -153,6 +162,36 @@ def sessionize(
     return out.select(*result)
 
 
+def _single_pass(
+    narrow: DataFrame,
+    gap_ms: int,
+    delimiters: Mapping[str, Column],
+    measures: Mapping[str, Column],
+    merge_touching: bool,
+    u: str,
+    t: str,
+    i: str,
+) -> DataFrame:
+    """The plan when every user fits one task: one exchange on the user, one sort,
+    one ordered pass (the same columns as the two-level plan)."""
+    ts = F.col(t)
+    pos = F.struct(ts.alias("t"), F.col(i).alias("i"))
+    w = Window.partitionBy(u).orderBy(t, i)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = narrow.withColumn("_prev", F.lag(t).over(w))
+    start = F.col("_prev").isNull() | _splits(ts - F.col("_prev"), gap_ms, merge_touching)
+    df = df.withColumn(IS_SESSION_START, start)
+    result = [F.col(u), ts, F.col(i), *[F.col(m) for m in measures]] + [
+        F.max(F.when(F.col(IS_SESSION_START), ts)).over(upto).alias(SESSION_START),
+        F.col(IS_SESSION_START),
+    ]
+    for name in delimiters:
+        mark = F.col(IS_SESSION_START) | F.col(f"{name}_delim")
+        result.append(F.col(f"{name}_delim"))
+        result.append(F.max(F.when(mark, pos)).over(upto).alias(f"{name}_run"))
+    return df.select(*result)
+
+
 def session_stats_from(
     annotated: DataFrame,
     gap_ms: int,

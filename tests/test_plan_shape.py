@@ -53,3 +53,13 @@ def test_delimiter_column_is_computed_before_the_shuffle(no_aqe):
     plan = executed_plan(split_runs(load_events(no_aqe, SF), GAP, is_search()))
     # Only the boolean flag crosses the shuffle, not the columns it was computed from.
     assert "split_delim" in plan and "event_type" not in plan.split("Exchange hashpartitioning(user_id")[1].split("\n")[0]
+
+
+@pytest.mark.parametrize("name", sorted(BUILDERS))
+def test_single_pass_when_no_heavy_user(no_aqe, name):
+    ev = load_events(no_aqe, SF)
+    plan = executed_plan(BUILDERS[name](ev, Bucketing(adaptive=True)))
+    assert plan.count("FileScan parquet") == 1, plan
+    # One exchange of the events (on the user alone) and no carry join.
+    assert plan.count("Exchange hashpartitioning(user_id#") >= 1
+    assert "_bkt" not in plan and "ReusedExchange" not in plan

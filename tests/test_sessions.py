@@ -74,10 +74,11 @@ BUCKETINGS = [
     Bucketing(width_ms=7_000),
     Bucketing(width_ms=1),
     Bucketing(width_ms=86_400_000, adaptive=True, target_rows=10),
+    Bucketing(adaptive=True),
 ]
 
 
-@pytest.mark.parametrize("bucketing", BUCKETINGS, ids=["day", "7s", "1ms", "adaptive"])
+@pytest.mark.parametrize("bucketing", BUCKETINGS, ids=["day", "7s", "1ms", "adaptive-heavy", "adaptive-single-pass"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_against_brute_force(make_events, bucketing, seed):
     rows = random_rows(seed)
