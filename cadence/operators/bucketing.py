@@ -12,11 +12,11 @@ watermarks, cumulative panes) is evaluated in two levels:
 A bucket is a contiguous range of the ordering column.  Two ways to choose it:
 
 * ``fixed``: ``floor(ts / width)`` with a fixed width, the same for every key;
-* ``adaptive``: keys with more than ``target_rows`` rows get a width of
-  ``span * target_rows / rows`` (so every bucket holds about ``target_rows`` rows);
-  all other keys keep the fixed width.  The heavy-key table has at most
-  ``rows / target_rows`` entries; it is broadcast only after its size is checked,
-  otherwise the fixed width is used.
+* ``adaptive``: keys with more than ``target_rows`` rows get equal-count buckets
+  of about ``target_rows`` rows each (boundaries from ``approxQuantile``, so a
+  burst of one key's events is split too); all other keys keep the fixed width.
+  The heavy-key table has at most ``rows / target_rows`` entries; it is broadcast
+  only after its size is checked, otherwise the fixed width is used.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadence.functions.predicates import floor_div
 
@@ -71,47 +72,90 @@ def profile_key(df: DataFrame, *parts) -> tuple:
     return (df.semanticHash(), files, *parts)
 
 
-def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> DataFrame | None:
-    """Keys holding more than ``target_rows`` rows, each with its own bucket width.
+def quantile_splits(df: DataFrame, col: str, n_rows: int, target_rows: int) -> list[float]:
+    """Boundaries cutting ``col`` into ranges of about ``target_rows`` rows each.
+
+    ``approxQuantile`` with a rank error of at most half a bucket; at most
+    ``n_rows / target_rows`` numbers reach the driver."""
+    n_buckets = -(-n_rows // target_rows)
+    if n_buckets <= 1:
+        return []
+    probs = [k / n_buckets for k in range(1, n_buckets)]
+    splits = df.approxQuantile(col, probs, 1.0 / (2 * n_buckets))
+    out: list[float] = []
+    for x in splits:
+        if not out or x > out[-1]:
+            out.append(float(x))
+    return out
+
+
+def bucketize(df: DataFrame, col: str, splits: list[float], out_col: str) -> DataFrame:
+    """Index of the range of ``col`` among ``splits`` (binary search in the JVM);
+    NULL stays NULL."""
+    if not splits:
+        return df.withColumn(out_col, F.when(F.col(col).isNotNull(), F.lit(0).cast("bigint")))
+    from pyspark.ml.feature import Bucketizer
+
+    b = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol=col, outputCol=out_col, handleInvalid="keep")
+    return b.transform(df).withColumn(out_col, F.col(out_col).cast("bigint"))
+
+
+def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> list | None:
+    """Keys holding more than ``target_rows`` rows, with their row count and time range.
 
     One aggregation job (partial aggregation: one row per key per map task crosses
     the shuffle).  At most ``rows / target_rows`` keys can qualify; the list reaches
     the driver only after checking it has at most ``max_heavy_keys`` entries, and
-    ``None`` (use the fixed width) is returned otherwise."""
+    ``None`` (no heavy key, or too many to list) is returned otherwise."""
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")
     )
-    heavy = stats.filter(F.col("_n") > F.lit(bucketing.target_rows)).select(
-        *keys,
-        F.col("_lo"),
-        F.greatest(
-            F.lit(1).cast("bigint"),
-            ((F.col("_hi") - F.col("_lo") + 1) * F.lit(bucketing.target_rows) / F.col("_n")).cast("bigint"),
-        ).alias("_w"),
-    )
+    heavy = stats.filter(F.col("_n") > F.lit(bucketing.target_rows))
     key = profile_key(df, tuple(keys), ts_col, bucketing.target_rows, bucketing.max_heavy_keys)
     if key not in _PROFILES:
         rows = heavy.limit(bucketing.max_heavy_keys + 1).collect()
         _PROFILES[key] = None if not rows or len(rows) > bucketing.max_heavy_keys else rows
-    rows = _PROFILES[key]
-    if rows is None:
-        return None
-    return df.sparkSession.createDataFrame(rows, heavy.schema)
+    return _PROFILES[key]
 
 
 def add_bucket(
-    df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing, heavy: DataFrame | None = None
+    df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing, heavy: list | None = None
 ) -> DataFrame:
-    """Add the ``_bkt`` column: fixed width, or widths adapted to the heavy keys
-    (``heavy``, as returned by ``heavy_keys``; computed here when not given)."""
+    """Add the ``_bkt`` column.
+
+    Light keys: fixed-width time ranges.  Heavy keys (``heavy``, from ``heavy_keys``;
+    computed here when not given): equal-*count* ranges of about ``target_rows`` rows,
+    however bursty the key's times are.  Each heavy key gets a disjoint numeric range
+    ``rank * R + time / g`` of one composite column; quantiles of that column over
+    the heavy keys' rows give the boundaries, and ``Bucketizer`` finds each row's
+    range.  Bucket numbers only order rows within one key, so the two numberings
+    never need to agree."""
     base = fixed_bucket(F.col(ts_col), bucketing.width_ms)
     if heavy is None and bucketing.adaptive:
         heavy = heavy_keys(df, keys, ts_col, bucketing)
-    if heavy is None:
+    if not heavy:
         return df.withColumn(BUCKET, base)
-    # Buckets only order rows *within* one key, so heavy and light keys may use
-    # different numberings.  The broadcast side is the checked, bounded list above.
-    joined = df.join(F.broadcast(heavy), on=keys, how="left")
-    offset = F.col(ts_col) - F.col("_lo")
-    bucket = F.when(F.col("_w").isNotNull(), ((offset - F.pmod(offset, F.col("_w"))) / F.col("_w")).cast("bigint"))
-    return joined.withColumn(BUCKET, F.coalesce(bucket, base)).drop("_lo", "_w")
+    span = max(r["_hi"] - r["_lo"] + 1 for r in heavy)
+    grain = 1
+    while len(heavy) * (span // grain + 2) >= 2**52:  # exact in a double
+        grain *= 10
+    stride = span // grain + 2
+    table = df.sparkSession.createDataFrame(
+        [(*[r[k] for k in keys], rank, r["_lo"]) for rank, r in enumerate(heavy)],
+        df.select(*keys).schema.add("_rank", T.LongType()).add("_lo", T.LongType()),
+    )
+    # The broadcast side is the checked, bounded heavy-key list.
+    joined = df.join(F.broadcast(table), on=keys, how="left")
+    composite = F.when(
+        F.col("_rank").isNotNull(),
+        (F.col("_rank") * F.lit(stride) + floor_div(F.col(ts_col) - F.col("_lo"), grain)).cast("double"),
+    )
+    joined = joined.withColumn("_composite", composite)
+    split_key = profile_key(df, "splits", tuple(keys), ts_col, bucketing.target_rows, len(heavy))
+    if split_key not in _PROFILES:
+        total = sum(r["_n"] for r in heavy)
+        _PROFILES[split_key] = quantile_splits(
+            joined.filter(F.col("_rank").isNotNull()), "_composite", total, bucketing.target_rows
+        )
+    joined = bucketize(joined, "_composite", _PROFILES[split_key], "_qb")
+    return joined.withColumn(BUCKET, F.coalesce(F.col("_qb"), base)).drop("_rank", "_lo", "_composite", "_qb")

@@ -11,8 +11,9 @@ has already passed the end of its own session window: ``ts + gap - 1 <= wm``.
 These are the events a streaming job with no allowed lateness drops silently.
 
 Arrival order is global (one ordered stream), so it is cut into contiguous
-arrival ranges of about ``target_rows`` rows each and evaluated with the
-two-level running max (``cadence.operators.cumulative``).
+arrival ranges of about ``target_rows`` rows each (quantile boundaries: a burst of
+arrivals is split like any other range) and evaluated with the two-level running
+max (``cadence.operators.cumulative``).
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import floor_div, is_watermark_marker
-from cadence.operators.bucketing import BUCKET
-from cadence.operators.cumulative import cumulative, global_bucket_width
+from cadence.operators.bucketing import _PROFILES, BUCKET, bucketize, profile_key, quantile_splits
+from cadence.operators.cumulative import cumulative
 
 TARGET_ROWS = 2_000_000
 MODES = ("punctuated", "max")
@@ -37,8 +38,16 @@ def _marker(mode: str) -> Column:
 
 
 def _with_arrival_bucket(events: DataFrame, arrival_col: str, width_ms: int | None, target_rows: int) -> DataFrame:
-    width = width_ms or global_bucket_width(events, arrival_col, target_rows)
-    return events.withColumn(BUCKET, floor_div(F.col(arrival_col), width))
+    """Fixed arrival ranges of ``width_ms``, or (default) equal-count ranges of about
+    ``target_rows`` rows, so a burst of arrivals is split like any other range."""
+    if width_ms:
+        return events.withColumn(BUCKET, floor_div(F.col(arrival_col), width_ms))
+    key = profile_key(events, "arrival-splits", arrival_col, target_rows)
+    if key not in _PROFILES:
+        n = events.filter(F.col(arrival_col).isNotNull()).count()
+        _PROFILES[key] = quantile_splits(events, arrival_col, n, target_rows)
+    staged = events.withColumn("_arrival_d", F.col(arrival_col).cast("double"))
+    return bucketize(staged, "_arrival_d", _PROFILES[key], BUCKET).drop("_arrival_d")
 
 
 def running_watermark(

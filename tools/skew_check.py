@@ -1,4 +1,5 @@
-"""Skew check: one user holds a third of all rows, packed into one day.
+"""Skew check: one user holds a third of all rows, packed into one day, and half of
+those rows fall inside a single second (a burst).
 
 Generates N synthetic events into SCRATCH (a new folder you give), runs session stats
 with fixed day buckets and with adaptive heavy-user buckets, and reports from Spark's
@@ -61,7 +62,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     # 0.5 ms apart: the whole table spans under two hours, so day buckets cannot split it.
     ev = generate_events(spark, n, num_partitions=32, max_interval_ms=1)
-    ev = ev.withColumn("user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit("hot")).otherwise(F.col("user_id")))
+    hot = F.pmod("event_id", F.lit(3)) == 0
+    burst = F.pmod("event_id", F.lit(6)) == 0
+    ev = ev.withColumn("user_id", F.when(hot, F.lit("hot")).otherwise(F.col("user_id")))
+    # Half of the hot user's rows: 1,000 distinct milliseconds of one second.
+    ev = ev.withColumn("ts_ms", F.when(burst, F.lit(1_704_067_200_000) + F.pmod("event_id", F.lit(1000))).otherwise(F.col("ts_ms")))
     ev.write.mode("overwrite").parquet(os.path.join(scratch, "data"))
     data = spark.read.parquet(os.path.join(scratch, "data"))
     result = {}
