@@ -63,22 +63,3 @@ def cumulative(
         _combine(fn, F.col(f"_l_{out}"), F.col(f"_c_{out}")).alias(out) for out, (fn, _) in aggs.items()
     ]
     return joined.select(*result)
-
-
-def global_bucket_width(df: DataFrame, col: str, target_rows: int, min_width: int = 1) -> int:
-    """Width of equal ranges of ``col`` holding about ``target_rows`` rows each.
-
-    One aggregate action (count, min, max: a single small row reaches the driver),
-    reused for the same input within the process."""
-    from cadence.operators.bucketing import _PROFILES, profile_key
-
-    key = profile_key(df, "width", col, target_rows, min_width)
-    if key in _PROFILES:
-        return _PROFILES[key]
-    row = df.agg(F.count(F.col(col)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    n, lo, hi = row["n"], row["lo"], row["hi"]
-    if not n or lo is None:
-        return max(min_width, 1)
-    n_buckets = max(1, -(-n // target_rows))
-    _PROFILES[key] = width = max(min_width, -(-(hi - lo + 1) // n_buckets))
-    return width
