@@ -26,6 +26,7 @@ REPS = int(os.environ.get("BENCH_REPS", "3"))
 HEADLINE = [
     "session_stats_window",
     "session_stats_span",
+    "session_stats_window_heavy_plan",
     "discover_weekly_runs",
     "listening_runs",
     "early_session_panes",

@@ -255,6 +255,10 @@ FROM events
             "'UserId ' || user_id || ' listened ' || songs || ' songs for ' || length_s || ' seconds consecutively'",
         ),
         "generate_events": GENERATE_SQL,
+        # The heavy-user plan computes the same results: same SQL.
+        "session_stats_window_heavy_plan": oracles_base()["session_stats_window"],
+        "listening_runs_heavy_plan": oracles_base()["listening_runs"],
+        "early_session_panes_heavy_plan": _panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
         # Streams replay the same events: the batch SQL is their oracle.
         "stream_session_stats": oracles_base()["session_stats_window"],
         "stream_discover_weekly_runs": oracles_base()["discover_weekly_runs"],

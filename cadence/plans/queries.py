@@ -16,6 +16,7 @@ from cadence.functions import codec
 from cadence.functions import messages as M
 from cadence.functions.predicates import floor_div, is_watermark_marker, song_flag
 from cadence.operators import sessions as S
+from cadence.operators.bucketing import Bucketing
 from cadence.operators import watermark as WM
 from cadence.operators.panes import early_session_panes
 from cadence.schema import EVENT_COLUMNS
@@ -26,6 +27,10 @@ from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
 from cadence.streaming.replay import replay
 
+# Forces the heavy-user plan on the driver table (every user has more than 20 rows):
+# equal-count buckets of about 20 rows, cross-bucket carry and join.  Same results.
+SMALL_BUCKETS = Bucketing(adaptive=True, target_rows=20)
+
 DRIVER_GAP_MS = 43_200_000
 DRIVER_INTERVAL_MS = 10_800_000
 LATE_GAP_MS = 20_000
@@ -77,6 +82,18 @@ def q_split_runs_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.split_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, F.col("device_type") == F.lit("Mobile"))
 
 
+def q_session_stats_window_heavy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.session_stats(load_events(spark, sf_dir), DRIVER_GAP_MS, duration="window", bucketing=SMALL_BUCKETS)
+
+
+def q_listening_runs_heavy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.listening_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, bucketing=SMALL_BUCKETS)
+
+
+def q_early_session_panes_heavy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return early_session_panes(load_events(spark, sf_dir), DRIVER_GAP_MS, DRIVER_INTERVAL_MS, bucketing=SMALL_BUCKETS)
+
+
 def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """decode(encode(e)) == e for every event; any invalid record fails the query."""
     wire = codec.encode(load_events(spark, sf_dir))
@@ -228,6 +245,9 @@ def registry() -> dict[str, QueryFn]:
         "discover_weekly_runs": q_discover_weekly_runs,
         "listening_runs": q_listening_runs,
         "split_runs_custom": q_split_runs_custom,
+        "session_stats_window_heavy_plan": q_session_stats_window_heavy_plan,
+        "listening_runs_heavy_plan": q_listening_runs_heavy_plan,
+        "early_session_panes_heavy_plan": q_early_session_panes_heavy_plan,
         "json_roundtrip": q_json_roundtrip,
         "quarantine_bad_events": q_quarantine_bad_events,
         "early_session_panes": q_early_session_panes,
