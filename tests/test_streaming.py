@@ -184,3 +184,21 @@ def test_late_event_view_matches_batch_replay(spark, make_events):
         start_late_event_view(ev, 20_000, os.path.join(root, "ck"), out, available_now=True).awaitTermination()
     got = sorted(r.event_id for r in spark.read.parquet(os.path.join(out, "batch=*")).collect())
     assert got == expected
+
+
+def test_stateful_panes_fire_as_the_watermark_passes(spark):
+    # In order, delay 0.  The 5 s pane fires once the watermark reaches 6 s and holds
+    # what was received by then; the 10 s pane fires at watermark 12 s and already
+    # holds the 12 s song (everything received so far, as when a watermark jumps).
+    batches = [
+        [song(1_000, 0)],
+        [search(6_000, 1)],
+        [song(12_000, 2)],
+        [search(10_000_000, 3, user="~s")],
+        [search(20_000_000, 4, user="~s")],
+    ]
+    out = run_batches(spark, batches, lambda s: stream_early_panes(s, 20_000, 5_000), "panes-inorder")
+    got = sorted((r.pane_ms, r.songs, r.end_ms, r.is_final) for r in out.filter("user_id = '1'").collect())
+    assert got[0] == (5_000, 1, 26_000, False)
+    assert got[1] == (10_000, 2, 32_000, False)
+    assert got[-1] == (31_999, 2, 32_000, True)
