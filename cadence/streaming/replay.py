@@ -4,8 +4,8 @@ The events are encoded to wire JSON and written as several parquet files of
 ``(event_id, value)`` under the shared checkpoint folder; the streaming operator
 reads them one file per micro-batch, so sessions are merged across batches in
 the state store.  The watermark delay is set to the data's time span, so no
-file order can make an event late; after the data, two sentinel files (one
-synthetic user far in the future) push the watermark past every session, and
+file order can make an event late; after the data has been read, two sentinel
+files (one synthetic user far in the future) push the watermark past every session, and
 the sentinel user is removed *after* the sink (a filter on the key inside the
 streaming plan would be pushed below the watermark and stop it moving).
 """
@@ -72,7 +72,11 @@ def replay(
             raise q.exception()
 
     run()
+    # Two sentinel files, one micro-batch each: the first moves the watermark past every
+    # session, the second guarantees a later batch that emits them.  Their order does
+    # not matter (a sentinel behind the watermark is dropped and the other still moves
+    # it), so both go into one run, after the run that read all the data.
     for k in (1, 2):
         _sentinel(events, k * (delay + 2 * gap_ms + 1)).coalesce(1).write.mode("append").parquet(inp)
-        run()
+    run()
     return spark.read.parquet(out).filter(F.col("user_id") != F.lit(SENTINEL_USER))
