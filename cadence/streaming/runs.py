@@ -21,13 +21,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cadence.session import ship_package
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
 from cadence.streaming.panes import ROCKSDB_PROVIDER
+from cadence.streaming.fold import COLUMNS, _close_session, fold_arrays
 from cadence.streaming.sessions import EVENT_TIME, with_event_time
 
 OUT_SCHEMA = "kind STRING, user_id STRING, session_start_ms BIGINT, start_ms BIGINT, end_ms BIGINT, songs BIGINT"
@@ -35,7 +38,10 @@ SESSION = "session"
 
 
 class SessionFold:
-    """In-order fold of one user's events into sessions and runs (pure Python)."""
+    """In-order fold of one user's events into sessions and runs, one event at a time.
+
+    The reference model of ``cadence.streaming.fold.fold_arrays`` (the vectorized
+    fold the operator runs); tests check that the two agree."""
 
     def __init__(self, gap: int, n_delims: int, merge_touching: bool = True):
         self.gap, self.n, self.touching = gap, n_delims, merge_touching
@@ -80,40 +86,52 @@ class SessionFold:
 
 
 class IncrementalRunsProcessor(StatefulProcessor):
-    """State per user: ``pending`` events, and one ``meta`` value holding the open
-    session (or NULLs), the timer currently armed and the earliest pending time.
-    A batch that does not move the timer costs two state calls per user."""
+    """Arrow-batched (``transformWithStateInPandas``) processor over ``fold_arrays``.
+
+    State per user is ONE value row: the open session and its open runs, the armed
+    timer, and the pending events as raw numpy bytes (time, tiebreak, song flag,
+    delimiter flags), so a micro-batch costs one state read and one write per user
+    however many events it brings, and no per-event Python runs."""
 
     def __init__(self, gap_ms: int, delimiter_names: list[str], merge_touching: bool = True):
         self.gap = gap_ms
         self.names = list(delimiter_names)
         self.n = len(self.names)
-        self.folder = SessionFold(gap_ms, self.n, merge_touching)
+        self.touching = merge_touching
+        self.width = 3 + 3 * self.n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        d = "".join(f", d{k} BOOLEAN" for k in range(self.n))
-        self.pending = handle.getListState("pending", f"ts BIGINT, eid BIGINT, song BIGINT{d}")
-        r = "".join(f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" for k in range(self.n))
-        self.meta = handle.getValueState("meta", f"start BIGINT, last BIGINT, songs BIGINT{r}, timer BIGINT, min_pending BIGINT")
-
-    def _unpack(self):
-        m = self.meta.get()
-        if m is None:
-            return None, None, None
-        m = list(m)
-        sess = m[: 3 + 3 * self.n] if m[0] is not None else None
-        return sess, m[-2], m[-1]
-
-    def _save(self, sess, timer, min_pending) -> None:
-        if sess is None and timer is None:
-            self.meta.clear()
+        runs = "".join(f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" for k in range(self.n))
+        self.state = handle.getValueState(
+            "st",
+            f"start BIGINT, last BIGINT, songs BIGINT{runs}, timer BIGINT, "
+            "p_ts BINARY, p_eid BINARY, p_song BINARY, p_delim BINARY",
+        )
+
+    def _load(self):
+        v = self.state.get()
+        if v is None:
+            empty = np.empty(0, dtype=np.int64)
+            return None, None, empty, empty, empty, np.empty((self.n, 0), dtype=bool)
+        v = list(v)
+        sess = v[: self.width] if v[0] is not None else None
+        timer = v[self.width]
+        ts, eid, song = (np.frombuffer(b, dtype=np.int64) for b in v[self.width + 1 : self.width + 4])
+        delim = np.frombuffer(v[self.width + 4], dtype=bool).reshape(self.n, len(ts))
+        return sess, timer, ts, eid, song, delim
+
+    def _save(self, sess, timer, ts, eid, song, delim) -> None:
+        if sess is None and len(ts) == 0:
+            self.state.clear()
             return
-        body = list(sess) if sess is not None else [None] * (3 + 3 * self.n)
-        self.meta.update(tuple(body + [timer, min_pending]))
+        body = list(sess) if sess is not None else [None] * self.width
+        self.state.update(
+            tuple(body + [timer, ts.tobytes(), eid.tobytes(), song.tobytes(), np.ascontiguousarray(delim).tobytes()])
+        )
 
-    def _rearm(self, armed, sess, min_pending):
-        times = [t for t in (min_pending, sess[1] + self.gap if sess is not None else None) if t is not None]
+    def _rearm(self, armed, sess, ts) -> int | None:
+        times = ([int(ts.min())] if len(ts) else []) + ([sess[1] + self.gap] if sess is not None else [])
         want = min(times) if times else None
         if want != armed:
             if armed is not None:
@@ -122,44 +140,42 @@ class IncrementalRunsProcessor(StatefulProcessor):
                 self.handle.registerTimer(want)
         return want
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [
-            (r.ts_ms, r.event_id if r.event_id is not None else 0, int(r.song), *[bool(r[f"_d{k}"]) for k in range(self.n)])
-            for r in rows
-        ]
-        if not new:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        if len(batch) == 0:
             return iter([])
-        self.pending.appendList(new)
-        sess, armed, min_pending = self._unpack()
-        lowest = min(e[0] for e in new)
-        min_pending = lowest if min_pending is None else min(min_pending, lowest)
-        timer = self._rearm(armed, sess, min_pending)
-        if timer != armed or lowest == min_pending:
-            self._save(sess, timer, min_pending)
+        sess, armed, ts, eid, song, delim = self._load()
+        ts = np.concatenate([ts, batch["ts_ms"].to_numpy(dtype=np.int64)])
+        eid = np.concatenate([eid, batch["event_id"].fillna(0).to_numpy(dtype=np.int64)])
+        song = np.concatenate([song, batch["song"].to_numpy(dtype=np.int64)])
+        new_delim = np.vstack([batch[f"delim_{k}"].to_numpy(dtype=bool) for k in range(self.n)]) if self.n else np.empty((0, len(batch)), bool)
+        delim = np.concatenate([delim, new_delim], axis=1)
+        timer = self._rearm(armed, sess, ts)
+        self._save(sess, timer, ts, eid, song, delim)
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        sess, armed, _ = self._unpack()
+        sess, armed, ts, eid, song, delim = self._load()
         if armed == expiredTimerInfo.getExpiryTimeInMs():
             armed = None  # this timer has fired and is gone
-        pending = sorted(tuple(p) for p in self.pending.get())
-        due = [p for p in pending if p[0] <= wm]
-        keep = pending[len(due):]
-        sess, out = self.folder.fold(sess, due, self.names)
+        order = np.lexsort((eid, ts))
+        ts, eid, song, delim = ts[order], eid[order], song[order], delim[:, order]
+        n_due = int(np.searchsorted(ts, wm, side="right"))
+        sess, out = fold_arrays(
+            sess, ts[:n_due], song[:n_due], [delim[k, :n_due] for k in range(self.n)], self.names, self.gap, self.touching
+        )
         if sess is not None and sess[1] + self.gap <= wm:
-            self.folder.close(sess, out, self.names)
+            _close_session(sess, self.names, out)
             sess = None
-        if due:
-            if keep:
-                self.pending.put(keep)
-            else:
-                self.pending.clear()
-        min_pending = keep[0][0] if keep else None
-        timer = self._rearm(armed, sess, min_pending)
-        self._save(sess, timer, min_pending)
-        user = key[0]
-        return iter([Row(kind=k, user_id=user, session_start_ms=s, start_ms=a, end_ms=b, songs=n) for k, s, a, b, n in out])
+        ts, eid, song, delim = ts[n_due:], eid[n_due:], song[n_due:], delim[:, n_due:]
+        timer = self._rearm(armed, sess, ts)
+        self._save(sess, timer, ts, eid, song, delim)
+        cols = out.columns()
+        if len(cols["kind"]) == 0:
+            return iter([])
+        frame = pd.DataFrame({"kind": cols["kind"], "user_id": key[0], **{c: cols[c] for c in COLUMNS[1:]}})
+        return iter([frame])
 
     def close(self) -> None:
         pass
@@ -184,10 +200,10 @@ def stream_sessions_and_runs(
         "ts_ms",
         "event_id",
         song_flag().alias("song"),
-        *[F.coalesce(pred, F.lit(False)).alias(f"_d{k}") for k, pred in enumerate(delimiters.values())],
+        *[F.coalesce(pred, F.lit(False)).alias(f"delim_{k}") for k, pred in enumerate(delimiters.values())],
         EVENT_TIME,
     )
-    return ev.groupBy("user_id").transformWithState(
+    return ev.groupBy("user_id").transformWithStateInPandas(
         IncrementalRunsProcessor(gap_ms, names, merge_touching), OUT_SCHEMA, "Append", "EventTime"
     )
 
