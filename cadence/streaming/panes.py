@@ -20,7 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cadence.session import ship_package
@@ -36,16 +38,11 @@ def _first_fire(ts: int, interval: int) -> int:
     return ts - ts % interval + interval  # Python % is a floor modulo (pmod)
 
 
-def merge_event(sessions: list[list[int]], ts: int, song: int, gap: int, interval: int) -> list[list[int]]:
-    """Insert one event into the live sessions, merging every session it touches."""
-    merged = [ts, ts, song, _first_fire(ts, interval)]
-    keep = []
-    for s in sessions:
-        if ts <= s[1] + gap and s[0] <= ts + gap:
-            merged = [min(merged[0], s[0]), max(merged[1], s[1]), merged[2] + s[2], min(merged[3], s[3])]
-        else:
-            keep.append(s)
-    # A grown session may now touch others: merge until stable.
+def merge_interval(sessions: list[list[int]], new: list[int], gap: int) -> list[list[int]]:
+    """Insert one interval ``[start, last, songs, next_fire]`` into the live sessions,
+    merging every session it touches (transitively)."""
+    merged = list(new)
+    keep = list(sessions)
     changed = True
     while changed:
         changed = False
@@ -62,19 +59,48 @@ def merge_event(sessions: list[list[int]], ts: int, song: int, gap: int, interva
     return keep
 
 
+def merge_event(sessions: list[list[int]], ts: int, song: int, gap: int, interval: int) -> list[list[int]]:
+    """Insert one event (an interval of one point)."""
+    return merge_interval(sessions, [ts, ts, song, _first_fire(ts, interval)], gap)
+
+
+def merge_batch(sessions: list[list[int]], ts: np.ndarray, song: np.ndarray, gap: int, interval: int) -> list[list[int]]:
+    """Insert a batch: group its sorted events by gaps (vectorized), then merge the
+    few resulting intervals.  Touching intervals are exactly the sessions that
+    inserting the events one by one would merge."""
+    if len(ts) == 0:
+        return sessions
+    order = np.argsort(ts, kind="stable")
+    ts, song = np.asarray(ts, dtype=np.int64)[order], np.asarray(song, dtype=np.int64)[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(ts) > gap])
+    lasts = np.append(starts[1:], len(ts)) - 1
+    songs = np.add.reduceat(song, starts)
+    for a, b, n in zip(ts[starts].tolist(), ts[lasts].tolist(), songs.tolist()):
+        sessions = merge_interval(sessions, [a, b, n, _first_fire(a, interval)], gap)
+    return sessions
+
+
 def due_panes(user: str, sessions: list[list[int]], watermark: int, gap: int, interval: int):
-    """Emit every pane due at ``watermark``; return (rows, sessions still live)."""
-    rows, live = [], []
+    """Every pane due at ``watermark`` as columns; return (columns, sessions still live)."""
+    cols: dict[str, list] = {c: [] for c in ("start_ms", "end_ms", "pane_ms", "songs", "is_final")}
+    live = []
     for start, last, songs, nxt in sessions:
         final = last + gap - 1
-        while nxt <= watermark and nxt < final:
-            rows.append((user, start, last + gap, nxt, songs, False))
-            nxt += interval
+        stop = min(watermark, final - 1)  # periodic fires strictly before the final one
+        fires = np.arange(nxt, stop + 1, interval, dtype=np.int64) if nxt <= stop else np.empty(0, np.int64)
+        n = len(fires)
+        cols["start_ms"] += [start] * n
+        cols["end_ms"] += [last + gap] * n
+        cols["pane_ms"] += fires.tolist()
+        cols["songs"] += [songs] * n
+        cols["is_final"] += [False] * n
+        nxt = nxt + n * interval
         if final <= watermark:
-            rows.append((user, start, last + gap, final, songs, True))
+            for c, v in zip(cols, (start, last + gap, final, songs, True)):
+                cols[c].append(v)
         else:
             live.append([start, last, songs, nxt])
-    return rows, live
+    return cols, live
 
 
 def next_timer(sessions: list[list[int]], gap: int) -> int | None:
@@ -83,6 +109,8 @@ def next_timer(sessions: list[list[int]], gap: int) -> int | None:
 
 
 class EarlyPanesProcessor(StatefulProcessor):
+    """Arrow-batched (``transformWithStateInPandas``) early-pane operator."""
+
     def __init__(self, gap_ms: int, interval_ms: int):
         self.gap = gap_ms
         self.interval = interval_ms
@@ -103,18 +131,22 @@ class EarlyPanesProcessor(StatefulProcessor):
         else:
             self.state.clear()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        sessions = self._load()
-        for r in sorted(rows, key=lambda r: (r.ts_ms, r.event_id if r.event_id is not None else 0)):
-            sessions = merge_event(sessions, r.ts_ms, int(r.song), self.gap, self.interval)
-        self._store(sessions)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        if len(batch):
+            sessions = merge_batch(
+                self._load(), batch["ts_ms"].to_numpy(), batch["song"].to_numpy(), self.gap, self.interval
+            )
+            self._store(sessions)
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        rows, live = due_panes(key[0], self._load(), watermark, self.gap, self.interval)
+        cols, live = due_panes(key[0], self._load(), watermark, self.gap, self.interval)
         self._store(live)
-        return iter([Row(user_id=u, start_ms=s, end_ms=e, pane_ms=p, songs=n, is_final=f) for u, s, e, p, n, f in rows])
+        if not cols["pane_ms"]:
+            return iter([])
+        return iter([pd.DataFrame({"user_id": key[0], **cols})])
 
     def close(self) -> None:
         pass
@@ -131,9 +163,9 @@ def stream_early_panes(events: DataFrame, gap_ms: int, interval_ms: int, *, wate
     ev = with_event_time(events, watermark_delay_ms).select(
         "user_id", "ts_ms", "event_id", song_flag().alias("song"), EVENT_TIME
     )
-    return ev.groupBy("user_id").transformWithState(
+    return ev.groupBy("user_id").transformWithStateInPandas(
         EarlyPanesProcessor(gap_ms, interval_ms), PANE_SCHEMA, "Append", "EventTime"
     )
 
 
-__all__ = ["stream_early_panes", "EarlyPanesProcessor", "merge_event", "due_panes"]
+__all__ = ["stream_early_panes", "EarlyPanesProcessor", "merge_batch", "merge_event", "merge_interval", "due_panes"]

@@ -66,10 +66,30 @@ def test_merge_event_logic():
 
 
 def test_due_panes_logic():
-    rows, live = due_panes("u", [[1_000, 3_000, 2, 5_000]], 12_000, 20_000, 5_000)
-    assert [r[3] for r in rows] == [5_000, 10_000] and live == [[1_000, 3_000, 2, 15_000]]
-    rows, live = due_panes("u", live, 30_000, 20_000, 5_000)
-    assert [(r[3], r[5]) for r in rows] == [(15_000, False), (20_000, False), (22_999, True)] and live == []
+    cols, live = due_panes("u", [[1_000, 3_000, 2, 5_000]], 12_000, 20_000, 5_000)
+    assert cols["pane_ms"] == [5_000, 10_000] and live == [[1_000, 3_000, 2, 15_000]]
+    cols, live = due_panes("u", live, 30_000, 20_000, 5_000)
+    assert list(zip(cols["pane_ms"], cols["is_final"])) == [(15_000, False), (20_000, False), (22_999, True)]
+    assert live == []
+
+
+def test_merge_batch_equals_one_by_one():
+    import random
+
+    import numpy as np
+
+    from cadence.streaming.panes import merge_batch
+
+    rnd = random.Random(7)
+    for _ in range(200):
+        sessions_a = sessions_b = []
+        for _ in range(rnd.randrange(1, 5)):  # several batches, out of order
+            ts = [rnd.randrange(300_000) for _ in range(rnd.randrange(1, 15))]
+            song = [rnd.randrange(2) for _ in ts]
+            for t, s_ in zip(ts, song):
+                sessions_a = merge_event(sessions_a, t, s_, 20_000, 5_000)
+            sessions_b = merge_batch(sessions_b, np.array(ts), np.array(song), 20_000, 5_000)
+            assert sessions_a == sessions_b
 
 
 def test_stateful_panes_stream(spark, make_events):
