@@ -1,4 +1,4 @@
-"""Early, cumulative session panes on a stream: ``transformWithState`` + event-time timers.
+"""Early, cumulative session panes on a stream: ``transformWithStateInPandas`` + event-time timers.
 
 Per user the state is the list of live sessions ``(start, last, songs, next_fire)``;
 out-of-order input can keep several open at once.  On input, each event opens

@@ -1,4 +1,4 @@
-"""Sessions and runs on a stream with bounded state: ``transformWithState``.
+"""Sessions and runs on a stream with bounded state: ``transformWithStateInPandas``.
 
 The ``session_window`` path buffers every open session's events until it closes.
 This operator keeps, per user, only
