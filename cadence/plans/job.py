@@ -12,11 +12,9 @@ results are written, ``materialize=True`` cuts the lineage with ``checkpoint()``
 (the shared ``spark.checkpoint.dir``) so the event shuffle runs once.
 
 Streaming: one stateful query serves all three closed-session analyses (written
-per micro-batch with ``foreachBatch``, idempotently per batch id).  By default it
-is the bounded-state ``transformWithState`` operator (state: events not yet behind
-the watermark plus one open session per user); ``bounded_state=False`` uses the
-all-JVM ``session_window`` aggregation, which buffers each open session's events.
-Early panes are a second query with ``transformWithState``.
+per micro-batch with ``foreachBatch``, idempotently per batch id): the bounded-state
+operator of ``cadence.streaming.runs`` (state: events not yet behind the watermark
+plus one open session per user).  Early panes are a second stateful query.
 """
 
 from __future__ import annotations
@@ -34,7 +32,6 @@ from cadence.operators.sessions import runs_from, session_stats_from, sessionize
 from cadence.options import JobOptions
 from cadence.session import checkpoint_root
 from cadence.streaming import runs as SR
-from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
 from cadence.streaming.sinks import start_sink
 
@@ -131,7 +128,6 @@ def start_streaming_job(
     dialect: str = "window",
     watermark_delay_ms: int = 0,
     available_now: bool = False,
-    bounded_state: bool = True,
     late_events_output: str | None = None,
     late_events_mode: str = "punctuated",
 ) -> list[StreamingQuery]:
@@ -146,7 +142,7 @@ def start_streaming_job(
         import hashlib
 
         identity = repr((events._jdf.queryExecution().logical().toString(), sink_fmt, sorted(sink_options.items()),
-                         output_root, options, dialect, watermark_delay_ms, bounded_state))
+                         output_root, options, dialect, watermark_delay_ms))
         job_id = hashlib.sha256(identity.encode()).hexdigest()[:16]
     ck = checkpoint_dir or os.path.join(checkpoint_root(spark), f"cadence-job-{job_id}")
     targets = (
@@ -158,17 +154,15 @@ def start_streaming_job(
     want_closed = options.discover_weekly or options.subsession_stats or (options.session_stats and not options.early_panes)
     if want_closed:
         delimiters = {DW: not_discover_weekly(), LISTEN: is_search()}
-        if bounded_state:
-            sessions = SR.stream_sessions_and_runs(
-                events, options.gap_ms, delimiters, watermark_delay_ms=watermark_delay_ms,
-                merge_touching=options.merge_touching,
-            )
-            stats_of = lambda b: SR.sessions_of(b, options.gap_ms, options.duration)
-            runs_of = SR.runs_of
-        else:
-            sessions = SS.closed_sessions(events, options.gap_ms, delimiters=delimiters, watermark_delay_ms=watermark_delay_ms)
-            stats_of = lambda b: SS.stats_of_sessions(b, options.gap_ms, options.duration)
-            runs_of = SS.runs_of_sessions
+        sessions = SR.stream_sessions_and_runs(
+            events, options.gap_ms, delimiters, watermark_delay_ms=watermark_delay_ms,
+            merge_touching=options.merge_touching,
+        )
+
+        def stats_of(b: DataFrame) -> DataFrame:
+            return SR.sessions_of(b, options.gap_ms, options.duration)
+
+        runs_of = SR.runs_of
 
         def per_batch(batch: DataFrame, batch_id: int) -> None:
             results: dict[str, DataFrame] = {}

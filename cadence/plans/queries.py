@@ -190,19 +190,22 @@ def q_generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.to_wire(G.generate_from_seeds(seeds, "event_id"))
 
 
+# The three queries below replay the table in event-time order (five time ranges, one
+# micro-batch each, watermark delay 0): sessions close as the watermark advances.
 def q_stream_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session stats from Spark's own session windows (all JVM)."""
     op = lambda s, delay: SS.stream_session_stats(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
-    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-sessions")
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-sessions", in_order=True)
 
 
 def q_stream_discover_weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    op = lambda s, delay: SS.stream_discover_weekly_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
-    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-dw")
+    op = lambda s, delay: SR.stream_discover_weekly_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-dw", in_order=True)
 
 
 def q_stream_listening_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    op = lambda s, delay: SS.stream_listening_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
-    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-listening")
+    op = lambda s, delay: SR.stream_listening_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-listening", in_order=True)
 
 
 def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +218,7 @@ def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# These replay the table in any file order with a watermark delay of the whole span.
 def _incremental(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     op = lambda s, delay: SR.stream_sessions_and_runs(
         s, DRIVER_GAP_MS, SR.default_delimiters(), watermark_delay_ms=delay

@@ -51,32 +51,57 @@ def replay(
     *,
     n_files: int = 5,
     label: str = "replay",
+    in_order: bool = False,
 ) -> DataFrame:
     """Run ``operator(stream, watermark_delay_ms)`` over ``events`` as a stream; return
-    the sink's rows (sentinel user removed) as a batch DataFrame."""
+    the sink's rows (sentinel user removed) as a batch DataFrame.
+
+    ``in_order=False``: files in any order, one micro-batch each, watermark delay =
+    the data's time span (nothing can be late; sessions close at the sentinels).
+    ``in_order=True``: ``n_files`` consecutive event-time ranges, each written and
+    processed as one micro-batch before the next is written, watermark delay 0, so
+    the watermark advances and sessions close progressively, as on a live stream."""
     root = scratch_path(spark, label)
     inp, out, ckpt = (os.path.join(root, d) for d in ("input", "output", "checkpoint"))
 
     span = events.agg(F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi")).first()
-    delay = int(span["hi"] - span["lo"]) + gap_ms + 1 if span["hi"] is not None else 0
-
-    codec.encode(events).repartition(n_files).write.mode("append").parquet(inp)
+    if in_order:
+        delay = 0
+        options: dict[str, str] = {}  # a whole range per micro-batch
+    else:
+        delay = int(span["hi"] - span["lo"]) + gap_ms + 1 if span["hi"] is not None else 0
+        options = {"maxFilesPerTrigger": "1"}
 
-    stream = read_event_stream(spark, "parquet", path=inp, options={"maxFilesPerTrigger": "1"})
-    result = operator(stream, delay)
+    built: list[DataFrame] = []
 
     def run() -> None:
-        q = start_sink(result, "parquet", ckpt, path=out, available_now=True)
+        if not built:  # the source folder must exist first: build after the first write
+            built.append(operator(read_event_stream(spark, "parquet", path=inp, options=options), delay))
+        q = start_sink(built[0], "parquet", ckpt, path=out, available_now=True)
         q.awaitTermination()
         if q.exception():
             raise q.exception()
 
-    run()
+    if in_order and span["hi"] is not None:
+        wire = codec.encode(events, keep=("event_id", "ts_ms"))
+        # Range boundaries from quantiles of event time; each range is its own run.
+        cuts = events.approxQuantile("ts_ms", [k / n_files for k in range(1, n_files)], 0.001)
+        edges = [span["lo"]] + sorted({int(c) for c in cuts if span["lo"] < c <= span["hi"]}) + [span["hi"] + 1]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            chunk = wire.filter((F.col("ts_ms") >= F.lit(lo)) & (F.col("ts_ms") < F.lit(hi))).drop("ts_ms")
+            chunk.write.mode("append").parquet(inp)
+            run()
+    else:
+        codec.encode(events).repartition(n_files).write.mode("append").parquet(inp)
+        run()
     # Two sentinel files, one micro-batch each: the first moves the watermark past every
     # session, the second guarantees a later batch that emits them.  Their order does
     # not matter (a sentinel behind the watermark is dropped and the other still moves
-    # it), so both go into one run, after the run that read all the data.
+    # it).  With one file per batch both go into one run; otherwise one run each.
     for k in (1, 2):
         _sentinel(events, k * (delay + 2 * gap_ms + 1)).coalesce(1).write.mode("append").parquet(inp)
-    run()
+        if in_order:
+            run()
+    if not in_order:
+        run()
     return spark.read.parquet(out).filter(F.col("user_id") != F.lit(SENTINEL_USER))

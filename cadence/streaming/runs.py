@@ -1,7 +1,7 @@
 """Sessions and runs on a stream with bounded state: ``transformWithStateInPandas``.
 
-The ``session_window`` path buffers every open session's events until it closes.
-This operator keeps, per user, only
+Runs need each session's events in order.  Instead of buffering whole sessions,
+this operator keeps, per user, only
 
 * the events not yet behind the watermark (``pending``): a late-row filter drops
   anything at or below the previous watermark, so once the watermark passes an
@@ -234,3 +234,17 @@ def runs_of(tagged: DataFrame, name: str) -> DataFrame:
 
 def default_delimiters() -> dict[str, Column]:
     return {"dw": not_discover_weekly(), "listen": is_search()}
+
+
+def stream_split_runs(events: DataFrame, gap_ms: int, delimiter: Column, *, watermark_delay_ms: int = 0) -> DataFrame:
+    """Runs split at ``delimiter``: ``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)``."""
+    tagged = stream_sessions_and_runs(events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms)
+    return runs_of(tagged, "split")
+
+
+def stream_discover_weekly_runs(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
+    return stream_split_runs(events, gap_ms, not_discover_weekly(), watermark_delay_ms=watermark_delay_ms)
+
+
+def stream_listening_runs(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
+    return stream_split_runs(events, gap_ms, is_search(), watermark_delay_ms=watermark_delay_ms)

@@ -1,14 +1,10 @@
-"""Session stats and runs on streams: event-time session windows, append mode.
+"""Session stats on streams with Spark's own session windows (all JVM, append mode).
 
 One ``session_window`` aggregation per user closes each session once the
-watermark passes its end (last event + gap) and emits it with its events sorted
-by ``(ts, event_id)``.  Session stats and every kind of run are then plain
-projections of that closed-session row, so a job computing all three analyses
-keeps one state store and reads its source once.
-
-Runs are found in O(n) per session with array functions (no Python): a song at
-index k opens a run when k = 0 or event k-1 is a delimiter, and closes one when k
-is last or event k+1 is a delimiter; the i-th opener pairs with the i-th closer.
+watermark passes its end (last event + gap).  Its state per open session is three
+aggregates, so it stays bounded however long a session runs.  Runs need the
+events in order and come from the bounded-state operator in
+``cadence.streaming.runs``.
 
 Late events (their own window ``[ts, ts + gap)`` already behind the watermark)
 are dropped, as in the reference, which has no allowed lateness.
@@ -16,10 +12,10 @@ are dropped, as in the reference, which has no allowed lateness.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
+from cadence.functions.predicates import floor_div, song_flag
 
 EVENT_TIME = "_event_time"
 
@@ -34,32 +30,18 @@ def with_event_time(events: DataFrame, watermark_delay_ms: int = 0) -> DataFrame
     )
 
 
-def closed_sessions(
-    events: DataFrame,
-    gap_ms: int,
-    *,
-    delimiters: dict[str, Column] | None = None,
-    watermark_delay_ms: int = 0,
-) -> DataFrame:
-    """One row per closed session: ``user_id, start_ms, last_ms, songs`` and, when
-    delimiters are given, ``evs``: the session's events sorted, with one delimiter
-    flag per name."""
-    delimiters = delimiters or {}
+def closed_sessions(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
+    """One row per closed session: ``user_id, start_ms, last_ms, songs``.
+
+    The state per open session is three aggregates (min, max, sum), whatever the
+    session's length."""
     ev = with_event_time(events, watermark_delay_ms)
-    aggs = [
+    grouped = ev.groupBy(F.col("user_id"), F.session_window(F.col(EVENT_TIME), interval_literal(gap_ms)).alias("sw"))
+    return grouped.agg(
         F.min("ts_ms").alias("start_ms"),
         F.max("ts_ms").alias("last_ms"),
         F.sum(song_flag()).cast("bigint").alias("songs"),
-    ]
-    if delimiters:
-        item = F.struct(
-            F.col("ts_ms").alias("t"),
-            F.col("event_id").alias("i"),
-            *[F.coalesce(pred, F.lit(False)).alias(name) for name, pred in delimiters.items()],
-        )
-        aggs.append(F.sort_array(F.collect_list(item)).alias("evs"))
-    grouped = ev.groupBy(F.col("user_id"), F.session_window(F.col(EVENT_TIME), interval_literal(gap_ms)).alias("sw"))
-    return grouped.agg(*aggs).drop("sw")
+    ).drop("sw")
 
 
 def stats_of_sessions(sessions: DataFrame, gap_ms: int, duration: str = "window") -> DataFrame:
@@ -73,49 +55,5 @@ def stats_of_sessions(sessions: DataFrame, gap_ms: int, duration: str = "window"
     )
 
 
-def runs_of_sessions(sessions: DataFrame, name: str) -> DataFrame:
-    """``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)`` per run."""
-    evs = F.col("evs")
-    n = F.size(evs)
-    idx = F.sequence(F.lit(0), n - F.lit(1))
-
-    def delim(k: Column) -> Column:
-        return evs[k][name]
-
-    opens = F.filter(idx, lambda k: ~delim(k) & F.when(k == 0, F.lit(True)).otherwise(delim(k - 1)))
-    closes = F.filter(idx, lambda k: ~delim(k) & F.when(k == n - 1, F.lit(True)).otherwise(delim(k + 1)))
-    runs = F.zip_with(
-        opens,
-        closes,
-        lambda o, c: F.struct(
-            evs[o]["t"].alias("start_ms"),
-            evs[c]["t"].alias("end_ms"),
-            (c - o + F.lit(1)).cast("bigint").alias("songs"),
-        ),
-    )
-    out = sessions.select("user_id", F.col("start_ms").alias("session_start_ms"), F.explode(runs).alias("r"))
-    return out.select(
-        "user_id",
-        "session_start_ms",
-        F.col("r.start_ms").alias("start_ms"),
-        F.col("r.end_ms").alias("end_ms"),
-        floor_div(F.col("r.end_ms") - F.col("r.start_ms"), 1000).alias("length_s"),
-        F.col("r.songs").alias("songs"),
-    )
-
-
 def stream_session_stats(events: DataFrame, gap_ms: int, *, duration: str = "window", watermark_delay_ms: int = 0) -> DataFrame:
     return stats_of_sessions(closed_sessions(events, gap_ms, watermark_delay_ms=watermark_delay_ms), gap_ms, duration)
-
-
-def stream_split_runs(events: DataFrame, gap_ms: int, delimiter: Column, *, watermark_delay_ms: int = 0) -> DataFrame:
-    sessions = closed_sessions(events, gap_ms, delimiters={"split": delimiter}, watermark_delay_ms=watermark_delay_ms)
-    return runs_of_sessions(sessions, "split")
-
-
-def stream_discover_weekly_runs(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
-    return stream_split_runs(events, gap_ms, not_discover_weekly(), watermark_delay_ms=watermark_delay_ms)
-
-
-def stream_listening_runs(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
-    return stream_split_runs(events, gap_ms, is_search(), watermark_delay_ms=watermark_delay_ms)

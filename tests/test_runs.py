@@ -1,12 +1,13 @@
 """Run splitting: the reference's four cases, on the batch and the stream path."""
 
+import numpy as np
 import pytest
 from conftest import search, song
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import is_search, not_discover_weekly
 from cadence.operators.sessions import discover_weekly_runs, listening_runs, split_runs
-from cadence.streaming.sessions import closed_sessions, runs_of_sessions
+from cadence.streaming.fold import fold_arrays
 
 GAP = 20_000
 
@@ -37,12 +38,23 @@ def test_reference_cases_batch(make_events, case):
     assert all(r.user_id == "1" and r.length_s == 0 for r in got)
 
 
+def stream_fold_runs(rows):
+    """Runs from the streaming operator's fold (rows already in (ts, event_id) order)."""
+    rows = sorted(rows, key=lambda r: (r[2], r[0]))
+    ts = np.array([r[2] for r in rows])
+    song = np.array([int(r[3] == "SongEvent") for r in rows])
+    delim = np.array([r[3] == "SearchEvent" for r in rows])
+    sess, out = fold_arrays(None, ts, song, [delim], ["split"], GAP)
+    closed = out.tuples()
+    if sess is not None and sess[3] is not None:  # the run still open at the end
+        closed.append(("split", sess[0], sess[3], sess[4], sess[5]))
+    return [r for r in closed if r[0] == "split"]
+
+
 @pytest.mark.parametrize("case", sorted(CASES))
-def test_reference_cases_stream_fold(make_events, case):
+def test_reference_cases_stream_fold(case):
     rows, expected = CASES[case]
-    sessions = closed_sessions(make_events(rows), GAP, delimiters={"split": is_search()})
-    got = runs_of_sessions(sessions, "split").collect()
-    assert sorted(r.songs for r in got) == sorted(expected)
+    assert sorted(r[4] for r in stream_fold_runs(rows)) == sorted(expected)
 
 
 def test_run_members_in_order(make_events):
@@ -72,10 +84,7 @@ def test_island_fold_seconds(make_events):
     rows = [song(1000, 1), song(2000, 2), search(3000, 3), song(4000, 4), search(5000, 5), search(6000, 6), song(7000, 7)]
     ev = make_events(rows)
     batch = sorted((r.songs, r.length_s) for r in listening_runs(ev, GAP).collect())
-    fold = sorted(
-        (r.songs, r.length_s)
-        for r in runs_of_sessions(closed_sessions(ev, GAP, delimiters={"l": is_search()}), "l").collect()
-    )
+    fold = sorted((r[4], (r[3] - r[2]) // 1000) for r in stream_fold_runs(rows))
     assert batch == fold == [(1, 0), (1, 0), (2, 1)]
 
 

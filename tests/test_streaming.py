@@ -44,7 +44,9 @@ def test_late_event_dropped(spark):
 
 def test_island_fold_through_stream(spark, make_events):
     rows = [song(1000, 1), song(2000, 2), search(3000, 3), song(4000, 4), search(5000, 5), search(6000, 6), song(7000, 7)]
-    out = replay(spark, make_events(rows), lambda s, d: SS.stream_listening_runs(s, 20_000, watermark_delay_ms=d), 20_000)
+    from cadence.streaming.runs import stream_listening_runs
+
+    out = replay(spark, make_events(rows), lambda s, d: stream_listening_runs(s, 20_000, watermark_delay_ms=d), 20_000)
     assert sorted((r.songs, r.length_s) for r in out.collect()) == [(1, 0), (1, 0), (2, 1)]
 
 
