@@ -5,8 +5,8 @@
                                [--no-discover-weekly] [--no-subsession-stats] [--no-session-stats]
                                [--dialect window|span] [--watermark-delay 0]
 
-``analyze --dialect window`` prints/writes what the Flink job does (session panes with
-instants, run counts); ``--dialect span`` what the Beam job writes (durations without
+``analyze --dialect window`` writes the window-dialect results (session panes with
+instants, run counts); ``--dialect span`` the span-dialect results (durations without
 the gap, run lengths) to the three result topics.  ``--source-format``/``--sink-format``
 switch Kafka for files (parquet) or the console.
 """

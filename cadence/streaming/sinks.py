@@ -1,7 +1,7 @@
 """Streaming sinks: one query per result, each with its own checkpoint.
 
 * ``kafka``: a ``value`` column to a topic (result messages, or generated events);
-* ``console``: print (the reference prints its Flink results);
+* ``console``: print (the reference prints one of its result sets);
 * ``parquet`` / ``text``: files, for replay and tests;
 * ``memory``: in-process table (tests only).
 """
