@@ -30,13 +30,19 @@ def with_event_time(events: DataFrame, watermark_delay_ms: int = 0) -> DataFrame
     )
 
 
-def closed_sessions(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
+def closed_sessions(
+    events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0, merge_touching: bool = True
+) -> DataFrame:
     """One row per closed session: ``user_id, start_ms, last_ms, songs``.
 
     The state per open session is three aggregates (min, max, sum), whatever the
-    session's length."""
+    session's length.  ``session_window`` merges events exactly one gap apart; the
+    strict reading (``merge_touching=False``) uses a window gap 1 ms shorter, which
+    splits them (times are whole milliseconds; the end is computed from the last
+    event, not from the window)."""
+    window_gap = gap_ms if merge_touching else gap_ms - 1
     ev = with_event_time(events, watermark_delay_ms)
-    grouped = ev.groupBy(F.col("user_id"), F.session_window(F.col(EVENT_TIME), interval_literal(gap_ms)).alias("sw"))
+    grouped = ev.groupBy(F.col("user_id"), F.session_window(F.col(EVENT_TIME), interval_literal(window_gap)).alias("sw"))
     return grouped.agg(
         F.min("ts_ms").alias("start_ms"),
         F.max("ts_ms").alias("last_ms"),
@@ -55,5 +61,13 @@ def stats_of_sessions(sessions: DataFrame, gap_ms: int, duration: str = "window"
     )
 
 
-def stream_session_stats(events: DataFrame, gap_ms: int, *, duration: str = "window", watermark_delay_ms: int = 0) -> DataFrame:
-    return stats_of_sessions(closed_sessions(events, gap_ms, watermark_delay_ms=watermark_delay_ms), gap_ms, duration)
+def stream_session_stats(
+    events: DataFrame,
+    gap_ms: int,
+    *,
+    duration: str = "window",
+    watermark_delay_ms: int = 0,
+    merge_touching: bool = True,
+) -> DataFrame:
+    sessions = closed_sessions(events, gap_ms, watermark_delay_ms=watermark_delay_ms, merge_touching=merge_touching)
+    return stats_of_sessions(sessions, gap_ms, duration)

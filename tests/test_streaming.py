@@ -224,3 +224,14 @@ def test_stateful_panes_fire_as_the_watermark_passes(spark):
     assert got[0] == (5_000, 1, 26_000, False)
     assert got[1] == (10_000, 2, 32_000, False)
     assert got[-1] == (31_999, 2, 32_000, True)
+
+
+def test_stream_strict_gap_equals_batch(spark, make_events):
+    from cadence.operators.sessions import session_stats
+
+    rows = [song(0, 0), song(20_000, 1), search(40_000, 2), song(61_000, 3), song(70_000, 4, user="2"), song(90_000, 5, user="2")]
+    ev = make_events(rows)
+    for touching in (True, False):
+        op = lambda s, d, t=touching: SS.stream_session_stats(s, 20_000, watermark_delay_ms=d, merge_touching=t)
+        got = sorted(tuple(r) for r in replay(spark, ev, op, 20_000).collect())
+        assert got == sorted(tuple(r) for r in session_stats(ev, 20_000, merge_touching=touching).collect()), touching
