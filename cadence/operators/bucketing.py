@@ -1,13 +1,13 @@
 """Ordered buckets: the unit of parallelism for order-dependent operators.
 
-Every order-dependent operator here (session boundaries, run boundaries,
-watermarks, cumulative panes) is evaluated in two levels:
+Order-dependent operators (session and run boundaries when some user is heavy,
+watermark replay over the global arrival order) are evaluated in two levels:
 
 1. *inside a bucket*: a Window partitioned by ``(key, bucket)``, so one hot key is
    spread over as many tasks as it has buckets;
-2. *across buckets*: a per-``(key, bucket)`` summary (one row per bucket, built with
-   map-side partial aggregation) whose running value is carried into the next
-   buckets and joined back on ``(key, bucket)``.
+2. *across buckets*: a per-``(key, bucket)`` summary (one row per bucket) whose
+   running value is carried into the next buckets and joined back on
+   ``(key, bucket)``.
 
 A bucket is a contiguous range of the ordering column.  Two ways to choose it:
 
@@ -31,7 +31,6 @@ from cadence.functions.predicates import floor_div
 
 BUCKET = "_bkt"
 DAY_MS = 86_400_000
-HOUR_MS = 3_600_000
 
 
 @dataclass(frozen=True)
@@ -50,7 +49,8 @@ class Bucketing:
 
 
 FIXED_DAY = Bucketing()
-# Batch default: day buckets, and finer buckets for any key above 2M rows.
+# Batch default: profile rows per key; keys above 2M rows get equal-count buckets,
+# and when no key does, sessions need no buckets at all (one ordered pass per user).
 ADAPTIVE = Bucketing(adaptive=True)
 
 
