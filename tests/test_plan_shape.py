@@ -63,3 +63,16 @@ def test_single_pass_when_no_heavy_user(no_aqe, name):
     # One exchange of the events (on the user alone) and no carry join.
     assert plan.count("Exchange hashpartitioning(user_id#") >= 1
     assert "_bkt" not in plan and "ReusedExchange" not in plan
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+def test_batch_queries_stay_in_the_jvm(no_aqe):
+    import __spark_entry__ as entry
+
+    for name, fn in sorted(entry.queries().items()):
+        if name.startswith("stream_"):
+            continue
+        plan = executed_plan(fn(no_aqe, SF))
+        assert not any(node in plan for node in PYTHON_NODES), name
