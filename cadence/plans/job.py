@@ -165,15 +165,20 @@ def start_streaming_job(
         runs_of = SR.runs_of
 
         def per_batch(batch: DataFrame, batch_id: int) -> None:
-            results: dict[str, DataFrame] = {}
-            if options.session_stats and not options.early_panes:
-                results["session_stats"] = stats_of(batch)
-            if options.discover_weekly:
-                results["discover_weekly"] = runs_of(batch, DW)
-            if options.subsession_stats:
-                results["subsessions"] = runs_of(batch, LISTEN)
-            for name, df in messages(results, dialect).items():
-                _write_batch(df, sink_fmt, targets[name], batch_id, sink_options)
+            # Up to three writes read this micro-batch: compute it once.
+            batch = batch.persist()
+            try:
+                results: dict[str, DataFrame] = {}
+                if options.session_stats and not options.early_panes:
+                    results["session_stats"] = stats_of(batch)
+                if options.discover_weekly:
+                    results["discover_weekly"] = runs_of(batch, DW)
+                if options.subsession_stats:
+                    results["subsessions"] = runs_of(batch, LISTEN)
+                for name, df in messages(results, dialect).items():
+                    _write_batch(df, sink_fmt, targets[name], batch_id, sink_options)
+            finally:
+                batch.unpersist()
 
         w = sessions.writeStream.outputMode("append").option("checkpointLocation", os.path.join(ck, "sessions"))
         w = w.foreachBatch(per_batch)

@@ -51,12 +51,16 @@ def start_late_event_view(
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         note = read_note(spark, _record(wm_folder, batch_id - 1)) if batch_id > 0 else None
         before = json.loads(note)["watermark_ms"] if note else None
-        if before is not None:
-            late = batch.filter(F.col("ts_ms") + F.lit(gap_ms - 1) <= F.lit(before)).withColumn(
-                "watermark_ms", F.lit(before).cast("bigint")
-            )
-            late.write.mode("overwrite").format(fmt).save(os.path.join(output, f"batch={batch_id}"))
-        top = batch.agg(F.max(candidate).alias("m")).first()["m"]
+        batch = batch.persist()  # read twice: the late rows and the new watermark
+        try:
+            if before is not None:
+                late = batch.filter(F.col("ts_ms") + F.lit(gap_ms - 1) <= F.lit(before)).withColumn(
+                    "watermark_ms", F.lit(before).cast("bigint")
+                )
+                late.write.mode("overwrite").format(fmt).save(os.path.join(output, f"batch={batch_id}"))
+            top = batch.agg(F.max(candidate).alias("m")).first()["m"]
+        finally:
+            batch.unpersist()
         after = before if top is None else (int(top) if before is None else max(before, int(top)))
         # Every batch leaves its record (even when unchanged), so the next reads one.
         write_note(spark, _record(wm_folder, batch_id), json.dumps({"watermark_ms": after}))
