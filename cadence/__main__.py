@@ -57,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--checkpoint", default=None, help="checkpoint folder (default: derived from the job)")
     a.add_argument("--late-events-output", default=None, help="folder for the view of late events")
     a.add_argument("--late-events-mode", choices=("punctuated", "max"), default="punctuated")
+    a.add_argument("--batch", action="store_true", help="one-shot batch run over the stored events at --source-path")
     return p
 
 
@@ -102,6 +103,14 @@ def main(argv: list[str] | None = None) -> int:
     from cadence.streaming.sources import read_event_stream
 
     opts = options_from(args)
+    if args.batch:
+        from cadence.functions import codec
+
+        reader = spark.read.schema("event_id BIGINT, value STRING").parquet if args.source_format == "parquet" else None
+        wire = reader(args.source_path) if reader else spark.read.text(args.source_path)
+        events = codec.decode(wire, on_error="fail")
+        job.write_batch_results(events, opts, args.output, dialect=args.dialect)
+        return 0
     events = read_event_stream(spark, args.source_format, path=args.source_path, topic=args.topic, options=kafka)
     queries = job.start_streaming_job(
         spark, events, opts, sink_fmt=args.sink_format, sink_options=kafka if args.sink_format == "kafka" else {},

@@ -255,3 +255,26 @@ def start_generator(
     job_id = hashlib.sha256(repr((fmt, path, topic, sorted((options or {}).items()))).encode()).hexdigest()[:16]
     ck = checkpoint or os.path.join(checkpoint_root(spark), f"cadence-generator-{job_id}")
     return start_sink(wire, fmt, ck, path=path, topic=topic, options=options)
+
+
+def write_batch_results(
+    events: DataFrame,
+    options: JobOptions,
+    output_root: str,
+    *,
+    dialect: str = "window",
+    fmt: str = "parquet",
+    as_messages: bool = True,
+) -> dict[str, str]:
+    """Batch job: every enabled result of ``events`` written under ``output_root``.
+
+    The annotation is cut with ``checkpoint()`` (shared checkpoint dir) so the event
+    shuffle runs once for all results.  Returns result name -> folder."""
+    results = analyze(events, options, materialize=True)
+    frames = messages(results, dialect) if as_messages else results
+    written = {}
+    for name, df in frames.items():
+        path = os.path.join(output_root, name)
+        df.write.mode("overwrite").format(fmt).save(path)
+        written[name] = path
+    return written

@@ -41,3 +41,25 @@ def test_generate_then_analyze_files(tmp_path):
         files = glob.glob(os.path.join(out, name, "batch=*", "*.parquet"))
         values = [v for f in files for v in pq.read_table(f).column("value").to_pylist()]
         assert values and all(v.startswith(prefix) for v in values), name
+
+
+def test_batch_analyze_files(tmp_path):
+    env = dict(os.environ, PYTHONPATH=REPO)
+    events = str(tmp_path / "events")
+    subprocess.run(
+        [sys.executable, "-m", "cadence", "generate", "--count", "200", "--sink-format", "parquet", "--path", events],
+        check=True, env=env, cwd=str(tmp_path), timeout=600, capture_output=True,
+    )
+    out = str(tmp_path / "out")
+    subprocess.run(
+        [sys.executable, "-m", "cadence", "analyze", "--batch", "--source-format", "parquet", "--source-path", events,
+         "--output", out],
+        check=True, env=env, cwd=str(tmp_path), timeout=600, capture_output=True,
+    )
+    import pyarrow.parquet as pq
+
+    panes = pq.read_table(os.path.join(out, "session_panes")).column("value").to_pylist()
+    stats = pq.read_table(os.path.join(out, "session_stats")).column("value").to_pylist()
+    assert stats and all(v.startswith("User: ") for v in stats)
+    assert len(panes) >= len(stats)
+    assert os.path.isdir(os.path.join(out, "discover_weekly")) and os.path.isdir(os.path.join(out, "subsessions"))
