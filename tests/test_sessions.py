@@ -91,3 +91,21 @@ def test_random_against_brute_force(make_events, bucketing, seed):
     assert stats(runs_from(ann, "dw")) == brute.runs(
         rows, GAP, lambda e: e[3] == "SearchEvent" or e[6] != "DiscoverWeekly"
     )
+
+
+@pytest.mark.parametrize("bucketing", BUCKETINGS[1:], ids=["7s", "1ms", "adaptive-heavy", "adaptive-single-pass"])
+def test_negative_times_and_ties(make_events, bucketing):
+    from cadence.operators.panes import early_session_panes
+
+    rnd = random.Random(99)
+    rows = []
+    for eid in range(250):
+        ts = rnd.choice([-90_000, -60_000, -20_000, -1, 0, 1, 20_000]) + rnd.choice([0, 0, 0, rnd.randrange(-5_000, 5_000)])
+        u = f"u{rnd.randrange(3)}"
+        rows.append(search(ts, eid, user=u) if rnd.random() < 0.3 else song(ts, eid, user=u, playlist=rnd.choice(["DiscoverWeekly", "ChillHits"])))
+    ev = make_events(rows)
+    assert stats(session_stats(ev, GAP, bucketing=bucketing)) == brute.session_stats(rows, GAP)
+    ann = sessionize(ev, GAP, delimiters={"l": is_search()}, bucketing=bucketing)
+    assert stats(runs_from(ann, "l")) == brute.runs(rows, GAP, lambda e: e[3] == "SearchEvent")
+    got = sorted(tuple(r) for r in early_session_panes(ev, GAP, 7_000, bucketing=bucketing).collect())
+    assert got == brute.panes(rows, GAP, 7_000)
