@@ -41,6 +41,9 @@ def closed_sessions(
     splits them (times are whole milliseconds; the end is computed from the last
     event, not from the window)."""
     window_gap = gap_ms if merge_touching else gap_ms - 1
+    # Merge each user's sessions inside every input partition before the shuffle
+    # (map-side pre-aggregation): a hot user ships partial sessions, not its rows.
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     ev = with_event_time(events, watermark_delay_ms)
     grouped = ev.groupBy(F.col("user_id"), F.session_window(F.col(EVENT_TIME), interval_literal(window_gap)).alias("sw"))
     return grouped.agg(

@@ -235,3 +235,18 @@ def test_stream_strict_gap_equals_batch(spark, make_events):
         op = lambda s, d, t=touching: SS.stream_session_stats(s, 20_000, watermark_delay_ms=d, merge_touching=t)
         got = sorted(tuple(r) for r in replay(spark, ev, op, 20_000).collect())
         assert got == sorted(tuple(r) for r in session_stats(ev, 20_000, merge_touching=touching).collect()), touching
+
+
+def test_session_window_pre_merges_before_the_shuffle(spark, make_events):
+    root = scratch_path(spark, "sw-plan")
+    inp = os.path.join(root, "in")
+    codec.encode(make_events([song(1_000, 0), song(2_000, 1)])).write.parquet(inp)
+    s = SS.stream_session_stats(read_event_stream(spark, "parquet", path=inp), 20_000)
+    q = s.writeStream.format("memory").queryName("sw_plan_test").outputMode("append").start()
+    try:
+        q.processAllAvailable()
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    finally:
+        q.stop()
+    below_exchange = plan.split("Exchange hashpartitioning(user_id")[1]
+    assert "MergingSessions" in below_exchange
