@@ -93,12 +93,38 @@ def sessionize(
         *[m.alias(name) for name, m in measures.items()],
         *[F.coalesce(pred, F.lit(False)).alias(f"{name}_delim") for name, pred in delimiters.items()],
     )
-    heavy = None
     if bucketing.adaptive:
         heavy = heavy_keys(narrow, [u], t, bucketing)
         if heavy is None:
             # No user exceeds the per-task bound: one ordered pass per user suffices.
             return _single_pass(narrow, gap_ms, delimiters, measures, merge_touching, u, t, i)
+        # Light users take the single ordered pass, heavy users the two-level plan.
+        # The split is a map-side join with the size-checked heavy list, so every event
+        # is still shuffled once, and only heavy users' rows pay for buckets and carry.
+        names = events.sparkSession.createDataFrame([(r[u],) for r in heavy], narrow.select(u).schema)
+        light = narrow.join(F.broadcast(names), on=u, how="left_anti")
+        hot = narrow.join(F.broadcast(names), on=u, how="left_semi")
+        return _single_pass(light, gap_ms, delimiters, measures, merge_touching, u, t, i).unionByName(
+            _two_level(hot, gap_ms, delimiters, measures, merge_touching, bucketing, heavy, u, t, i)
+        )
+    return _two_level(narrow, gap_ms, delimiters, measures, merge_touching, bucketing, None, u, t, i)
+
+
+def _two_level(
+    narrow: DataFrame,
+    gap_ms: int,
+    delimiters: Mapping[str, Column],
+    measures: Mapping[str, Column],
+    merge_touching: bool,
+    bucketing: Bucketing,
+    heavy: list | None,
+    u: str,
+    t: str,
+    i: str,
+) -> DataFrame:
+    """Window per (user, bucket), per-bucket summary carried across a user's buckets,
+    joined back on (user, bucket); see the module doc."""
+    ts = F.col(t)
     df = add_bucket(narrow, [u], t, bucketing, heavy)
     df = df.filter(F.col(BUCKET).isNotNull())
 

@@ -75,13 +75,20 @@ BUCKETINGS = [
     Bucketing(width_ms=1),
     Bucketing(width_ms=86_400_000, adaptive=True, target_rows=10),
     Bucketing(adaptive=True),
+    Bucketing(adaptive=True, target_rows=60),
 ]
+IDS = ["day", "7s", "1ms", "adaptive-heavy", "adaptive-single-pass", "adaptive-mixed"]
 
 
-@pytest.mark.parametrize("bucketing", BUCKETINGS, ids=["day", "7s", "1ms", "adaptive-heavy", "adaptive-single-pass"])
+@pytest.mark.parametrize("bucketing", BUCKETINGS, ids=IDS)
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_against_brute_force(make_events, bucketing, seed):
     rows = random_rows(seed)
+    if bucketing.target_rows == 60:  # the hot user is heavy, the others light
+        counts = {}
+        for r in rows:
+            counts[r[1]] = counts.get(r[1], 0) + 1
+        assert counts["hot"] > 60 and max(c for k, c in counts.items() if k != "hot") <= 60
     ev = make_events(rows)
     for touching in (True, False):
         got = stats(session_stats(ev, GAP, merge_touching=touching, bucketing=bucketing))
@@ -93,7 +100,7 @@ def test_random_against_brute_force(make_events, bucketing, seed):
     )
 
 
-@pytest.mark.parametrize("bucketing", BUCKETINGS[1:], ids=["7s", "1ms", "adaptive-heavy", "adaptive-single-pass"])
+@pytest.mark.parametrize("bucketing", BUCKETINGS[1:], ids=IDS[1:])
 def test_negative_times_and_ties(make_events, bucketing):
     from cadence.operators.panes import early_session_panes
 
