@@ -94,7 +94,8 @@ def sessionize(
         *[F.coalesce(pred, F.lit(False)).alias(f"{name}_delim") for name, pred in delimiters.items()],
     )
     if bucketing.adaptive:
-        heavy = heavy_keys(narrow, [u], t, bucketing)
+        # Profile (user, time) only: cheaper, and shared by every query over these events.
+        heavy = heavy_keys(events.filter(F.col(u).isNotNull() & ts.isNotNull()).select(u, t), [u], t, bucketing)
         if heavy is None:
             # No user exceeds the per-task bound: one ordered pass per user suffices.
             return _single_pass(narrow, gap_ms, delimiters, measures, merge_touching, u, t, i)
