@@ -59,9 +59,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (needed by ``transformWithState``,
-    whose processor objects are unpickled there).  Zips the package once per
-    SparkContext and adds it with ``addPyFile``, Spark's own way of shipping code."""
+    """Make this package importable in Python workers (needed by the stateful
+    processors, whose objects are unpickled there).  Zips the package once per
+    SparkContext and adds it with ``addPyFile``, Spark's own way of shipping code, and
+    puts it on the workers' PYTHONPATH for the driver-side initialization runner."""
     sc = spark.sparkContext
     if getattr(sc, "_cadence_shipped", False):
         return
@@ -79,6 +80,10 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
+    # The driver-side runner that initializes a stateful Python processor does not
+    # read addPyFile includes, only the PYTHONPATH of the function's environment.
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc.environment["PYTHONPATH"] = os.pathsep.join([zpath, *paths])
     sc._cadence_shipped = True
 
 

@@ -63,3 +63,25 @@ def test_batch_analyze_files(tmp_path):
     assert stats and all(v.startswith("User: ") for v in stats)
     assert len(panes) >= len(stats)
     assert os.path.isdir(os.path.join(out, "discover_weekly")) and os.path.isdir(os.path.join(out, "subsessions"))
+
+
+def test_driver_style_run_outside_the_repo(tmp_path):
+    """As the driver runs us: a plain session, another working directory, the repo only
+    on the driver's sys.path.  Stateful stream operators must still reach their workers."""
+    script = tmp_path / "drv.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {REPO!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print('ENTRY', E.entry(spark).count())\n"
+        "for name in ('stream_incremental_listening_runs', 'stream_early_panes_final'):\n"
+        "    print('ROWS', name, E.queries()[name](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, timeout=900, capture_output=True, text=True)
+    assert res.returncode == 0, res.stderr[-3000:]
+    lines = [line for line in res.stdout.splitlines() if line.startswith(("ENTRY", "ROWS"))]
+    assert len(lines) == 3 and all(int(line.split()[-1]) > 0 for line in lines), res.stdout[-2000:]
