@@ -236,15 +236,19 @@ def default_delimiters() -> dict[str, Column]:
     return {"dw": not_discover_weekly(), "listen": is_search()}
 
 
-def stream_split_runs(events: DataFrame, gap_ms: int, delimiter: Column, *, watermark_delay_ms: int = 0) -> DataFrame:
+def stream_split_runs(
+    events: DataFrame, gap_ms: int, delimiter: Column, *, watermark_delay_ms: int = 0, merge_touching: bool = True
+) -> DataFrame:
     """Runs split at ``delimiter``: ``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)``."""
-    tagged = stream_sessions_and_runs(events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms)
+    tagged = stream_sessions_and_runs(
+        events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms, merge_touching=merge_touching
+    )
     return runs_of(tagged, "split")
 
 
-def stream_discover_weekly_runs(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
-    return stream_split_runs(events, gap_ms, not_discover_weekly(), watermark_delay_ms=watermark_delay_ms)
+def stream_discover_weekly_runs(events: DataFrame, gap_ms: int, **kw) -> DataFrame:
+    return stream_split_runs(events, gap_ms, not_discover_weekly(), **kw)
 
 
-def stream_listening_runs(events: DataFrame, gap_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
-    return stream_split_runs(events, gap_ms, is_search(), watermark_delay_ms=watermark_delay_ms)
+def stream_listening_runs(events: DataFrame, gap_ms: int, **kw) -> DataFrame:
+    return stream_split_runs(events, gap_ms, is_search(), **kw)

@@ -250,3 +250,20 @@ def test_session_window_pre_merges_before_the_shuffle(spark, make_events):
         q.stop()
     below_exchange = plan.split("Exchange hashpartitioning(user_id")[1]
     assert "MergingSessions" in below_exchange
+
+
+def test_stream_runs_strict_gap_equals_batch(spark, make_events):
+    # Times start after the epoch: Spark's watermark starts at 0, and the stateful
+    # operator drops rows at or below it.
+    from cadence.functions.predicates import is_search
+    from cadence.operators.sessions import split_runs
+    from cadence.streaming.runs import stream_listening_runs
+
+    t0 = 1_000_000
+    rows = [song(t0, 0), song(t0 + 20_000, 1), search(t0 + 30_000, 2), song(t0 + 40_000, 3), song(t0 + 60_000, 4)]
+    ev = make_events(rows)
+    for touching in (True, False):
+        op = lambda s, d, t=touching: stream_listening_runs(s, 20_000, watermark_delay_ms=d, merge_touching=t)
+        got = sorted(tuple(r) for r in replay(spark, ev, op, 20_000).collect())
+        want = sorted(tuple(r) for r in split_runs(ev, 20_000, is_search(), merge_touching=touching).collect())
+        assert got == want, touching
