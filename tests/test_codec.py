@@ -88,3 +88,18 @@ def test_fail_mode_check_survives_projection(spark):
     df = spark.createDataFrame([(0, '{"type":"X"}')], "event_id long, value string")
     with pytest.raises(PySparkException):
         codec.decode(df, on_error="fail").select(F.lit(1)).collect()
+
+
+@pytest.mark.parametrize(
+    "ms",
+    [0, 1, 999, 1_000, 1_704_067_207_179, 1_709_164_800_000, 1_735_689_599_999, -1, -1_000, 951_782_400_123],
+)
+def test_iso_instant_matches_python(spark, ms):
+    import datetime as dt
+
+    from cadence.functions.messages import iso_instant
+
+    got = spark.createDataFrame([(ms,)], "ms long").select(iso_instant(F.col("ms")).alias("s")).first().s
+    t = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(milliseconds=ms)
+    frac = "" if ms % 1000 == 0 else f".{ms % 1000:03d}"
+    assert got == t.strftime("%Y-%m-%dT%H:%M:%S") + frac + "Z"
