@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from conftest import search, song
 from pyspark.sql import functions as F
 
@@ -114,3 +113,14 @@ def test_text_source_stream(spark):
     q.awaitTermination()
     got = sorted((r.ts_ms, r.type) for r in spark.sql("SELECT * FROM text_src_test").collect())
     assert got == [(1_000, "SongEvent"), (2_000, "SearchEvent"), (3_000, "SongEvent")]
+
+
+def test_write_batch_results_rows(spark):
+    root = scratch_path(spark, "batch-rows")
+    written = job.write_batch_results(
+        load_events(spark, SF), JobOptions(session_gap_s=43_200, early_panes=False), root, as_messages=False
+    )
+    assert set(written) == {"session_stats", "discover_weekly", "subsessions"}
+    got = sorted(tuple(r) for r in spark.read.parquet(written["session_stats"]).select(
+        "user_id", "start_ms", "end_ms", "duration_s", "songs").collect())
+    assert got == rows(q_session_stats_window(spark, SF))
