@@ -82,3 +82,17 @@ def test_batch_queries_stay_in_the_jvm(no_aqe):
             continue
         plan = executed_plan(fn(no_aqe, SF))
         assert not any(node in plan for node in PYTHON_NODES), name
+
+
+@pytest.mark.parametrize("name", ["session_stats_window", "early_session_panes", "listening_runs"])
+def test_one_shuffle_in_the_final_adaptive_plan(spark, name):
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    # Everything after the exchange on the user (windows, per-session or per-run
+    # aggregates, the pane window) is already clustered by the user.
+    assert final.count("Exchange hashpartitioning") == 1, final
+    assert final.count("FileScan parquet") == 1
