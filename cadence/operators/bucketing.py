@@ -44,7 +44,11 @@ class Bucketing:
 
     width_ms: int = DAY_MS
     adaptive: bool = False
+    # 2M rows of the narrow (user, time, tiebreak, flags) projection is roughly
+    # 100 MB: one sort and window per task, well inside executor memory, with spill
+    # to spare.  At 1e12 rows this means at most 500k buckets and quantile cuts.
     target_rows: int = 2_000_000
+    # Broadcast bound of the heavy-key list (a few MB); above it, fixed widths.
     max_heavy_keys: int = 100_000
 
 
