@@ -73,6 +73,12 @@ def replay(
         options = {"maxFilesPerTrigger": "1"}
 
     built: list[DataFrame] = []
+    # A replay streams a table the driver already holds, so its stateful operators
+    # get one state partition per core rather than the session's (possibly large)
+    # shuffle partition count; the number is fixed by the first run of the stream.
+    conf_key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(conf_key)
+    spark.conf.set(conf_key, str(max(1, min(int(previous), spark.sparkContext.defaultParallelism))))
 
     def run() -> None:
         if not built:  # the source folder must exist first: build after the first write
@@ -82,6 +88,15 @@ def replay(
         if q.exception():
             raise q.exception()
 
+    try:
+        _feed(spark, events, inp, run, span, n_files, in_order, delay, gap_ms)
+    finally:
+        spark.conf.set(conf_key, previous)
+    return spark.read.parquet(out).filter(F.col("user_id") != F.lit(SENTINEL_USER))
+
+
+def _feed(spark, events, inp, run, span, n_files, in_order, delay, gap_ms) -> None:
+    """Write the data (and then the sentinels) and run the stream after each step."""
     if in_order and span["hi"] is not None:
         wire = codec.encode(events, keep=("event_id", "ts_ms"))
         # Range boundaries from quantiles of event time; each range is its own run.
@@ -104,4 +119,3 @@ def replay(
             run()
     if not in_order:
         run()
-    return spark.read.parquet(out).filter(F.col("user_id") != F.lit(SENTINEL_USER))
