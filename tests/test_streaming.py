@@ -267,3 +267,13 @@ def test_stream_runs_strict_gap_equals_batch(spark, make_events):
         got = sorted(tuple(r) for r in replay(spark, ev, op, 20_000).collect())
         want = sorted(tuple(r) for r in split_runs(ev, 20_000, is_search(), merge_touching=touching).collect())
         assert got == want, touching
+
+
+def test_replay_restores_shuffle_partitions(spark, make_events):
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        out = replay(spark, make_events([song(5_000, 0), song(6_000, 1)]), lambda s, d: SS.stream_session_stats(s, 20_000, watermark_delay_ms=d), 20_000)
+        assert out.count() == 1
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "37"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
