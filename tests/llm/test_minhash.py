@@ -1,0 +1,96 @@
+import random
+
+import numpy as np
+import pytest
+
+from llm_brute import near_components
+from cadence.llm import minhash, textkit
+from cadence.llm.components import components
+
+SCHEMA = "doc_id long, text string"
+
+
+def result(spark, rows, **more):
+    out = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), **more).collect()
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out), key=str)
+
+
+def test_matches_brute_force_on_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = near_components([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {i: (n, c, c == i) for i, (n, c) in want.items()}
+    assert sum(c != i for i, (_, c) in want.items()) > 20
+
+
+def test_similarities_around_the_threshold(spark):
+    rng, rows = random.Random(5), []
+    for g in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([12, 40, 200, 900]))]
+        for c in range(4):
+            words = list(base)
+            for _ in range(rng.randrange(0, 1 + len(words) // 40)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            rows.append((g * 10 + c, " ".join(words)))
+    want = near_components(rows)
+    assert result(spark, rows) == sorted(((i, n, c, c == i) for i, (n, c) in want.items()), key=str)
+
+
+def test_edges(spark):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (7, "É x"), (8, "é x"), (None, "one two"), (9, "a b c d e f"), (9, "a b c d e f"), (10, "A b c d e f")]
+    assert result(spark, rows) == sorted(
+        [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 1, 6, True), (7, 1, 7, True), (8, 1, 8, True), (None, 1, None, True), (9, 2, 9, True), (9, 2, 9, True), (10, 2, 9, False)], key=str
+    )
+    assert result(spark, []) == []
+
+
+def test_long_text_and_extra_columns(spark):
+    long = " ".join(f"t{i}" for i in range(150_000))
+    df = spark.createDataFrame([(1, long, 5, 7), (2, long + " end", None, 8)], "doc_id long, text string, rep int, band int")
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(df).collect()} == {(1, 1), (2, 1)}
+
+
+def test_bands_miss_at_most_one_pair_in_thirty_thousand_at_the_threshold():
+    """Members that do not link with the bucket's pivot still meet each other (checked below on a chain)."""
+    assert (1 - 0.85**minhash.ROWS) ** minhash.BANDS < 3e-5
+
+
+def test_chain_of_edits_is_one_component(spark):
+    words = [f"c{i}" for i in range(200)]
+    rows = []
+    for step in range(12):
+        words = list(words)
+        words[step * 15 + 3] = f"edit{step}"
+        rows.append((100 - step, " ".join(words)))
+    want = near_components(rows)
+    assert result(spark, rows) == sorted(((i, n, c, c == i) for i, (n, c) in want.items()), key=str)
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(30)] + [(50, 51), (51, 50), (None, 3)]])
+def test_components(spark, edges):
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    near = {}
+    for u, v in edges:
+        if u is not None and u != v:
+            near.setdefault(u, set()).add(v)
+            near.setdefault(v, set()).add(u)
+    want = {}
+    for n in sorted(near):
+        todo = [n] if n not in want else []
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = n
+                todo += near[x]
+    assert got == want
+
+
+def test_hash_spans_do_not_depend_on_position_or_block():
+    rng = np.random.default_rng(3)
+    raw = rng.integers(97, 100, 3 * textkit.BLOCK_BYTES, dtype=np.uint8)
+    starts = np.arange(0, len(raw) - 8, 7)
+    h = textkit.hash_spans(raw, starts, starts + 5)
+    by = {}
+    for s, x in zip(starts.tolist(), h.tolist()):
+        assert by.setdefault(raw[s : s + 5].tobytes(), x) == x
+    assert len(set(by.values())) == len(by)
