@@ -15,9 +15,11 @@ from cadence.llm.tables import begin, drop, narrow, stored
 
 ROWS = 7  # minima in a band
 BANDS = 28  # at similarity 0.85 all bands miss with probability (1 - 0.85**7)**28 = 2e-5, at 0.9 with 4e-8
-SLACK = 0.12  # the estimate from 196 one-byte minima may lie this far (over 4.7 deviations) below the truth
-_MUL = tk.random_u64(ROWS * BANDS, 101) | np.uint64(1)
-_ADD = tk.random_u64(ROWS * BANDS, 102)
+CHECKS = 512  # further minima, one byte of each, for the documents that share a band bucket
+SLACK = 0.075  # the estimate from them may lie this far (over 4.7 deviations at 0.85) below the truth
+BLOCK = 256  # members of a bucket that one task compares with as many others
+_MUL = tk.random_u64(ROWS * BANDS + CHECKS, 101) | np.uint64(1)
+_ADD = tk.random_u64(ROWS * BANDS + CHECKS, 102)
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,15 +42,15 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum([len(x) for x in out], dtype=np.int64)]).astype(np.int64)
 
 
-def minima(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def minima(grams: np.ndarray, starts: np.ndarray, functions: range) -> np.ndarray:
     """Minimum of each universal hash (a x + b modulo 2**64, upper half kept) over each non-empty set."""
-    out = np.empty((len(starts), len(_MUL)), dtype=np.uint32)
-    for i in range(len(_MUL)):
-        out[:, i] = np.minimum.reduceat(grams * _MUL[i] + _ADD[i], starts) >> np.uint64(32)
+    out = np.empty((len(starts), len(functions)), dtype=np.uint32)
+    for n, i in enumerate(functions):
+        out[:, n] = np.minimum.reduceat(grams * _MUL[i] + _ADD[i], starts) >> np.uint64(32)
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary"
+_SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
 def _sign(k: int):
@@ -61,38 +63,84 @@ def _sign(k: int):
                 size = np.diff(bounds)
                 full = np.flatnonzero(size)
                 fp = np.zeros((2, hi - lo), dtype=np.uint64)
-                sig = np.zeros((hi - lo, ROWS * BANDS), dtype=np.uint8)
                 bands, band_bounds = np.zeros(0, dtype=np.uint64), np.zeros(hi - lo + 1, dtype=np.int64)
                 if len(full):
                     starts = bounds[:-1][full]
                     for j in (0, 1):
                         fp[j, full] = np.add.reduceat(tk.splitmix(grams ^ _ADD[j]), starts)
-                    low = minima(grams, starts)
-                    sig[full] = low.astype(np.uint8)
+                    low = minima(grams, starts, range(ROWS * BANDS))
                     keys = np.empty((len(full), BANDS), dtype=np.uint64)
                     for b in range(BANDS):
                         keys[:, b] = tk.combine(np.full(len(full), b, dtype=np.uint64), *low[:, b * ROWS : (b + 1) * ROWS].T.astype(np.uint64))
                     bands = keys.ravel()
                     band_bounds = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), tk.signed(fp[0]), tk.signed(fp[1]), tk.longs(bands, band_bounds), tk.binaries(sig)],
-                    names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig"],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), tk.signed(fp[0]), tk.signed(fp[1]), tk.longs(bands, band_bounds)],
+                    names=["doc_id", "n_shingles", "fp1", "fp2", "bands"],
                 )
 
     return run
 
 
+def _checked(k: int):
+    """Add the verification signature to the texts of candidates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = tk.utf8(batch.column("text"))
+            for lo, hi in tk.blocks(offsets):
+                grams, bounds = shingle_sets(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
+                sig = np.zeros((hi - lo, CHECKS), dtype=np.uint8)
+                full = np.flatnonzero(np.diff(bounds))
+                if len(full):
+                    sig[full] = minima(grams, bounds[:-1][full], range(ROWS * BANDS, ROWS * BANDS + CHECKS)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("rep", "text")), tk.binaries(sig)], names=["rep", "text", "sig"])
+
+    return run
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _similarity(same: np.ndarray) -> np.ndarray:
+    """Estimated similarity from the share of equal signature bytes."""
+    return (same - 1 / 256) / (1 - 1 / 256)
+
+
 def _likely(threshold: float):
     """Keep the pairs whose signatures agree often enough for the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-            same = ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            keep = pa.array(same >= threshold - SLACK)
-            yield batch.select(["a", "b"]).filter(keep)
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                same = (_matrix(part.column("sig_a")) == _matrix(part.column("sig_b"))).mean(axis=1)
+                yield part.select(["a", "b"]).filter(pa.array(_similarity(same) >= threshold - SLACK))
+
+    return run
+
+
+def _across(threshold: float):
+    """Likely pairs of one block of members outside a bucket's largest component with one block of its members:
+    of different components, not met through the pivot, and reported in the first bucket that both share."""
+
+    def run(table: pa.Table) -> pa.Table:
+        left = table.column("left").to_numpy(zero_copy_only=False)
+        rep, root = table.column("rep").to_numpy(), table.column("root").to_numpy()
+        pivot, largest, band = (table.column(c)[0].as_py() for c in ("pivot", "largest", "band"))
+        sig, bands = _matrix(table.column("sig")), np.array(table.column("bands").to_pylist(), dtype=np.int64)
+        x, y = np.flatnonzero(left & (rep != pivot)), np.flatnonzero(~left & (rep != pivot))
+        out_a, out_b = [], []
+        for i in x.tolist():
+            js = y[(root[y] != root[i]) & ((root[y] == largest) | (rep[y] > rep[i]))]
+            js = js[_similarity((sig[js] == sig[i]).mean(axis=1)) >= threshold - SLACK] if len(js) else js
+            if len(js):
+                common = bands[js] == bands[i]
+                js = js[bands[i][np.argmax(common, axis=1)] == band]
+            out_a += np.minimum(rep[js], rep[i]).tolist()
+            out_b += np.maximum(rep[js], rep[i]).tolist()
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
 
@@ -124,65 +172,65 @@ def _linked(k: int, percent: int):
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
-    Method. One pass makes each document's signature: the minima of 196 universal hashes over its distinct word
-    shingles, 28 band keys of 7 minima, and a 128-bit fingerprint of the set. Documents of equal sets become one
-    class, stood for by its smallest id. Classes that share a band bucket are candidates: first each member with its
-    bucket's smallest, then (only where a bucket still holds several components) each member outside the bucket's
-    largest component with all members of other components, so no link is lost and a large group of near copies
-    never becomes all its pairs. Candidates are checked on signatures, then exactly on full sets; links become
-    components by large-star and small-star.
+    Method. One pass makes each document's signature: 28 band keys of 7 minima each of universal hashes over its
+    distinct word shingles, and a 128-bit fingerprint of the set. Documents of equal sets become one class, stood
+    for by its smallest id. Classes that share a band bucket are candidates. First each member meets its bucket's
+    smallest; components follow. Then, where a bucket still holds several components, its members outside the
+    largest one meet all members of other components, block against block, so that no link is lost, large groups of
+    near copies never become all their pairs, and pairs are compared in place instead of being shipped. Candidates
+    are verified on 512 further minima, then exactly on full sets; links become components by alternating
+    large-star and small-star.
+
+    Joins that carry texts are sort-merge joins at every size, so the plan does not change as tables grow.
 
     Edges: a text with fewer words than a shingle is one shingle; null, empty or blank texts have none and link with
-    nothing; repeated rows of one id are one node; a null id is linked with nothing, has a null component and is
+    nothing; repeated rows of one id are one node; an id with several texts links by each of them; a null id is linked with nothing, has a null component and is
     kept; other columns are ignored; no rows give no rows."""
     begin(docs)
-    k = shingle_words
+    k, threshold = shingle_words, percent / 100
     rows = narrow(docs, "text")
     signed = stored(rows.mapInArrow(_sign(k), _SIGNED), "minhash")
     nodes = signed.where("doc_id is not null and n_shingles > 0")
     key = ["fp1", "fp2", "n_shingles"]
-    # Equal sets have equal bands and signatures, so any row of a class supplies them.
-    reps = stored(nodes.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")), "classes")
+    # Equal sets have equal bands, so any row of a class supplies them.
+    reps = stored(nodes.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes")
     buckets = reps.select(F.explode("bands").alias("band"), "rep")
     shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).where("n > 1").drop("n")
     members = stored(buckets.join(shared, "band"), "buckets")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stored(rows.where("doc_id is not null").join(wanted, "doc_id", "left_semi").dropDuplicates(), "candidates")
-    sigs = reps.select("rep", "sig")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        """The true links among candidate pairs (a, b)."""
-        likely = (
-            pairs.join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-            .select("a", "b", "sig_a", "sig_b")
-            .mapInArrow(_likely(percent / 100), "a long, b long")
-        )
-        likely = stored(likely, "likely")
-        found = (
-            likely.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .select("a", "b", "text_a", "text_b")
-            .mapInArrow(_linked(k, percent), "a long, b long")
-        )
-        found = stored(found.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
-        drop(likely)
-        return found
-
-    star = links(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
+    wanted = members.select("rep").distinct()
+    picked = rows.where("doc_id is not null").withColumnRenamed("doc_id", "rep").hint("merge").join(wanted, "rep", "left_semi").dropDuplicates()
+    texts = stored(picked.select("rep", "text").mapInArrow(_checked(k), "rep long, text string, sig binary"), "candidates")
+
+    def side(name: str, *columns: str) -> DataFrame:
+        return texts.select(F.col("rep").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+    def links(likely: DataFrame) -> DataFrame:
+        """The true links among likely pairs (a, b)."""
+        full = likely.hint("merge").join(side("b", "text"), "b").hint("merge").join(side("a", "text"), "a")
+        found = full.select("a", "b", "text_a", "text_b").mapInArrow(_linked(k, percent), "a long, b long")
+        return stored(found.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
+
+    pairs = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    signatures = pairs.join(side("b", "sig"), "b").join(side("a", "sig"), "a").select("a", "b", "sig_a", "sig_b")
+    likely = stored(signatures.mapInArrow(_likely(threshold), "a long, b long"), "likely")
+    star = links(likely)
     first = stored(components(star), "components")
-    # Buckets that still hold several components: their members outside the largest one meet the other members.
+    # Buckets that still hold several components.
     named = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     per = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    open_ = per.groupBy("band").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("largest")).where("roots > 1")
-    rest = stored(named.join(open_.select("band", "largest"), "band"), "open")
-    few, all_ = rest.where("root <> largest").alias("x"), rest.alias("y")
-    cross = few.join(all_, F.expr("x.band = y.band and x.root <> y.root and x.rep <> x.pivot and y.rep <> y.pivot and (y.root = y.largest or x.rep < y.rep)"))
-    more = links(cross.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
+    still = per.groupBy("band").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most")).where("roots > 1")
+    blocks = still.select("band", "largest", F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("left_blocks"), F.ceil(F.col("n") / BLOCK).alias("right_blocks"))
+    meet = named.join(blocks, "band").join(texts.select("rep", "sig").dropDuplicates(["rep"]), "rep").join(reps.groupBy("rep").agg(F.any_value("bands").alias("bands")), "rep")
+    mine = {s: F.pmod(F.xxhash64("rep", F.lit(s)), F.col(f"{s}_blocks")).cast("long") for s in ("left", "right")}
+    every = {s: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{s}_blocks") - 1)) for s in ("left", "right")}
+    columns = ["band", "rep", "root", "pivot", "largest", "sig", "bands"]
+    lefts = meet.where("root <> largest").select(*columns, F.lit(True).alias("left"), mine["left"].alias("i"), every["right"].alias("j"))
+    rights = meet.select(*columns, F.lit(False).alias("left"), every["left"].alias("i"), mine["right"].alias("j"))
+    met = stored(lefts.unionAll(rights).groupBy("band", "i", "j").applyInArrow(_across(threshold), "a long, b long").distinct(), "met")
+    more = links(met)
     last = components(star.unionAll(more)) if more.limit(1).count() else first
-    drop(members, texts, rest, star, more)
+    drop(members, texts, likely, star, met, more)
     classes_of = reps.select(*key, "rep").join(last.select(F.col("node").alias("rep"), "root"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("root"))
     by_row = signed.select("doc_id", "n_shingles", "fp1", "fp2").join(classes_of, key, "left")
-    # One id with several texts belongs to the smallest of their components.
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.least(F.coalesce("root", "doc_id"), "doc_id"))
     return by_row.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
