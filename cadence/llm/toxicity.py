@@ -212,7 +212,7 @@ def learn_lexicon(sample: DataFrame, n_docs: int, n_toxic: int, entries: int = 2
     """Words and word stems that mark toxic documents, by kind, as sorted hashes.
 
     Candidates are features of toxic sample documents (at most ``entries``, the most frequent); their documents are
-    then counted in the whole sample. A feature is kept if at least 60 % of its documents are toxic and that share
+    then counted in the whole sample. A feature is kept if at least four fifths of its documents (and two more, for caution) are toxic and that share
     is beyond chance: documents times the divergence from the base rate exceeds the log of the number of candidates
     by 5."""
 
@@ -230,7 +230,7 @@ def learn_lexicon(sample: DataFrame, n_docs: int, n_toxic: int, entries: int = 2
     for k in wanted:
         found = []
         for r in counted:
-            if r.kind == k and r.bad >= 0.6 * r.docs:
+            if r.kind == k and r.bad >= 0.8 * (r.docs + 2):
                 p = min(r.bad / r.docs, 1 - 1e-9)
                 if p > base and r.docs * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base))) > np.log(len(rows)) + 5:
                     found.append(r.feature)
@@ -272,6 +272,33 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pull: float = 1.0) -> np.ndarray:
     return w
 
 
+_KEYS = ["k1", "k2", "k3"]
+_KEY_MULTIPLIERS = tk.random_u64(len(_KEYS), 401) | np.uint64(1)
+
+
+def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Three minima over hashed five-word shingles of each text: near copies mostly share one."""
+    for batch in batches:
+        for lo, hi, raw, offsets in _blocks(batch):
+            starts, ends, bounds = tk.words(raw, offsets)
+            grams, gram_bounds = tk.windows(tk.hash_spans(raw, starts, ends, lower=True), bounds, 5)
+            keys = np.zeros((len(_KEYS), hi - lo), dtype=np.uint64)
+            full = np.flatnonzero(np.diff(gram_bounds))
+            keys[:, :] = tk.random_u64(hi - lo, 402) ^ np.uint64(lo)  # short texts stand for themselves
+            for k, m in enumerate(_KEY_MULTIPLIERS):
+                if len(full):
+                    keys[k, full] = np.minimum.reduceat(grams * m, gram_bounds[:-1][full])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "label")), *map(tk.signed, keys)], names=["doc_id", "label", *_KEYS])
+
+
+def independent(sample: DataFrame) -> DataFrame:
+    """The sample with one document of each group of near copies, as copies are no further evidence for a word."""
+    keys = stored(sample.mapInArrow(_copy_keys, "doc_id long, label double, k1 long, k2 long, k3 long"), "keys")
+    for k in _KEYS:
+        keys = keys.join(keys.groupBy("label", k).agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "doc_id", "left_semi")
+    return sample.join(keys.select("doc_id"), "doc_id", "left_semi")
+
+
 @dataclass
 class Model:
     lexicon: dict[int, np.ndarray]
@@ -286,9 +313,10 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = 20_000) -> Model:
     and the prior weights stand."""
     begin(docs)
     wanted = training_labels(labels, "toxic", limit)
-    sample = stored(narrow(docs, "text").join(F.broadcast(wanted), "doc_id").select("text", "label"), "sample")
-    n, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("label") > 0).cast("long")), F.lit(0))).first()
-    lexicon = learn_lexicon(sample, n, toxic)
+    sample = stored(narrow(docs, "text").join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "label"), "sample")
+    single = stored(independent(sample), "single")
+    n, toxic = single.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("label") > 0).cast("long")), F.lit(0))).first()
+    lexicon = learn_lexicon(single, n, toxic)
     rows = sample.mapInArrow(_pattern_rows(lexicon, None), "label double, x array<double>").collect()
     x = np.array([r.x for r in rows], dtype=float).reshape(len(rows), len(PATTERNS))
     weights = fit_weights(x, np.array([r.label > 0 for r in rows], dtype=float))
