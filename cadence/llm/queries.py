@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import leakage, lines, minhash, outliers, packing, quality, tokens, toxicity, urls
+from cadence.llm import leakage, lines, minhash, outliers, packing, passages, quality, tokens, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -53,7 +57,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_classifier, op4_quality_rules, op5_url_filters, op6_benchmark_decontamination, op7_line_dedup, op8_token_counts, op9_toxicity, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_substring_dedup, op3_quality_classifier, op4_quality_rules, op5_url_filters, op6_benchmark_decontamination, op7_line_dedup, op8_token_counts, op9_toxicity, op10_best_fit_packing)}
 
 
 def oracles() -> dict[str, str]:
