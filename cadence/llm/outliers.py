@@ -22,7 +22,7 @@ CORE = 0.75  # share of a cell's rows that the estimate rests on
 CUT = 25.74  # chi-square quantiles with 5 degrees of freedom: 0.9999 rejects,
 REWEIGHT = 12.83  # 0.975 is the reach of the reweighted estimate
 CONSISTENCY = 1.412  # 0.75 / P(chi2 with 7 degrees <= the 0.75 quantile with 5)
-FLOOR = np.array([0.03, 0.25, 0.25, 0.25, 0.5]) ** 2  # variance added to each statistic: most are 0 in most texts
+FLOOR = np.array([0.1, 0.5, 0.25, 0.5, 1.0]) ** 2  # variance added to each statistic: most are 0 in most texts, and a repeat or a short text is no outlier
 MIN_CELL = 50  # rows below which a source is pooled with the small sources of its language, then with all small ones
 SAMPLE = 600  # rows of a cell that the starting estimates are searched on
 STARTS, STEPS = 40, 3  # random starts on that sample; concentration steps on all rows
