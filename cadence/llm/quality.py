@@ -141,7 +141,7 @@ def fit(x: np.ndarray, y: np.ndarray, epochs: int = 40, rate: float = 0.01, deca
     dim = x.shape[1]
     rng = np.random.default_rng(11)
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Network(np.zeros(dim), np.ones(dim), np.zeros((dim, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -6, 6)))
     order = rng.permutation(len(x))
     cut = max(1, len(x) // 5)
