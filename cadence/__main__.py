@@ -57,6 +57,9 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--checkpoint", default=None, help="checkpoint folder (default: derived from the job)")
     a.add_argument("--late-events-output", default=None, help="folder for the view of late events")
     a.add_argument("--late-events-mode", choices=("punctuated", "max"), default="punctuated")
+    a.add_argument("--on-error", choices=("fail", "drop"), default="fail",
+                   help="invalid records: stop the job, or leave them out (with --errors-output: written there)")
+    a.add_argument("--errors-output", default=None, help="folder for invalid records and their reasons (batch)")
     a.add_argument("--batch", action="store_true", help="one-shot batch run over the stored events at --source-path")
     return p
 
@@ -69,11 +72,11 @@ def options_from(args: argparse.Namespace) -> JobOptions:
         session_stats=not args.no_session_stats,
         discover_weekly=not args.no_discover_weekly,
         subsession_stats=not args.no_subsession_stats,
-        early_panes=not args.no_early_panes and args.dialect == "window",
+        early_panes=not args.no_early_panes,
         session_write_topic=args.session_write_topic,
         discover_weekly_write_topic=args.discover_weekly_write_topic,
         subsession_write_topic=args.subsession_write_topic,
-        duration=args.dialect,
+        dialect=args.dialect,
         merge_touching=True,
     )
 
@@ -100,21 +103,30 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
         return 0
 
-    from cadence.streaming.sources import read_event_stream
+    from cadence.streaming.sources import read_event_stream, read_wire_batch
 
     opts = options_from(args)
     if args.batch:
         from cadence.functions import codec
 
-        reader = spark.read.schema("event_id BIGINT, value STRING").parquet if args.source_format == "parquet" else None
-        wire = reader(args.source_path) if reader else spark.read.text(args.source_path)
-        events = codec.decode(wire, on_error="fail")
-        job.write_batch_results(events, opts, args.output, dialect=args.dialect)
+        if args.source_format == "kafka":
+            wire = read_wire_batch(spark, "kafka", topic=args.topic, options=kafka)
+        else:
+            wire = read_wire_batch(spark, args.source_format, path=args.source_path)
+        if args.on_error == "fail":
+            events = codec.decode(wire, on_error="fail")
+        else:
+            events, bad = codec.decode(wire, on_error="quarantine")
+            if args.errors_output:
+                bad.write.mode("overwrite").parquet(args.errors_output)
+        job.write_batch_results(events, opts, args.output)
         return 0
-    events = read_event_stream(spark, args.source_format, path=args.source_path, topic=args.topic, options=kafka)
+    events = read_event_stream(
+        spark, args.source_format, path=args.source_path, topic=args.topic, options=kafka, on_error=args.on_error
+    )
     queries = job.start_streaming_job(
         spark, events, opts, sink_fmt=args.sink_format, sink_options=kafka if args.sink_format == "kafka" else {},
-        output_root=args.output, dialect=args.dialect, watermark_delay_ms=args.watermark_delay,
+        output_root=args.output, watermark_delay_ms=args.watermark_delay,
         available_now=args.available_now, checkpoint_dir=args.checkpoint,
         late_events_output=args.late_events_output, late_events_mode=args.late_events_mode,
     )

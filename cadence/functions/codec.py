@@ -2,10 +2,13 @@
 
 On the wire an event is a JSON object of its fields plus ``"type"`` = class name.
 Decoding uses one explicit schema (never inferred).  A record is valid iff it is
-a JSON object, ``type`` is a known class, ``timestamp`` is a number, ``userId``,
+a JSON object, ``type`` is a known class, ``timestamp`` is a JSON number (a fraction of
+a millisecond is cut off; it must fit 64 bits), ``userId`` is a JSON string,
 ``eventType`` and ``deviceType`` are present with enum values in their domains,
-and, for a song, ``playlistType`` is in its domain and ``songid`` is present.
-Extra fields are ignored; a search event never carries song fields.
+and, for a song, ``playlistType`` is in its domain and ``songid`` is a JSON string.
+Extra fields are ignored; a search event never carries song fields.  JSON types are
+read from the record as a VARIANT, because a typed reader turns numbers and objects
+into text and digits in quotes into numbers.
 
 Bad-record policy (``on_error``):
 * ``"fail"``        (default, as the reference): the query fails on the first bad record;
@@ -63,9 +66,26 @@ def parse(value: Column) -> Column:
     return F.from_json(value, WIRE_SCHEMA_WITH_CORRUPT, _PARSE_OPTIONS)
 
 
-def error_reason(p: str = "_p") -> Column:
+def json_types(value: Column) -> Column:
+    """JSON types of the fields whose type a typed reader would not check (NULL: absent)."""
+    record = F.try_parse_json(value)
+    return F.struct(
+        *[F.schema_of_variant(F.try_variant_get(record, f"$.{name}", "variant")).alias(name) for name in ("timestamp", "userId", "songid")]
+    )
+
+
+def _wrong_type(p: str, k: str) -> Column:
+    kind = lambda name: F.coalesce(F.col(f"{k}.{name}"), F.lit("VOID"))
+    number = kind("timestamp").rlike("^(VOID|BIGINT|DECIMAL|DOUBLE)")
+    text = {name: kind(name).isin("VOID", "STRING") for name in ("userId", "songid")}
+    song = F.coalesce(F.col(f"{p}.type") == F.lit(SONG_EVENT), F.lit(False))
+    return ~number | ~text["userId"] | (song & ~text["songid"])
+
+
+def error_reason(p: str = "_p", k: str = "_k") -> Column:
     """NULL for a valid parsed record, else one of the reason codes."""
     f = lambda name: F.col(f"{p}.{name}")
+    unplaced = f("timestamp").isNotNull() & f("timestamp").try_cast("bigint").isNull()
     song = f("type") == F.lit(SONG_EVENT)
     missing = (
         f("timestamp").isNull()
@@ -80,7 +100,7 @@ def error_reason(p: str = "_p") -> Column:
         | (song & ~f("playlistType").isin(*PLAYLIST_TYPES))
     )
     return (
-        F.when(F.col(p).isNull() | f(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED))
+        F.when(F.col(p).isNull() | f(CORRUPT_COLUMN).isNotNull() | unplaced | _wrong_type(p, k), F.lit(MALFORMED))
         .when(f("type").isNull() | ~f("type").isin(*EVENT_CLASSES), F.lit(UNKNOWN_TYPE))
         .when(missing, F.lit(MISSING_FIELD))
         .when(bad_enum, F.lit(BAD_ENUM))
@@ -93,7 +113,7 @@ def _normalized(p: str, tiebreak: Column) -> list[Column]:
     return [
         tiebreak.cast("bigint").alias("event_id"),
         f("userId").alias("user_id"),
-        f("timestamp").alias("ts_ms"),
+        f("timestamp").try_cast("bigint").alias("ts_ms"),
         f("type").alias("type"),
         f("eventType").alias("event_type"),
         f("deviceType").alias("device_type"),
@@ -116,8 +136,9 @@ def decode(
     is stable for file sources."""
     tiebreak = F.col(tiebreak_col) if tiebreak_col and tiebreak_col in df.columns else F.monotonically_increasing_id()
     parsed = df.select(
-        *[F.col(k) for k in keep], tiebreak.alias("_tb"), F.col(value_col).alias("_raw"), parse(F.col(value_col)).alias("_p")
-    ).withColumn("_err", error_reason("_p"))
+        *[F.col(k) for k in keep], tiebreak.alias("_tb"), F.col(value_col).alias("_raw"), parse(F.col(value_col)).alias("_p"),
+        json_types(F.col(value_col)).alias("_k"),
+    ).withColumn("_err", error_reason("_p", "_k"))
     rows = [*[F.col(k) for k in keep], *_normalized("_p", F.col("_tb"))]
     if on_error == "fail":
         check = F.when(F.col("_err").isNull(), F.lit(True)).otherwise(
@@ -135,4 +156,4 @@ def decode(
     raise ValueError("on_error must be 'fail', 'quarantine' or 'flag'")
 
 
-__all__ = ["encode", "decode", "parse", "error_reason", "wire_struct", "EVENT_COLUMNS"]
+__all__ = ["encode", "decode", "parse", "json_types", "error_reason", "wire_struct", "EVENT_COLUMNS"]

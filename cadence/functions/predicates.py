@@ -35,7 +35,7 @@ def not_discover_weekly(type_col: str = "type", playlist_col: str = "playlist_ty
 
 def floor_div(x: Column, n: int) -> Column:
     """Integer floor division (exact for negatives too, no floating point)."""
-    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("bigint")
+    return F.call_function("div", x - F.pmod(x, F.lit(n)), F.lit(n))
 
 
 def second_of_minute(ts_ms_col: str = "ts_ms") -> Column:

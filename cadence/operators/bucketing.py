@@ -9,25 +9,27 @@ watermark replay over the global arrival order) are evaluated in two levels:
    running value is carried into the next buckets and joined back on
    ``(key, bucket)``.
 
-A bucket is a contiguous range of the ordering column.  Two ways to choose it:
+A bucket is a contiguous range of the ordering columns.  Two ways to choose it:
 
 * ``fixed``: ``floor(ts / width)`` with a fixed width, the same for every key;
-* ``adaptive``: keys with more than ``target_rows`` rows get equal-count buckets
-  of about ``target_rows`` rows each (boundaries from ``approxQuantile``, so a
-  burst of one key's events is split too); all other keys keep the fixed width.
-  The heavy-key table has at most ``rows / target_rows`` entries; it is broadcast
-  only after its size is checked, otherwise the fixed width is used.
+* ``adaptive``: keys with more than ``target_rows`` rows are *heavy*, however many
+  there are.  Their rows are range-partitioned by Spark over ``(key, time, tiebreak)``
+  into ranges of about ``target_rows`` rows (so a burst is split, also inside one
+  millisecond), and the ranged rows are stored once in the shared folder, because
+  both levels must see the same ranges.  The heavy keys are a table that is joined
+  like any other; neither keys nor range boundaries are listed by this library.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cadence.functions.predicates import floor_div
+from cadence.session import scratch_path
 
 BUCKET = "_bkt"
 DAY_MS = 86_400_000
@@ -37,24 +39,22 @@ DAY_MS = 86_400_000
 class Bucketing:
     """How to cut an ordered key into buckets.
 
-    width_ms:     fixed bucket width (used for every key, or for light keys).
-    target_rows:  adaptive only: wanted rows per bucket of a heavy key.
-    max_heavy_keys: adaptive only: broadcast bound of the heavy-key table.
+    width_ms:     fixed bucket width (``adaptive=False``).
+    target_rows:  adaptive: rows above which a key is heavy, and about the rows of a
+                  heavy key's bucket.
     """
 
     width_ms: int = DAY_MS
     adaptive: bool = False
     # 2M rows of the narrow (user, time, tiebreak, flags) projection is roughly
     # 100 MB: one sort and window per task, well inside executor memory, with spill
-    # to spare.  At 1e12 rows this means at most 500k buckets and quantile cuts.
+    # to spare.
     target_rows: int = 2_000_000
-    # Broadcast bound of the heavy-key list (a few MB); above it, fixed widths.
-    max_heavy_keys: int = 100_000
 
 
 FIXED_DAY = Bucketing()
-# Batch default: profile rows per key; keys above 2M rows get equal-count buckets,
-# and when no key does, sessions need no buckets at all (one ordered pass per user).
+# Batch default: count rows per key; keys above 2M rows are cut into ranges, and when
+# there is none, sessions need no buckets at all (one ordered pass per user).
 ADAPTIVE = Bucketing(adaptive=True)
 
 
@@ -62,104 +62,45 @@ def fixed_bucket(ts: Column, width_ms: int) -> Column:
     return floor_div(ts, width_ms)
 
 
-# Profiles of inputs already seen in this process.  A profile only chooses bucket
-# widths, never results, so a reused one is always correct; it is keyed by the
-# canonical plan and the input files so a changed input is profiled again.
-_PROFILES: dict[tuple, object] = {}
-
-
-def profile_key(df: DataFrame, *parts) -> tuple:
-    try:
-        files = tuple(sorted(df.inputFiles()))
-    except Exception:  # noqa: BLE001 - inputs without files (e.g. local relations)
-        files = ()
-    return (df.semanticHash(), files, *parts)
-
-
-def quantile_splits(df: DataFrame, col: str, n_rows: int, target_rows: int) -> list[float]:
-    """Boundaries cutting ``col`` into ranges of about ``target_rows`` rows each.
-
-    ``approxQuantile`` with a rank error of at most half a bucket; at most
-    ``n_rows / target_rows`` numbers reach the driver."""
-    n_buckets = -(-n_rows // target_rows)
-    if n_buckets <= 1:
-        return []
-    probs = [k / n_buckets for k in range(1, n_buckets)]
-    splits = df.approxQuantile(col, probs, 1.0 / (2 * n_buckets))
-    out: list[float] = []
-    for x in splits:
-        if not out or x > out[-1]:
-            out.append(float(x))
-    return out
-
-
-def bucketize(df: DataFrame, col: str, splits: list[float], out_col: str) -> DataFrame:
-    """Index of the range of ``col`` among ``splits`` (binary search in the JVM);
-    NULL stays NULL."""
-    if not splits:
-        return df.withColumn(out_col, F.when(F.col(col).isNotNull(), F.lit(0).cast("bigint")))
-    from pyspark.ml.feature import Bucketizer
-
-    b = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol=col, outputCol=out_col, handleInvalid="keep")
-    return b.transform(df).withColumn(out_col, F.col(out_col).cast("bigint"))
-
-
-def heavy_keys(df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing) -> list | None:
-    """Keys holding more than ``target_rows`` rows, with their row count and time range.
-
-    One aggregation job (partial aggregation: one row per key per map task crosses
-    the shuffle).  At most ``rows / target_rows`` keys can qualify; the list reaches
-    the driver only after checking it has at most ``max_heavy_keys`` entries, and
-    ``None`` (no heavy key, or too many to list) is returned otherwise."""
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")
-    )
-    heavy = stats.filter(F.col("_n") > F.lit(bucketing.target_rows))
-    key = profile_key(df, tuple(keys), ts_col, bucketing.target_rows, bucketing.max_heavy_keys)
-    if key not in _PROFILES:
-        rows = heavy.limit(bucketing.max_heavy_keys + 1).collect()
-        _PROFILES[key] = None if not rows or len(rows) > bucketing.max_heavy_keys else rows
-    return _PROFILES[key]
-
-
-def add_bucket(
-    df: DataFrame, keys: list[str], ts_col: str, bucketing: Bucketing, heavy: list | None = None
-) -> DataFrame:
-    """Add the ``_bkt`` column.
-
-    Light keys: fixed-width time ranges.  Heavy keys (``heavy``, from ``heavy_keys``;
-    computed here when not given): equal-*count* ranges of about ``target_rows`` rows,
-    however bursty the key's times are.  Each heavy key gets a disjoint numeric range
-    ``rank * R + time / g`` of one composite column; quantiles of that column over
-    the heavy keys' rows give the boundaries, and ``Bucketizer`` finds each row's
-    range.  Bucket numbers only order rows within one key, so the two numberings
-    never need to agree."""
-    base = fixed_bucket(F.col(ts_col), bucketing.width_ms)
-    if heavy is None and bucketing.adaptive:
-        heavy = heavy_keys(df, keys, ts_col, bucketing)
-    if not heavy:
-        return df.withColumn(BUCKET, base)
-    span = max(r["_hi"] - r["_lo"] + 1 for r in heavy)
-    grain = 1
-    while len(heavy) * (span // grain + 2) >= 2**52:  # exact in a double
-        grain *= 10
-    stride = span // grain + 2
-    table = df.sparkSession.createDataFrame(
-        [(*[r[k] for k in keys], rank, r["_lo"]) for rank, r in enumerate(heavy)],
-        df.select(*keys).schema.add("_rank", T.LongType()).add("_lo", T.LongType()),
-    )
-    # The broadcast side is the checked, bounded heavy-key list.
-    joined = df.join(F.broadcast(table), on=keys, how="left")
-    composite = F.when(
-        F.col("_rank").isNotNull(),
-        (F.col("_rank") * F.lit(stride) + floor_div(F.col(ts_col) - F.col("_lo"), grain)).cast("double"),
-    )
-    joined = joined.withColumn("_composite", composite)
-    split_key = profile_key(df, "splits", tuple(keys), ts_col, bucketing.target_rows, len(heavy))
-    if split_key not in _PROFILES:
-        total = sum(r["_n"] for r in heavy)
-        _PROFILES[split_key] = quantile_splits(
-            joined.filter(F.col("_rank").isNotNull()), "_composite", total, bucketing.target_rows
-        )
-    joined = bucketize(joined, "_composite", _PROFILES[split_key], "_qb")
-    return joined.withColumn(BUCKET, F.coalesce(F.col("_qb"), base)).drop("_rank", "_lo", "_composite", "_qb")
+def add_bucket(df: DataFrame, ts_col: str, bucketing: Bucketing) -> DataFrame:
+    """Add ``_bkt`` as fixed-width time ranges."""
+    return df.withColumn(BUCKET, fixed_bucket(F.col(ts_col), bucketing.width_ms))
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, label) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], bucketing: Bucketing) -> tuple[DataFrame, int] | None:
+    """The table of keys holding more than ``target_rows`` rows and how many rows they
+    hold together, or None if there are none.
+
+    One aggregation (one row per key and map task crosses the shuffle), counted anew for
+    every call.  One number reaches the driver; the table stays in the shared folder."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(bucketing.target_rows))
+    table = stored(counts, "heavy")
+    total = table.agg(F.sum("_n")).first()[0]
+    return None if total is None else (table.select(*keys), int(total))
+
+
+def range_buckets(df: DataFrame, order: Sequence[str], n_rows: int, target_rows: int) -> DataFrame:
+    """Add ``_bkt``: contiguous ranges of ``order`` with about ``target_rows`` rows each,
+    numbered in that order (NULLs first).
+
+    Spark's range partitioning deals the rows out; where that many partitions would
+    exceed the session's shuffle partitions, each is cut further by row number.  The
+    result is stored, so everything read from it agrees on the ranges."""
+    wanted = max(1, -(-n_rows // target_rows))
+    if wanted == 1:
+        return df.withColumn(BUCKET, F.lit(0).cast("bigint"))
+    dealt = min(wanted, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    ranged = df.repartitionByRange(dealt, *order).withColumn("_range", F.spark_partition_id().cast("bigint"))
+    if dealt == wanted:
+        out = ranged.withColumnRenamed("_range", BUCKET)
+    else:
+        row = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - F.lit(1)
+        out = ranged.withColumn(BUCKET, F.shiftleft(F.col("_range"), 32) + floor_div(row.cast("bigint"), target_rows)).drop("_range")
+    return stored(out, "ranges")

@@ -19,10 +19,11 @@ Semantics
 
 Execution (see ``cadence.operators.bucketing``)
 -----------------------------------------------
-The default (adaptive) bucketing first profiles rows per user.  When no user
+The default (adaptive) bucketing first counts rows per user.  When no user
 exceeds the per-task bound, the plan is one hash exchange on the user, one sort
-and one ordered pass.  Otherwise (and always with fixed-width bucketing) one hash
-exchange on ``(user, bucket)`` and one sort feed a local Window; a small
+and one ordered pass.  Otherwise light users take that pass and heavy users' rows,
+stored once in ranges, the two-level plan (which fixed-width bucketing uses for all
+users): one hash exchange on ``(user, bucket)`` and one sort feed a local Window; a small
 per-bucket summary (partial aggregation, reusing that exchange) is carried across
 the user's buckets and joined back on ``(user, bucket)``.  No Window ever holds
 more than one bucket of a heavy user, and nothing unbounded is collected.
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
-from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket, heavy_keys
+from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket, heavy_keys, range_buckets
 
 SESSION_START = "session_start_ms"
 IS_SESSION_START = "is_session_start"
@@ -93,32 +94,31 @@ def sessionize(
         *[m.alias(name) for name, m in measures.items()],
         *[F.coalesce(pred, F.lit(False)).alias(f"{name}_delim") for name, pred in delimiters.items()],
     )
-    if bucketing.adaptive:
-        # Profile (user, time) only: cheaper, and shared by every query over these events.
-        heavy = heavy_keys(events.filter(F.col(u).isNotNull() & ts.isNotNull()).select(u, t), [u], t, bucketing)
-        if heavy is None:
-            # No user exceeds the per-task bound: one ordered pass per user suffices.
-            return _single_pass(narrow, gap_ms, delimiters, measures, merge_touching, u, t, i)
-        # Light users take the single ordered pass, heavy users the two-level plan.
-        # The split is a map-side join with the size-checked heavy list, so every event
-        # is still shuffled once, and only heavy users' rows pay for buckets and carry.
-        names = events.sparkSession.createDataFrame([(r[u],) for r in heavy], narrow.select(u).schema)
-        light = narrow.join(F.broadcast(names), on=u, how="left_anti")
-        hot = narrow.join(F.broadcast(names), on=u, how="left_semi")
-        return _single_pass(light, gap_ms, delimiters, measures, merge_touching, u, t, i).unionByName(
-            _two_level(hot, gap_ms, delimiters, measures, merge_touching, bucketing, heavy, u, t, i)
-        )
-    return _two_level(narrow, gap_ms, delimiters, measures, merge_touching, bucketing, None, u, t, i)
+    if not bucketing.adaptive:
+        return _two_level(add_bucket(narrow, t, bucketing), gap_ms, delimiters, measures, merge_touching, u, t, i)
+    # Count users only: cheaper than the projection, one column read.
+    found = heavy_keys(events.filter(F.col(u).isNotNull() & ts.isNotNull()).select(u), [u], bucketing)
+    if found is None:
+        # No user exceeds the per-task bound: one ordered pass per user suffices.
+        return _single_pass(narrow, gap_ms, delimiters, measures, merge_touching, u, t, i)
+    # Light users take the single ordered pass, heavy users the two-level plan over
+    # stored ranges.  Nothing is hinted: a short list of heavy users is broadcast by
+    # its measured size, a long one is joined on the user, whose partitioning the
+    # ordered pass then reuses.
+    heavy, total = found
+    light = narrow.join(heavy, on=u, how="left_anti")
+    hot = range_buckets(narrow.join(heavy, on=u, how="left_semi"), [u, t, i], total, bucketing.target_rows)
+    return _single_pass(light, gap_ms, delimiters, measures, merge_touching, u, t, i).unionByName(
+        _two_level(hot, gap_ms, delimiters, measures, merge_touching, u, t, i)
+    )
 
 
 def _two_level(
-    narrow: DataFrame,
+    df: DataFrame,
     gap_ms: int,
     delimiters: Mapping[str, Column],
     measures: Mapping[str, Column],
     merge_touching: bool,
-    bucketing: Bucketing,
-    heavy: list | None,
     u: str,
     t: str,
     i: str,
@@ -126,7 +126,6 @@ def _two_level(
     """Window per (user, bucket), per-bucket summary carried across a user's buckets,
     joined back on (user, bucket); see the module doc."""
     ts = F.col(t)
-    df = add_bucket(narrow, [u], t, bucketing, heavy)
     df = df.filter(F.col(BUCKET).isNotNull())
 
     pos = F.struct(ts.alias("t"), F.col(i).alias("i"))

@@ -11,8 +11,8 @@ has already passed the end of its own session window: ``ts + gap - 1 <= wm``.
 These are the events a streaming job with no allowed lateness drops silently.
 
 Arrival order is global (one ordered stream), so it is cut into contiguous
-arrival ranges of about ``target_rows`` rows each (quantile boundaries: a burst of
-arrivals is split like any other range) and evaluated with the two-level running
+arrival ranges of about ``target_rows`` rows each (Spark's range partitioning: a burst
+of arrivals is split like any other range) and evaluated with the two-level running
 max (``cadence.operators.cumulative``).
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import floor_div, is_watermark_marker
-from cadence.operators.bucketing import _PROFILES, BUCKET, bucketize, profile_key, quantile_splits
+from cadence.operators.bucketing import BUCKET, range_buckets
 from cadence.operators.cumulative import cumulative
 
 TARGET_ROWS = 2_000_000
@@ -37,17 +37,16 @@ def _marker(mode: str) -> Column:
     raise ValueError(f"mode must be one of {MODES}")
 
 
-def _with_arrival_bucket(events: DataFrame, arrival_col: str, width_ms: int | None, target_rows: int) -> DataFrame:
-    """Fixed arrival ranges of ``width_ms``, or (default) equal-count ranges of about
-    ``target_rows`` rows, so a burst of arrivals is split like any other range."""
+def _with_arrival_bucket(
+    events: DataFrame, arrival_col: str, tiebreak_col: str, width_ms: int | None, target_rows: int
+) -> DataFrame:
+    """Fixed arrival ranges of ``width_ms``, or (default) ranges of about ``target_rows``
+    rows, so a burst of arrivals is split like any other range.  Rows without an arrival
+    come first."""
     if width_ms:
-        return events.withColumn(BUCKET, floor_div(F.col(arrival_col), width_ms))
-    key = profile_key(events, "arrival-splits", arrival_col, target_rows)
-    if key not in _PROFILES:
-        n = events.filter(F.col(arrival_col).isNotNull()).count()
-        _PROFILES[key] = quantile_splits(events, arrival_col, n, target_rows)
-    staged = events.withColumn("_arrival_d", F.col(arrival_col).cast("double"))
-    return bucketize(staged, "_arrival_d", _PROFILES[key], BUCKET).drop("_arrival_d")
+        lowest = F.lit(-(1 << 62)).cast("bigint")
+        return events.withColumn(BUCKET, F.coalesce(floor_div(F.col(arrival_col), width_ms), lowest))
+    return range_buckets(events, [arrival_col, tiebreak_col], events.count(), target_rows)
 
 
 def running_watermark(
@@ -61,13 +60,17 @@ def running_watermark(
     width_ms: int | None = None,
     target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
-    """Adds ``watermark_ms``: the watermark after (``inclusive``) or before each event."""
-    marked = F.when(_marker(mode), F.col(ts_col))
-    df = _with_arrival_bucket(events, arrival_col, width_ms, target_rows)
+    """Adds ``watermark_ms``: the watermark after (``inclusive``) or before each event.
+
+    An event without an arrival time has no place in the arrival order: it stays in the
+    result with a NULL watermark (so it is never late) and moves no watermark."""
+    arrived = F.col(arrival_col).isNotNull()
+    marked = F.when(_marker(mode) & arrived, F.col(ts_col))
+    df = _with_arrival_bucket(events, arrival_col, tiebreak_col, width_ms, target_rows)
     out = cumulative(
         df, [], [arrival_col, tiebreak_col], BUCKET, {"watermark_ms": ("max", marked)}, inclusive=inclusive
     )
-    return out.drop(BUCKET)
+    return out.drop(BUCKET).withColumn("watermark_ms", F.when(arrived, F.col("watermark_ms")))
 
 
 def punctuated_watermark(events: DataFrame, **kw) -> DataFrame:

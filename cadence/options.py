@@ -19,13 +19,20 @@ class JobOptions:
     session_write_topic: str = "session-stats"
     discover_weekly_write_topic: str = "discover-weekly-stats"
     subsession_write_topic: str = "subsession-stats"
-    # "window": end = last event + gap, duration includes the gap.
-    # "span":   duration = last - first, no gap.
-    duration: str = "window"
+    # The dialect of results and messages.
+    # "window": end = last event + gap, duration includes the gap; early panes if asked for.
+    # "span":   duration = last - first, no gap; each session is reported once, when it ends.
+    dialect: str = "window"
     merge_touching: bool = True
-    # Generator knobs.
-    max_interval_ms: int = 1000
-    max_time_deviation_ms: int = 0
+
+    def __post_init__(self) -> None:
+        if self.dialect not in ("window", "span"):
+            raise ValueError("dialect must be 'window' or 'span'")
+
+    @property
+    def panes(self) -> bool:
+        """Whether sessions are reported by early panes."""
+        return self.session_stats and self.early_panes and self.dialect == "window"
 
     @property
     def gap_ms(self) -> int:

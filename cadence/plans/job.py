@@ -11,8 +11,9 @@ kinds of run; every result is an aggregation of that one DataFrame.  When severa
 results are written, ``materialize=True`` cuts the lineage with ``checkpoint()``
 (the shared ``spark.checkpoint.dir``) so the event shuffle runs once.
 
-Streaming: one stateful query serves all three closed-session analyses (written
-per micro-batch with ``foreachBatch``, idempotently per batch id): the bounded-state
+Streaming: one stateful query serves all three closed-session analyses, written per
+micro-batch with ``foreachBatch`` (file sinks overwrite a folder per batch id, so a
+repeated batch leaves one copy; Kafka and the console may repeat one): the bounded-state
 operator of ``cadence.streaming.runs`` (state: events not yet behind the watermark
 plus one open session per user).  Early panes are a second stateful query.
 """
@@ -33,7 +34,7 @@ from cadence.options import JobOptions
 from cadence.session import checkpoint_root
 from cadence.streaming import runs as SR
 from cadence.streaming.panes import stream_early_panes
-from cadence.streaming.sinks import start_sink
+from cadence.streaming.sinks import print_rows, start_sink
 
 DW, LISTEN = "dw", "listen"
 
@@ -56,8 +57,8 @@ def analyze(events: DataFrame, options: JobOptions = JobOptions(), *, materializ
         ann = ann.checkpoint(eager=True)
     out: dict[str, DataFrame] = {}
     if options.session_stats:
-        out["session_stats"] = session_stats_from(ann, options.gap_ms, duration=options.duration)
-        if options.early_panes:
+        out["session_stats"] = session_stats_from(ann, options.gap_ms, duration=options.dialect)
+        if options.panes:
             out["session_panes"] = early_session_panes(None, options.gap_ms, options.interval_ms, annotated=ann)
     if options.discover_weekly:
         out["discover_weekly"] = runs_from(ann, DW)
@@ -66,12 +67,13 @@ def analyze(events: DataFrame, options: JobOptions = JobOptions(), *, materializ
     return out
 
 
-def messages(results: dict[str, DataFrame], dialect: str = "window") -> dict[str, DataFrame]:
-    """Each result as a one-column ``value`` DataFrame of text messages.
+def messages(results: dict[str, DataFrame], options: JobOptions = JobOptions()) -> dict[str, DataFrame]:
+    """Each result (computed with the same options) as a one-column ``value`` DataFrame of
+    text messages.
 
     window dialect: session (or pane) messages with instants, DW runs, listening counts;
-    span dialect:   session durations without the gap, runs with their lengths (pass
-    results computed with ``JobOptions(duration="span")``)."""
+    span dialect:   session durations without the gap, runs with their lengths."""
+    dialect = options.dialect
     col = F.col
     out: dict[str, DataFrame] = {}
     for name, df in results.items():
@@ -110,7 +112,7 @@ def _write_batch(df: DataFrame, sink_fmt: str, target: str, batch_id: int, sink_
     if sink_fmt == "kafka":
         df.write.format("kafka").options(**sink_options).option("topic", target).save()
     elif sink_fmt == "console":
-        df.show(truncate=False)
+        print_rows(df)
     else:
         # One folder per micro-batch, overwritten on replay: idempotent.
         df.write.mode("overwrite").format(sink_fmt).options(**sink_options).save(os.path.join(target, f"batch={batch_id}"))
@@ -125,7 +127,6 @@ def start_streaming_job(
     sink_options: dict[str, str] | None = None,
     output_root: str | None = None,
     checkpoint_dir: str | None = None,
-    dialect: str = "window",
     watermark_delay_ms: int = 0,
     available_now: bool = False,
     late_events_output: str | None = None,
@@ -142,7 +143,7 @@ def start_streaming_job(
         import hashlib
 
         identity = repr((events._jdf.queryExecution().logical().toString(), sink_fmt, sorted(sink_options.items()),
-                         output_root, options, dialect, watermark_delay_ms))
+                         output_root, options, watermark_delay_ms))
         job_id = hashlib.sha256(identity.encode()).hexdigest()[:16]
     ck = checkpoint_dir or os.path.join(checkpoint_root(spark), f"cadence-job-{job_id}")
     targets = (
@@ -151,7 +152,8 @@ def start_streaming_job(
         else {k: os.path.join(output_root or ck, k) for k in ("session_stats", "session_panes", "discover_weekly", "subsessions")}
     )
     queries: list[StreamingQuery] = []
-    want_closed = options.discover_weekly or options.subsession_stats or (options.session_stats and not options.early_panes)
+    closed_stats = options.session_stats and not options.panes
+    want_closed = options.discover_weekly or options.subsession_stats or closed_stats
     if want_closed:
         delimiters = {DW: not_discover_weekly(), LISTEN: is_search()}
         sessions = SR.stream_sessions_and_runs(
@@ -160,7 +162,7 @@ def start_streaming_job(
         )
 
         def stats_of(b: DataFrame) -> DataFrame:
-            return SR.sessions_of(b, options.gap_ms, options.duration)
+            return SR.sessions_of(b, options.gap_ms, options.dialect)
 
         runs_of = SR.runs_of
 
@@ -169,13 +171,13 @@ def start_streaming_job(
             batch = batch.persist()
             try:
                 results: dict[str, DataFrame] = {}
-                if options.session_stats and not options.early_panes:
+                if closed_stats:
                     results["session_stats"] = stats_of(batch)
                 if options.discover_weekly:
                     results["discover_weekly"] = runs_of(batch, DW)
                 if options.subsession_stats:
                     results["subsessions"] = runs_of(batch, LISTEN)
-                for name, df in messages(results, dialect).items():
+                for name, df in messages(results, options).items():
                     _write_batch(df, sink_fmt, targets[name], batch_id, sink_options)
             finally:
                 batch.unpersist()
@@ -185,9 +187,12 @@ def start_streaming_job(
         if available_now:
             w = w.trigger(availableNow=True)
         queries.append(w.start())
-    if options.session_stats and options.early_panes:
-        panes = stream_early_panes(events, options.gap_ms, options.interval_ms, watermark_delay_ms=watermark_delay_ms)
-        msgs = messages({"session_panes": panes}, "window")["session_panes"]
+    if options.panes:
+        panes = stream_early_panes(
+            events, options.gap_ms, options.interval_ms, watermark_delay_ms=watermark_delay_ms,
+            merge_touching=options.merge_touching,
+        )
+        msgs = messages({"session_panes": panes}, options)["session_panes"]
         queries.append(
             start_sink(
                 msgs,
@@ -262,7 +267,6 @@ def write_batch_results(
     options: JobOptions,
     output_root: str,
     *,
-    dialect: str = "window",
     fmt: str = "parquet",
     as_messages: bool = True,
 ) -> dict[str, str]:
@@ -271,7 +275,7 @@ def write_batch_results(
     The annotation is cut with ``checkpoint()`` (shared checkpoint dir) so the event
     shuffle runs once for all results.  Returns result name -> folder."""
     results = analyze(events, options, materialize=True)
-    frames = messages(results, dialect) if as_messages else results
+    frames = messages(results, options) if as_messages else results
     written = {}
     for name, df in frames.items():
         path = os.path.join(output_root, name)

@@ -115,6 +115,41 @@ GROUP BY sp.user_id, sp.sid, sp.start_ms, sp.last_ms, sp.pane_ms
 """
 
 
+def _stream_panes_sql(gap_ms: int, interval_ms: int, n: int = 5) -> str:
+    """Panes of a stream fed ``n`` equal ranges of event time, one batch each: after a batch
+    whose latest event is at ``hi``, every fire time up to ``hi`` that was not yet reached
+    fires with everything received so far; the rest fire at the end."""
+    return f"""
+WITH {EV}, src AS (SELECT * FROM ev), {_sessions_cte('src', gap_ms)},
+lim AS (SELECT min(ts_ms) AS lo, max(ts_ms) AS top FROM ev),
+e AS (
+  SELECT user_id, sid, ts_ms, type, least((ts_ms - lo) * {n} // (top - lo + 1), {n} - 1) AS r FROM s, lim
+),
+m AS (SELECT r, max(ts_ms) AS hi FROM e GROUP BY r),
+step AS (
+  SELECT r, coalesce(lag(hi) OVER (ORDER BY r), -1) AS lo, hi FROM m
+  UNION ALL SELECT {n}, max(hi), 9000000000000000000 FROM m
+),
+k AS (
+  SELECT e.user_id, e.sid, step.r, step.lo, step.hi, min(e.ts_ms) AS start_ms, max(e.ts_ms) AS last_ms,
+         sum(CASE WHEN e.type = 'SongEvent' THEN 1 ELSE 0 END) AS songs
+  FROM e JOIN step ON e.r <= step.r
+  GROUP BY e.user_id, e.sid, step.r, step.lo, step.hi
+),
+p AS (
+  SELECT *, unnest(list_concat(
+    list_transform(list_filter(range(start_ms - start_ms % {interval_ms} + {interval_ms}, last_ms + {gap_ms} - 1, {interval_ms}),
+                               lambda b: b > lo AND b <= hi), lambda b: {{'b': b, 'f': false}}),
+    CASE WHEN last_ms + {gap_ms} - 1 > lo AND last_ms + {gap_ms} - 1 <= hi
+         THEN [{{'b': last_ms + {gap_ms} - 1, 'f': true}}] ELSE [] END)) AS fire
+  FROM k
+)
+SELECT user_id, CAST(start_ms AS BIGINT) AS start_ms, CAST(last_ms + {gap_ms} AS BIGINT) AS end_ms,
+       CAST(fire.b AS BIGINT) AS pane_ms, CAST(songs AS BIGINT) AS songs, fire.f AS is_final
+FROM p
+"""
+
+
 MARKER = "((ts_ms // 1000) % 60) < 2"
 
 
@@ -122,8 +157,8 @@ def _watermark_sql(marker: str) -> str:
     return f"""
 WITH {EV}
 SELECT event_id, arrival_ms, ts_ms,
-       max(CASE WHEN {marker} THEN ts_ms END)
-         OVER (ORDER BY arrival_ms, event_id ROWS UNBOUNDED PRECEDING) AS watermark_ms
+       CASE WHEN arrival_ms IS NOT NULL THEN max(CASE WHEN ({marker}) AND arrival_ms IS NOT NULL THEN ts_ms END)
+         OVER (ORDER BY arrival_ms NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) END AS watermark_ms
 FROM ev
 """
 
@@ -216,12 +251,25 @@ FROM ev
         "listening_runs": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS),
         "split_runs_custom": _runs_sql("device_type = 'Mobile'", DRIVER_GAP_MS),
         "json_roundtrip": f"WITH {EV} SELECT {EV_COLS} FROM ev",
-        "quarantine_bad_events": """
+        "encode_events": f"""
+WITH {EV}
 SELECT event_id,
-       event_id % 97 >= 5 AS is_valid,
-       CASE event_id % 97 WHEN 0 THEN 'malformed' WHEN 1 THEN 'malformed' WHEN 2 THEN 'unknown_type'
-                          WHEN 3 THEN 'bad_enum' WHEN 4 THEN 'missing_field' END AS error
-FROM events
+       '{{"type":"' || type || '","timestamp":' || CAST(ts_ms AS VARCHAR) || ',"userId":"' || user_id
+       || '","eventType":"' || event_type || '","deviceType":"' || device_type || '"'
+       || CASE WHEN type = 'SongEvent' THEN ',"playlistType":"' || playlist_type || '","songid":"' || songid || '"' ELSE '' END
+       || '}}' AS value
+FROM ev
+""",
+        "quarantine_bad_events": f"""
+WITH {EV},
+d AS (
+  SELECT event_id, ts_ms,
+         CASE WHEN event_id % 97 IN (0, 1, 5, 6, 7, 10) THEN 'malformed' WHEN event_id % 97 = 2 THEN 'unknown_type'
+              WHEN event_id % 97 = 3 THEN 'bad_enum' WHEN event_id % 97 = 4 THEN 'missing_field'
+              WHEN event_id % 97 IN (8, 9) AND type = 'SongEvent' THEN 'malformed' END AS error
+  FROM ev
+)
+SELECT event_id, error IS NULL AS is_valid, error, CASE WHEN error IS NULL THEN ts_ms END AS ts_ms FROM d
 """,
         "early_session_panes": _panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
         "punctuated_watermark": _watermark_sql(MARKER),
@@ -264,6 +312,9 @@ FROM events
         "stream_discover_weekly_runs": oracles_base()["discover_weekly_runs"],
         "stream_listening_runs": oracles_base()["listening_runs"],
         "stream_early_panes_final": oracles_base()["session_stats_window"],
+        "stream_early_panes": _stream_panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
+        "stream_jittered_sessions": oracles_base()["session_stats_window"],
+        "stream_jittered_listening_runs": oracles_base()["listening_runs"],
         "stream_incremental_sessions": oracles_base()["session_stats_window"],
         "stream_incremental_listening_runs": oracles_base()["listening_runs"],
         "stream_incremental_discover_weekly_runs": oracles_base()["discover_weekly_runs"],

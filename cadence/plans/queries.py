@@ -100,7 +100,12 @@ def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.decode(wire, on_error="fail").select(*EVENT_COLUMNS)
 
 
-# Damage kinds applied to the wire text of every event with pmod(event_id, 97) < 5.
+def q_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wire text of every event, compared byte for byte."""
+    return codec.encode(load_events(spark, sf_dir))
+
+
+# Damage kinds applied to the wire text of every event with pmod(event_id, 97) < 13.
 def damaged_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     wire = codec.encode(load_events(spark, sf_dir))
     kind = F.pmod(F.col("event_id"), F.lit(97))
@@ -111,6 +116,16 @@ def damaged_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, F.regexp_replace(v, '"type":"[A-Za-z]+"', '"type":"X"'))
         .when(kind == 3, F.regexp_replace(v, '"deviceType":"[A-Za-z]+"', '"deviceType":"Tablet"'))
         .when(kind == 4, F.regexp_replace(v, '"userId":"[^"]*",', ""))
+        # JSON types: a user id that is no string, a song id that is no string (songs only),
+        # a timestamp in quotes; a fraction or an exponent is a number like any other.
+        .when(kind == 5, F.regexp_replace(v, '"userId":"([^"]*)"', '"userId":5'))
+        .when(kind == 6, F.regexp_replace(v, '"userId":"([^"]*)"', '"userId":true'))
+        .when(kind == 7, F.regexp_replace(v, '"userId":"([^"]*)"', '"userId":{"a":1}'))
+        .when(kind == 8, F.regexp_replace(v, '"songid":"([^"]*)"', '"songid":7'))
+        .when(kind == 9, F.regexp_replace(v, '"songid":"([^"]*)"', '"songid":[1]'))
+        .when(kind == 10, F.regexp_replace(v, '"timestamp":([0-9]+)', '"timestamp":"$1"'))
+        .when(kind == 11, F.regexp_replace(v, '"timestamp":([0-9]+)', '"timestamp":$1.5'))
+        .when(kind == 12, F.regexp_replace(v, '"timestamp":([0-9]+)', '"timestamp":$1e0'))
         .otherwise(v)
     )
     return wire.select("event_id", bad.alias("value"))
@@ -119,7 +134,9 @@ def damaged_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_quarantine_bad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with its verdict: error is NULL for good records."""
     flagged = codec.decode(damaged_wire(spark, sf_dir), on_error="flag")
-    return flagged.select("event_id", F.col("error").isNull().alias("is_valid"), "error")
+    return flagged.select(
+        "event_id", F.col("error").isNull().alias("is_valid"), "error", F.when(F.col("error").isNull(), F.col("ts_ms")).alias("ts_ms")
+    )
 
 
 def q_early_session_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,17 +212,17 @@ def q_generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session stats from Spark's own session windows (all JVM)."""
     op = lambda s, delay: SS.stream_session_stats(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
-    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-sessions", in_order=True)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-sessions", by="ts_ms")
 
 
 def q_stream_discover_weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = lambda s, delay: SR.stream_discover_weekly_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
-    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-dw", in_order=True)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-dw", by="ts_ms")
 
 
 def q_stream_listening_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = lambda s, delay: SR.stream_listening_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
-    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-listening", in_order=True)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-listening", by="ts_ms")
 
 
 def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,6 +235,30 @@ def q_stream_early_panes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_early_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pane of the stream, early ones too: five known event-time ranges, one micro-batch
+    each, so a pane holds what was received up to the batch in which it fired."""
+    op = lambda s, delay: stream_early_panes(s, DRIVER_GAP_MS, DRIVER_INTERVAL_MS, watermark_delay_ms=delay)
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-all-panes", by="ts_ms")
+
+
+# These feed the events by arrival time, up to an hour out of order, with no allowance
+# for lateness: an event is late only once its own 12 h window is behind the stream.
+def q_stream_jittered_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = lambda s, delay: SR.stream_sessions_and_runs(
+        s, DRIVER_GAP_MS, SR.default_delimiters(), watermark_delay_ms=delay
+    )
+    events = load_events(spark, sf_dir, with_arrival=True)
+    tagged = replay(spark, events, op, DRIVER_GAP_MS, label="stream-jittered", n_files=8, by="arrival_ms")
+    return SR.sessions_of(tagged, DRIVER_GAP_MS)
+
+
+def q_stream_jittered_listening_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = lambda s, delay: SR.stream_listening_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay)
+    events = load_events(spark, sf_dir, with_arrival=True)
+    return replay(spark, events, op, DRIVER_GAP_MS, label="stream-jittered-runs", n_files=8, by="arrival_ms")
+
+
 # These replay the table in any file order with a watermark delay of the whole span.
 def _incremental(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     op = lambda s, delay: SR.stream_sessions_and_runs(
@@ -253,6 +294,7 @@ def registry() -> dict[str, QueryFn]:
         "listening_runs_heavy_plan": q_listening_runs_heavy_plan,
         "early_session_panes_heavy_plan": q_early_session_panes_heavy_plan,
         "json_roundtrip": q_json_roundtrip,
+        "encode_events": q_encode_events,
         "quarantine_bad_events": q_quarantine_bad_events,
         "early_session_panes": q_early_session_panes,
         "punctuated_watermark": q_punctuated_watermark,
@@ -270,6 +312,9 @@ def registry() -> dict[str, QueryFn]:
         "stream_discover_weekly_runs": q_stream_discover_weekly_runs,
         "stream_listening_runs": q_stream_listening_runs,
         "stream_early_panes_final": q_stream_early_panes_final,
+        "stream_early_panes": q_stream_early_panes,
+        "stream_jittered_sessions": q_stream_jittered_sessions,
+        "stream_jittered_listening_runs": q_stream_jittered_listening_runs,
         "stream_incremental_sessions": q_stream_incremental_sessions,
         "stream_incremental_listening_runs": q_stream_incremental_listening_runs,
         "stream_incremental_discover_weekly_runs": q_stream_incremental_discover_weekly_runs,

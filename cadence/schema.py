@@ -38,7 +38,7 @@ CORRUPT_COLUMN = "_corrupt_record"
 WIRE_SCHEMA = T.StructType(
     [
         T.StructField("type", T.StringType()),
-        T.StructField("timestamp", T.LongType()),
+        T.StructField("timestamp", T.DecimalType(38, 18)),  # any JSON number; whole milliseconds are taken
         T.StructField("userId", T.StringType()),
         T.StructField("eventType", T.StringType()),
         T.StructField("deviceType", T.StringType()),

@@ -38,10 +38,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session (the cluster names it).  Only when it is unset, as in
-    local tests, a fresh temporary folder is created and registered.
+    local tests, a fresh temporary folder is created and registered; on a cluster, where
+    executors cannot see the driver's folders, an unset name is an error.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="cadence-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if not spark.sparkContext.getCheckpointDir():
@@ -49,12 +53,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that Spark itself would use for ``path``, and the path in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = os.path.join(root, f"cadence-{label}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    path = os.path.join(checkpoint_root(spark), f"cadence-{label}-{uuid.uuid4().hex[:12]}")
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p)
     return path
 
 
@@ -88,26 +97,27 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def write_note(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text record; plain file I/O for local paths, Spark's text
-    writer for cluster file systems (``hdfs://``, ``s3a://``, ...)."""
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        with open(tmp, "w") as f:
-            f.write(text)
-        os.replace(tmp, path)
-    else:
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """Write a small text record to whatever file system ``path`` lies on (written aside,
+    then renamed, so a reader never sees half of it)."""
+    fs, p = _file_system(spark, path)
+    _, aside = _file_system(spark, f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"cannot write {path}")
 
 
 def read_note(spark: SparkSession, path: str) -> str | None:
-    if "://" not in path:
-        if not os.path.exists(path):
-            return None
-        with open(path) as f:
-            return f.read()
-    try:
-        row = spark.read.text(path).first()
-    except Exception:  # noqa: BLE001 - a missing record reads as None
+    """The record at ``path``, or None if there is none; other failures are raised."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
         return None
-    return row.value if row else None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

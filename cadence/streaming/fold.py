@@ -1,7 +1,6 @@
 """Vectorized in-order fold of one user's events into sessions and runs (numpy).
 
-The same semantics as ``runs.SessionFold`` (its row-at-a-time reference model),
-computed with array operations: session boundaries from time differences, run
+Computed with array operations (tests hold it against a row-at-a-time model): session boundaries from time differences, run
 boundaries from delimiter flags, segment sums with ``np.add.reduceat``.  Used by
 the Arrow-batched ``transformWithStateInPandas`` operator.
 

@@ -50,6 +50,8 @@ def start_late_event_view(
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         note = read_note(spark, _record(wm_folder, batch_id - 1)) if batch_id > 0 else None
+        if batch_id > 0 and note is None:
+            raise RuntimeError(f"the watermark record of batch {batch_id - 1} is missing under {wm_folder}")
         before = json.loads(note)["watermark_ms"] if note else None
         batch = batch.persist()  # read twice: the late rows and the new watermark
         try:

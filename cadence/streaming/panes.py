@@ -3,17 +3,23 @@
 Per user the state is the list of live sessions ``(start, last, songs, next_fire)``;
 out-of-order input can keep several open at once.  On input, each event opens
 ``[ts, ts + gap]`` and is merged with every live session it touches; a merged
-session keeps the earliest pending fire time.  A new session's first fire time is
-the first multiple of ``interval`` after its first event.
+session keeps the earliest pending fire time (so an event that moves a session's
+start back may bring its first fire forward, but never moves one back).  A new
+session's first fire time is the first multiple of ``interval`` after its first event.
 
-When the watermark passes a fire time, the session's *cumulative* result so far is
+An event is late when its whole window is behind the stream's progress (the largest
+event time less the delay): ``ts + gap - 1 <= progress``.  The engine drops rows at or
+below its watermark, so it is given a delay of ``delay + gap - 1`` ms; progress is its
+watermark plus ``gap - 1``, and panes fire by progress, no later than before.
+
+When progress passes a fire time, the session's *cumulative* result so far is
 emitted and the next fire time is one interval later; a timer that fires inside
 the handler is only re-armed for the next micro-batch, so the handler emits every
-boundary already due in one call.  When the watermark reaches ``end - 1``
+boundary already due in one call.  When progress reaches ``end - 1``
 (end = last + gap) the final pane is emitted once and the session is dropped.
 
 Only the final pane of each session is comparable with the batch operator: what
-an early pane holds depends on how far the watermark jumped between batches.
+an early pane holds depends on how far progress jumped between batches.
 """
 
 from __future__ import annotations
@@ -38,46 +44,46 @@ def _first_fire(ts: int, interval: int) -> int:
     return ts - ts % interval + interval  # Python % is a floor modulo (pmod)
 
 
-def merge_interval(sessions: list[list[int]], new: list[int], gap: int) -> list[list[int]]:
-    """Insert one interval ``[start, last, songs, next_fire]`` into the live sessions,
-    merging every session it touches (transitively)."""
-    merged = list(new)
-    keep = list(sessions)
-    changed = True
-    while changed:
-        changed = False
-        rest = []
-        for s in keep:
-            if s[0] <= merged[1] + gap and merged[0] <= s[1] + gap:
-                merged = [min(merged[0], s[0]), max(merged[1], s[1]), merged[2] + s[2], min(merged[3], s[3])]
-                changed = True
-            else:
-                rest.append(s)
-        keep = rest
-    keep.append(merged)
-    keep.sort()
-    return keep
-
-
-def merge_event(sessions: list[list[int]], ts: int, song: int, gap: int, interval: int) -> list[list[int]]:
-    """Insert one event (an interval of one point)."""
-    return merge_interval(sessions, [ts, ts, song, _first_fire(ts, interval)], gap)
-
-
-def merge_batch(sessions: list[list[int]], ts: np.ndarray, song: np.ndarray, gap: int, interval: int) -> list[list[int]]:
-    """Insert a batch: group its sorted events by gaps (vectorized), then merge the
-    few resulting intervals.  Touching intervals are exactly the sessions that
-    inserting the events one by one would merge."""
+def merge_event(
+    sessions: list[list[int]], ts: int, song: int, gap: int, interval: int, merge_touching: bool = True
+) -> list[list[int]]:
+    """Insert one event (the reference model of ``merge_batch``): it joins every live
+    session it touches, and sessions it connects become one."""
+    merged, rest = [ts, ts, song, _first_fire(ts, interval)], []
+    reach = gap if merge_touching else gap - 1
+    for s in sessions:
+        if s[0] <= ts + reach and ts <= s[1] + reach:
+            merged = [min(merged[0], s[0]), max(merged[1], s[1]), merged[2] + s[2], min(merged[3], s[3])]
+        else:
+            rest.append(s)
+    return sorted([*rest, merged])
+
+
+def merge_batch(
+    sessions: list[list[int]], ts: np.ndarray, song: np.ndarray, gap: int, interval: int, merge_touching: bool = True
+) -> list[list[int]]:
+    """Insert a batch of events: live sessions and events are intervals in one sorted
+    order, and a new session starts where an interval begins more than one gap (at
+    least one gap in the strict reading) after everything before it.  One sort and a
+    few array passes, however many sessions a user has."""
     if len(ts) == 0:
         return sessions
-    order = np.argsort(ts, kind="stable")
-    ts, song = np.asarray(ts, dtype=np.int64)[order], np.asarray(song, dtype=np.int64)[order]
-    starts = np.flatnonzero(np.r_[True, np.diff(ts) > gap])
-    lasts = np.append(starts[1:], len(ts)) - 1
-    songs = np.add.reduceat(song, starts)
-    for a, b, n in zip(ts[starts].tolist(), ts[lasts].tolist(), songs.tolist()):
-        sessions = merge_interval(sessions, [a, b, n, _first_fire(a, interval)], gap)
-    return sessions
+    ts = np.asarray(ts, dtype=np.int64)
+    live = np.array(sessions, dtype=np.int64).reshape(-1, 4)
+    new = np.column_stack([ts, ts, np.asarray(song, dtype=np.int64), ts - ts % interval + interval])
+    rows = np.concatenate([live, new])
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    reached = np.maximum.accumulate(rows[:, 1])
+    apart = rows[1:, 0] - reached[:-1]
+    first = np.flatnonzero(np.r_[True, apart > gap if merge_touching else apart >= gap])
+    return np.column_stack(
+        [
+            rows[first, 0],
+            np.maximum.reduceat(rows[:, 1], first),
+            np.add.reduceat(rows[:, 2], first),
+            np.minimum.reduceat(rows[:, 3], first),
+        ]
+    ).tolist()
 
 
 def due_panes(user: str, sessions: list[list[int]], watermark: int, gap: int, interval: int):
@@ -111,9 +117,10 @@ def next_timer(sessions: list[list[int]], gap: int) -> int | None:
 class EarlyPanesProcessor(StatefulProcessor):
     """Arrow-batched (``transformWithStateInPandas``) early-pane operator."""
 
-    def __init__(self, gap_ms: int, interval_ms: int):
+    def __init__(self, gap_ms: int, interval_ms: int, merge_touching: bool = True):
         self.gap = gap_ms
         self.interval = interval_ms
+        self.touching = merge_touching
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -127,21 +134,23 @@ class EarlyPanesProcessor(StatefulProcessor):
             self.handle.deleteTimer(t)
         if sessions:
             self.state.put([tuple(s) for s in sessions])
-            self.handle.registerTimer(next_timer(sessions, self.gap))
+            # The engine's watermark runs gap - 1 ms behind the stream's progress.
+            self.handle.registerTimer(max(1, next_timer(sessions, self.gap) - (self.gap - 1)))
         else:
             self.state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        if len(batch):
+        sessions = before = self._load()
+        for part in rows:  # Arrow chunk by Arrow chunk
             sessions = merge_batch(
-                self._load(), batch["ts_ms"].to_numpy(), batch["song"].to_numpy(), self.gap, self.interval
+                sessions, part["ts_ms"].to_numpy(), part["song"].to_numpy(), self.gap, self.interval, self.touching
             )
+        if sessions is not before:
             self._store(sessions)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
+        watermark = timerValues.getCurrentWatermarkInMs() + self.gap - 1
         cols, live = due_panes(key[0], self._load(), watermark, self.gap, self.interval)
         self._store(live)
         if not cols["pane_ms"]:
@@ -152,7 +161,9 @@ class EarlyPanesProcessor(StatefulProcessor):
         pass
 
 
-def stream_early_panes(events: DataFrame, gap_ms: int, interval_ms: int, *, watermark_delay_ms: int = 0) -> DataFrame:
+def stream_early_panes(
+    events: DataFrame, gap_ms: int, interval_ms: int, *, watermark_delay_ms: int = 0, merge_touching: bool = True
+) -> DataFrame:
     """``(user_id, start_ms, end_ms, pane_ms, songs, is_final)`` per fire.
 
     Needs the RocksDB state store provider (set on the session before start)."""
@@ -160,12 +171,12 @@ def stream_early_panes(events: DataFrame, gap_ms: int, interval_ms: int, *, wate
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    ev = with_event_time(events, watermark_delay_ms).select(
+    ev = with_event_time(events, watermark_delay_ms + gap_ms - 1).select(
         "user_id", "ts_ms", "event_id", song_flag().alias("song"), EVENT_TIME
     )
     return ev.groupBy("user_id").transformWithStateInPandas(
-        EarlyPanesProcessor(gap_ms, interval_ms), PANE_SCHEMA, "Append", "EventTime"
+        EarlyPanesProcessor(gap_ms, interval_ms, merge_touching), PANE_SCHEMA, "Append", "EventTime"
     )
 
 
-__all__ = ["stream_early_panes", "EarlyPanesProcessor", "merge_batch", "merge_event", "merge_interval", "due_panes"]
+__all__ = ["stream_early_panes", "EarlyPanesProcessor", "merge_batch", "merge_event", "due_panes"]

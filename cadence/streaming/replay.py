@@ -1,13 +1,14 @@
 """Replay a batch of events through a real file stream (tests and driver queries).
 
-The events are encoded to wire JSON and written as several parquet files of
-``(event_id, value)`` under the shared checkpoint folder; the streaming operator
-reads them one file per micro-batch, so sessions are merged across batches in
-the state store.  The watermark delay is set to the data's time span, so no
-file order can make an event late; after the data has been read, two sentinel
+The events are encoded to wire JSON once, into files of ``(event_id, value)`` under the
+shared checkpoint folder; the streaming operator reads them in several micro-batches,
+so sessions are merged across batches in the state store.  After the data, two sentinel
 files (one synthetic user far in the future) push the watermark past every session, and
-the sentinel user is removed *after* the sink (a filter on the key inside the
-streaming plan would be pushed below the watermark and stop it moving).
+the sentinel user is removed *after* the sink (a filter on the key inside the streaming
+plan would be pushed below the watermark and stop it moving).
+
+The stream runs in a session of its own (same cluster, own settings), whose number of
+state partitions follows the number of rows; the caller's settings are not touched.
 """
 
 from __future__ import annotations
@@ -19,28 +20,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions import codec
+from cadence.functions.predicates import floor_div
 from cadence.session import scratch_path
 from cadence.streaming.sinks import start_sink
 from cadence.streaming.sources import read_event_stream
 
 SENTINEL_USER = "~sentinel"
+ROWS_PER_PARTITION = 1_000_000  # rows of a written file, and of a state partition
+
+
+def _sentinel(spark: SparkSession, ts_ms: int) -> DataFrame:
+    """One search event of the sentinel user."""
+    text = '{"type":"SearchEvent","timestamp":%d,"userId":"%s","eventType":"SearchSong","deviceType":"Desktop"}'
+    return spark.range(1).select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(text % (ts_ms, SENTINEL_USER)).alias("value"))
 
 
-def _sentinel(events: DataFrame, offset_ms: int) -> DataFrame:
-    """One search event of the sentinel user, ``offset_ms`` after the last event."""
-    last = events.agg(F.max("ts_ms").alias("m"))
-    return codec.encode(
-        last.select(
-            F.lit(-1).cast("bigint").alias("event_id"),
-            F.lit(SENTINEL_USER).alias("user_id"),
-            (F.col("m") + F.lit(offset_ms)).alias("ts_ms"),
-            F.lit("SearchEvent").alias("type"),
-            F.lit("SearchSong").alias("event_type"),
-            F.lit("Desktop").alias("device_type"),
-            F.lit(None).cast("string").alias("playlist_type"),
-            F.lit(None).cast("string").alias("songid"),
-        )
-    )
+def equal_ranges(col: str, lo: int, hi: int, n: int):
+    """Number (0 to n - 1) of the range of ``col`` among ``n`` equally wide ones of lo..hi."""
+    return F.least(floor_div((F.col(col) - F.lit(lo)) * F.lit(n), hi - lo + 1), F.lit(n - 1))
 
 
 def replay(
@@ -51,71 +48,62 @@ def replay(
     *,
     n_files: int = 5,
     label: str = "replay",
-    in_order: bool = False,
+    by: str | None = None,
 ) -> DataFrame:
     """Run ``operator(stream, watermark_delay_ms)`` over ``events`` as a stream; return
     the sink's rows (sentinel user removed) as a batch DataFrame.
 
-    ``in_order=False``: files in any order, one micro-batch each, watermark delay =
-    the data's time span (nothing can be late; sessions close at the sentinels).
-    ``in_order=True``: ``n_files`` consecutive event-time ranges, each written and
-    processed as one micro-batch before the next is written, watermark delay 0, so
-    the watermark advances and sessions close progressively, as on a live stream."""
-    root = scratch_path(spark, label)
-    inp, out, ckpt = (os.path.join(root, d) for d in ("input", "output", "checkpoint"))
-
-    span = events.agg(F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi")).first()
-    if in_order:
-        delay = 0
-        options: dict[str, str] = {}  # a whole range per micro-batch
-    else:
-        delay = int(span["hi"] - span["lo"]) + gap_ms + 1 if span["hi"] is not None else 0
-        options = {"maxFilesPerTrigger": "1"}
+    ``by=None``: about ``n_files`` micro-batches in any order, watermark delay = the data's
+    time span (nothing can be late; sessions close at the sentinels).
+    ``by`` a column (``ts_ms``, ``arrival_ms``): ``n_files`` equally wide ranges of it, one
+    micro-batch each and in order, watermark delay 0, so the watermark advances and
+    sessions close progressively, as on a live stream.
 
+    The events are read twice: once for their bounds, once to be written."""
+    root = scratch_path(spark, label)
+    staged, inp, out, ckpt = (os.path.join(root, d) for d in ("staged", "input", "output", "checkpoint"))
+    order = by or "ts_ms"
+    b = events.agg(F.count(F.lit(1)), F.min("ts_ms"), F.max("ts_ms"), F.min(order), F.max(order)).first()
+    n, first, last, lo, hi = (int(x) if x is not None else 0 for x in b)
+    files = max(n_files, -(-n // ROWS_PER_PARTITION))
+    options = {} if by else {"maxFilesPerTrigger": str(-(-files // n_files))}
+    delay = 0 if by else last - first + gap_ms + 1
+
+    session = spark.newSession()
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = max(min(wanted, spark.sparkContext.defaultParallelism), -(-n // ROWS_PER_PARTITION))
+    session.conf.set("spark.sql.shuffle.partitions", str(state))
     built: list[DataFrame] = []
-    # A replay streams a table the driver already holds, so its stateful operators
-    # get one state partition per core rather than the session's (possibly large)
-    # shuffle partition count; the number is fixed by the first run of the stream.
-    conf_key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(conf_key)
-    spark.conf.set(conf_key, str(max(1, min(int(previous), spark.sparkContext.defaultParallelism))))
 
     def run() -> None:
         if not built:  # the source folder must exist first: build after the first write
-            built.append(operator(read_event_stream(spark, "parquet", path=inp, options=options), delay))
+            built.append(operator(read_event_stream(session, "parquet", path=inp, options=options), delay))
         q = start_sink(built[0], "parquet", ckpt, path=out, available_now=True)
         q.awaitTermination()
         if q.exception():
             raise q.exception()
 
-    try:
-        _feed(spark, events, inp, run, span, n_files, in_order, delay, gap_ms)
-    finally:
-        spark.conf.set(conf_key, previous)
-    return spark.read.parquet(out).filter(F.col("user_id") != F.lit(SENTINEL_USER))
-
-
-def _feed(spark, events, inp, run, span, n_files, in_order, delay, gap_ms) -> None:
-    """Write the data (and then the sentinels) and run the stream after each step."""
-    if in_order and span["hi"] is not None:
-        wire = codec.encode(events, keep=("event_id", "ts_ms"))
-        # Range boundaries from quantiles of event time; each range is its own run.
-        cuts = events.approxQuantile("ts_ms", [k / n_files for k in range(1, n_files)], 0.001)
-        edges = [span["lo"]] + sorted({int(c) for c in cuts if span["lo"] < c <= span["hi"]}) + [span["hi"] + 1]
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            chunk = wire.filter((F.col("ts_ms") >= F.lit(lo)) & (F.col("ts_ms") < F.lit(hi))).drop("ts_ms")
-            chunk.write.mode("append").parquet(inp)
-            run()
+    if by and n:
+        wire = codec.encode(events.withColumn("_r", equal_ranges(by, lo, hi, n_files)), keep=("event_id", "_r"))
+        wire.write.partitionBy("_r").parquet(staged)
+        ranges = spark.read.parquet(staged)
+        for r in range(n_files):
+            # Reads one folder; a range without events starts no micro-batch.
+            part = ranges.where(F.col("_r") == r).select("event_id", "value")
+            if not part.isEmpty():
+                part.write.mode("append").parquet(inp)
+                run()
     else:
-        codec.encode(events).repartition(n_files).write.mode("append").parquet(inp)
+        codec.encode(events).repartition(files).write.mode("append").parquet(inp)
         run()
     # Two sentinel files, one micro-batch each: the first moves the watermark past every
     # session, the second guarantees a later batch that emits them.  Their order does
     # not matter (a sentinel behind the watermark is dropped and the other still moves
     # it).  With one file per batch both go into one run; otherwise one run each.
     for k in (1, 2):
-        _sentinel(events, k * (delay + 2 * gap_ms + 1)).coalesce(1).write.mode("append").parquet(inp)
-        if in_order:
+        _sentinel(spark, last + k * (delay + 2 * gap_ms + 1)).coalesce(1).write.mode("append").parquet(inp)
+        if by or options.get("maxFilesPerTrigger") != "1":
             run()
-    if not in_order:
+    if not by:
         run()
+    return spark.read.parquet(out).filter(F.col("user_id") != F.lit(SENTINEL_USER))

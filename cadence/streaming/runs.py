@@ -13,6 +13,12 @@ A run is emitted when a delimiter or the session end closes it; a session when a
 later event is more than one gap after its last event, or when the watermark
 reaches ``last + gap``.  Results equal the batch operator's.
 
+Lateness.  The engine drops every row at or below its watermark before the operator
+sees it, while an event is late only when its whole window ``[ts, ts + gap)`` is
+behind the stream's progress: ``ts + gap - 1 <= max event time - delay``.  The
+operator therefore asks the engine for a delay of ``delay + gap - 1`` ms, which makes
+the two tests the same; results come out that much later.
+
 Output: ``kind`` ('session' or the delimiter's name), ``user_id``,
 ``session_start_ms``, ``start_ms``, ``end_ms`` (last event), ``songs``.
 """
@@ -37,54 +43,6 @@ OUT_SCHEMA = "kind STRING, user_id STRING, session_start_ms BIGINT, start_ms BIG
 SESSION = "session"
 
 
-class SessionFold:
-    """In-order fold of one user's events into sessions and runs, one event at a time.
-
-    The reference model of ``cadence.streaming.fold.fold_arrays`` (the vectorized
-    fold the operator runs); tests check that the two agree."""
-
-    def __init__(self, gap: int, n_delims: int, merge_touching: bool = True):
-        self.gap, self.n, self.touching = gap, n_delims, merge_touching
-
-    def splits(self, delta: int) -> bool:
-        return delta > self.gap if self.touching else delta >= self.gap
-
-    def close_runs(self, sess: list, out: list, names: list[str]) -> None:
-        for k in range(self.n):
-            r = 3 + 3 * k
-            if sess[r] is not None:
-                out.append((names[k], sess[0], sess[r], sess[r + 1], sess[r + 2]))
-                sess[r] = sess[r + 1] = sess[r + 2] = None
-
-    def close(self, sess: list, out: list, names: list[str]) -> None:
-        self.close_runs(sess, out, names)
-        out.append((SESSION, sess[0], sess[0], sess[1], sess[2]))
-
-    def fold(self, sess: list | None, events: list[tuple], names: list[str]) -> tuple[list | None, list]:
-        """events sorted by (ts, eid): (ts, eid, song, delim_0, ..., delim_{n-1})."""
-        out: list = []
-        for e in events:
-            ts, song, delims = e[0], e[2], e[3:]
-            if sess is not None and self.splits(ts - sess[1]):
-                self.close(sess, out, names)
-                sess = None
-            if sess is None:
-                sess = [ts, ts, 0] + [None, None, None] * self.n
-            sess[1] = ts
-            sess[2] += song
-            for k in range(self.n):
-                r = 3 + 3 * k
-                if delims[k]:
-                    if sess[r] is not None:
-                        out.append((names[k], sess[0], sess[r], sess[r + 1], sess[r + 2]))
-                        sess[r] = sess[r + 1] = sess[r + 2] = None
-                elif sess[r] is None:
-                    sess[r], sess[r + 1], sess[r + 2] = ts, ts, 1
-                else:
-                    sess[r + 1], sess[r + 2] = ts, sess[r + 2] + 1
-        return sess, out
-
-
 class IncrementalRunsProcessor(StatefulProcessor):
     """Arrow-batched (``transformWithStateInPandas``) processor over ``fold_arrays``.
 
@@ -141,15 +99,22 @@ class IncrementalRunsProcessor(StatefulProcessor):
         return want
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        if len(batch) == 0:
-            return iter([])
         sess, armed, ts, eid, song, delim = self._load()
-        ts = np.concatenate([ts, batch["ts_ms"].to_numpy(dtype=np.int64)])
-        eid = np.concatenate([eid, batch["event_id"].fillna(0).to_numpy(dtype=np.int64)])
-        song = np.concatenate([song, batch["song"].to_numpy(dtype=np.int64)])
-        new_delim = np.vstack([batch[f"delim_{k}"].to_numpy(dtype=bool) for k in range(self.n)]) if self.n else np.empty((0, len(batch)), bool)
-        delim = np.concatenate([delim, new_delim], axis=1)
+        parts = [(ts, eid, song, delim)]
+        for part in rows:  # Arrow chunk by Arrow chunk; only four narrow arrays are kept
+            flags = [part[f"delim_{k}"].to_numpy(dtype=bool) for k in range(self.n)]
+            parts.append(
+                (
+                    part["ts_ms"].to_numpy(dtype=np.int64),
+                    part["event_id"].fillna(0).to_numpy(dtype=np.int64),
+                    part["song"].to_numpy(dtype=np.int64),
+                    np.vstack(flags) if flags else np.empty((0, len(part)), bool),
+                )
+            )
+        ts, eid, song = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        delim = np.concatenate([p[3] for p in parts], axis=1)
+        if sess is None and len(ts) == 0:
+            return iter([])
         timer = self._rearm(armed, sess, ts)
         self._save(sess, timer, ts, eid, song, delim)
         return iter([])
@@ -189,13 +154,16 @@ def stream_sessions_and_runs(
     watermark_delay_ms: int = 0,
     merge_touching: bool = True,
 ) -> DataFrame:
-    """Closed sessions and runs of every delimiter, as rows tagged by ``kind``."""
+    """Closed sessions and runs of every delimiter, as rows tagged by ``kind``.
+
+    ``watermark_delay_ms`` is the lateness allowed beyond an event's own window (see
+    the module doc for the delay the engine is given)."""
     spark = events.sparkSession
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     names = list(delimiters)
-    ev = with_event_time(events, watermark_delay_ms).select(
+    ev = with_event_time(events, watermark_delay_ms + gap_ms - 1).select(
         "user_id",
         "ts_ms",
         "event_id",

@@ -19,30 +19,47 @@ from cadence.functions import codec
 WIRE_FILE_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.StringType())])
 
 
-def read_wire_stream(
-    spark: SparkSession,
-    fmt: str,
-    *,
-    path: str | None = None,
-    topic: str = "songs",
-    options: dict[str, str] | None = None,
-) -> DataFrame:
-    reader = spark.readStream.options(**(options or {}))
+def _wire(raw: DataFrame, fmt: str) -> DataFrame:
+    """``(event_id, value)`` of what a source delivers."""
     if fmt == "kafka":
-        raw = reader.format("kafka").option("subscribe", topic).load()
         return raw.select(
             (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("event_id"),
             F.col("value").cast("string").alias("value"),
         )
+    if fmt == "text":
+        return raw.select(F.lit(None).cast("bigint").alias("event_id"), F.col("value"))
+    return raw
+
+
+def _load(reader, fmt: str, path: str | None, topic: str) -> DataFrame:
+    if fmt == "kafka":
+        return _wire(reader.format("kafka").option("subscribe", topic).load(), fmt)
     if fmt == "parquet":
-        return reader.schema(WIRE_FILE_SCHEMA).parquet(path)
+        return _wire(reader.schema(WIRE_FILE_SCHEMA).parquet(path), fmt)
     if fmt == "text":
-        return reader.text(path).select(F.lit(None).cast("bigint").alias("event_id"), F.col("value"))
+        return _wire(reader.text(path), fmt)
     raise ValueError("fmt must be 'kafka', 'parquet' or 'text'")
 
 
+def read_wire_stream(
+    spark: SparkSession, fmt: str, *, path: str | None = None, topic: str = "songs", options: dict[str, str] | None = None
+) -> DataFrame:
+    return _load(spark.readStream.options(**(options or {})), fmt, path, topic)
+
+
+def read_wire_batch(
+    spark: SparkSession, fmt: str, *, path: str | None = None, topic: str = "songs", options: dict[str, str] | None = None
+) -> DataFrame:
+    """What is stored now (for Kafka: from the earliest to the latest offset)."""
+    return _load(spark.read.options(**(options or {})), fmt, path, topic)
+
+
 def read_event_stream(spark: SparkSession, fmt: str, *, on_error: str = "fail", **kw) -> DataFrame:
-    """Decoded, validated event stream (normalized columns)."""
+    """Decoded, validated event stream (normalized columns).
+
+    ``on_error``: ``fail`` stops the query at an invalid record; ``drop`` leaves invalid
+    records out (``codec.decode`` on the wire stream gives them with their reasons)."""
     wire = read_wire_stream(spark, fmt, **kw)
-    out = codec.decode(wire, on_error=on_error)
-    return out
+    if on_error == "drop":
+        return codec.decode(wire, on_error="quarantine")[0]
+    return codec.decode(wire, on_error=on_error)

@@ -82,3 +82,54 @@ def watermarks(rows_with_arrival, marker, inclusive=True):
         if inclusive:
             out[eid] = wm
     return out
+
+
+SESSION = "session"
+
+
+class SessionFold:
+    """In-order fold of one user's events into sessions and runs, one event at a time.
+
+    The model of ``cadence.streaming.fold.fold_arrays`` (the vectorized fold the
+    stream operator runs)."""
+
+    def __init__(self, gap: int, n_delims: int, merge_touching: bool = True):
+        self.gap, self.n, self.touching = gap, n_delims, merge_touching
+
+    def splits(self, delta: int) -> bool:
+        return delta > self.gap if self.touching else delta >= self.gap
+
+    def close_runs(self, sess: list, out: list, names: list[str]) -> None:
+        for k in range(self.n):
+            r = 3 + 3 * k
+            if sess[r] is not None:
+                out.append((names[k], sess[0], sess[r], sess[r + 1], sess[r + 2]))
+                sess[r] = sess[r + 1] = sess[r + 2] = None
+
+    def close(self, sess: list, out: list, names: list[str]) -> None:
+        self.close_runs(sess, out, names)
+        out.append((SESSION, sess[0], sess[0], sess[1], sess[2]))
+
+    def fold(self, sess: list | None, events: list[tuple], names: list[str]) -> tuple[list | None, list]:
+        """events sorted by (ts, eid): (ts, eid, song, delim_0, ..., delim_{n-1})."""
+        out: list = []
+        for e in events:
+            ts, song, delims = e[0], e[2], e[3:]
+            if sess is not None and self.splits(ts - sess[1]):
+                self.close(sess, out, names)
+                sess = None
+            if sess is None:
+                sess = [ts, ts, 0] + [None, None, None] * self.n
+            sess[1] = ts
+            sess[2] += song
+            for k in range(self.n):
+                r = 3 + 3 * k
+                if delims[k]:
+                    if sess[r] is not None:
+                        out.append((names[k], sess[0], sess[r], sess[r + 1], sess[r + 2]))
+                        sess[r] = sess[r + 1] = sess[r + 2] = None
+                elif sess[r] is None:
+                    sess[r], sess[r + 1], sess[r + 2] = ts, ts, 1
+                else:
+                    sess[r + 1], sess[r + 2] = ts, sess[r + 2] + 1
+        return sess, out

@@ -12,8 +12,8 @@ REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def test_flags_map_to_options():
     args = _parser().parse_args(["analyze", "broker:9092", "--session-gap", "30", "--no-discover-weekly", "--dialect", "span"])
     o = options_from(args)
-    assert (o.session_gap_s, o.discover_weekly, o.subsession_stats, o.duration, o.early_panes) == (30, False, True, "span", False)
-    assert options_from(_parser().parse_args(["analyze"])).early_panes is True
+    assert (o.session_gap_s, o.discover_weekly, o.subsession_stats, o.dialect, o.panes) == (30, False, True, "span", False)
+    assert options_from(_parser().parse_args(["analyze"])).panes is True
     legacy = options_from(_parser().parse_args(["analyze", "kafka:9092", "--nodiscover-weekly", "--nosession-stats"]))
     assert (legacy.discover_weekly, legacy.session_stats, legacy.subsession_stats) == (False, False, True)
 

@@ -103,3 +103,20 @@ def test_iso_instant_matches_python(spark, ms):
     t = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(milliseconds=ms)
     frac = "" if ms % 1000 == 0 else f".{ms % 1000:03d}"
     assert got == t.strftime("%Y-%m-%dT%H:%M:%S") + frac + "Z"
+
+
+SONG = '{"type":"SongEvent","timestamp":%s,"userId":%s,"eventType":"EndSong","deviceType":"Mobile","playlistType":"DailyMix","songid":%s}'
+
+
+def test_json_types_are_checked(spark):
+    cases = [
+        (SONG % ("7", '"u"', '"s"'), None, 7), (SONG % ("7", "5", '"s"'), "malformed", None), (SONG % ("7", "true", '"s"'), "malformed", None),
+        (SONG % ("7", '{"a":1}', '"s"'), "malformed", None), (SONG % ("7", "[]", '"s"'), "malformed", None), (SONG % ("7", "null", '"s"'), "missing_field", None),
+        (SONG % ("7", '"u"', "5"), "malformed", None), (SONG % ("7", '"u"', "false"), "malformed", None), (SONG % ("7", '"u"', '{"a":1}'), "malformed", None),
+        (SONG % ("1.5", '"u"', '"s"'), None, 1), (SONG % ("-1.5", '"u"', '"s"'), None, -1), (SONG % ("1e3", '"u"', '"s"'), None, 1000),
+        (SONG % ('"7"', '"u"', '"s"'), "malformed", None), (SONG % ("true", '"u"', '"s"'), "malformed", None), (SONG % ("1e19", '"u"', '"s"'), "malformed", None),
+        ((SONG % ("7", '"u"', "5")).replace("SongEvent", "SearchEvent"), None, 7),  # a search has no song fields
+    ]
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(cases)], "event_id long, value string")
+    got = codec.decode(df, on_error="flag").orderBy("event_id").collect()
+    assert [(r.error, r.ts_ms if r.error is None else None) for r in got] == [(e, t) for _, e, t in cases]

@@ -5,8 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from brute import SessionFold
 from cadence.streaming.fold import fold_arrays
-from cadence.streaming.runs import SessionFold
 
 NAMES = ["a", "b"]
 

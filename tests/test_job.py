@@ -1,7 +1,11 @@
 """Job layer: batch analyze() with toggles, messages, and the streaming job."""
 
+import itertools
 import os
+import subprocess
+import sys
 
+import pytest
 from conftest import search, song
 from pyspark.sql import functions as F
 
@@ -15,6 +19,7 @@ from cadence.sources.driver_table import load_events
 from cadence.streaming.sources import read_event_stream
 
 SF = "/root/testdata/sf0.001"
+SF_REPO = os.path.dirname(os.path.abspath(__file__))
 OPTS = JobOptions(session_gap_s=DRIVER_GAP_MS // 1000, trigger_interval_s=10_800)
 
 
@@ -40,9 +45,9 @@ def test_analyze_materialized_and_toggles(spark):
 def test_messages_both_dialects(spark, make_events):
     ev = make_events([song(1_000, 0, playlist="DiscoverWeekly"), song(2_000, 1, playlist="DiscoverWeekly"), search(3_500, 2)])
     res = job.analyze(ev, JobOptions(early_panes=False))
-    res_span = job.analyze(ev, JobOptions(early_panes=False, duration="span"))
-    win = {k: [r.value for r in v.collect()] for k, v in job.messages(res, "window").items()}
-    span = {k: [r.value for r in v.collect()] for k, v in job.messages(res_span, "span").items()}
+    res_span = job.analyze(ev, JobOptions(dialect="span"))
+    win = {k: [r.value for r in v.collect()] for k, v in job.messages(res).items()}
+    span = {k: [r.value for r in v.collect()] for k, v in job.messages(res_span, JobOptions(dialect="span")).items()}
     assert win["session_stats"] == [
         "User: 1 session took 22 seconds and 2 songs\n            starting at 1970-01-01T00:00:01Z and ending at "
         "1970-01-01T00:00:23.500Z."
@@ -124,3 +129,63 @@ def test_write_batch_results_rows(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(written["session_stats"]).select(
         "user_id", "start_ms", "end_ms", "duration_s", "songs").collect())
     assert got == rows(q_session_stats_window(spark, SF))
+
+
+@pytest.mark.parametrize("dialect", ["window", "span"])
+@pytest.mark.parametrize("toggles", list(itertools.product([True, False], repeat=4)))
+def test_every_combination_of_toggles_and_dialect(make_events, dialect, toggles):
+    stats, dw, sub, panes = toggles
+    opts = JobOptions(session_stats=stats, discover_weekly=dw, subsession_stats=sub, early_panes=panes, dialect=dialect)
+    out = job.messages(job.analyze(make_events([song(1_000, 0, playlist="DiscoverWeekly"), search(3_500, 2)]), opts), opts)
+    want = {n for n, on in (("session_stats", stats), ("discover_weekly", dw), ("subsessions", sub)) if on}
+    want |= {"session_panes"} if stats and panes and dialect == "window" else set()
+    assert set(out) == want and all(df.columns == ["value"] for df in out.values())
+
+
+def test_unknown_dialect_is_refused():
+    with pytest.raises(ValueError):
+        JobOptions(dialect="other")
+
+
+@pytest.mark.parametrize("n", [30, 1000])
+def test_console_prints_every_row_whole(tmp_path, n):
+    """Batch and stream console output, read from the process that prints it."""
+    script = tmp_path / "console.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {os.path.dirname(SF_REPO)!r})\n"
+        "from cadence.session import build_spark\n"
+        "from cadence.plans import job\n"
+        "from cadence.streaming.sinks import start_sink\n"
+        "from pyspark.sql import functions as F\n"
+        "spark = build_spark('local[2]', shuffle_partitions=2)\n"
+        f"df = spark.range({n}).select(F.concat(F.lit('row-'), 'id', F.lit('-' + 'x' * 60)).alias('value'))\n"
+        "job._write_batch(df.select(F.concat(F.lit('batch-'), 'value').alias('value')), 'console', '', 0, {})\n"
+        f"df.write.text({str(tmp_path / 'in')!r})\n"
+        f"stream = spark.readStream.text({str(tmp_path / 'in')!r}).select(F.concat(F.lit('stream-'), 'value'))\n"
+        f"start_sink(stream, 'console', {str(tmp_path / 'ck')!r}, available_now=True).awaitTermination()\n"
+    )
+    done = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    printed = (done.stdout + done.stderr).splitlines()
+    for kind in ("batch", "stream"):
+        lines = [x for x in printed if x.startswith(f"{kind}-row-")]
+        assert sorted(lines) == sorted(f"{kind}-row-{i}-" + "x" * 60 for i in range(n))
+
+
+def test_quarantine_in_the_stream_source(spark):
+    root = scratch_path(spark, "bad-text")
+    spark.createDataFrame([('{"type":"SearchEvent","timestamp":5,"userId":"u","eventType":"NextSong","deviceType":"Mobile"}',), ("{bad",)], "value string").coalesce(1).write.text(os.path.join(root, "in"))
+    ev = read_event_stream(spark, "text", path=os.path.join(root, "in"), on_error="drop")
+    ev.writeStream.format("memory").queryName("bad_text_test").trigger(availableNow=True).start().awaitTermination()
+    assert [r.ts_ms for r in spark.sql("SELECT * FROM bad_text_test").collect()] == [5]
+
+
+def test_watermark_note_is_required_after_the_first_batch(spark):
+    from cadence.session import read_note, write_note
+
+    path = os.path.join(scratch_path(spark, "notes"), "a", "note.json")
+    assert read_note(spark, path) is None
+    write_note(spark, path, "é1")
+    write_note(spark, path, "é2")
+    assert read_note(spark, path) == "é2"

@@ -76,6 +76,19 @@ def test_watermarks_against_brute_force(spark, width):
             assert got == brute.watermarks(rows, m, inclusive), (mode, inclusive)
 
 
+@pytest.mark.parametrize("target", [None, 20])
+def test_events_without_an_arrival_stay(spark, target):
+    """They keep their place in the result, with a NULL watermark, and move no watermark."""
+    rows = [(eid, ts, None if eid % 10 == 0 else arrival) for eid, ts, arrival in _arrival_rows(6)]
+    df = spark.createDataFrame(rows, "event_id long, ts_ms long, arrival_ms long")
+    want = brute.watermarks([r for r in rows if r[2] is not None], lambda ts: True, True) | {r[0]: None for r in rows if r[2] is None}
+    for width in (None, 60_000):
+        kw = {"width_ms": width} | ({"target_rows": target} if target else {})
+        got = {r.event_id: r.watermark_ms for r in WM.max_watermark(df, **kw).collect()}
+        assert got == want
+        assert WM.flag_late_events(df, 1_000, "max", **kw).filter("arrival_ms IS NULL AND is_late").count() == 0
+
+
 def test_late_flag(spark):
     # arrival order: ts 100 s, ts 200 s (marker-free, max mode), then ts 150 s and 170 s.
     rows = [(0, 100_000, 1), (1, 200_000, 2), (2, 150_000, 3), (3, 185_000, 4)]

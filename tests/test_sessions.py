@@ -116,3 +116,43 @@ def test_negative_times_and_ties(make_events, bucketing):
     assert stats(runs_from(ann, "l")) == brute.runs(rows, GAP, lambda e: e[3] == "SearchEvent")
     got = sorted(tuple(r) for r in early_session_panes(ev, GAP, 7_000, bucketing=bucketing).collect())
     assert got == brute.panes(rows, GAP, 7_000)
+
+
+def test_many_heavy_users_stay_split(spark, make_events):
+    """However many users are heavy, their rows are cut into buckets."""
+    from cadence.operators.bucketing import BUCKET, heavy_keys, range_buckets
+
+    rows = [song(ts * 1000, u * 100 + ts, user=f"u{u}") for u in range(40) for ts in range(30)]
+    ev = make_events(rows)
+    bucketing = Bucketing(adaptive=True, target_rows=10)
+    heavy, total = heavy_keys(ev, ["user_id"], bucketing)
+    assert heavy.count() == 40 and total == 1200
+    plan = session_stats(ev, GAP, bucketing=bucketing)._jdf.queryExecution().optimizedPlan().toString()
+    assert BUCKET in plan
+    assert stats(session_stats(ev, GAP, bucketing=bucketing)) == brute.session_stats(rows, GAP)
+    assert heavy_keys(ev, ["user_id"], Bucketing(adaptive=True, target_rows=30)) is None
+    assert heavy_keys(ev.limit(0), ["user_id"], bucketing) is None
+    cut = range_buckets(ev, ["user_id", "ts_ms", "event_id"], total, 10)
+    assert cut.groupBy(BUCKET).count().agg({"count": "max"}).first()[0] <= 10
+
+
+def test_one_millisecond_is_cut_by_the_tiebreak(spark, make_events):
+    from cadence.operators.bucketing import BUCKET, range_buckets
+
+    rows = [song(5_000, eid, user="hot") for eid in range(1000)]
+    ev = make_events(rows)
+    cut = range_buckets(ev, ["user_id", "ts_ms", "event_id"], 1000, 20)
+    sizes = [r["count"] for r in cut.groupBy(BUCKET).count().collect()]
+    assert len(sizes) > 20 and max(sizes) <= 20
+    got = stats(session_stats(ev, GAP, bucketing=Bucketing(adaptive=True, target_rows=20)))
+    assert got == brute.session_stats(rows, GAP)
+
+
+def test_counts_follow_a_rewritten_input(spark, tmp_path, make_events):
+    """Nothing is remembered by path: a rewritten input is counted again."""
+    from cadence.operators.bucketing import heavy_keys
+
+    path, bucketing = str(tmp_path / "events"), Bucketing(adaptive=True, target_rows=10)
+    for n, heavy in ((5, False), (50, True)):
+        make_events([song(ts, ts) for ts in range(n)]).write.mode("overwrite").parquet(path)
+        assert (heavy_keys(spark.read.parquet(path), ["user_id"], bucketing) is not None) is heavy

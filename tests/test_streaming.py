@@ -105,21 +105,47 @@ def test_stateful_panes_stream(spark, make_events):
     assert u1 == [5_000, 10_000, 15_000, 20_000, 25_000, 30_000, 31_999]
 
 
-def test_stateful_operator_drops_rows_at_the_previous_watermark(spark):
-    # 100 s in batches 1, 2, 3 and 5, 90 s in batch 4, then 200 s; delay 0.  Rows at or
-    # below the previous batch's watermark never reach the handler, equality included.
-    # Each availableNow run here ends with a no-data batch, so the watermark is already
-    # 100 s when batch 2 arrives: only the first 100 s row and the 200 s row count.
-    gap = 50_000
-    batches = [[song(100_000, 0)], [song(100_000, 1)], [song(100_000, 2)], [song(90_000, 3)], [song(100_000, 4)],
-               [song(200_000, 5)], [search(10_000_000, 6, user="~s")], [search(20_000_000, 7, user="~s")]]
+def test_stateful_operators_keep_what_is_late_only_to_the_engine(spark):
+    """Out of order by less than a gap, equal times in a later batch included: all three
+    stream operators report the batch result, with no allowance for lateness."""
+    from cadence.streaming.runs import default_delimiters, sessions_of, stream_sessions_and_runs
+
+    gap, t0 = 20_000, 1_000_000
+    batches = [[song(t0, 0)], [song(t0, 1), song(t0 - 5_000, 2)], [song(t0 + 5_000, 3)],
+               [search(10_000_000, 6, user="~s")], [search(20_000_000, 7, user="~s")]]
+    want = [(t0 - 5_000, t0 + 25_000, 4)]
+    builds = {
+        "jvm": lambda s: SS.stream_session_stats(s, gap),
+        "runs": lambda s: sessions_of(stream_sessions_and_runs(s, gap, default_delimiters()), gap),
+        "panes": lambda s: stream_early_panes(s, gap, 5_000).filter("is_final"),
+    }
+    for name, build in builds.items():
+        out = run_batches(spark, batches, build, f"late-{name}").filter("user_id = '1'")
+        assert sorted((r.start_ms, r.end_ms, r.songs) for r in out.collect()) == want, name
+
+
+def test_stateful_operators_drop_an_event_whose_window_is_behind(spark):
+    gap, t0 = 20_000, 1_000_000
+    late, kept = t0 - gap + 1, t0 - gap + 2  # own windows end at t0 and t0 + 1 ms
+    batches = [[song(t0, 0)], [song(late, 1), song(kept, 2, user="2")],
+               [search(10_000_000, 6, user="~s")], [search(20_000_000, 7, user="~s")]]
     out = run_batches(spark, batches, lambda s: stream_early_panes(s, gap, 5_000), "tws-late")
-    finals = sorted((r.start_ms, r.songs) for r in out.filter("is_final AND user_id = '1'").collect())
-    assert finals == [(100_000, 1), (200_000, 1)]
+    finals = sorted((r.user_id, r.start_ms, r.songs) for r in out.filter("is_final AND user_id <> '~s'").collect())
+    assert finals == [("1", t0, 1), ("2", kept, 1)]
+
+
+def test_merge_batch_strict_gap():
+    import numpy as np
+
+    from cadence.streaming.panes import merge_batch
+
+    ts, song_ = np.array([0, 20_000, 39_999]), np.array([1, 1, 1])
+    assert [s[:3] for s in merge_batch([], ts, song_, 20_000, 5_000, False)] == [[0, 0, 1], [20_000, 39_999, 2]]
+    assert [s[:3] for s in merge_batch([], ts, song_, 20_000, 5_000, True)] == [[0, 39_999, 3]]
 
 
 def test_session_fold_logic():
-    from cadence.streaming.runs import SessionFold
+    from brute import SessionFold
 
     fold = SessionFold(20_000, 1)
     ev = [(1_000, 1, 1, False), (2_000, 2, 1, False), (3_000, 3, 0, True), (4_000, 4, 1, False), (90_000, 5, 1, False)]
