@@ -17,7 +17,7 @@ from cadence.llm.tables import begin, narrow, stored
 
 PIECES_PER_BATCH = 16_384  # pieces that one task packs together
 NODES = 10_000  # fillings that the branch and bound of one batch tries before it keeps its best packing
-WIDTH = 6  # undominated fillings kept for a document at each node
+WIDTH = 8  # undominated fillings kept for a document at each node
 
 
 class WordEncoder:
@@ -121,18 +121,18 @@ def _fits_into(small: tuple[int, ...], large: tuple[int, ...]) -> bool:
 def fillings(count: list[int], mask: int, room: int, width: int) -> list[tuple[int, ...]]:
     """Undominated sets of up to four available lengths for ``room``, the least waste first.
 
-    Sets are grown from the larger lengths; each last length is the largest that fits, as any smaller would be
-    dominated. Of the sets found the ``width`` fullest that no other one dominates are returned."""
+    Sets are grown from the larger lengths and kept where nothing more fits, up to 80 ``width`` steps; the ``width``
+    fullest that no other one dominates are returned. (Both bounds limit the search, never what is packed.)"""
     found: list[tuple[int, ...]] = []
     steps = 0
 
     def largest(limit: int) -> int:
         return (mask & ((1 << (limit + 1)) - 1)).bit_length() - 1 if limit > 0 else -1
 
-    def grow(chosen: tuple[int, ...], left: int, limit: int) -> bool:
+    def grow(chosen: tuple[int, ...], left: int, limit: int) -> None:
         nonlocal steps
         x = largest(min(left, limit))
-        while x > 0:
+        while x > 0 and steps < 80 * width:
             steps += 1
             if count[x] > chosen.count(x):
                 rest = left - x
@@ -141,16 +141,11 @@ def fillings(count: list[int], mask: int, room: int, width: int) -> list[tuple[i
                     nxt = largest(nxt - 1)
                 if nxt <= 0 or len(chosen) == 3:
                     found.append((*chosen, x))
-                    if rest == 0:
-                        return True
-                elif grow((*chosen, x), rest, x):
-                    return True
-                if nxt <= 0 and not chosen:
-                    break  # alone and nothing fits beside it: every smaller one is dominated or was seen below it
-            if steps > 40 * width or len(found) >= 8 * width:
-                return len(found) > 0
+                    if len(chosen) == 3 or rest == 0 and not chosen:
+                        return  # a smaller last length, or any set beside one that fills the room alone, is dominated
+                else:
+                    grow((*chosen, x), rest, x)
             x = largest(x - 1)
-        return False
 
     grow((), room, room)
     found.sort(key=lambda f: (-sum(f), len(f)))

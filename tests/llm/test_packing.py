@@ -38,7 +38,7 @@ def test_bin_completion_is_optimal_on_small_cases():
     rng = random.Random(4)
     for _ in range(60):
         lengths = [rng.randrange(10, 60) for _ in range(rng.randrange(1, 10))]
-        bins = packing.bin_completion(lengths, 100)
+        bins = packing.bin_completion(lengths, 100, width=50)
         assert sorted(itertools.chain(*bins)) == sorted(lengths) and max(map(sum, bins)) <= 100
         assert len(bins) == fewest(lengths, 100)
 
@@ -53,7 +53,8 @@ def test_never_worse_than_best_fit_and_loses_nothing():
 
 
 def test_beats_best_fit():
-    # 6+4, 6+4 and 5+5 fill three bins; here best fit opens a fourth.
+    # 44 + 30 + 26, 42 + 30 + 28 and 40 + 30 + 30 fill three bins; best fit opens a fourth.
+    assert len(packing.best_fit([44, 42, 40, 30, 28, 26, 30, 30, 30], 100)) == 4
     lengths = [44, 42, 40, 30, 28, 26, 30, 30, 30]
     assert len(packing.bin_completion(lengths, 100)) == 3
 
@@ -65,7 +66,7 @@ def test_fillings_are_maximal_and_undominated():
         count[x] += 1
     found = packing.fillings(count, sum(1 << x for x in set(lengths)), room, 50)
     assert found[0] in ((40, 20), (30, 30))
-    assert (50, 7) in found and (30, 20, 7) in found and all(sum(f) <= room for f in found)
+    assert found == [(40, 20), (30, 30), (50, 7)] or found == [(30, 30), (40, 20), (50, 7)]  # 30 + 20 + 7 goes into 40 + 20
 
 
 def check(rows, docs):
