@@ -193,7 +193,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     params = stored(some.select("doc_id", "cell", "x", "h").dropDuplicates(["cell", "h"]).groupBy("cell").applyInArrow(_starts, _PARAMS), "starts")
     for _ in range(STEPS):
         binned = _moments(_with_distance(rows, params).where("distance is not null"), f"floor(log2(distance + 1e-6) * {BINS})")
-        params = stored(binned.groupBy("cell").applyInArrow(_from_bins(CORE), _PARAMS), "core")
+        # Stored, so that sums are dealt by cell and bin first and a cell's task gets one row for each bin.
+        params = stored(stored(binned, "bins").groupBy("cell").applyInArrow(_from_bins(CORE), _PARAMS), "core")
     near = _moments(_with_distance(rows, params).where(F.col("distance") <= REWEIGHT), "0")
     params = stored(near.groupBy("cell").applyInArrow(_from_bins(None), _PARAMS), "estimates")
     judged = _with_distance(stats.join(cells, ["lang", "source"], "left"), params)
