@@ -108,7 +108,7 @@ class PieceTable:
 
     ``work`` maps a list of byte strings to their sequences; only pieces not seen lately reach it."""
 
-    def __init__(self, work, limit: int = 600_000):
+    def __init__(self, work, limit: int = 200_000):
         self.work, self.limit = work, limit
         self.where: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from cadence.session import scratch_path, ship_package
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def begin(df: DataFrame) -> SparkSession:
     """The session, with this package shipped to the Python workers."""
     spark = df.sparkSession
@@ -17,10 +20,16 @@ def begin(df: DataFrame) -> SparkSession:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the folder in spark.checkpoint.dir and read back: work is done once, lineage is cut, and a
-    lost executor costs only the tasks that were running."""
+    lost executor costs only the tasks that were running. While it is written, batches for Python are kept to
+    16 MB, as several columns of long texts may stand beside each other."""
     spark = df.sparkSession
     path = scratch_path(spark, label) + "/t"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, "16m")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
