@@ -8,28 +8,23 @@ from pyspark.sql import functions as F
 from cadence.session import scratch_path, ship_package
 
 
-_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
 def begin(df: DataFrame) -> SparkSession:
-    """The session, with this package shipped to the Python workers."""
+    """The session, with this package shipped to the Python workers.
+
+    Arrow batches of the session are kept to 16 MB (Spark's default is 64): a task holds a batch in the JVM and in
+    Python, and results are computed after the operator has returned, so the setting stays."""
     spark = df.sparkSession
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return spark
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the folder in spark.checkpoint.dir and read back: work is done once, lineage is cut, and a
-    lost executor costs only the tasks that were running. While it is written, batches for Python are kept to
-    16 MB, as several columns of long texts may stand beside each other."""
+    lost executor costs only the tasks that were running."""
     spark = df.sparkSession
     path = scratch_path(spark, label) + "/t"
-    before = spark.conf.get(_BATCH_BYTES)
-    spark.conf.set(_BATCH_BYTES, "16m")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_BATCH_BYTES, before)
+    df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
