@@ -13,13 +13,35 @@ from cadence.llm import textkit as tk
 from cadence.llm.components import components
 from cadence.llm.tables import begin, drop, narrow, stored
 
-ROWS = 7  # minima in a band
-BANDS = 28  # at similarity 0.85 all bands miss with probability (1 - 0.85**7)**28 = 2e-5, at 0.9 with 4e-8
+MINIMA = 240  # minima that the bands of any threshold may take
+MISS = 2e-5  # at the threshold all bands miss a pair at most with this probability
 CHECKS = 512  # further minima, one byte of each, for the documents that share a band bucket
-SLACK = 0.075  # the estimate from them may lie this far (over 4.7 deviations at 0.85) below the truth
+DEVIATIONS = 4.75  # the estimate from them may lie this many deviations below the threshold
 BLOCK = 256  # members of a bucket that one task compares with as many others
-_MUL = tk.random_u64(ROWS * BANDS + CHECKS, 101) | np.uint64(1)
-_ADD = tk.random_u64(ROWS * BANDS + CHECKS, 102)
+
+
+def banding(threshold: float) -> tuple[int, int]:
+    """(minima in a band, bands): the longest bands with which MINIMA minima miss a pair at the threshold at most with
+    probability MISS: 7 in 28 at 0.85, 6 in 36 at 0.8."""
+    best = None
+    for rows in range(1, 17):
+        share = threshold**rows
+        bands = 1 if share >= 1 else int(np.ceil(np.log(MISS) / np.log1p(-share)))
+        if rows * bands <= MINIMA:
+            best = rows, bands
+    if best is None:
+        raise ValueError(f"{MINIMA} minima are too few for a similarity of {threshold}")
+    return best
+
+
+def _least(threshold: float) -> float:
+    """The estimated similarity below which a pair is taken to miss the threshold."""
+    return threshold - DEVIATIONS * np.sqrt(threshold * (1 - threshold) / CHECKS)
+
+
+ROWS, BANDS = banding(0.85)
+_MUL = tk.random_u64(MINIMA + CHECKS, 101) | np.uint64(1)
+_ADD = tk.random_u64(MINIMA + CHECKS, 102)
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +75,7 @@ def minima(grams: np.ndarray, starts: np.ndarray, functions: range) -> np.ndarra
 _SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
-def _sign(k: int):
+def _sign(k: int, n_rows: int, n_bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = tk.utf8(batch.column(1))
@@ -68,12 +90,12 @@ def _sign(k: int):
                     starts = bounds[:-1][full]
                     for j in (0, 1):
                         fp[j, full] = np.add.reduceat(tk.splitmix(grams ^ _ADD[j]), starts)
-                    low = minima(grams, starts, range(ROWS * BANDS))
-                    keys = np.empty((len(full), BANDS), dtype=np.uint64)
-                    for b in range(BANDS):
-                        keys[:, b] = tk.combine(np.full(len(full), b, dtype=np.uint64), *low[:, b * ROWS : (b + 1) * ROWS].T.astype(np.uint64))
+                    low = minima(grams, starts, range(n_rows * n_bands))
+                    keys = np.empty((len(full), n_bands), dtype=np.uint64)
+                    for b in range(n_bands):
+                        keys[:, b] = tk.combine(np.full(len(full), b, dtype=np.uint64), *low[:, b * n_rows : (b + 1) * n_rows].T.astype(np.uint64))
                     bands = keys.ravel()
-                    band_bounds = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))])
+                    band_bounds = np.concatenate([[0], np.cumsum(np.where(size > 0, n_bands, 0))])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), tk.signed(fp[0]), tk.signed(fp[1]), tk.longs(bands, band_bounds)],
                     names=["doc_id", "n_shingles", "fp1", "fp2", "bands"],
@@ -93,7 +115,7 @@ def _checked(k: int):
                 sig = np.zeros((hi - lo, CHECKS), dtype=np.uint8)
                 full = np.flatnonzero(np.diff(bounds))
                 if len(full):
-                    sig[full] = minima(grams, bounds[:-1][full], range(ROWS * BANDS, ROWS * BANDS + CHECKS)).astype(np.uint8)
+                    sig[full] = minima(grams, bounds[:-1][full], range(MINIMA, MINIMA + CHECKS)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("rep", "text")), tk.binaries(sig)], names=["rep", "text", "sig"])
 
     return run
@@ -116,7 +138,7 @@ def _likely(threshold: float):
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
                 same = (_matrix(part.column("sig_a")) == _matrix(part.column("sig_b"))).mean(axis=1)
-                yield part.select(["a", "b"]).filter(pa.array(_similarity(same) >= threshold - SLACK))
+                yield part.select(["a", "b"]).filter(pa.array(_similarity(same) >= _least(threshold)))
 
     return run
 
@@ -134,7 +156,7 @@ def _across(threshold: float):
         out_a, out_b = [], []
         for i in x.tolist():
             js = y[(root[y] != root[i]) & ((root[y] == largest) | (rep[y] > rep[i]))]
-            js = js[_similarity((sig[js] == sig[i]).mean(axis=1)) >= threshold - SLACK] if len(js) else js
+            js = js[_similarity((sig[js] == sig[i]).mean(axis=1)) >= _least(threshold)] if len(js) else js
             if len(js):
                 common = bands[js] == bands[i]
                 js = js[bands[i][np.argmax(common, axis=1)] == band]
@@ -172,8 +194,8 @@ def _linked(k: int, percent: int):
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
-    Method. One pass makes each document's signature: 28 band keys of 7 minima each of universal hashes over its
-    distinct word shingles, and a 128-bit fingerprint of the set. Documents of equal sets become one class, stood
+    Method. One pass makes each document's signature: band keys (28 of 7 minima each at 85 percent, see ``banding``) of
+    universal hashes over its distinct word shingles, and a 128-bit fingerprint of the set. Documents of equal sets become one class, stood
     for by its smallest id. Classes that share a band bucket are candidates. First each member meets its bucket's
     smallest; components follow. Then, where a bucket still holds several components, its members outside the
     largest one meet all members of other components, block against block, so that no link is lost, large groups of
@@ -189,7 +211,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85)
     begin(docs)
     k, threshold = shingle_words, percent / 100
     rows = narrow(docs, "text")
-    signed = stored(rows.mapInArrow(_sign(k), _SIGNED), "minhash")
+    signed = stored(rows.mapInArrow(_sign(k, *banding(threshold)), _SIGNED), "minhash")
     nodes = signed.where("doc_id is not null and n_shingles > 0")
     key = ["fp1", "fp2", "n_shingles"]
     # Equal sets have equal bands, so any row of a class supplies them.

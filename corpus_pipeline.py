@@ -33,9 +33,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id (once, if its row repeats).
-    Rows with a null doc_id stay."""
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
+    """One document of each group of near duplicates (similarity 0.8 or more on five-word shingles): the one with the
+    smallest doc_id (once, if its row repeats). Rows with a null doc_id stay."""
+    kept = minhash.near_duplicates(docs, percent=80).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
     single = docs.where("doc_id is not null").hint("merge").join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
     return single.unionAll(docs.where("doc_id is null"))
 
