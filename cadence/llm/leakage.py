@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import textkit as tk
 from cadence.llm.pretokens import lower_case, split
-from cadence.llm.tables import begin
+from cadence.llm.tables import begin, stored
 
 SHARD_BYTES = 8_000_000  # test items are indexed in shards of about this size, each small enough to broadcast
 K1, B = 1.2, 0.75
@@ -63,27 +63,28 @@ def in_order(part: list[int], passage: list[int]) -> float:
 class Index:
     """Posting lists of test items with impacts as shares of each item's own score, cut into blocks with maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, counts: tuple[int, float, dict[int, int]] | None = None):
+        """``counts``: items, mean words of an item and items holding each word, of the whole benchmark if these are a
+        part of it."""
         self.threshold = threshold
         self.items = [(i, t) for i, t in items if t and _words(t)]
         texts = [_words(t) for _, t in self.items]
         self.parts = [question_and_answer(t) for _, t in self.items]
         self.longest = max(map(len, texts), default=1)
-        n, mean = len(texts), sum(map(len, texts)) / max(1, len(texts))
-        held: dict[int, int] = {}
-        for t in texts:
-            for w in set(t):
-                held[w] = held.get(w, 0) + 1
+        n, mean, held = counts or count_words(texts)
         self.postings: dict[int, tuple[list[int], list[float], list[float], float]] = {}
         lists: dict[int, list[tuple[int, float]]] = {}
         essential: list[tuple[int, int, float]] = []
-        self.rest = np.zeros(n)
+        self.rest = np.zeros(len(texts))
+        self.sizes = list(map(len, texts))
+        self.shares: list[dict[int, float]] = []
         for j, t in enumerate(texts):
             tf: dict[int, int] = {}
             for w in t:
                 tf[w] = tf.get(w, 0) + 1
             score = {w: np.log(1 + (n - held[w] + 0.5) / (held[w] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(t) / mean)) for w, f in tf.items()}
             own = sum(score.values())
+            self.shares.append({w: v / own for w, v in score.items()})
             for w in sorted(score, key=lambda w: (-held[w], w)):
                 share = score[w] / own
                 lists.setdefault(w, []).append((j, share))
@@ -178,10 +179,11 @@ class Index:
                     move(c, item)
         return out
 
-    def matches(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, float, float, float, int]]:
-        """(text number, item number, score, question overlap, answer overlap, first word) of verified passages."""
-        half = self.longest
-        hashes, bounds = word_hashes(raw, offsets)
+    def matches(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, float, float, int]]:
+        """(text number, item number, score, question overlap, answer overlap, first word) of verified passages, given
+        the words of texts. An item's passages are twice its own words long and start at multiples of its length; they
+        lie whole in one of the wider windows that are searched."""
+        half = 2 * self.longest
         sizes = np.diff(bounds)
         count = -(-sizes // half)
         base = np.concatenate([[0], np.cumsum(count)])
@@ -190,22 +192,80 @@ class Index:
         final = base[:-1] + np.maximum(count - 2, 0)
         for p in self.candidates(hashes, halves, base[doc], final[doc]).tolist():
             d = int(np.searchsorted(base, p, side="right")) - 1
-            lo = int(bounds[d]) + (p - int(base[d])) * half
+            at = (p - int(base[d])) * half
+            lo = int(bounds[d]) + at
             words = hashes[lo : min(int(bounds[d + 1]), lo + 2 * half)].tolist()
-            for j, score in self.search(set(words)):
-                q, a = (in_order(part, words) for part in self.parts[j])
-                if q >= OVERLAP and a >= OVERLAP:
-                    yield d, j, score, q, a, lo - int(bounds[d])
+            for j, _ in self.search(set(words)):
+                n, share = self.sizes[j], self.shares[j]
+                for first in range(-(-at // n) * n, at + len(words), n):
+                    passage = words[first - at : first - at + 2 * n]
+                    score = sum(share[w] for w in share.keys() & set(passage))
+                    if score >= self.threshold - 1e-9:
+                        q, a = (in_order(part, passage) for part in self.parts[j])
+                        if q >= OVERLAP and a >= OVERLAP:
+                            yield d, j, score, q, a, first
+
+
+def count_words(texts: list[list[int]]) -> tuple[int, float, dict[int, int]]:
+    """The number of texts, their mean words and the texts holding each word."""
+    held: dict[int, int] = {}
+    for t in texts:
+        for w in set(t):
+            held[w] = held.get(w, 0) + 1
+    return len(texts), sum(map(len, texts)) / max(1, len(texts)), held
+
+
+class Shard:
+    """One index for each class of items by length (powers of two), so that windows follow the items' lengths."""
+
+    def __init__(self, items: list[tuple[int, str]], counts: tuple[int, float, dict[int, int]] | None = None):
+        sizes = [(i, t, _words(t)) for i, t in items if t]
+        counts = counts or count_words([w for *_, w in sizes if w])
+        classes: dict[int, list[tuple[int, str]]] = {}
+        for i, t, w in sizes:
+            if w:
+                classes.setdefault((len(w) - 1).bit_length(), []).append((i, t))
+        self.groups = [Index(classes[c], THRESHOLD, counts) for c in sorted(classes)]
+        self.items = [item for g in self.groups for item in g.items]
+
+    def matches(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, float, float, float, int]]:
+        """As of ``Index.matches``, with numbers in ``items``."""
+        hashes, bounds = word_hashes(raw, offsets)
+        before = 0
+        for g in self.groups:
+            for d, j, *more in g.matches(hashes, bounds):
+                yield d, before + j, *more
+            before += len(g.items)
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, offsets = tk.utf8(batch.column(1))
+        hashes, bounds = word_hashes(raw, offsets)
+        held = [np.unique(hashes[lo:hi]) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+        words = tk.longs(np.concatenate([*held, np.zeros(0, np.uint64)]), np.concatenate([[0], np.cumsum([len(h) for h in held], dtype=np.int64)]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds).astype(np.int64)), words], names=["shard", "n_words", "words"])
 
 
-def indexes(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
-    """Indexes of the test items, shard by shard; only one shard is on the driver at a time."""
+def indexes(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[Shard]:
+    """Indexes of the test items, shard by shard; only one shard is on the driver at a time. Scores rest on counts over
+    the whole benchmark, taken in Spark where there are several shards; a shard gets those of its own words."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-size // shard_bytes)
+    counts = None
+    if shards > 1:
+        begin(benchmark)
+        held = stored(items.select(F.pmod(F.xxhash64("text"), F.lit(shards)).cast("long").alias("shard"), "text").mapInArrow(_word_rows, "shard long, n_words long, words array<long>").where("n_words > 0"), "item-words")
+        n, mean = held.agg(F.count(F.lit(1)), F.avg("n_words")).first()
+        each = held.select("shard", F.explode("words").alias("word"))
+        total = stored(each.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "item-counts")
     for s in range(shards):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == s).collect()
-        yield Index(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        if shards > 1:
+            own = each.where(F.col("shard") == s).select("word").distinct().join(total, "word").collect()
+            counts = n, mean, {r.word % (1 << 64): r.n for r in own}
+        yield Shard(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])), counts)
 
 
 _FOUND = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
@@ -215,9 +275,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and test item it contains: doc_id, item_id, score, question_overlap,
     answer_overlap, first_word (of the best passage).
 
-    Passages are overlapping windows of twice the longest item's words, so each item's text lies whole in one. An
-    item's impacts are shares of the BM25 score it has for itself; every passage whose words reach half of it is
-    retrieved. Passages without enough of an item's essential (rarer) words are passed over in bulk first, as no
+    An item's passages are overlapping windows of twice its own words, so its text lies whole in one, whatever other
+    items there are. An item's impacts are shares of the BM25 score it has for itself; every passage whose words reach half of it is
+    retrieved; word counts and mean length are those of the whole benchmark. Passages without enough of an item's essential (rarer) words are passed over in bulk first, as no
     item can reach the threshold in them. A retrieved pair counts when at least 0.8 of the question and of the
     answer (see ``question_and_answer``) stand in the passage in order. Items are indexed in shards of bounded size,
     each broadcast for one pass over the documents.
