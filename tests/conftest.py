@@ -17,14 +17,6 @@ def spark():
     s.stop()
 
 
-def song(ts, eid, user="1", playlist="ChillHits", device="Desktop", songid="x"):
-    return (eid, user, ts, "SongEvent", "EndSong", device, playlist, songid)
-
-
-def search(ts, eid, user="1", device="Desktop", event_type="SearchSong"):
-    return (eid, user, ts, "SearchEvent", event_type, device, None, None)
-
-
 @pytest.fixture
 def make_events(spark):
     def make(rows):

@@ -1,7 +1,7 @@
 """Event model: watermark marker, JSON round trip, bad-record matrix."""
 
 import pytest
-from conftest import search, song
+from events import search, song
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -6,7 +6,7 @@ import subprocess
 import sys
 
 import pytest
-from conftest import search, song
+from events import search, song
 from pyspark.sql import functions as F
 
 from cadence.functions import codec

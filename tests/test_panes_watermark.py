@@ -4,7 +4,7 @@ import random
 
 import brute
 import pytest
-from conftest import search, song
+from events import search, song
 from pyspark.sql import functions as F
 
 from cadence.operators import watermark as WM

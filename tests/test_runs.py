@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import search, song
+from events import search, song
 from pyspark.sql import functions as F
 
 from cadence.functions.predicates import is_search, not_discover_weekly

@@ -4,7 +4,7 @@ import random
 
 import brute
 import pytest
-from conftest import search, song
+from events import search, song
 
 from cadence.functions.predicates import is_search, not_discover_weekly
 from cadence.operators.bucketing import Bucketing
