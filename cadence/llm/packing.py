@@ -9,10 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from cadence.llm import textkit as tk
-from cadence.llm.pretokens import PieceTable, gather, lower_case, plain_texts, split
+from cadence.llm.encoders import encoder
 from cadence.llm.tables import begin, narrow, stored
 
 PIECES_PER_BATCH = 16_384  # pieces that one task packs together
@@ -20,55 +19,12 @@ NODES = 10_000  # fillings that the branch and bound of one batch tries before i
 WIDTH = 8  # undominated fillings kept for a document at each node
 
 
-class WordEncoder:
-    """Ids of texts under a word-level BPE file of the tokenizers library (lower case, word ends).
-
-    Plain texts are split here and each distinct piece is encoded once by the library; other texts go to the
-    library whole. Special strings inside texts are read as the library's default reads them."""
-
-    def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
-        self.library.no_padding()
-        self.library.no_truncation()
-        self.table = PieceTable(self._encode)
-
-    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-
-    def ids(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        """The ids of each text of a buffer."""
-        plain = plain_texts(raw, offsets)
-        low = lower_case(raw)
-        starts, ends, bounds = split(low, offsets, "word")
-        if len(starts):
-            flat, places = gather(*self.table.look_up(low, starts, ends))
-        else:
-            flat, places = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        out = []
-        for i in range(len(offsets) - 1):
-            if plain[i]:
-                out.append(flat[places[bounds[i]] : places[bounds[i + 1]]])
-            else:
-                text = raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "surrogatepass")
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
-        return out
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, if asked for) of every document's pieces: its ids, then
     ``end_id``, cut only where longer than ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary), np.array([end_id], dtype=np.uint32)
+        enc, end = encoder(vocabulary, "word"), np.array([end_id], dtype=np.uint32)
         for batch in batches:
             raw, offsets = tk.utf8(batch.column(1))
             names = batch.column(0).to_pylist()

@@ -106,45 +106,71 @@ def split(raw: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray,
 class PieceTable:
     """What each distinct piece is worth (a short integer sequence), remembered by the piece's hash up to a bound.
 
-    ``work`` maps a list of byte strings to their sequences; only pieces not seen lately reach it."""
-
-    def __init__(self, work, limit: int = 200_000):
-        self.work, self.limit = work, limit
-        self.where: dict[int, int] = {}
+    ``work`` maps a list of byte strings to their sequences; only pieces not seen lately reach it. Hashes, places and
+    lengths are sorted numpy arrays (about 20 bytes a piece beside its sequence); beyond ``limit`` pieces or
+    ``limit_values`` numbers the older half is forgotten, and worked out again if it comes back."""
+
+    def __init__(self, work, limit: int = 1_000_000, limit_values: int = 8_000_000):
+        self.work, self.limit, self.limit_values = work, limit, limit_values
+        self.worked = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.at = np.zeros(0, dtype=np.int64)
+        self.length = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
 
-    def _add(self, hashes: list[int], seqs: list) -> None:
-        need = sum(map(len, seqs))
+    def _forget_older_half(self) -> None:
+        if not len(self.at):
+            return
+        cut = int(np.partition(self.at, len(self.at) // 2)[len(self.at) // 2])
+        keep = self.at >= cut
+        if keep.all():
+            self._clear()
+            return
+        self.keys, self.at, self.length = self.keys[keep], self.at[keep] - cut, self.length[keep]
+        self.flat = self.flat[cut : self.used].copy()
+        self.used -= cut
+
+    def _add(self, hashes: np.ndarray, seqs: list) -> None:
+        length = np.fromiter(map(len, seqs), dtype=np.int64, count=len(seqs))
+        need = int(length.sum())
         if self.used + need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), dtype=np.uint32)])
-        for h, seq in zip(hashes, seqs, strict=True):
-            n = len(seq)
-            self.flat[self.used : self.used + n] = seq
-            self.where[h] = self.used << 24 | n
-            self.used += n
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(need, self.used), dtype=np.uint32)])
+        at = self.used + np.cumsum(length) - length
+        for a, n, seq in zip(at.tolist(), length.tolist(), seqs, strict=True):
+            self.flat[a : a + n] = seq
+        self.used += need
+        keys = np.concatenate([self.keys, hashes])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.at, self.length = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.length, length])[order]
+
+    def _known(self, keys: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.keys, keys)
+        inside = place < len(self.keys)
+        inside[inside] = self.keys[place[inside]] == keys[inside]
+        return inside
 
     def look_up(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat, at, length): piece i has the sequence flat[at[i] : at[i] + length[i]]."""
         hashes = tk.hash_spans(raw, starts, ends)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.where) + len(distinct) > self.limit:
-            self.where.clear()
-            self.used = 0
-        keys = distinct.tolist()
-        get = self.where.get
-        packed = [get(h) for h in keys]
-        new = [i for i, p in enumerate(packed) if p is None]
-        if new:
+        new = np.flatnonzero(~self._known(distinct))
+        if len(self.keys) and (len(self.keys) + len(new) > self.limit or self.used > self.limit_values):
+            self._forget_older_half()
+            new = np.flatnonzero(~self._known(distinct))
+        if len(new):
             data = raw.tobytes()
-            s, e = starts[first[new]].tolist(), ends[first[new]].tolist()
+            seqs: list = []
             for lo in range(0, len(new), 4096):
-                part = new[lo : lo + 4096]
-                self._add([keys[i] for i in part], self.work([data[a:b] for a, b in zip(s[lo : lo + 4096], e[lo : lo + 4096], strict=True)]))
-            for i in new:
-                packed[i] = self.where[keys[i]]
-        packed = np.array(packed, dtype=np.int64)
-        return self.flat, (packed >> 24)[inverse], (packed & 0xFFFFFF)[inverse]
+                part = first[new[lo : lo + 4096]]
+                seqs += self.work([data[a:b] for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)])
+            self.worked += len(new)
+            self._add(distinct[new], seqs)
+        place = np.searchsorted(self.keys, distinct)
+        return self.flat, self.at[place][inverse], self.length[place][inverse]
 
 
 def gather(flat: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

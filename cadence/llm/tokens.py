@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import textkit as tk
+from cadence.llm.encoders import only
 from cadence.llm.pretokens import PieceTable, gather, plain_texts, split
 from cadence.llm.tables import begin, narrow
 
@@ -167,13 +168,15 @@ class PrefixCounter:
 
     def totals(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The count of each text of a buffer: the last entry of its prefix counts, piece by piece."""
-        starts, ends, bounds = split(raw, offsets, "byte")
+        plain = plain_texts(raw, offsets)
+        kept, kept_at = only(raw, offsets, plain)
+        starts, ends, bounds = split(kept, kept_at, "byte")
         out = np.zeros(len(offsets) - 1, dtype=np.int64)
         if len(starts):
-            flat, at, length = self.table.look_up(raw, starts, ends)
+            flat, at, length = self.table.look_up(kept, starts, ends)
             total = np.concatenate([[0], np.cumsum(flat[at + length - 1], dtype=np.int64)])
-            out = total[bounds[1:]] - total[bounds[:-1]]
-        for i in np.flatnonzero(~plain_texts(raw, offsets)):
+            out[plain] = total[bounds[1:]] - total[bounds[:-1]]
+        for i in np.flatnonzero(~plain):
             text = raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "surrogatepass")
             out[i] = self._total(text)
         return out
@@ -225,7 +228,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row: the last entry of the text's prefix counts.
 
     ``vocabulary`` is a byte-level BPE file, present at that path on every executor. Pieces met lately are
-    remembered (at most 200,000 a worker), so their dynamic programme runs once. A null text is empty (0, 0); a null id and repeated rows
+    remembered (at most about a million a worker), so their dynamic programme runs once. A null text is empty (0, 0); a null id and repeated rows
     stay as they are; other columns are ignored; no rows give no rows."""
     begin(docs)
 
