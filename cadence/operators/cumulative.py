@@ -1,4 +1,4 @@
-"""Two-level running aggregates (running max / running sum) over an ordered key.
+"""Two-level running aggregates (running max, min, sum, xor) over an ordered key.
 
 ``cumulative(df, keys, order, bucket, aggs)`` gives every row the running value of
 each aggregate over all rows of its key that come before it (or up to and
@@ -20,12 +20,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FUNCS = {"max": F.max, "sum": F.sum, "min": F.min}
+_FUNCS = {"max": F.max, "sum": F.sum, "min": F.min, "xor": F.bit_xor}
 
 
 def _combine(fn: str, local: Column, carry: Column) -> Column:
     if fn == "sum":
         return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
+    if fn == "xor":
+        return F.coalesce(local, F.lit(0)).bitwiseXOR(F.coalesce(carry, F.lit(0)))
     if fn == "max":
         return F.greatest(local, carry)
     return F.least(local, carry)
@@ -40,7 +42,7 @@ def cumulative(
     *,
     inclusive: bool = True,
 ) -> DataFrame:
-    """Add one column per ``aggs`` entry ``out -> (fn, value)``; fn in max/sum/min.
+    """Add one column per ``aggs`` entry ``out -> (fn, value)``; fn in max/sum/min/xor.
 
     ``inclusive=False`` excludes the row itself (the value *before* this row)."""
     keys = list(keys)
