@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import divergence, idfiles, leakage, lines, minhash, outliers, packing, passages, quality, tokens, toxicity, urls
+from cadence.llm import divergence, idfiles, leakage, lines, minhash, outliers, packing, passages, quality, tokens, toxicity, trie, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -65,9 +69,9 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_substring_dedup, op3_quality_classifier, op4_quality_rules, op5_url_filters, op6_benchmark_decontamination, op7_line_dedup, op8_token_counts, op9_toxicity, op10_best_fit_packing, op12_token_id_output, op13_source_divergence)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_substring_dedup, op3_quality_classifier, op4_quality_rules, op5_url_filters, op6_benchmark_decontamination, op7_line_dedup, op8_token_counts, op9_toxicity, op10_best_fit_packing, op11_conversation_trie, op12_token_id_output, op13_source_divergence)}
 
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others are tested against brute force."""
-    return {"op5_url_filters": urls.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}
+    return {"op5_url_filters": urls.ORACLE_SQL, "op7_line_dedup": lines.ORACLE_SQL, "op11_conversation_trie": trie.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}
