@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
+import tiktoken
 from tokenizers import Tokenizer
 
 from cadence.llm.pretokens import PieceTable, gather, lower_case, plain_texts, split
@@ -16,20 +19,47 @@ def only(raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray) -> tuple[np.n
     return raw[np.repeat(chosen, size)], np.concatenate([[0], np.cumsum(size[chosen])])
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The printable stand-in of each byte in byte-level vocabularies (its published rule)."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def merger(path: str):
+    """The ids of one piece under a byte-level vocabulary file, from its text; None where the file does not suit.
+
+    tiktoken merges the pair whose token has the least id, the tokenizers library the pair whose merge comes first;
+    the two agree if every byte is a token and the merges of the file make tokens of rising ids, which is checked."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    byte, vocab = byte_alphabet(), model["vocab"]
+    made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    rising = all(a < b for a, b in zip([-1, *made], made, strict=False))
+    if not rising or not all(c in vocab for c in byte) or not all(c in byte for t in vocab for c in t) or len(made) + 256 != len(vocab):
+        return None
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items()}
+    return tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class TextEncoder:
     """Ids of texts; ``kind`` is the vocabulary's split: ``byte`` (byte level) or ``word`` (lower case, word ends).
 
-    Plain texts are split here and each distinct piece is encoded once by the library; other texts go to the
-    library whole. Special strings inside texts are read as the library's default reads them."""
+    Plain texts are split here and each distinct piece is encoded once, by the library or, for byte-level files that
+    ``merger`` takes, by tiktoken with the same merges; other texts go to the library whole. Special strings inside
+    texts are read as the library's default reads them."""
 
     def __init__(self, path: str, kind: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
         self.kind = kind
+        self.merge = merger(path) if kind == "byte" else None
         self.table = PieceTable(self._encode)
 
     def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        if self.merge:
+            return [self.merge(p.decode()) for p in pieces]
         return [e.ids for e in self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
 
     def ids(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:

@@ -90,11 +90,15 @@ def frequencies(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.bincount(_id_array(ids.as_buffer(), n))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
+            _, offsets, data = batch.column(1).buffers()
+            if data is None or not batch.num_rows:
+                continue
+            ends = np.frombuffer(offsets, np.int32)[batch.column(1).offset :][[0, batch.num_rows]]
+            whole = np.frombuffer(data, np.uint8)[ends[0] : ends[1]]
+            found = np.bincount(_id_array(whole.tobytes(), int(batch.column(0).to_numpy().sum())))
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            total[: len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["id", "count"])
 

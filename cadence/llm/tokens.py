@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import textkit as tk
-from cadence.llm.encoders import only
+from cadence.llm.encoders import byte_alphabet, only
 from cadence.llm.pretokens import PieceTable, gather, plain_texts, split
 from cadence.llm.tables import begin, narrow
 
@@ -22,13 +22,6 @@ BLANKS = regex.compile(r"\s{2,}")
 DOUBLE = regex.compile(r"(?<! )'(?:re|ve|ll)")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-in of each byte in byte-level vocabularies (its published rule)."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class PrefixCounter:
     """Token counts of all prefixes of pieces and texts under a byte-level BPE vocabulary file.
 

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cadence.llm import idfiles
+from cadence.llm import encoders, idfiles
 from cadence.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,3 +79,12 @@ def test_order_does_not_depend_on_partitions(spark, n):
     docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(n)
     got = {r.doc_id: r.start for r in idfiles.round_trip(docs, PATH).collect()}
     assert got == {r[0]: r[1] for r in expected(sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()))}
+
+
+def test_pieces_merge_as_in_the_library(spark):
+    """Both kinds of merging agree on the distinct words of a table."""
+    words = {" " + w for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() for w in (r.text or "").split() if w.isalpha()}
+    merge, lib = encoders.merger(PATH), Tokenizer.from_file(PATH)
+    assert merge is not None and encoders.merger(public_tokenizers.path("word_bpe_49k.json")) is None
+    for w in words:
+        assert merge(w) == lib.encode(w, add_special_tokens=False).ids
