@@ -14,37 +14,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.tables import begin, drop, stored
+from cadence.llm.tables import begin, drop, small, stored
 
-TERM = regex.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_GAP = regex.compile(r"[\x00-\x40\x5B-\x60\x7B-\x7F]")
-LOWER = {c: c + 32 for c in range(65, 91)}
+# Bytes of a UTF-8 text: A-Z become a-z, bytes of no term become spaces.
+_TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 MIN_DOCS = 30
 TOP = 50
 BLOCK = 1024  # terms of a block, on average
 TILE = 32  # sources whose trees are built together
-HELD = 200_000  # terms that a counting task holds before it passes them on
-CHUNK = 1 << 20  # characters of a text read at once
+HELD = 500_000  # terms that a counting task holds before it passes them on
+CHUNK = 1 << 20  # bytes of a text read at once
 SCALE = 1_000_000_000
 SMOOTH = 5
 
 
-def terms_of(text: str) -> Counter:
-    """How often each term occurs in a text; long texts are read in chunks that end between terms."""
-    if len(text) <= CHUNK:
-        return Counter(TERM.findall(text.translate(LOWER)))
-    out: Counter = Counter()
+def terms_of(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a UTF-8 text in chunks that end between terms."""
     lo = 0
     while lo < len(text):
-        gap = _GAP.search(text, lo + CHUNK)
-        hi = gap.start() if gap else len(text)
-        out.update(TERM.findall(text[lo:hi].translate(LOWER)))
-        lo = hi
-    return out
+        part = text[lo : lo + CHUNK].translate(_TERMS)
+        lo += len(part)
+        while lo < len(text) and not part.endswith(b" "):
+            more = text[lo : lo + CHUNK].translate(_TERMS)
+            cut = more.find(b" ") + 1 or len(more)
+            part += more[:cut]
+            lo += cut
+        yield part.split()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -58,18 +56,21 @@ def term_counts(docs: DataFrame) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, source), (n, d) in held.items():
                 k = len(n)
-                columns = [pa.array([lang] * k), pa.array([source] * k), pa.array(list(n)), pa.array(list(n.values()), pa.int64()), pa.array([d[t] for t in n], pa.int64())]
+                terms = pa.array(list(n), pa.binary()).cast(pa.string())
+                columns = [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), terms, pa.array(list(n.values()), pa.int64()), pa.array([d[t] for t in n], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
             held.clear()
 
         size = 0
         for batch in batches:
-            for lang, source, body in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for lang, source, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True):
                 n, d = held.setdefault((lang, source), (Counter(), Counter()))
                 size -= len(n)
-                found = terms_of(body)
-                n.update(found)
-                d.update(found.keys())
+                seen: set[bytes] = set()
+                for terms in terms_of(body.as_py()):
+                    n.update(terms)
+                    seen.update(terms)
+                d.update(seen)
                 size += len(n)
                 if size > HELD:
                     yield from flush()
@@ -207,7 +208,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
     counts = stored(every.select("lang", "source", "term", "n").join(kept.select("lang", "term", "lang_n"), ["lang", "term"]), "kept-counts")
     drop(every)
 
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
+    langs = small(stored(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total")), "langs"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     members = (
@@ -218,6 +219,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
         .na.fill(0, ["kept", "lang_total", "total"])
     )
     members = stored(members, "members")
+    named = small(members)
 
     # Places of the kept terms: block by hash, place by falling document frequency.
     n_blocks = F.greatest(F.lit(1), F.floor(F.col("kept") / BLOCK)).cast("int")
@@ -248,7 +250,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
 
     own = F.col("total") + SMOOTH * F.col("kept")
     whole = F.col("lang_total") + SMOOTH * F.col("kept")
-    terms = counts.join(members.select("lang", "source", "total", "kept", "lang_total"), ["lang", "source"]).select(
+    terms = counts.join(named.select("lang", "source", "total", "kept", "lang_total"), ["lang", "source"]).select(
         "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (share(F.col("n"), own) - share(F.col("lang_n"), whole)).alias("value")
     )
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")

@@ -30,6 +30,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def small(table: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A stored table, marked for broadcast if it has at most ``limit`` rows; a longer one is joined as Spark sees fit."""
+    return F.broadcast(table) if table.count() <= limit else table
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete tables made by ``stored`` that nothing reads any more."""
     for df in frames:
