@@ -32,6 +32,8 @@ from cadence.functions.predicates import floor_div
 from cadence.session import scratch_path
 
 BUCKET = "_bkt"
+# A partition of fewer rows is not worth a task.
+MIN_RANGE_ROWS = 100_000
 DAY_MS = 86_400_000
 
 
@@ -79,24 +81,25 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], bucketing: Bucketing) -> tupl
     hold together, or None if there are none.
 
     One aggregation (one row per key and map task crosses the shuffle), counted anew for
-    every call.  One number reaches the driver; the table stays in the shared folder."""
+    every call.  One number reaches the driver; only if there are heavy keys, their table
+    is stored in the shared folder."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(bucketing.target_rows))
-    table = stored(counts, "heavy")
-    total = table.agg(F.sum("_n")).first()[0]
-    return None if total is None else (table.select(*keys), int(total))
+    total = counts.agg(F.sum("_n")).first()[0]
+    return None if total is None else (stored(counts.select(*keys), "heavy"), int(total))
 
 
 def range_buckets(df: DataFrame, order: Sequence[str], n_rows: int, target_rows: int) -> DataFrame:
     """Add ``_bkt``: contiguous ranges of ``order`` with about ``target_rows`` rows each,
     numbered in that order (NULLs first).
 
-    Spark's range partitioning deals the rows out; where that many partitions would
-    exceed the session's shuffle partitions, each is cut further by row number.  The
-    result is stored, so everything read from it agrees on the ranges."""
+    Spark's range partitioning deals the rows out, one partition a range, so no task sorts
+    more than about one range.  Ranges of fewer than ``MIN_RANGE_ROWS`` rows share a
+    partition and are cut by row number.  The result is stored, so everything read from it
+    agrees on the ranges."""
     wanted = max(1, -(-n_rows // target_rows))
     if wanted == 1:
         return df.withColumn(BUCKET, F.lit(0).cast("bigint"))
-    dealt = min(wanted, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = wanted if target_rows >= MIN_RANGE_ROWS else min(wanted, max(1, -(-n_rows // MIN_RANGE_ROWS)))
     ranged = df.repartitionByRange(dealt, *order).withColumn("_range", F.spark_partition_id().cast("bigint"))
     if dealt == wanted:
         out = ranged.withColumnRenamed("_range", BUCKET)

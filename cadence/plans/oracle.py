@@ -7,7 +7,7 @@ needs no bucketing.  Tables are the driver's parquet views.
 
 from __future__ import annotations
 
-from cadence.plans.queries import DRIVER_GAP_MS, DRIVER_INTERVAL_MS, LATE_GAP_MS
+from cadence.plans.queries import DRIVER_GAP_MS, DRIVER_INTERVAL_MS, LATE_GAP_MS, MERGE_GAP_MS
 
 # The driver-table adapter in SQL (see cadence.sources.driver_table).
 EV = """
@@ -176,6 +176,91 @@ FROM w WHERE watermark_ms IS NOT NULL AND ts_ms + {gap_ms} - 1 <= watermark_ms
 """
 
 
+def _replay_ctes(gap_ms: int, interval_ms: int, marker: str) -> str:
+    """The job's own reading of the arrival order, one event a step (recursive): each user's live
+    windows, what fires as the watermark rises (``fired``) and whether an event is dropped.  A last
+    step with an endless watermark closes everything."""
+    top = 4_000_000_000_000_000_000
+    touch = f"x.s <= n.ts_ms + {gap_ms} AND x.e >= n.ts_ms"
+    return f"""
+{EV},
+w AS (
+  SELECT *, coalesce(max(CASE WHEN {marker} THEN ts_ms END)
+    OVER (ORDER BY arrival_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS wm
+  FROM ev
+),
+step AS (
+  SELECT user_id, event_id, ts_ms, arrival_ms, wm, CASE WHEN type = 'SongEvent' THEN 1 ELSE 0 END AS song,
+         row_number() OVER (PARTITION BY user_id ORDER BY arrival_ms, event_id) AS k
+  FROM w
+  UNION ALL SELECT user_id, NULL, NULL, NULL, {top}, 0, count(*) + 1 FROM w GROUP BY user_id
+),
+go AS (
+  SELECT DISTINCT user_id, 0::BIGINT AS k, -1::BIGINT AS wm,
+         CAST([] AS STRUCT(s BIGINT, e BIGINT, n BIGINT, f BIGINT)[]) AS live,
+         CAST([] AS STRUCT(s BIGINT, e BIGINT, n BIGINT, b BIGINT, fin BOOLEAN)[]) AS fired, false AS dropped
+  FROM ev
+),
+r AS (
+  SELECT * FROM go
+  UNION ALL
+  SELECT user_id, k, wm,
+         CASE WHEN ts_ms IS NULL OR dropped THEN held
+              ELSE list_append(list_filter(held, lambda x: NOT (x.s <= ts_ms + {gap_ms} AND x.e >= ts_ms)), {{
+                's': coalesce(least(ts_ms, list_min(list_transform(near, lambda x: x.s))), ts_ms),
+                'e': coalesce(greatest(ts_ms + {gap_ms}, list_max(list_transform(near, lambda x: x.e))), ts_ms + {gap_ms}),
+                'n': song + coalesce(list_sum(list_transform(near, lambda x: x.n)), 0)::BIGINT,
+                'f': coalesce(list_min(list_transform(near, lambda x: x.f)), ts_ms - ts_ms % {interval_ms} + {interval_ms})}}) END,
+         fired, dropped
+  FROM (
+    SELECT *, ts_ms IS NOT NULL AND len(near) = 0 AND ts_ms + {gap_ms} - 1 <= wm AS dropped
+    FROM (
+      SELECT n.user_id, n.k, n.wm, n.ts_ms, n.song, o.held, o.fired,
+             CASE WHEN n.ts_ms IS NULL THEN o.held ELSE list_filter(o.held, lambda x: {touch}) END AS near
+      FROM step n JOIN (
+        SELECT p.user_id, p.k,
+               CASE WHEN m.wm > p.wm THEN list_transform(list_filter(p.live, lambda x: x.e - 1 > m.wm),
+                 lambda x: {{'s': x.s, 'e': x.e, 'n': x.n,
+                   'f': CASE WHEN x.f <= m.wm THEN x.f + ((m.wm - x.f) // {interval_ms} + 1) * {interval_ms} ELSE x.f END}})
+               ELSE p.live END AS held,
+               CASE WHEN m.wm > p.wm THEN flatten(list_transform(p.live, lambda x: list_concat(
+                 list_transform(range(x.f, least(m.wm + 1, x.e - 1), {interval_ms}),
+                   lambda b: {{'s': x.s, 'e': x.e, 'n': x.n, 'b': b, 'fin': false}}),
+                 CASE WHEN x.e - 1 <= m.wm THEN [{{'s': x.s, 'e': x.e, 'n': x.n, 'b': x.e - 1, 'fin': true}}] ELSE [] END)))
+               ELSE [] END AS fired
+        FROM r p JOIN step m ON m.user_id = p.user_id AND m.k = p.k + 1
+      ) o ON o.user_id = n.user_id AND n.k = o.k + 1
+    )
+  )
+)"""
+
+
+def _watermark_panes_sql(gap_ms: int, interval_ms: int, marker: str) -> str:
+    return f"""
+WITH RECURSIVE {_replay_ctes(gap_ms, interval_ms, marker)},
+p AS (SELECT user_id, unnest(fired) AS x FROM r)
+SELECT user_id, CAST(x.s AS BIGINT) AS start_ms, CAST(x.e AS BIGINT) AS end_ms, CAST(x.b AS BIGINT) AS pane_ms,
+       CAST(x.n AS BIGINT) AS songs, x.fin AS is_final
+FROM p
+"""
+
+
+def _arrival_sessions_sql(gap_ms: int, marker: str) -> str:
+    return f"""
+SELECT user_id, start_ms, end_ms, CAST((end_ms - start_ms) // 1000 AS BIGINT) AS duration_s, songs
+FROM ({_watermark_panes_sql(gap_ms, gap_ms, marker)}) WHERE is_final
+"""
+
+
+def _lateness_rules_sql(gap_ms: int, marker: str) -> str:
+    return f"""
+WITH RECURSIVE {_replay_ctes(gap_ms, gap_ms, marker)}
+SELECT step.event_id, step.user_id, step.ts_ms, step.arrival_ms, step.wm AS watermark_ms, r.dropped AS is_dropped
+FROM step JOIN r USING (user_id, k)
+WHERE step.ts_ms IS NOT NULL AND step.wm >= 0 AND step.ts_ms + {gap_ms} - 1 <= step.wm
+"""
+
+
 def _iso(ms: str) -> str:
     return (
         f"(strftime(epoch_ms({ms}), '%Y-%m-%dT%H:%M:%S') || CASE WHEN {ms} % 1000 = 0 THEN '' "
@@ -276,6 +361,11 @@ SELECT event_id, error IS NULL AS is_valid, error, CASE WHEN error IS NULL THEN
         "max_watermark": _watermark_sql("true"),
         "late_events_punctuated": _late_sql(MARKER, LATE_GAP_MS),
         "late_events_max": _late_sql("true", LATE_GAP_MS),
+        "watermark_panes": _watermark_panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS, MARKER),
+        "watermark_panes_max": _watermark_panes_sql(MERGE_GAP_MS, MERGE_GAP_MS // 4, "true"),
+        "arrival_sessions": _arrival_sessions_sql(MERGE_GAP_MS, MARKER),
+        "lateness_rules_punctuated": _lateness_rules_sql(MERGE_GAP_MS, MARKER),
+        "lateness_rules_max": _lateness_rules_sql(MERGE_GAP_MS, "true"),
         "messages_m1": _message_sql(
             oracles_base()["session_stats_window"],
             "'User: ' || user_id || ' session took ' || duration_s || ' seconds and ' || songs || ' songs' || chr(10) "

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cadence.functions import codec
 from cadence.functions import messages as M
 from cadence.functions.predicates import floor_div, is_watermark_marker, song_flag
+from cadence.operators import arrival as AR
 from cadence.operators import sessions as S
 from cadence.operators.bucketing import Bucketing
 from cadence.operators import watermark as WM
@@ -34,6 +35,8 @@ SMALL_BUCKETS = Bucketing(adaptive=True, target_rows=20)
 DRIVER_GAP_MS = 43_200_000
 DRIVER_INTERVAL_MS = 10_800_000
 LATE_GAP_MS = 20_000
+# At 90 minutes some late events still touch a live session: the two lateness rules differ.
+MERGE_GAP_MS = 5_400_000
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -168,6 +171,30 @@ def q_late_events_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _late(spark, sf_dir, "max")
 
 
+# What a watermark-driven job makes of the table in arrival order (up to an hour out of order).
+def q_watermark_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AR.watermark_panes(load_events(spark, sf_dir, with_arrival=True), DRIVER_GAP_MS, DRIVER_INTERVAL_MS)
+
+
+def q_watermark_panes_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event moves the watermark; the gap is short enough for events to be dropped."""
+    return AR.watermark_panes(load_events(spark, sf_dir, with_arrival=True), MERGE_GAP_MS, MERGE_GAP_MS // 4, mode="max")
+
+
+def q_arrival_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions without the events that the job drops."""
+    return AR.arrival_sessions(load_events(spark, sf_dir, with_arrival=True), MERGE_GAP_MS)
+
+
+def q_lateness_rules_punctuated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events late by their own window; is_dropped is false where merging first keeps them."""
+    return AR.lateness_rules(load_events(spark, sf_dir, with_arrival=True), MERGE_GAP_MS)
+
+
+def q_lateness_rules_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AR.lateness_rules(load_events(spark, sf_dir, with_arrival=True), MERGE_GAP_MS, "max")
+
+
 def q_messages_m1(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = q_session_stats_window(spark, sf_dir)
     return st.select(
@@ -301,6 +328,11 @@ def registry() -> dict[str, QueryFn]:
         "max_watermark": q_max_watermark,
         "late_events_punctuated": q_late_events_punctuated,
         "late_events_max": q_late_events_max,
+        "watermark_panes": q_watermark_panes,
+        "watermark_panes_max": q_watermark_panes_max,
+        "arrival_sessions": q_arrival_sessions,
+        "lateness_rules_punctuated": q_lateness_rules_punctuated,
+        "lateness_rules_max": q_lateness_rules_max,
         "messages_m1": q_messages_m1,
         "messages_m2": q_messages_m2,
         "messages_m3": q_messages_m3,
