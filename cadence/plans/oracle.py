@@ -405,6 +405,8 @@ SELECT event_id, error IS NULL AS is_valid, error, CASE WHEN error IS NULL THEN
         "stream_early_panes": _stream_panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
         "stream_jittered_sessions": oracles_base()["session_stats_window"],
         "stream_jittered_listening_runs": oracles_base()["listening_runs"],
+        "stream_late_events_punctuated": _late_sql(MARKER, LATE_GAP_MS),
+        "stream_late_events_max": _late_sql("true", LATE_GAP_MS),
         "stream_incremental_sessions": oracles_base()["session_stats_window"],
         "stream_incremental_listening_runs": oracles_base()["listening_runs"],
         "stream_incremental_discover_weekly_runs": oracles_base()["discover_weekly_runs"],

@@ -7,6 +7,7 @@ gap and a 3 h early-fire interval (late-event queries keep the 20 s default).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,14 @@ from cadence.operators.bucketing import Bucketing
 from cadence.operators import watermark as WM
 from cadence.operators.panes import early_session_panes
 from cadence.schema import EVENT_COLUMNS
+from cadence.session import scratch_path
 from cadence.sources import generator as G
 from cadence.sources.driver_table import load_events, read_table
 from cadence.streaming import runs as SR
 from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
-from cadence.streaming.replay import replay
+from cadence.streaming.late import start_late_event_view
+from cadence.streaming.replay import feed_ranges, replay
 
 # Forces the heavy-user plan on the driver table (every user has more than 20 rows):
 # equal-count buckets of about 20 rows, cross-bucket carry and join.  Same results.
@@ -307,6 +310,28 @@ def q_stream_incremental_discover_weekly_runs(spark: SparkSession, sf_dir: str)
     return SR.runs_of(_incremental(spark, sf_dir, "stream-incr-dw"), "dw")
 
 
+# The stream's own view of late events: seven micro-batches in arrival order, exact inside each.
+def _stream_late(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    root = scratch_path(spark, "stream-late")
+    inp, out, ckpt = (os.path.join(root, d) for d in ("input", "output", "checkpoint"))
+    events = load_events(spark, sf_dir, with_arrival=True)
+
+    def run() -> None:
+        stream = spark.readStream.schema(events.schema).parquet(inp)
+        start_late_event_view(stream, LATE_GAP_MS, ckpt, out, mode=mode, available_now=True).awaitTermination()
+
+    feed_ranges(events, "arrival_ms", 7, inp, run)
+    return spark.read.parquet(os.path.join(out, "batch=*")).select("event_id", "user_id", "ts_ms", "arrival_ms", "watermark_ms")
+
+
+def q_stream_late_events_punctuated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_late(spark, sf_dir, "punctuated")
+
+
+def q_stream_late_events_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_late(spark, sf_dir, "max")
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "normalize_events": q_normalize_events,
@@ -347,6 +372,8 @@ def registry() -> dict[str, QueryFn]:
         "stream_early_panes": q_stream_early_panes,
         "stream_jittered_sessions": q_stream_jittered_sessions,
         "stream_jittered_listening_runs": q_stream_jittered_listening_runs,
+        "stream_late_events_punctuated": q_stream_late_events_punctuated,
+        "stream_late_events_max": q_stream_late_events_max,
         "stream_incremental_sessions": q_stream_incremental_sessions,
         "stream_incremental_listening_runs": q_stream_incremental_listening_runs,
         "stream_incremental_discover_weekly_runs": q_stream_incremental_discover_weekly_runs,

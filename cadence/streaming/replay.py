@@ -40,6 +40,22 @@ def equal_ranges(col: str, lo: int, hi: int, n: int):
     return F.least(floor_div((F.col(col) - F.lit(lo)) * F.lit(n), hi - lo + 1), F.lit(n - 1))
 
 
+def feed_ranges(df: DataFrame, by: str, n: int, folder: str, run: Callable[[], None]) -> None:
+    """Append the rows of ``n`` equally wide ranges of ``by`` to ``folder``, in order, and call
+    ``run`` after each: one micro-batch a range for a stream that reads the folder."""
+    lo, hi = df.agg(F.min(by), F.max(by)).first()
+    if lo is None:
+        return
+    staged = scratch_path(df.sparkSession, "ranges") + "/rows"
+    df.withColumn("_r", equal_ranges(by, int(lo), int(hi), n)).write.partitionBy("_r").parquet(staged)
+    ranges = df.sparkSession.read.parquet(staged)
+    for r in range(n):
+        part = ranges.where(F.col("_r") == r).select(*df.columns)
+        if not part.isEmpty():
+            part.write.mode("append").parquet(folder)
+            run()
+
+
 def replay(
     spark: SparkSession,
     events: DataFrame,

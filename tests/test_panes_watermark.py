@@ -96,3 +96,19 @@ def test_late_flag(spark):
     late = sorted(r.event_id for r in WM.late_events(df, 20_000, "max").collect())
     # 150 s: own window ends 169.999 s <= 200 s -> late; 185 s: ends 204.999 s -> on time.
     assert late == [2]
+
+
+def test_bursts_are_split_and_nothing_is_stored_without_one(spark, make_events, monkeypatch):
+    """Equally wide ranges need no stored table; a burst inside one of them is dealt out anew, with the same result."""
+    made = []
+    monkeypatch.setattr(WM, "stored", lambda df, label: made.append(label) or df)
+    rnd = random.Random(9)
+    even = make_events([song(rnd.randrange(10**7), i) for i in range(400)]).withColumn("arrival_ms", F.col("event_id") * 1000)
+    plain = {r.event_id: r.watermark_ms for r in WM.max_watermark(even, target_rows=10**6).collect()}
+    assert {r.event_id: r.watermark_ms for r in WM.max_watermark(even, target_rows=50).collect()} == plain and not made
+    burst = even.withColumn("arrival_ms", F.when(F.col("event_id") < 300, F.lit(77_000) + F.col("event_id") % 3).otherwise(F.col("arrival_ms")))
+    holes = burst.withColumn("arrival_ms", F.when(F.col("event_id") % 5 != 0, F.col("arrival_ms")))
+    for df in (burst, holes):
+        plain = {r.event_id: r.watermark_ms for r in WM.max_watermark(df, target_rows=10**6).collect()}
+        assert {r.event_id: r.watermark_ms for r in WM.max_watermark(df, target_rows=20).collect()} == plain
+    assert made == ["bursts", "bursts"]

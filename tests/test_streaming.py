@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from events import search, song
 from pyspark.sql import functions as F
 
@@ -202,14 +203,40 @@ def test_late_event_view(spark):
     batches = [
         [song(50_000, 0), song(80_000, 1)],          # max watermark -> 80 s
         [song(20_000, 2), song(79_000, 3)],          # 20 s: [20 s, 70 s) ended by 80 s -> late; 79 s is not
-        [song(121_000, 4), song(60_500, 5)],         # watermark still 80 s here: 60.5 s + 20 s - 1 ms > 80 s
+        [song(60_500, 4), song(121_000, 5)],         # watermark still 80 s here: 60.5 s + 20 s - 1 ms > 80 s
+        [song(150_000, 6), song(60_500, 7)],         # 121 s from the batch before, 150 s from event 6: late by the latter
     ]
     for rows in batches:
         codec.encode(spark.createDataFrame(rows, EVENT_SCHEMA)).coalesce(1).write.mode("append").parquet(inp)
         ev = read_event_stream(spark, "parquet", path=inp, options={"maxFilesPerTrigger": "1"})
         start_late_event_view(ev, 20_000, os.path.join(root, "ck"), out, mode="max", available_now=True).awaitTermination()
     got = sorted((r.event_id, r.watermark_ms) for r in spark.read.parquet(os.path.join(out, "batch=*")).collect())
-    assert got == [(2, 80_000)]
+    assert got == [(2, 80_000), (7, 150_000)]
+
+
+@pytest.mark.parametrize(("mode", "cuts"), [("punctuated", [1]), ("punctuated", [7, 60, 61, 200]), ("max", [100]), ("max", [3, 4, 150])])
+def test_late_event_view_is_exact_for_any_cut_into_batches(spark, mode, cuts):
+    """Every cut of one arrival order gives the rows of the batch operator, watermarks included."""
+    import random
+
+    from cadence.operators.watermark import late_events
+    from cadence.streaming.late import start_late_event_view
+
+    rng = random.Random(len(cuts))
+    rows = [song(ts, i, user=str(rng.randrange(5))) for i, ts in enumerate(max(0, i * 2_000 + rng.randrange(-60_000, 60_000)) for i in range(250))]
+    # Arrivals in steps of 2 ms with ties; the tie is broken by event_id.
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields) + ", arrival_ms long"
+    whole = spark.createDataFrame([r + (r[0] // 2,) for r in rows], fields)
+    want = sorted((r.event_id, r.watermark_ms) for r in late_events(whole, 20_000, mode).collect())
+    assert want
+    root = scratch_path(spark, "late-cuts")
+    inp, out = os.path.join(root, "in"), os.path.join(root, "out")
+    for lo, hi in zip([0, *cuts], [*cuts, len(rows)]):
+        whole.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi)).repartition(3).write.mode("append").parquet(inp)
+        ev = spark.readStream.schema(whole.schema).parquet(inp)
+        start_late_event_view(ev, 20_000, os.path.join(root, "ck"), out, mode=mode, available_now=True).awaitTermination()
+    found = spark.read.parquet(os.path.join(out, "batch=*"))
+    assert sorted((r.event_id, r.watermark_ms) for r in found.collect()) == want
 
 
 def test_late_event_view_matches_batch_replay(spark, make_events):
