@@ -59,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--late-events-mode", choices=("punctuated", "max"), default="punctuated")
     a.add_argument("--on-error", choices=("fail", "drop"), default="fail",
                    help="invalid records: stop the job, or leave them out (with --errors-output: written there)")
-    a.add_argument("--errors-output", default=None, help="folder for invalid records and their reasons (batch)")
+    a.add_argument("--errors-output", default=None, help="folder for invalid records and their reasons")
     a.add_argument("--batch", action="store_true", help="one-shot batch run over the stored events at --source-path")
     return p
 
@@ -103,7 +103,8 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
         return 0
 
-    from cadence.streaming.sources import read_event_stream, read_wire_batch
+    from cadence.streaming.quarantine import read_valid_events, start_quarantine
+    from cadence.streaming.sources import read_event_stream, read_wire_batch, read_wire_stream
 
     opts = options_from(args)
     if args.batch:
@@ -121,10 +122,21 @@ def main(argv: list[str] | None = None) -> int:
                 bad.write.mode("overwrite").parquet(args.errors_output)
         job.write_batch_results(events, opts, args.output)
         return 0
-    events = read_event_stream(
-        spark, args.source_format, path=args.source_path, topic=args.topic, options=kafka, on_error=args.on_error
-    )
-    queries = job.start_streaming_job(
+    split = []
+    if args.on_error == "drop" and args.errors_output:
+        # One pass keeps invalid records apart; the analyses read the valid events it writes.
+        wire = read_wire_stream(spark, args.source_format, path=args.source_path, topic=args.topic, options=kafka)
+        valid = args.errors_output.rstrip("/") + "-valid-events"
+        ck = (args.checkpoint or args.errors_output.rstrip("/")) + "-split"
+        split = [start_quarantine(wire, valid, args.errors_output, ck, available_now=args.available_now)]
+        if args.available_now:
+            split.pop().awaitTermination()
+        events = read_valid_events(spark, valid)
+    else:
+        events = read_event_stream(
+            spark, args.source_format, path=args.source_path, topic=args.topic, options=kafka, on_error=args.on_error
+        )
+    queries = split + job.start_streaming_job(
         spark, events, opts, sink_fmt=args.sink_format, sink_options=kafka if args.sink_format == "kafka" else {},
         output_root=args.output, watermark_delay_ms=args.watermark_delay,
         available_now=args.available_now, checkpoint_dir=args.checkpoint,

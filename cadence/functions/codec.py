@@ -1,8 +1,8 @@
 """JSON wire format of events: decode, encode, validity and the bad-record policy.
 
 On the wire an event is a JSON object of its fields plus ``"type"`` = class name.
-Decoding uses one explicit schema (never inferred).  A record is valid iff it is
-a JSON object, ``type`` is a known class, ``timestamp`` is a JSON number (a fraction of
+Decoding uses one explicit schema (never inferred).  A record is valid iff its bytes are
+UTF-8, it is a JSON object, ``type`` is a known class, ``timestamp`` is a JSON number (a fraction of
 a millisecond is cut off; it must fit 64 bits), ``userId`` is a JSON string,
 ``eventType`` and ``deviceType`` are present with enum values in their domains,
 and, for a song, ``playlistType`` is in its domain and ``songid`` is a JSON string.
@@ -34,7 +34,7 @@ from cadence.schema import (
 )
 
 # Reason codes of invalid records.
-MALFORMED = "malformed"  # not JSON, not an object, or a field of the wrong JSON type
+MALFORMED = "malformed"  # not UTF-8, not JSON, not an object, or a field of the wrong JSON type
 UNKNOWN_TYPE = "unknown_type"  # "type" missing or not a known class
 MISSING_FIELD = "missing_field"  # a required field is absent
 BAD_ENUM = "bad_enum"  # an enum field outside its domain
@@ -82,7 +82,7 @@ def _wrong_type(p: str, k: str) -> Column:
     return ~number | ~text["userId"] | (song & ~text["songid"])
 
 
-def error_reason(p: str = "_p", k: str = "_k") -> Column:
+def error_reason(p: str = "_p", k: str = "_k", raw: str = "_raw") -> Column:
     """NULL for a valid parsed record, else one of the reason codes."""
     f = lambda name: F.col(f"{p}.{name}")
     unplaced = f("timestamp").isNotNull() & f("timestamp").try_cast("bigint").isNull()
@@ -100,7 +100,7 @@ def error_reason(p: str = "_p", k: str = "_k") -> Column:
         | (song & ~f("playlistType").isin(*PLAYLIST_TYPES))
     )
     return (
-        F.when(F.col(p).isNull() | f(CORRUPT_COLUMN).isNotNull() | unplaced | _wrong_type(p, k), F.lit(MALFORMED))
+        F.when(~F.is_valid_utf8(raw) | F.col(p).isNull() | f(CORRUPT_COLUMN).isNotNull() | unplaced | _wrong_type(p, k), F.lit(MALFORMED))
         .when(f("type").isNull() | ~f("type").isin(*EVENT_CLASSES), F.lit(UNKNOWN_TYPE))
         .when(missing, F.lit(MISSING_FIELD))
         .when(bad_enum, F.lit(BAD_ENUM))

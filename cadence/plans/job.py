@@ -12,8 +12,8 @@ results are written, ``materialize=True`` cuts the lineage with ``checkpoint()``
 (the shared ``spark.checkpoint.dir``) so the event shuffle runs once.
 
 Streaming: one stateful query serves all three closed-session analyses, written per
-micro-batch with ``foreachBatch`` (file sinks overwrite a folder per batch id, so a
-repeated batch leaves one copy; Kafka and the console may repeat one): the bounded-state
+micro-batch with ``foreachBatch``, each result once per batch id and place
+(``cadence.streaming.once``): the bounded-state
 operator of ``cadence.streaming.runs`` (state: events not yet behind the watermark
 plus one open session per user).  Early panes are a second stateful query.
 """
@@ -34,7 +34,8 @@ from cadence.options import JobOptions
 from cadence.session import checkpoint_root
 from cadence.streaming import runs as SR
 from cadence.streaming.panes import stream_early_panes
-from cadence.streaming.sinks import print_rows, start_sink
+from cadence.streaming.once import FILES, write_once
+from cadence.streaming.sinks import start_sink
 
 DW, LISTEN = "dw", "listen"
 
@@ -108,16 +109,6 @@ def topics(options: JobOptions) -> dict[str, str]:
     }
 
 
-def _write_batch(df: DataFrame, sink_fmt: str, target: str, batch_id: int, sink_options: dict[str, str]) -> None:
-    if sink_fmt == "kafka":
-        df.write.format("kafka").options(**sink_options).option("topic", target).save()
-    elif sink_fmt == "console":
-        print_rows(df)
-    else:
-        # One folder per micro-batch, overwritten on replay: idempotent.
-        df.write.mode("overwrite").format(sink_fmt).options(**sink_options).save(os.path.join(target, f"batch={batch_id}"))
-
-
 def start_streaming_job(
     spark: SparkSession,
     events: DataFrame,
@@ -178,7 +169,7 @@ def start_streaming_job(
                 if options.subsession_stats:
                     results["subsessions"] = runs_of(batch, LISTEN)
                 for name, df in messages(results, options).items():
-                    _write_batch(df, sink_fmt, targets[name], batch_id, sink_options)
+                    write_once(df, sink_fmt, targets[name], batch_id, os.path.join(ck, "written"), sink_options)
             finally:
                 batch.unpersist()
 
@@ -193,17 +184,13 @@ def start_streaming_job(
             merge_touching=options.merge_touching,
         )
         msgs = messages({"session_panes": panes}, options)["session_panes"]
-        queries.append(
-            start_sink(
-                msgs,
-                sink_fmt,
-                os.path.join(ck, "panes"),
-                path=targets["session_panes"],
-                topic=targets["session_panes"],
-                options=sink_options,
-                available_now=available_now,
-            )
-        )
+        target = targets["session_panes"]
+        if sink_fmt in FILES:  # Spark's own file sink writes each batch once
+            queries.append(start_sink(msgs, sink_fmt, os.path.join(ck, "panes"), path=target, options=sink_options, available_now=available_now))
+        else:
+            send = lambda b, i: write_once(b, sink_fmt, target, i, os.path.join(ck, "written-panes"), sink_options)
+            w = msgs.writeStream.option("checkpointLocation", os.path.join(ck, "panes")).foreachBatch(send)
+            queries.append((w.trigger(availableNow=True) if available_now else w).start())
     if late_events_output:
         from cadence.streaming.late import start_late_event_view
 

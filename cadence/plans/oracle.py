@@ -310,6 +310,19 @@ FROM g
 """
 
 
+QUARANTINE_SQL = f"""
+WITH {EV},
+d AS (
+  SELECT event_id, ts_ms,
+         CASE WHEN event_id % 97 IN (0, 1, 5, 6, 7, 10, 13, 14) THEN 'malformed' WHEN event_id % 97 = 2 THEN 'unknown_type'
+              WHEN event_id % 97 = 3 THEN 'bad_enum' WHEN event_id % 97 = 4 THEN 'missing_field'
+              WHEN event_id % 97 IN (8, 9) AND type = 'SongEvent' THEN 'malformed' END AS error
+  FROM ev
+)
+SELECT event_id, error IS NULL AS is_valid, error, CASE WHEN error IS NULL THEN ts_ms END AS ts_ms FROM d
+"""
+
+
 def oracles_base() -> dict[str, str]:
     return {
         "session_stats_window": _session_stats_sql(f"{EV}, src AS (SELECT * FROM ev)", DRIVER_GAP_MS, ">", "window"),
@@ -345,17 +358,8 @@ SELECT event_id,
        || '}}' AS value
 FROM ev
 """,
-        "quarantine_bad_events": f"""
-WITH {EV},
-d AS (
-  SELECT event_id, ts_ms,
-         CASE WHEN event_id % 97 IN (0, 1, 5, 6, 7, 10) THEN 'malformed' WHEN event_id % 97 = 2 THEN 'unknown_type'
-              WHEN event_id % 97 = 3 THEN 'bad_enum' WHEN event_id % 97 = 4 THEN 'missing_field'
-              WHEN event_id % 97 IN (8, 9) AND type = 'SongEvent' THEN 'malformed' END AS error
-  FROM ev
-)
-SELECT event_id, error IS NULL AS is_valid, error, CASE WHEN error IS NULL THEN ts_ms END AS ts_ms FROM d
-""",
+        "quarantine_bad_events": QUARANTINE_SQL,
+        "stream_quarantine": QUARANTINE_SQL,
         "early_session_panes": _panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
         "punctuated_watermark": _watermark_sql(MARKER),
         "max_watermark": _watermark_sql("true"),

@@ -29,7 +29,9 @@ from cadence.streaming import runs as SR
 from cadence.streaming import sessions as SS
 from cadence.streaming.panes import stream_early_panes
 from cadence.streaming.late import start_late_event_view
+from cadence.streaming.quarantine import start_quarantine
 from cadence.streaming.replay import feed_ranges, replay
+from cadence.streaming.sources import read_wire_stream
 
 # Forces the heavy-user plan on the driver table (every user has more than 20 rows):
 # equal-count buckets of about 20 rows, cross-bucket carry and join.  Same results.
@@ -111,7 +113,15 @@ def q_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.encode(load_events(spark, sf_dir))
 
 
-# Damage kinds applied to the wire text of every event with pmod(event_id, 97) < 13.
+def _with_bytes(v, hex_bytes: str):
+    """The text with raw bytes at the start of the user id."""
+    mark = '"userId":"'
+    head = F.concat(F.substring_index(v, mark, 1), F.lit(mark)).cast("binary")
+    tail = F.substring_index(v, mark, -1).cast("binary")
+    return F.concat(head, F.unhex(F.lit(hex_bytes)), tail).cast("string")
+
+
+# Damage kinds applied to the wire text of every event with pmod(event_id, 97) < 15.
 def damaged_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     wire = codec.encode(load_events(spark, sf_dir))
     kind = F.pmod(F.col("event_id"), F.lit(97))
@@ -132,6 +142,9 @@ def damaged_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 10, F.regexp_replace(v, '"timestamp":([0-9]+)', '"timestamp":"$1"'))
         .when(kind == 11, F.regexp_replace(v, '"timestamp":([0-9]+)', '"timestamp":$1.5'))
         .when(kind == 12, F.regexp_replace(v, '"timestamp":([0-9]+)', '"timestamp":$1e0'))
+        # Bytes that are no UTF-8: a lone continuation, an encoded surrogate.
+        .when(kind == 13, _with_bytes(v, "80"))
+        .when(kind == 14, _with_bytes(v, "EDA080"))
         .otherwise(v)
     )
     return wire.select("event_id", bad.alias("value"))
@@ -145,6 +158,18 @@ def q_quarantine_bad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged records as a stream of four micro-batches, split into valid events and invalid
+    records by one pass; every record lands in exactly one of the two."""
+    root = scratch_path(spark, "stream-quarantine")
+    inp, good, bad, ckpt = (os.path.join(root, d) for d in ("input", "good", "bad", "checkpoint"))
+    run = lambda: start_quarantine(read_wire_stream(spark, "parquet", path=inp), good, bad, ckpt, available_now=True).awaitTermination()
+    feed_ranges(damaged_wire(spark, sf_dir), "event_id", 4, inp, run)
+    kept = spark.read.parquet(os.path.join(good, "batch=*")).select("event_id", F.lit(True).alias("is_valid"), F.lit(None).cast("string").alias("error"), "ts_ms")
+    left = spark.read.parquet(os.path.join(bad, "batch=*")).select("event_id", F.lit(False).alias("is_valid"), "error", F.lit(None).cast("bigint").alias("ts_ms"))
+    return kept.unionAll(left)
+
+
 def q_early_session_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return early_session_panes(load_events(spark, sf_dir), DRIVER_GAP_MS, DRIVER_INTERVAL_MS)
 
@@ -348,6 +373,7 @@ def registry() -> dict[str, QueryFn]:
         "json_roundtrip": q_json_roundtrip,
         "encode_events": q_encode_events,
         "quarantine_bad_events": q_quarantine_bad_events,
+        "stream_quarantine": q_stream_quarantine,
         "early_session_panes": q_early_session_panes,
         "punctuated_watermark": q_punctuated_watermark,
         "max_watermark": q_max_watermark,

@@ -67,6 +67,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p)
+
+
+def move_folder(spark: SparkSession, source: str | None, target: str) -> bool:
+    """Rename ``source`` to ``target`` unless ``target`` is there; whether it was there already.
+    Without a source it only looks."""
+    fs, to = _file_system(spark, target)
+    if fs.exists(to):
+        return True
+    if source is not None:
+        fs.mkdirs(to.getParent())
+        if not fs.rename(_file_system(spark, source)[1], to):
+            raise OSError(f"cannot rename {source} to {target}")
+    return False
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (needed by the stateful
     processors, whose objects are unpickled there).  Zips the package once per

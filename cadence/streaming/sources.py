@@ -1,9 +1,12 @@
 """Streaming sources of wire events: ``(event_id, value)`` rows.
 
-* ``kafka``: topic ``songs`` by default; ``value`` bytes decoded as UTF-8, the key is
-  ignored; ``event_id`` = partition * 2^40 + offset orders equal timestamps.
+* ``kafka``: topic ``songs`` by default; ``value`` bytes read as UTF-8 (bytes that are none
+  make the record invalid, see ``cadence.functions.codec``), the key is ignored;
+  ``event_id`` = partition * 2^48 + offset orders equal timestamps (partitions below 2^15,
+  offsets below 2^48).
 * ``parquet``: files of ``(event_id bigint, value string)`` (the replay format).
-* ``text``: one JSON document per line; no tiebreak (``event_id`` NULL).
+* ``text``: one JSON document per line; ``event_id`` = a hash of the line, so equal
+  timestamps have one order however the files are read (equal lines are interchangeable).
 
 Event time is the ``timestamp`` field of each record, never arrival time.
 """
@@ -23,11 +26,11 @@ def _wire(raw: DataFrame, fmt: str) -> DataFrame:
     """``(event_id, value)`` of what a source delivers."""
     if fmt == "kafka":
         return raw.select(
-            (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("event_id"),
+            (F.col("partition").cast("bigint") * F.lit(1 << 48) + F.col("offset")).alias("event_id"),
             F.col("value").cast("string").alias("value"),
         )
     if fmt == "text":
-        return raw.select(F.lit(None).cast("bigint").alias("event_id"), F.col("value"))
+        return raw.select(F.xxhash64("value").alias("event_id"), F.col("value"))
     return raw
 
 
@@ -58,7 +61,8 @@ def read_event_stream(spark: SparkSession, fmt: str, *, on_error: str = "fail",
     """Decoded, validated event stream (normalized columns).
 
     ``on_error``: ``fail`` stops the query at an invalid record; ``drop`` leaves invalid
-    records out (``codec.decode`` on the wire stream gives them with their reasons)."""
+    records out.  To keep them with their reasons, split the wire stream with
+    ``cadence.streaming.quarantine`` and read its valid events."""
     wire = read_wire_stream(spark, fmt, **kw)
     if on_error == "drop":
         return codec.decode(wire, on_error="quarantine")[0]

@@ -155,12 +155,11 @@ def test_console_prints_every_row_whole(tmp_path, n):
         "import sys\n"
         f"sys.path.insert(0, {os.path.dirname(SF_REPO)!r})\n"
         "from cadence.session import build_spark\n"
-        "from cadence.plans import job\n"
-        "from cadence.streaming.sinks import start_sink\n"
+        "from cadence.streaming.sinks import print_rows, start_sink\n"
         "from pyspark.sql import functions as F\n"
         "spark = build_spark('local[2]', shuffle_partitions=2)\n"
         f"df = spark.range({n}).select(F.concat(F.lit('row-'), 'id', F.lit('-' + 'x' * 60)).alias('value'))\n"
-        "job._write_batch(df.select(F.concat(F.lit('batch-'), 'value').alias('value')), 'console', '', 0, {})\n"
+        "print_rows(df.select(F.concat(F.lit('batch-'), 'value').alias('value')))\n"
         f"df.write.text({str(tmp_path / 'in')!r})\n"
         f"stream = spark.readStream.text({str(tmp_path / 'in')!r}).select(F.concat(F.lit('stream-'), 'value'))\n"
         f"start_sink(stream, 'console', {str(tmp_path / 'ck')!r}, available_now=True).awaitTermination()\n"
