@@ -31,11 +31,12 @@ more than one bucket of a heavy user, and nothing unbounded is collected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.functions.aggregates import Figures, check_figures, over_run
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
 from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket, heavy_keys, range_buckets
 
@@ -263,8 +264,17 @@ def session_stats(
     return session_stats_from(annotated, gap_ms, duration=duration)
 
 
-def runs_from(annotated: DataFrame, name: str, *, user_col: str = "user_id", ts_col: str = "ts_ms") -> DataFrame:
-    """``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)`` per run of ``name``."""
+def runs_from(
+    annotated: DataFrame,
+    name: str,
+    *,
+    user_col: str = "user_id",
+    ts_col: str = "ts_ms",
+    aggregates: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)`` per run of ``name``,
+    and one column per ``aggregates`` entry (any Spark aggregate over ``annotated``)."""
+    extra = dict(aggregates or {})
     agg = (
         annotated.filter(~F.col(f"{name}_delim"))
         .groupBy(user_col, f"{name}_run")
@@ -273,6 +283,7 @@ def runs_from(annotated: DataFrame, name: str, *, user_col: str = "user_id", ts_
             F.min(ts_col).alias("start_ms"),
             F.max(ts_col).alias("end_ms"),
             F.count(F.lit(1)).alias("songs"),
+            *[a.alias(f"_x_{n}") for n, a in extra.items()],
         )
     )
     return agg.select(
@@ -282,6 +293,7 @@ def runs_from(annotated: DataFrame, name: str, *, user_col: str = "user_id", ts_
         "end_ms",
         floor_div(F.col("end_ms") - F.col("start_ms"), 1000).alias("length_s"),
         "songs",
+        *[F.col(f"_x_{n}").alias(n) for n in extra],
     )
 
 
@@ -292,12 +304,27 @@ def split_runs(
     *,
     merge_touching: bool = True,
     bucketing: Bucketing = ADAPTIVE,
+    figures: Figures | None = None,
+    aggregates: Mapping[str, Column] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Split every session at events matching ``delimiter``; one row per non-empty run."""
+    """Split every session at events matching ``delimiter``; one row per non-empty run.
+
+    What the caller wants to know of each run, beside its count and length:
+
+    * ``figures``: name -> (kind, whole-number expression of one event), see
+      ``cadence.functions.aggregates``; the stream operator takes the same;
+    * ``aggregates``: name -> any Spark aggregate over ``ts_ms``, ``event_id`` and the
+      ``carry`` columns of the run's events (only those columns cross the shuffle)."""
+    figures = dict(figures or {})
+    check_figures(figures)
+    order = F.struct("ts_ms", "event_id")
+    measures = {f"_f{j}": value.cast("bigint") for j, (_, value) in enumerate(figures.values())} | {c: F.col(c) for c in carry}
     annotated = sessionize(
-        events, gap_ms, delimiters={"split": delimiter}, merge_touching=merge_touching, bucketing=bucketing
+        events, gap_ms, delimiters={"split": delimiter}, measures=measures, merge_touching=merge_touching, bucketing=bucketing
     )
-    return runs_from(annotated, "split")
+    own = {name: over_run(kind, F.col(f"_f{j}"), order) for j, (name, (kind, _)) in enumerate(figures.items())}
+    return runs_from(annotated, "split", aggregates=own | dict(aggregates or {}))
 
 
 def discover_weekly_runs(events: DataFrame, gap_ms: int, *, bucketing: Bucketing = ADAPTIVE) -> DataFrame:

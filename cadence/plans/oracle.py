@@ -60,7 +60,7 @@ FROM s GROUP BY user_id, sid
 """
 
 
-def _runs_sql(delim: str, gap_ms: int) -> str:
+def _runs_sql(delim: str, gap_ms: int, extra: str = "") -> str:
     return f"""
 WITH {EV}, src AS (SELECT *, ({delim}) AS is_delim FROM ev), {_sessions_cte('src', gap_ms)},
 r AS (
@@ -75,12 +75,20 @@ SELECT user_id,
        CAST(min(ts_ms) AS BIGINT) AS start_ms,
        CAST(max(ts_ms) AS BIGINT) AS end_ms,
        CAST((max(ts_ms) - min(ts_ms)) // 1000 AS BIGINT) AS length_s,
-       CAST(count(*) AS BIGINT) AS songs
+       CAST(count(*) AS BIGINT) AS songs{extra}
 FROM r WHERE NOT is_delim
 GROUP BY user_id, sid, iid
 """
 
 
+_SONG_NUMBER = "CAST(split_part(songid, '-', 2) AS BIGINT)"
+RUN_FIGURES = f""",
+       CAST(count(*) FILTER (WHERE device_type = 'Mobile') AS BIGINT) AS mobile_songs,
+       min({_SONG_NUMBER}) AS lowest_song, max({_SONG_NUMBER}) AS highest_song,
+       (list({_SONG_NUMBER} ORDER BY ts_ms, event_id))[1] AS first_song,
+       (list(CASE WHEN playlist_type = 'DailyMix' THEN {_SONG_NUMBER} END ORDER BY ts_ms, event_id))[-1] AS last_daily_mix"""
+RUN_AGGREGATES = ", count(DISTINCT songid) AS different_songs, count(DISTINCT playlist_type) AS playlists"
+
 HOUR_FLOORED = f"""{EV}, src AS (
   SELECT * REPLACE (ts_ms - ts_ms % 3600000 AS ts_ms) FROM ev
 )"""
@@ -348,6 +356,10 @@ FROM ev
         "discover_weekly_runs": _runs_sql(NOT_DW, DRIVER_GAP_MS),
         "listening_runs": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS),
         "split_runs_custom": _runs_sql("device_type = 'Mobile'", DRIVER_GAP_MS),
+        "run_figures": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS, RUN_FIGURES),
+        "run_figures_heavy_plan": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS, RUN_FIGURES),
+        "run_aggregates": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS, RUN_AGGREGATES),
+        "stream_run_figures": _runs_sql("type = 'SearchEvent'", DRIVER_GAP_MS, RUN_FIGURES),
         "json_roundtrip": f"WITH {EV} SELECT {EV_COLS} FROM ev",
         "encode_events": f"""
 WITH {EV}

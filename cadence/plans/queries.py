@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import codec
 from cadence.functions import messages as M
-from cadence.functions.predicates import floor_div, is_watermark_marker, song_flag
+from cadence.functions.predicates import floor_div, is_search, is_watermark_marker, song_flag
 from cadence.operators import arrival as AR
 from cadence.operators import sessions as S
 from cadence.operators.bucketing import Bucketing
@@ -90,6 +90,32 @@ def q_split_runs_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.split_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, F.col("device_type") == F.lit("Mobile"))
 
 
+# What a caller may ask of each listening run: mergeable figures (batch and stream) and any aggregate (batch).
+def _run_figures() -> dict:
+    song_number = F.substring_index(F.col("songid"), "-", -1).cast("bigint")
+    return {
+        "mobile_songs": ("sum", (F.col("device_type") == F.lit("Mobile")).cast("bigint")),
+        "lowest_song": ("min", song_number),
+        "highest_song": ("max", song_number),
+        "first_song": ("first", song_number),
+        "last_daily_mix": ("last", F.when(F.col("playlist_type") == F.lit("DailyMix"), song_number)),
+    }
+
+
+def q_run_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.split_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, is_search(), figures=_run_figures())
+
+
+def q_run_figures_heavy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.split_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, is_search(), figures=_run_figures(), bucketing=SMALL_BUCKETS)
+
+
+def q_run_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any aggregate of a run's events: how many different songs, and how many playlists."""
+    wanted = {"different_songs": F.count_distinct("songid"), "playlists": F.count_distinct("playlist_type")}
+    return S.split_runs(load_events(spark, sf_dir), DRIVER_GAP_MS, is_search(), aggregates=wanted, carry=("songid", "playlist_type"))
+
+
 def q_session_stats_window_heavy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.session_stats(load_events(spark, sf_dir), DRIVER_GAP_MS, duration="window", bucketing=SMALL_BUCKETS)
 
@@ -335,6 +361,11 @@ def q_stream_incremental_discover_weekly_runs(spark: SparkSession, sf_dir: str)
     return SR.runs_of(_incremental(spark, sf_dir, "stream-incr-dw"), "dw")
 
 
+def q_stream_run_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = lambda s, delay: SR.stream_split_runs(s, DRIVER_GAP_MS, is_search(), watermark_delay_ms=delay, figures=_run_figures())
+    return replay(spark, load_events(spark, sf_dir), op, DRIVER_GAP_MS, label="stream-figures", by="ts_ms")
+
+
 # The stream's own view of late events: seven micro-batches in arrival order, exact inside each.
 def _stream_late(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     root = scratch_path(spark, "stream-late")
@@ -367,6 +398,10 @@ def registry() -> dict[str, QueryFn]:
         "discover_weekly_runs": q_discover_weekly_runs,
         "listening_runs": q_listening_runs,
         "split_runs_custom": q_split_runs_custom,
+        "run_figures": q_run_figures,
+        "run_figures_heavy_plan": q_run_figures_heavy_plan,
+        "run_aggregates": q_run_aggregates,
+        "stream_run_figures": q_stream_run_figures,
         "session_stats_window_heavy_plan": q_session_stats_window_heavy_plan,
         "listening_runs_heavy_plan": q_listening_runs_heavy_plan,
         "early_session_panes_heavy_plan": q_early_session_panes_heavy_plan,

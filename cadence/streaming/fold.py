@@ -5,16 +5,18 @@ boundaries from delimiter flags, segment sums with ``np.add.reduceat``.  Used by
 the Arrow-batched ``transformWithStateInPandas`` operator.
 
 ``sess`` is the open session carried between calls:
-``[start, last, songs, r0_start, r0_last, r0_songs, r1_start, ...]`` with ``None``
-run fields when that delimiter has no open run.  Output rows are
-``(kind, session_start, start, end, songs)``; ``kind`` is ``"session"`` or the
-delimiter's name.
+``[start, last, songs, r0_start, r0_last, r0_songs, r0_figures..., r1_start, ...]`` with
+``None`` run fields when that delimiter has no open run.  Output rows are
+``(kind, session_start, start, end, songs, figures...)``; ``kind`` is ``"session"`` (figures
+0) or the delimiter's name.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+from cadence.functions.aggregates import merged, over_segments
+
 SESSION = "session"
 COLUMNS = ("kind", "session_start_ms", "start_ms", "end_ms", "songs")
 
@@ -22,31 +24,35 @@ COLUMNS = ("kind", "session_start_ms", "start_ms", "end_ms", "songs")
 class Rows:
     """Output accumulated as numpy columns (one concatenation at the end)."""
 
-    def __init__(self) -> None:
+    def __init__(self, n_figures: int = 0) -> None:
         self.parts: list[tuple] = []
+        self.n_figures = n_figures
+        self.names = (*COLUMNS, *(f"figure_{j}" for j in range(n_figures)))
 
-    def add(self, kind: str, session_start, start, end, songs) -> None:
+    def add(self, kind: str, session_start, start, end, songs, figures=()) -> None:
         n = len(np.atleast_1d(start))
         if n:
+            figures = figures or [np.zeros(n, dtype=np.int64)] * self.n_figures
             self.parts.append(
-                (np.full(n, kind, dtype=object), *(np.atleast_1d(np.asarray(c, dtype=np.int64)) for c in (session_start, start, end, songs)))
+                (np.full(n, kind, dtype=object), *(np.atleast_1d(np.asarray(c, dtype=np.int64)) for c in (session_start, start, end, songs, *figures)))
             )
 
     def columns(self) -> dict[str, np.ndarray]:
         if not self.parts:
-            return {c: np.array([], dtype=object if c == "kind" else np.int64) for c in COLUMNS}
-        return {c: np.concatenate([p[i] for p in self.parts]) for i, c in enumerate(COLUMNS)}
+            return {c: np.array([], dtype=object if c == "kind" else np.int64) for c in self.names}
+        return {c: np.concatenate([p[i] for p in self.parts]) for i, c in enumerate(self.names)}
 
     def tuples(self) -> list[tuple]:
         cols = self.columns()
-        return list(zip(cols["kind"], *(cols[c].tolist() for c in COLUMNS[1:])))
+        return list(zip(cols["kind"], *(cols[c].tolist() for c in self.names[1:])))
 
 
 def _close_session(sess: list, names: list[str], out: Rows) -> None:
+    width = 3 + out.n_figures
     for k, name in enumerate(names):
-        r = 3 + 3 * k
-        if sess[r] is not None:
-            out.add(name, sess[0], sess[r], sess[r + 1], sess[r + 2])
+        run = sess[3 + width * k : 3 + width * (k + 1)]
+        if run[0] is not None:
+            out.add(name, sess[0], *run[:3], figures=run[3:])
     out.add(SESSION, sess[0], sess[0], sess[1], sess[2])
 
 
@@ -59,9 +65,13 @@ def fold_arrays(
     gap: int,
     merge_touching: bool = True,
     out: Rows | None = None,
+    figures: list[tuple[str, np.ndarray]] = (),
 ) -> tuple[list | None, Rows]:
-    """Fold events sorted by (ts, tiebreak) into ``sess``; return (open session, closed rows)."""
-    out = out if out is not None else Rows()
+    """Fold events sorted by (ts, tiebreak) into ``sess``; return (open session, closed rows).
+
+    ``figures``: kind and per-event values of each figure a run carries."""
+    out = out if out is not None else Rows(len(figures))
+    width = 3 + len(figures)
     n = len(ts)
     if n == 0:
         return sess, out
@@ -100,11 +110,11 @@ def fold_arrays(
         key = np.cumsum(d | new)  # a run ends at a delimiter or a new session
         keep = ~d
         prior = None
-        if carried is not None and carried[3 + 3 * k] is not None:
-            prior = (carried[3 + 3 * k], carried[4 + 3 * k], carried[5 + 3 * k])
+        if carried is not None and carried[3 + width * k] is not None:
+            prior = carried[3 + width * k : 3 + width * (k + 1)]
         if prior is not None and key[0] > 0:
             # The first row breaks the carried run: it is complete.
-            out.add(name, carried[0], prior[0], prior[1], prior[2])
+            out.add(name, carried[0], *prior[:3], figures=prior[3:])
             prior = None
         open_run = None
         if keep.any():
@@ -112,13 +122,16 @@ def fold_arrays(
             firsts = np.flatnonzero(np.r_[True, rk[1:] != rk[:-1]])
             lasts = np.append(firsts[1:], len(rk)) - 1
             starts, ends, counts = rts[firsts].copy(), rts[lasts], (lasts - firsts + 1).astype(np.int64)
+            values = [over_segments(kind, np.asarray(v, dtype=np.int64)[keep], firsts, lasts) for kind, v in figures]
             if prior is not None and rk[0] == 0:  # the first run continues the carried one
                 starts[0] = prior[0]
                 counts[0] += prior[2]
+                for j, (kind, _) in enumerate(figures):
+                    values[j][0] = merged(kind, prior[3 + j], int(values[j][0]))
             sess_starts = seg_start_ts[rseg[firsts]]
             m = len(firsts) - (1 if keep[n - 1] else 0)  # the run holding the last row stays open
-            out.add(name, sess_starts[:m], starts[:m], ends[:m], counts[:m])
+            out.add(name, sess_starts[:m], starts[:m], ends[:m], counts[:m], figures=[v[:m] for v in values])
             if m < len(firsts):
-                open_run = [int(starts[-1]), int(ends[-1]), int(counts[-1])]
-        new_sess += open_run if open_run is not None else [None, None, None]
+                open_run = [int(starts[-1]), int(ends[-1]), int(counts[-1]), *(int(v[-1]) for v in values)]
+        new_sess += open_run if open_run is not None else [None] * width
     return new_sess, out

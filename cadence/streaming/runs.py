@@ -20,7 +20,9 @@ operator therefore asks the engine for a delay of ``delay + gap - 1`` ms, which
 the two tests the same; results come out that much later.
 
 Output: ``kind`` ('session' or the delimiter's name), ``user_id``,
-``session_start_ms``, ``start_ms``, ``end_ms`` (last event), ``songs``.
+``session_start_ms``, ``start_ms``, ``end_ms`` (last event), ``songs`` and the caller's
+figures of each run (``cadence.functions.aggregates``), which the open run carries as one
+number each.
 """
 
 from __future__ import annotations
@@ -33,10 +35,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from cadence.functions.aggregates import Figures, check_figures, filled, shown
 from cadence.session import ship_package
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
 from cadence.streaming.panes import ROCKSDB_PROVIDER
-from cadence.streaming.fold import COLUMNS, _close_session, fold_arrays
+from cadence.streaming.fold import _close_session, fold_arrays
 from cadence.streaming.sessions import EVENT_TIME, with_event_time
 
 OUT_SCHEMA = "kind STRING, user_id STRING, session_start_ms BIGINT, start_ms BIGINT, end_ms BIGINT, songs BIGINT"
@@ -51,41 +54,49 @@ class IncrementalRunsProcessor(StatefulProcessor):
     delimiter flags), so a micro-batch costs one state read and one write per user
     however many events it brings, and no per-event Python runs."""
 
-    def __init__(self, gap_ms: int, delimiter_names: list[str], merge_touching: bool = True):
+    def __init__(self, gap_ms: int, delimiter_names: list[str], merge_touching: bool = True, figure_kinds: tuple[str, ...] = ()):
         self.gap = gap_ms
         self.names = list(delimiter_names)
         self.n = len(self.names)
         self.touching = merge_touching
-        self.width = 3 + 3 * self.n
+        self.kinds = tuple(figure_kinds)
+        self.m = len(self.kinds)
+        self.width = 3 + (3 + self.m) * self.n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        runs = "".join(f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" for k in range(self.n))
+        runs = "".join(
+            f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" + "".join(f", r{k}_f{j} BIGINT" for j in range(self.m))
+            for k in range(self.n)
+        )
+        held = ", p_figures BINARY" if self.m else ""
         self.state = handle.getValueState(
             "st",
             f"start BIGINT, last BIGINT, songs BIGINT{runs}, timer BIGINT, "
-            "p_ts BINARY, p_eid BINARY, p_song BINARY, p_delim BINARY",
+            f"p_ts BINARY, p_eid BINARY, p_song BINARY, p_delim BINARY{held}",
         )
 
     def _load(self):
         v = self.state.get()
         if v is None:
             empty = np.empty(0, dtype=np.int64)
-            return None, None, empty, empty, empty, np.empty((self.n, 0), dtype=bool)
+            return None, None, empty, empty, empty, np.empty((self.n, 0), dtype=bool), np.empty((self.m, 0), dtype=np.int64)
         v = list(v)
         sess = v[: self.width] if v[0] is not None else None
         timer = v[self.width]
         ts, eid, song = (np.frombuffer(b, dtype=np.int64) for b in v[self.width + 1 : self.width + 4])
         delim = np.frombuffer(v[self.width + 4], dtype=bool).reshape(self.n, len(ts))
-        return sess, timer, ts, eid, song, delim
+        figures = np.frombuffer(v[self.width + 5], dtype=np.int64).reshape(self.m, len(ts)) if self.m else np.empty((0, len(ts)), np.int64)
+        return sess, timer, ts, eid, song, delim, figures
 
-    def _save(self, sess, timer, ts, eid, song, delim) -> None:
+    def _save(self, sess, timer, ts, eid, song, delim, figures) -> None:
         if sess is None and len(ts) == 0:
             self.state.clear()
             return
         body = list(sess) if sess is not None else [None] * self.width
+        held = [np.ascontiguousarray(figures).tobytes()] if self.m else []
         self.state.update(
-            tuple(body + [timer, ts.tobytes(), eid.tobytes(), song.tobytes(), np.ascontiguousarray(delim).tobytes()])
+            tuple(body + [timer, ts.tobytes(), eid.tobytes(), song.tobytes(), np.ascontiguousarray(delim).tobytes(), *held])
         )
 
     def _rearm(self, armed, sess, ts) -> int | None:
@@ -99,9 +110,9 @@ class IncrementalRunsProcessor(StatefulProcessor):
         return want
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        sess, armed, ts, eid, song, delim = self._load()
-        parts = [(ts, eid, song, delim)]
-        for part in rows:  # Arrow chunk by Arrow chunk; only four narrow arrays are kept
+        sess, armed, ts, eid, song, delim, figures = self._load()
+        parts = [(ts, eid, song, delim, figures)]
+        for part in rows:  # Arrow chunk by Arrow chunk; only narrow arrays are kept
             flags = [part[f"delim_{k}"].to_numpy(dtype=bool) for k in range(self.n)]
             parts.append(
                 (
@@ -109,37 +120,39 @@ class IncrementalRunsProcessor(StatefulProcessor):
                     part["event_id"].fillna(0).to_numpy(dtype=np.int64),
                     part["song"].to_numpy(dtype=np.int64),
                     np.vstack(flags) if flags else np.empty((0, len(part)), bool),
+                    np.vstack([part[f"figure_{j}"].to_numpy(dtype=np.int64) for j in range(self.m)]) if self.m else np.empty((0, len(part)), np.int64),
                 )
             )
         ts, eid, song = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        delim = np.concatenate([p[3] for p in parts], axis=1)
+        delim, figures = (np.concatenate([p[i] for p in parts], axis=1) for i in (3, 4))
         if sess is None and len(ts) == 0:
             return iter([])
         timer = self._rearm(armed, sess, ts)
-        self._save(sess, timer, ts, eid, song, delim)
+        self._save(sess, timer, ts, eid, song, delim, figures)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        sess, armed, ts, eid, song, delim = self._load()
+        sess, armed, ts, eid, song, delim, figures = self._load()
         if armed == expiredTimerInfo.getExpiryTimeInMs():
             armed = None  # this timer has fired and is gone
         order = np.lexsort((eid, ts))
-        ts, eid, song, delim = ts[order], eid[order], song[order], delim[:, order]
+        ts, eid, song, delim, figures = ts[order], eid[order], song[order], delim[:, order], figures[:, order]
         n_due = int(np.searchsorted(ts, wm, side="right"))
         sess, out = fold_arrays(
-            sess, ts[:n_due], song[:n_due], [delim[k, :n_due] for k in range(self.n)], self.names, self.gap, self.touching
+            sess, ts[:n_due], song[:n_due], [delim[k, :n_due] for k in range(self.n)], self.names, self.gap, self.touching,
+            figures=[(kind, figures[j, :n_due]) for j, kind in enumerate(self.kinds)],
         )
         if sess is not None and sess[1] + self.gap <= wm:
             _close_session(sess, self.names, out)
             sess = None
-        ts, eid, song, delim = ts[n_due:], eid[n_due:], song[n_due:], delim[:, n_due:]
+        ts, eid, song, delim, figures = ts[n_due:], eid[n_due:], song[n_due:], delim[:, n_due:], figures[:, n_due:]
         timer = self._rearm(armed, sess, ts)
-        self._save(sess, timer, ts, eid, song, delim)
+        self._save(sess, timer, ts, eid, song, delim, figures)
         cols = out.columns()
         if len(cols["kind"]) == 0:
             return iter([])
-        frame = pd.DataFrame({"kind": cols["kind"], "user_id": key[0], **{c: cols[c] for c in COLUMNS[1:]}})
+        frame = pd.DataFrame({"kind": cols["kind"], "user_id": key[0], **{c: cols[c] for c in out.names[1:]}})
         return iter([frame])
 
     def close(self) -> None:
@@ -153,8 +166,10 @@ def stream_sessions_and_runs(
     *,
     watermark_delay_ms: int = 0,
     merge_touching: bool = True,
+    figures: Figures | None = None,
 ) -> DataFrame:
-    """Closed sessions and runs of every delimiter, as rows tagged by ``kind``.
+    """Closed sessions and runs of every delimiter, as rows tagged by ``kind``, with one
+    column ``figure_<j>`` for each of the caller's ``figures``.
 
     ``watermark_delay_ms`` is the lateness allowed beyond an event's own window (see
     the module doc for the delay the engine is given)."""
@@ -162,17 +177,21 @@ def stream_sessions_and_runs(
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    names = list(delimiters)
+    names, figures = list(delimiters), dict(figures or {})
+    check_figures(figures)
+    kinds = tuple(kind for kind, _ in figures.values())
     ev = with_event_time(events, watermark_delay_ms + gap_ms - 1).select(
         "user_id",
         "ts_ms",
         "event_id",
         song_flag().alias("song"),
         *[F.coalesce(pred, F.lit(False)).alias(f"delim_{k}") for k, pred in enumerate(delimiters.values())],
+        *[filled(kind, value).alias(f"figure_{j}") for j, (kind, value) in enumerate(figures.values())],
         EVENT_TIME,
     )
+    schema = OUT_SCHEMA + "".join(f", figure_{j} BIGINT" for j in range(len(kinds)))
     return ev.groupBy("user_id").transformWithStateInPandas(
-        IncrementalRunsProcessor(gap_ms, names, merge_touching), OUT_SCHEMA, "Append", "EventTime"
+        IncrementalRunsProcessor(gap_ms, names, merge_touching, kinds), schema, "Append", "EventTime"
     )
 
 
@@ -188,7 +207,7 @@ def sessions_of(tagged: DataFrame, gap_ms: int, duration: str = "window") -> Dat
     )
 
 
-def runs_of(tagged: DataFrame, name: str) -> DataFrame:
+def runs_of(tagged: DataFrame, name: str, figures: Figures | None = None) -> DataFrame:
     r = tagged.filter(F.col("kind") == F.lit(name))
     return r.select(
         "user_id",
@@ -197,6 +216,7 @@ def runs_of(tagged: DataFrame, name: str) -> DataFrame:
         "end_ms",
         floor_div(F.col("end_ms") - F.col("start_ms"), 1000).alias("length_s"),
         "songs",
+        *[shown(kind, F.col(f"figure_{j}")).alias(name) for j, (name, (kind, _)) in enumerate((figures or {}).items())],
     )
 
 
@@ -205,13 +225,19 @@ def default_delimiters() -> dict[str, Column]:
 
 
 def stream_split_runs(
-    events: DataFrame, gap_ms: int, delimiter: Column, *, watermark_delay_ms: int = 0, merge_touching: bool = True
+    events: DataFrame,
+    gap_ms: int,
+    delimiter: Column,
+    *,
+    watermark_delay_ms: int = 0,
+    merge_touching: bool = True,
+    figures: Figures | None = None,
 ) -> DataFrame:
-    """Runs split at ``delimiter``: ``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)``."""
+    """Runs split at ``delimiter``: ``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)`` and the figures."""
     tagged = stream_sessions_and_runs(
-        events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms, merge_touching=merge_touching
+        events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms, merge_touching=merge_touching, figures=figures
     )
-    return runs_of(tagged, "split")
+    return runs_of(tagged, "split", figures)
 
 
 def stream_discover_weekly_runs(events: DataFrame, gap_ms: int, **kw) -> DataFrame:
