@@ -21,8 +21,11 @@ Execution (see ``cadence.operators.bucketing``)
 -----------------------------------------------
 The default (adaptive) bucketing first counts rows per user.  When no user
 exceeds the per-task bound, the plan is one hash exchange on the user, one sort
-and one ordered pass.  Otherwise light users take that pass and heavy users' rows,
-stored once in ranges, the two-level plan (which fixed-width bucketing uses for all
+and one ordered pass.  Otherwise session stats and runs are stitched from mergeable
+pieces (``cadence.operators.pieces``): one range exchange of all events and one small
+exchange of pieces.  Where every event must be annotated (panes, several results at
+once, any aggregate), light users take the ordered pass and heavy users' rows, stored
+once in ranges, the two-level plan (which fixed-width bucketing uses for all
 users): one hash exchange on ``(user, bucket)`` and one sort feed a local Window; a small
 per-bucket summary (partial aggregation, reusing that exchange) is carried across
 the user's buckets and joined back on ``(user, bucket)``.  No Window ever holds
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from cadence.functions.aggregates import Figures, check_figures, over_run
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
 from cadence.operators.bucketing import ADAPTIVE, BUCKET, Bucketing, add_bucket, heavy_keys, range_buckets
+from cadence.operators.pieces import cut_pieces, runs_from_pieces, sessions_from_pieces
 
 SESSION_START = "session_start_ms"
 IS_SESSION_START = "is_session_start"
@@ -61,7 +65,7 @@ def sessionize(
     delimiters: Mapping[str, Column] | None = None,
     measures: Mapping[str, Column] | None = None,
     merge_touching: bool = True,
-    bucketing: Bucketing = ADAPTIVE,
+    bucketing: Bucketing | None = ADAPTIVE,
     user_col: str = "user_id",
     ts_col: str = "ts_ms",
     tiebreak_col: str = "event_id",
@@ -95,6 +99,8 @@ def sessionize(
         *[m.alias(name) for name, m in measures.items()],
         *[F.coalesce(pred, F.lit(False)).alias(f"{name}_delim") for name, pred in delimiters.items()],
     )
+    if bucketing is None:  # the caller knows that no user is heavy
+        return _single_pass(narrow, gap_ms, delimiters, measures, merge_touching, u, t, i)
     if not bucketing.adaptive:
         return _two_level(add_bucket(narrow, t, bucketing), gap_ms, delimiters, measures, merge_touching, u, t, i)
     # Count users only: cheaper than the projection, one column read.
@@ -219,6 +225,11 @@ def _single_pass(
     return df.select(*result)
 
 
+def _check_duration(duration: str) -> None:
+    if duration not in ("window", "span"):
+        raise ValueError("duration must be 'window' or 'span'")
+
+
 def session_stats_from(
     annotated: DataFrame,
     gap_ms: int,
@@ -235,8 +246,7 @@ def session_stats_from(
     duration="span":   end = last event,       duration = last - first.
     Search-only sessions are kept with 0 songs.
     """
-    if duration not in ("window", "span"):
-        raise ValueError("duration must be 'window' or 'span'")
+    _check_duration(duration)
     agg = annotated.groupBy(user_col, SESSION_START).agg(
         F.max(ts_col).alias("_last"), F.sum(SONG).cast("bigint").alias("songs")
     )
@@ -250,6 +260,20 @@ def session_stats_from(
     )
 
 
+def _too_heavy(events: DataFrame, bucketing: Bucketing) -> bool:
+    """Whether some user has more rows than one task should sort."""
+    if not bucketing.adaptive:
+        return False
+    placed = events.filter(F.col("user_id").isNotNull() & F.col("ts_ms").isNotNull())
+    counts = placed.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return not counts.filter(F.col("n") > F.lit(bucketing.target_rows)).isEmpty()
+
+
+def _light(bucketing: Bucketing) -> Bucketing | None:
+    """No user is heavy: one ordered pass, without counting again."""
+    return None if bucketing.adaptive else bucketing
+
+
 def session_stats(
     events: DataFrame,
     gap_ms: int,
@@ -258,8 +282,16 @@ def session_stats(
     merge_touching: bool = True,
     bucketing: Bucketing = ADAPTIVE,
 ) -> DataFrame:
+    if gap_ms <= 0:
+        raise ValueError("gap_ms must be positive")
+    _check_duration(duration)
+    if _too_heavy(events, bucketing):
+        pieces = cut_pieces(events, gap_ms, {}, song_flag(), merge_touching=merge_touching, rows_a_piece=bucketing.target_rows)
+        found = sessions_from_pieces(pieces, gap_ms, merge_touching=merge_touching)
+        end = F.col("last_ms") + F.lit(gap_ms) if duration == "window" else F.col("last_ms")
+        return found.select("user_id", "start_ms", end.alias("end_ms"), floor_div(end - F.col("start_ms"), 1000).alias("duration_s"), F.col("songs").cast("bigint").alias("songs"))
     annotated = sessionize(
-        events, gap_ms, measures=song_measure(), merge_touching=merge_touching, bucketing=bucketing
+        events, gap_ms, measures=song_measure(), merge_touching=merge_touching, bucketing=_light(bucketing)
     )
     return session_stats_from(annotated, gap_ms, duration=duration)
 
@@ -318,10 +350,20 @@ def split_runs(
       ``carry`` columns of the run's events (only those columns cross the shuffle)."""
     figures = dict(figures or {})
     check_figures(figures)
+    if gap_ms <= 0:
+        raise ValueError("gap_ms must be positive")
+    light = bucketing
+    if not aggregates:
+        if _too_heavy(events, bucketing):
+            pieces = cut_pieces(events, gap_ms, {"split": delimiter}, F.lit(0), figures=figures, merge_touching=merge_touching, rows_a_piece=bucketing.target_rows)
+            found = runs_from_pieces(pieces, "split", gap_ms, figures=figures, merge_touching=merge_touching)
+            length = floor_div(F.col("last_ms") - F.col("start_ms"), 1000).alias("length_s")
+            return found.select("user_id", "session_start_ms", "start_ms", F.col("last_ms").alias("end_ms"), length, "songs", *figures)
+        light = _light(bucketing)
     order = F.struct("ts_ms", "event_id")
     measures = {f"_f{j}": value.cast("bigint") for j, (_, value) in enumerate(figures.values())} | {c: F.col(c) for c in carry}
     annotated = sessionize(
-        events, gap_ms, delimiters={"split": delimiter}, measures=measures, merge_touching=merge_touching, bucketing=bucketing
+        events, gap_ms, delimiters={"split": delimiter}, measures=measures, merge_touching=merge_touching, bucketing=light
     )
     own = {name: over_run(kind, F.col(f"_f{j}"), order) for j, (name, (kind, _)) in enumerate(figures.items())}
     return runs_from(annotated, "split", aggregates=own | dict(aggregates or {}))

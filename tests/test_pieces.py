@@ -1,0 +1,86 @@
+"""Sessions and runs stitched from pieces equal plain Python for any cut into stretches."""
+
+import random
+
+import brute
+import pytest
+from events import search, song
+from pyspark.sql import functions as F
+from test_figures import brute as brute_figures
+from test_figures import figures, rows_of
+
+from cadence.functions.aggregates import KINDS
+from cadence.functions.predicates import is_search, song_flag
+from cadence.operators import sessions as S
+from cadence.operators.bucketing import Bucketing
+from cadence.operators.pieces import cut_pieces, runs_from_pieces, sessions_from_pieces
+
+GAP = 20_000
+
+
+def rows_with_ties(seed, n=160):
+    rng = random.Random(seed)
+    times = [rng.choice([rng.randrange(300_000), 5_000 * rng.randrange(60)]) for _ in range(n)]
+    return [(song if rng.random() < 0.6 else search)(t, i, user=f"u{rng.choice([0, 0, 0, 1, 2])}") for i, t in enumerate(times)]
+
+
+@pytest.mark.parametrize("touching", [True, False])
+@pytest.mark.parametrize("rows_a_piece", [1, 2, 3, 7, 1000])
+def test_any_cut_gives_the_same_sessions_and_runs(spark, make_events, rows_a_piece, touching):
+    rows = rows_with_ties(rows_a_piece)
+    ev = make_events(rows).repartition(5)
+    pieces = cut_pieces(ev, GAP, {"split": is_search()}, song_flag(), merge_touching=touching, rows_a_piece=rows_a_piece)
+    got = sorted((r.user_id, r.start_ms, r.last_ms, r.songs) for r in sessions_from_pieces(pieces, GAP, merge_touching=touching).collect())
+    assert got == [(u, s, e, n) for u, s, e, _, n in brute.session_stats(rows, GAP, "span", touching)]
+    want = []
+    for user, events in brute.sessions(rows, GAP, touching):
+        run = []
+        for e in [*events, None]:
+            if e is None or e[3] == "SearchEvent":
+                if run:
+                    want.append((user, events[0][2], run[0][2], run[-1][2], len(run)))
+                run = []
+            else:
+                run.append(e)
+    assert sorted(tuple(r) for r in runs_from_pieces(pieces, "split", GAP, merge_touching=touching).collect()) == sorted(want)
+
+
+def test_a_stretch_of_delimiters_keeps_runs_apart(make_events):
+    rows = [song(1_000, 0), song(1_001, 1), search(1_002, 2), search(1_003, 3), song(1_004, 4), song(1_005, 5)]
+    pieces = cut_pieces(make_events(rows).coalesce(1), GAP, {"split": is_search()}, song_flag(), rows_a_piece=2)
+    assert sorted((r.session_start_ms, r.start_ms, r.songs) for r in runs_from_pieces(pieces, "split", GAP).collect()) == [(1_000, 1_000, 2), (1_000, 1_004, 2)]
+
+
+@pytest.mark.parametrize("rows_a_piece", [1, 4, 33])
+def test_figures_merge_over_pieces(make_events, rows_a_piece):
+    rows = rows_of(rows_a_piece)
+    got = S.split_runs(make_events(rows).repartition(3), GAP, is_search(), figures=figures(), bucketing=Bucketing(adaptive=True, target_rows=rows_a_piece))
+    assert sorted((tuple(r) for r in got.select("user_id", "start_ms", "songs", *KINDS).collect()), key=str) == brute_figures(rows)
+
+
+def test_edges(spark, make_events):
+    small = Bucketing(adaptive=True, target_rows=1)
+    assert S.session_stats(make_events([]), GAP, bucketing=small).count() == 0
+    rows = [song(1, 0), song(1, 0), song(1, 0)]  # one row three times
+    holes = [(9, None, 5, "SongEvent", "EndSong", "Mobile", "DailyMix", "x"), (10, "1", None, "SongEvent", "EndSong", "Mobile", "DailyMix", "x"), (None, "1", 2, "SongEvent", "EndSong", "Mobile", "DailyMix", "x")]
+    assert [tuple(r) for r in S.session_stats(make_events(rows + holes), GAP, bucketing=small).collect()] == [("1", 1, 2 + GAP, 20, 4)]
+    with pytest.raises(ValueError):
+        S.session_stats(make_events(rows), 0, bucketing=small)
+
+
+def test_heavy_plan_shuffles_the_events_once(spark, make_events, monkeypatch):
+    """Only the table of pieces is written from the events: one range exchange, no window and no join over them."""
+    from cadence.operators import pieces as P
+
+    plans = []
+    real = P.stored
+    monkeypatch.setattr(P, "stored", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label))
+    S.session_stats(make_events(rows_with_ties(3)), GAP, bucketing=Bucketing(adaptive=True, target_rows=10)).collect()
+    assert len(plans) == 1 and plans[0].count("Exchange rangepartitioning") == 1
+    assert plans[0].count("Exchange") == 1 and "Window" not in plans[0] and "Join" not in plans[0]
+
+
+def test_pieces_are_few_when_stretches_are_long(make_events):
+    rows = [song(i * 100, i) for i in range(2_000)]
+    pieces = cut_pieces(make_events(rows), GAP, {}, F.lit(1), rows_a_piece=100)
+    assert pieces.count() <= 2_000 / 100 + 8 * 2

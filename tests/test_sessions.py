@@ -127,8 +127,9 @@ def test_many_heavy_users_stay_split(spark, make_events):
     bucketing = Bucketing(adaptive=True, target_rows=10)
     heavy, total = heavy_keys(ev, ["user_id"], bucketing)
     assert heavy.count() == 40 and total == 1200
-    plan = session_stats(ev, GAP, bucketing=bucketing)._jdf.queryExecution().optimizedPlan().toString()
+    plan = sessionize(ev, GAP, bucketing=bucketing)._jdf.queryExecution().optimizedPlan().toString()
     assert BUCKET in plan
+    assert "stretch" in session_stats(ev, GAP, bucketing=bucketing)._jdf.queryExecution().optimizedPlan().toString()
     assert stats(session_stats(ev, GAP, bucketing=bucketing)) == brute.session_stats(rows, GAP)
     assert heavy_keys(ev, ["user_id"], Bucketing(adaptive=True, target_rows=30)) is None
     assert heavy_keys(ev.limit(0), ["user_id"], bucketing) is None
