@@ -72,7 +72,7 @@ def minima(grams: np.ndarray, starts: np.ndarray, functions: range) -> np.ndarra
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
+_SIGNED = "doc_id long, version long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
 def _sign(k: int, n_rows: int, n_bands: int):
@@ -97,8 +97,8 @@ def _sign(k: int, n_rows: int, n_bands: int):
                     bands = keys.ravel()
                     band_bounds = np.concatenate([[0], np.cumsum(np.where(size > 0, n_bands, 0))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), tk.signed(fp[0]), tk.signed(fp[1]), tk.longs(bands, band_bounds)],
-                    names=["doc_id", "n_shingles", "fp1", "fp2", "bands"],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(size, pa.int64()), tk.signed(fp[0]), tk.signed(fp[1]), tk.longs(bands, band_bounds)],
+                    names=["doc_id", "version", "n_shingles", "fp1", "fp2", "bands"],
                 )
 
     return run
@@ -191,12 +191,26 @@ def _linked(k: int, percent: int):
     return run
 
 
+def _classes_of_one_id(nodes: DataFrame, reps: DataFrame, key: list[str]) -> DataFrame:
+    """Links (u, v) between all classes that hold one doc_id."""
+    several = nodes.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi")).where("lo <> hi").select("doc_id")
+    held = nodes.join(several, "doc_id", "left_semi").select("doc_id", *key).join(reps.select(*key, "rep"), key).select("doc_id", "rep").distinct()
+    pivots = held.groupBy("doc_id").agg(F.min("rep").alias("u"))
+    return held.join(pivots, "doc_id").where("rep <> u").select("u", F.col("rep").alias("v")).distinct()
+
+
+def _some_id_has_blank_rows(signed: DataFrame) -> bool:
+    """Whether an id has a row without shingles beside one with some."""
+    of_id = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
+    return not of_id.where("lo = 0 and hi > 0").isEmpty()
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
     Method. One pass makes each document's signature: band keys (28 of 7 minima each at 85 percent, see ``banding``) of
-    universal hashes over its distinct word shingles, and a 128-bit fingerprint of the set. Documents of equal sets become one class, stood
-    for by its smallest id. Classes that share a band bucket are candidates. First each member meets its bucket's
+    universal hashes over its distinct word shingles, and a 128-bit fingerprint of the set. Documents of equal sets become one class, a
+    node of its own; classes that hold one id are linked. Classes that share a band bucket are candidates. First each member meets its bucket's
     smallest; components follow. Then, where a bucket still holds several components, its members outside the
     largest one meet all members of other components, block against block, so that no link is lost, large groups of
     near copies never become all their pairs, and pairs are compared in place instead of being shipped. Candidates
@@ -206,21 +220,24 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85)
     Joins that carry texts are sort-merge joins at every size, so the plan does not change as tables grow.
 
     Edges: a text with fewer words than a shingle is one shingle; null, empty or blank texts have none and link with
-    nothing; repeated rows of one id are one node; an id with several texts links by each of them; a null id is linked with nothing, has a null component and is
+    nothing; repeated rows of one id are one node; an id with several texts links by each of them, so
+    all its rows and what they link are one component; a null id is linked with nothing, has a null component and is
     kept; other columns are ignored; no rows give no rows."""
     begin(docs)
     k, threshold = shingle_words, percent / 100
-    rows = narrow(docs, "text")
+    rows = narrow(docs, "text").withColumn("version", F.xxhash64("text"))
     signed = stored(rows.mapInArrow(_sign(k, *banding(threshold)), _SIGNED), "minhash")
     nodes = signed.where("doc_id is not null and n_shingles > 0")
     key = ["fp1", "fp2", "n_shingles"]
-    # Equal sets have equal bands, so any row of a class supplies them.
-    reps = stored(nodes.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes")
+    # Equal sets have equal bands, so any row of a class supplies them; its smallest (doc_id, version) supplies the text.
+    classes = nodes.groupBy(*key).agg(F.min(F.struct("doc_id", "version")).alias("of"), F.any_value("bands").alias("bands"))
+    reps = stored(classes.select(*key, "of", "bands", F.monotonically_increasing_id().alias("rep")), "classes")
+    same_id = stored(_classes_of_one_id(nodes, reps, key), "same-id")
     buckets = reps.select(F.explode("bands").alias("band"), "rep")
     shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).where("n > 1").drop("n")
     members = stored(buckets.join(shared, "band"), "buckets")
-    wanted = members.select("rep").distinct()
-    picked = rows.where("doc_id is not null").withColumnRenamed("doc_id", "rep").hint("merge").join(wanted, "rep", "left_semi").dropDuplicates()
+    wanted = reps.join(members.select("rep").distinct(), "rep").select("rep", F.col("of.doc_id").alias("doc_id"), F.col("of.version").alias("version"))
+    picked = rows.where("doc_id is not null").hint("merge").join(wanted, ["doc_id", "version"]).dropDuplicates(["rep"])
     texts = stored(picked.select("rep", "text").mapInArrow(_checked(k), "rep long, text string, sig binary"), "candidates")
 
     def side(name: str, *columns: str) -> DataFrame:
@@ -235,14 +252,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85)
     pairs = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     signatures = pairs.join(side("b", "sig"), "b").join(side("a", "sig"), "a").select("a", "b", "sig_a", "sig_b")
     likely = stored(signatures.mapInArrow(_likely(threshold), "a long, b long"), "likely")
-    star = links(likely)
+    star = stored(links(likely).unionAll(same_id), "star")
     first = stored(components(star), "components")
     # Buckets that still hold several components.
     named = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     per = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     still = per.groupBy("band").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most")).where("roots > 1")
     blocks = still.select("band", "largest", F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("left_blocks"), F.ceil(F.col("n") / BLOCK).alias("right_blocks"))
-    meet = named.join(blocks, "band").join(texts.select("rep", "sig").dropDuplicates(["rep"]), "rep").join(reps.groupBy("rep").agg(F.any_value("bands").alias("bands")), "rep")
+    meet = named.join(blocks, "band").join(texts.select("rep", "sig"), "rep").join(reps.select("rep", "bands"), "rep")
     mine = {s: F.pmod(F.xxhash64("rep", F.lit(s)), F.col(f"{s}_blocks")).cast("long") for s in ("left", "right")}
     every = {s: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{s}_blocks") - 1)) for s in ("left", "right")}
     columns = ["band", "rep", "root", "pivot", "largest", "sig", "bands"]
@@ -251,8 +268,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85)
     met = stored(lefts.unionAll(rights).groupBy("band", "i", "j").applyInArrow(_across(threshold), "a long, b long").distinct(), "met")
     more = links(met)
     last = components(star.unionAll(more)) if more.limit(1).count() else first
-    drop(members, texts, likely, star, met, more)
-    classes_of = reps.select(*key, "rep").join(last.select(F.col("node").alias("rep"), "root"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("root"))
+    drop(members, texts, likely, star, met, more, same_id)
+    # A component is named by the smallest id in it.
+    found = last.join(reps.select(F.col("rep").alias("node"), F.col("of.doc_id").alias("least")), "node")
+    named = found.join(found.groupBy("root").agg(F.min("least").alias("component")), "root").select(F.col("node").alias("rep"), "component")
+    classes_of = reps.select(*key, "rep", F.col("of.doc_id").alias("least")).join(named, "rep", "left").select(*key, F.coalesce("component", "least").alias("component"))
     by_row = signed.select("doc_id", "n_shingles", "fp1", "fp2").join(classes_of, key, "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.least(F.coalesce("root", "doc_id"), "doc_id"))
+    # Rows without shingles link with nothing; if their id has other texts, they follow those.
+    if _some_id_has_blank_rows(signed):
+        other = by_row.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component").alias("other"))
+        by_row = by_row.join(other, "doc_id", "left").withColumn("component", F.coalesce("component", "other"))
+    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return by_row.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -277,15 +277,17 @@ _KEY_MULTIPLIERS = tk.random_u64(len(_KEYS), 401) | np.uint64(1)
 
 
 def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Three minima over hashed five-word shingles of each text: near copies mostly share one."""
+    """Three minima over hashed five-word shingles of each text: near copies mostly share one. A text of fewer words
+    has keys of its own bytes, so that only equal texts share them, however the rows are cut into batches."""
     for batch in batches:
         for lo, hi, raw, offsets in _blocks(batch):
             starts, ends, bounds = tk.words(raw, offsets)
             grams, gram_bounds = tk.windows(tk.hash_spans(raw, starts, ends, lower=True), bounds, 5)
             keys = np.zeros((len(_KEYS), hi - lo), dtype=np.uint64)
             full = np.flatnonzero(np.diff(gram_bounds))
-            keys[:, :] = tk.random_u64(hi - lo, 402) ^ np.uint64(lo)  # short texts stand for themselves
+            short = tk.hash_spans(raw, offsets[:-1], offsets[1:], lower=True)  # a text without a shingle is its own
             for k, m in enumerate(_KEY_MULTIPLIERS):
+                keys[k] = short * m
                 if len(full):
                     keys[k, full] = np.minimum.reduceat(grams * m, gram_bounds[:-1][full])
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "label")), *map(tk.signed, keys)], names=["doc_id", "label", *_KEYS])

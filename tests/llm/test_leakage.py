@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -67,16 +69,29 @@ def test_search_and_candidates_lose_no_item_above_the_threshold():
 
 
 def brute(docs, items):
+    """Every passage of every document against every item: passages are twice the item's own words long and start at
+    multiples of its length; BM25 shares are worked out here, over all items."""
+    parts = {i: leakage._words(t) for i, t in items}
+    parts = {i: w for i, w in parts.items() if w}
+    mean = sum(map(len, parts.values())) / len(parts)
+    held = Counter(w for words in parts.values() for w in set(words))
+    share = {}
+    for i, words in parts.items():
+        tf = Counter(words)
+        norm = leakage.K1 * (1 - leakage.B + leakage.B * len(words) / mean)
+        one = {w: math.log(1 + (len(parts) - held[w] + 0.5) / (held[w] + 0.5)) * f * (leakage.K1 + 1) / (f + norm) for w, f in tf.items()}
+        share[i] = {w: x / sum(one.values()) for w, x in one.items()}
+    texts = dict(items)
     out = set()
-    index = leakage.Index(items)
     for d, text in docs:
         words = leakage._words(text or "")
-        for lo in range(0, max(1, len(words)), index.longest):
-            window = words[lo : lo + 2 * index.longest]
-            for j, s in scores(index, set(window)).items():
-                q, a = (lcs(p, window) / len(p) for p in index.parts[j])
-                if s >= 0.5 and q >= 0.8 and a >= 0.8:
-                    out.add((d, index.items[j][0]))
+        for i, own in parts.items():
+            for lo in range(0, len(words), len(own)):
+                passage = words[lo : lo + 2 * len(own)]
+                seen = set(passage)
+                if sum(x for w, x in share[i].items() if w in seen) >= 0.5 - 1e-9:
+                    if all(lcs(p, passage) / len(p) >= 0.8 for p in leakage.question_and_answer(texts[i])):
+                        out.add((d, i))
     return out
 
 
@@ -86,6 +101,17 @@ def test_matches_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in got} == brute(docs, items) and len(got) >= 30
 
 
+def test_a_question_and_its_answer_are_found_near_each_other_only(spark):
+    """The two may be parted by some words, as long as both stand in one passage of twice the item's words."""
+    question, answer = "Which of the lorin vexes the tamble quod in dref?", "It is the parlim sotte."
+    item = f"{question} {answer}"
+    fill = " ".join(f"filler{i}" for i in range(40))
+    docs = [(1, f"{question} well now {answer}"), (2, f"{question} {fill} {answer}"), (3, f"{fill} {question} {answer}")]
+    got = leakage.find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, item)], ITEMS)).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3]
+    assert {(r.doc_id, r.item_id) for r in got} == brute(docs, [(1, item)])
+
+
 def test_shards_give_the_same_leaks_and_table_agrees(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     texts = {r.item_id: r.text for r in items.collect()}

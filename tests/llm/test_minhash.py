@@ -94,3 +94,17 @@ def test_hash_spans_do_not_depend_on_position_or_block():
     for s, x in zip(starts.tolist(), h.tolist()):
         assert by.setdefault(raw[s : s + 5].tobytes(), x) == x
     assert len(set(by.values())) == len(by)
+
+
+def test_texts_of_one_id_are_one_component(spark):
+    """An id with several texts links by each of them, whatever order the ids come in."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    near = lambda t: t.rsplit(" ", 1)[0]
+    rows = [(3, b), (5, a), (5, b), (9, a), (11, near(a)), (20, c), (21, near(c)), (21, None), (22, None), (30, b + " z"), (40, "alone in here"), (40, "")]
+    for parts in (1, 4):
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        found = {r.doc_id: {(r.component_id, r.kept)} for r in got}
+        for r in got:
+            found[r.doc_id].add((r.component_id, r.kept))
+        assert found == {3: {(3, True)}, 5: {(3, False)}, 9: {(3, False)}, 11: {(3, False)}, 20: {(20, True)}, 21: {(20, False)}, 22: {(22, True)}, 30: {(3, False)}, 40: {(40, True)}}
+        assert len(got) == len(rows)

@@ -71,3 +71,24 @@ def test_edges_and_budget_questions(spark, library):
         fits = [len(text[:k].encode()) for k in range(len(text) + 1) if count(library, text[:k]) <= budget]
         assert tokens.longest_within(row.steps, budget) >= max(fits)
     assert tokens.token_counts(df.limit(0), PATH).collect() == []
+
+
+def test_piece_table_forgets_and_works_out_again():
+    """Beyond its bounds the table forgets its older half; what it returns never changes, also for very long pieces."""
+    import numpy as np
+
+    from cadence.llm.pretokens import PieceTable
+
+    table = PieceTable(lambda pieces: [[len(p), *p[:2]] for p in pieces], limit=50, limit_values=400)
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        words = [bytes([97 + int(x)]) * int(n) for x, n in zip(rng.integers(0, 26, 30), rng.integers(1, 40, 30), strict=True)]
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        flat, at, length = table.look_up(raw, ends - np.diff(ends, prepend=0), ends)
+        assert [flat[a : a + n].tolist() for a, n in zip(at, length, strict=True)] == [[len(w), *w[:2]] for w in words]
+        assert len(table.keys) <= 50 + 30
+    big = PieceTable(lambda pieces: [np.arange(len(p), dtype=np.uint32) for p in pieces])
+    raw = np.full(16_777_221, 97, dtype=np.uint8)
+    flat, at, length = big.look_up(raw, np.array([0]), np.array([len(raw)]))
+    assert length[0] == len(raw) and flat[at[0] + length[0] - 1] == len(raw) - 1

@@ -88,3 +88,11 @@ def test_edges(spark):
     model = toxicity.train(docs, none)
     assert toxicity.reject_toxic(docs, model).count() == 5
     assert toxicity.predictions(docs.limit(0), none).collect() == []
+
+
+def test_short_texts_do_not_depend_on_batches(spark):
+    """Texts under five words are copies of equal texts only, however the rows are cut."""
+    rows = [(i, f"word{i}", 0.0) for i in range(40)] + [(100 + i, "Same Text", 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label double")
+    kept = [sorted(r.doc_id for r in toxicity.independent(df.repartition(n)).collect()) for n in (1, 4, 8)]
+    assert kept[0] == kept[1] == kept[2] == [*range(40), 100]
