@@ -233,9 +233,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 85)
     classes = nodes.groupBy(*key).agg(F.min(F.struct("doc_id", "version")).alias("of"), F.any_value("bands").alias("bands"))
     reps = stored(classes.select(*key, "of", "bands", F.monotonically_increasing_id().alias("rep")), "classes")
     same_id = stored(_classes_of_one_id(nodes, reps, key), "same-id")
-    buckets = reps.select(F.explode("bands").alias("band"), "rep")
-    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).where("n > 1").drop("n")
-    members = stored(buckets.join(shared, "band"), "buckets")
+    buckets = reps.select(F.explode("bands").alias("band"), "rep", F.col("of.doc_id").alias("least"))
+    # The class of the smallest id, so that the buckets of a group of near copies mostly have one pivot.
+    pivot = F.min(F.struct("least", "rep")).alias("p")
+    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), pivot).where("n > 1").select("band", F.col("p.rep").alias("pivot"))
+    members = stored(buckets.drop("least").join(shared, "band"), "buckets")
     wanted = reps.join(members.select("rep").distinct(), "rep").select("rep", F.col("of.doc_id").alias("doc_id"), F.col("of.version").alias("version"))
     picked = rows.where("doc_id is not null").hint("merge").join(wanted, ["doc_id", "version"]).dropDuplicates(["rep"])
     texts = stored(picked.select("rep", "text").mapInArrow(_checked(k), "rep long, text string, sig binary"), "candidates")
