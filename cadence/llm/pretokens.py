@@ -110,7 +110,7 @@ class PieceTable:
     lengths are sorted numpy arrays (about 20 bytes a piece beside its sequence); beyond ``limit`` pieces or
     ``limit_values`` numbers the older half is forgotten, and worked out again if it comes back."""
 
-    def __init__(self, work, limit: int = 1_000_000, limit_values: int = 8_000_000):
+    def __init__(self, work, limit: int = 500_000, limit_values: int = 3_000_000):
         self.work, self.limit, self.limit_values = work, limit, limit_values
         self.worked = 0
         self._clear()

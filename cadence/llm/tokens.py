@@ -221,7 +221,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row: the last entry of the text's prefix counts.
 
     ``vocabulary`` is a byte-level BPE file, present at that path on every executor. Pieces met lately are
-    remembered (at most about a million a worker), so their dynamic programme runs once. A null text is empty (0, 0); a null id and repeated rows
+    remembered (at most about 500,000 a worker), so their dynamic programme runs once. A null text is empty (0, 0); a null id and repeated rows
     stay as they are; other columns are ignored; no rows give no rows."""
     begin(docs)
 
