@@ -9,8 +9,8 @@ session's first fire time is the first multiple of ``interval`` after its first
 
 An event is late when its whole window is behind the stream's progress (the largest
 event time less the delay): ``ts + gap - 1 <= progress``.  The engine drops rows at or
-below its watermark, so it is given a delay of ``delay + gap - 1`` ms; progress is its
-watermark plus ``gap - 1``, and panes fire by progress, no later than before.
+below its watermark, so it is given each window's last millisecond as event time and a delay
+of ``delay + gap - 1`` ms; its watermark then is the progress, by which panes fire.
 
 When progress passes a fire time, the session's *cumulative* result so far is
 emitted and the next fire time is one interval later; a timer that fires inside
@@ -134,8 +134,7 @@ class EarlyPanesProcessor(StatefulProcessor):
             self.handle.deleteTimer(t)
         if sessions:
             self.state.put([tuple(s) for s in sessions])
-            # The engine's watermark runs gap - 1 ms behind the stream's progress.
-            self.handle.registerTimer(max(1, next_timer(sessions, self.gap) - (self.gap - 1)))
+            self.handle.registerTimer(max(1, next_timer(sessions, self.gap)))
         else:
             self.state.clear()
 
@@ -150,7 +149,7 @@ class EarlyPanesProcessor(StatefulProcessor):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() + self.gap - 1
+        watermark = timerValues.getCurrentWatermarkInMs()
         cols, live = due_panes(key[0], self._load(), watermark, self.gap, self.interval)
         self._store(live)
         if not cols["pane_ms"]:
@@ -171,7 +170,11 @@ def stream_early_panes(
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    ev = with_event_time(events, watermark_delay_ms + gap_ms - 1).select(
+    # The engine drops a row at or below its watermark; an event is late only when its whole
+    # window is behind the stream.  So the engine's event time is the window's last
+    # millisecond, and the same distance more of delay makes its watermark the stream's
+    # progress itself (never below 0, where Spark's watermarks begin).
+    ev = with_event_time(events, watermark_delay_ms + gap_ms - 1, gap_ms - 1).select(
         "user_id", "ts_ms", "event_id", song_flag().alias("song"), EVENT_TIME
     )
     return ev.groupBy("user_id").transformWithStateInPandas(

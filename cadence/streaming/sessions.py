@@ -24,8 +24,9 @@ def interval_literal(ms: int) -> str:
     return f"{ms // 1000} seconds" if ms % 1000 == 0 else f"{ms} milliseconds"
 
 
-def with_event_time(events: DataFrame, watermark_delay_ms: int = 0) -> DataFrame:
-    return events.withColumn(EVENT_TIME, F.timestamp_millis(F.col("ts_ms"))).withWatermark(
+def with_event_time(events: DataFrame, watermark_delay_ms: int = 0, ahead_ms: int = 0) -> DataFrame:
+    """The engine's event time, ``ahead_ms`` after the event's own, with a watermark."""
+    return events.withColumn(EVENT_TIME, F.timestamp_millis(F.col("ts_ms") + F.lit(ahead_ms))).withWatermark(
         EVENT_TIME, interval_literal(watermark_delay_ms)
     )
 
