@@ -421,6 +421,7 @@ FROM ev
         "stream_early_panes": _stream_panes_sql(DRIVER_GAP_MS, DRIVER_INTERVAL_MS),
         "stream_jittered_sessions": oracles_base()["session_stats_window"],
         "stream_jittered_listening_runs": oracles_base()["listening_runs"],
+        "stream_sliced_listening_runs": oracles_base()["listening_runs"],
         "stream_late_events_punctuated": _late_sql(MARKER, LATE_GAP_MS),
         "stream_late_events_max": _late_sql("true", LATE_GAP_MS),
         "stream_incremental_sessions": oracles_base()["session_stats_window"],

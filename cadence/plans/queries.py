@@ -340,6 +340,13 @@ def q_stream_jittered_listening_runs(spark: SparkSession, sf_dir: str) -> DataFr
     return replay(spark, events, op, DRIVER_GAP_MS, label="stream-jittered-runs", n_files=8, by="arrival_ms")
 
 
+def q_stream_sliced_listening_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, with every user's pending events in slices (a buffer of no rows), as for users with many of them."""
+    op = lambda s, delay: SR.stream_listening_runs(s, DRIVER_GAP_MS, watermark_delay_ms=delay, held_rows=0)
+    events = load_events(spark, sf_dir, with_arrival=True)
+    return replay(spark, events, op, DRIVER_GAP_MS, label="stream-sliced-runs", n_files=8, by="arrival_ms")
+
+
 # These replay the table in any file order with a watermark delay of the whole span.
 def _incremental(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     op = lambda s, delay: SR.stream_sessions_and_runs(
@@ -429,6 +436,7 @@ def registry() -> dict[str, QueryFn]:
         "stream_session_stats": q_stream_session_stats,
         "stream_discover_weekly_runs": q_stream_discover_weekly_runs,
         "stream_listening_runs": q_stream_listening_runs,
+        "stream_sliced_listening_runs": q_stream_sliced_listening_runs,
         "stream_early_panes_final": q_stream_early_panes_final,
         "stream_early_panes": q_stream_early_panes,
         "stream_jittered_sessions": q_stream_jittered_sessions,

@@ -5,7 +5,9 @@ this operator keeps, per user, only
 
 * the events not yet behind the watermark (``pending``): a late-row filter drops
   anything at or below the previous watermark, so once the watermark passes an
-  event no earlier event can still arrive, and the event is folded in order;
+  event no earlier event can still arrive, and the event is folded in order.  A user
+  with many of them has them in slices by time that no batch rewrites
+  (``cadence.streaming.pending``);
 * one open session: ``(start, last, songs)`` and, per delimiter, the open run
   ``(start, last, songs)``.
 
@@ -40,21 +42,25 @@ from cadence.session import ship_package
 from cadence.functions.predicates import floor_div, is_search, not_discover_weekly, song_flag
 from cadence.streaming.panes import ROCKSDB_PROVIDER
 from cadence.streaming.fold import _close_session, fold_arrays
+from cadence.streaming.pending import PACKED, Events, Pending, no_events, packed, unpacked
 from cadence.streaming.sessions import EVENT_TIME, with_event_time
 
 OUT_SCHEMA = "kind STRING, user_id STRING, session_start_ms BIGINT, start_ms BIGINT, end_ms BIGINT, songs BIGINT"
 SESSION = "session"
+HELD_ROWS = 512  # pending events of a user kept in its head row; more are put into slices
+SLICES_PER_GAP = 8  # width of a slice of pending events: the gap over this
 
 
 class IncrementalRunsProcessor(StatefulProcessor):
     """Arrow-batched (``transformWithStateInPandas``) processor over ``fold_arrays``.
 
-    State per user is ONE value row: the open session and its open runs, the armed
-    timer, and the pending events as raw numpy bytes (time, tiebreak, song flag,
-    delimiter flags), so a micro-batch costs one state read and one write per user
-    however many events it brings, and no per-event Python runs."""
+    State per user is one head row (the open session and its open runs, the armed
+    timer, and a buffer of at most ``held_rows`` pending events as raw numpy bytes) and,
+    for users with more pending events, slices of them by time (``Pending``).  A
+    micro-batch costs one head read and one write per user however many events it
+    brings, rewrites no later slice, and runs no per-event Python."""
 
-    def __init__(self, gap_ms: int, delimiter_names: list[str], merge_touching: bool = True, figure_kinds: tuple[str, ...] = ()):
+    def __init__(self, gap_ms: int, delimiter_names: list[str], merge_touching: bool = True, figure_kinds: tuple[str, ...] = (), slice_ms: int | None = None, held_rows: int = HELD_ROWS):
         self.gap = gap_ms
         self.names = list(delimiter_names)
         self.n = len(self.names)
@@ -62,6 +68,8 @@ class IncrementalRunsProcessor(StatefulProcessor):
         self.kinds = tuple(figure_kinds)
         self.m = len(self.kinds)
         self.width = 3 + (3 + self.m) * self.n
+        self.slice_ms = slice_ms or max(1, gap_ms // SLICES_PER_GAP)
+        self.held_rows = held_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -69,53 +77,42 @@ class IncrementalRunsProcessor(StatefulProcessor):
             f", r{k}_start BIGINT, r{k}_last BIGINT, r{k}_songs BIGINT" + "".join(f", r{k}_f{j} BIGINT" for j in range(self.m))
             for k in range(self.n)
         )
-        held = ", p_figures BINARY" if self.m else ""
-        self.state = handle.getValueState(
-            "st",
-            f"start BIGINT, last BIGINT, songs BIGINT{runs}, timer BIGINT, "
-            f"p_ts BINARY, p_eid BINARY, p_song BINARY, p_delim BINARY{held}",
-        )
+        self.state = handle.getValueState("st", f"start BIGINT, last BIGINT, songs BIGINT{runs}, timer BIGINT, number BIGINT, first BIGINT, {PACKED}")
+        self.slices = handle.getMapState("slices", "first BIGINT, number BIGINT", PACKED)
 
     def _load(self):
         v = self.state.get()
-        if v is None:
-            empty = np.empty(0, dtype=np.int64)
-            return None, None, empty, empty, empty, np.empty((self.n, 0), dtype=bool), np.empty((self.m, 0), dtype=np.int64)
-        v = list(v)
-        sess = v[: self.width] if v[0] is not None else None
-        timer = v[self.width]
-        ts, eid, song = (np.frombuffer(b, dtype=np.int64) for b in v[self.width + 1 : self.width + 4])
-        delim = np.frombuffer(v[self.width + 4], dtype=bool).reshape(self.n, len(ts))
-        figures = np.frombuffer(v[self.width + 5], dtype=np.int64).reshape(self.m, len(ts)) if self.m else np.empty((0, len(ts)), np.int64)
-        return sess, timer, ts, eid, song, delim, figures
-
-    def _save(self, sess, timer, ts, eid, song, delim, figures) -> None:
-        if sess is None and len(ts) == 0:
-            self.state.clear()
-            return
-        body = list(sess) if sess is not None else [None] * self.width
-        held = [np.ascontiguousarray(figures).tobytes()] if self.m else []
-        self.state.update(
-            tuple(body + [timer, ts.tobytes(), eid.tobytes(), song.tobytes(), np.ascontiguousarray(delim).tobytes(), *held])
-        )
-
-    def _rearm(self, armed, sess, ts) -> int | None:
-        times = ([int(ts.min())] if len(ts) else []) + ([sess[1] + self.gap] if sess is not None else [])
-        want = min(times) if times else None
+        number, first, buffer = 0, None, no_events(self.n, self.m)
+        sess = timer = None
+        if v is not None:
+            v = list(v)
+            sess = v[: self.width] if v[0] is not None else None
+            timer, number, first = v[self.width : self.width + 3]
+            buffer = unpacked(v[self.width + 3 :], self.n, self.m)
+        return sess, timer, Pending(self.slices, buffer, number, first, slice_ms=self.slice_ms, held_rows=self.held_rows)
+
+    def _save(self, sess, armed, pending: Pending) -> None:
+        """Set the timer to the next thing that can happen and write the head row."""
+        times = [t for t in (pending.next_ms(), sess[1] + self.gap if sess is not None else None) if t is not None]
+        want = min(times, default=None)
         if want != armed:
             if armed is not None:
                 self.handle.deleteTimer(armed)
             if want is not None:
                 self.handle.registerTimer(want)
-        return want
+        if want is None:  # no open session, nothing pending
+            self.state.clear()
+            return
+        body = list(sess) if sess is not None else [None] * self.width
+        self.state.update((*body, want, pending.number, pending.first, *packed(pending.buffer)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        sess, armed, ts, eid, song, delim, figures = self._load()
-        parts = [(ts, eid, song, delim, figures)]
+        sess, armed, pending = self._load()
+        parts = []
         for part in rows:  # Arrow chunk by Arrow chunk; only narrow arrays are kept
             flags = [part[f"delim_{k}"].to_numpy(dtype=bool) for k in range(self.n)]
             parts.append(
-                (
+                Events(
                     part["ts_ms"].to_numpy(dtype=np.int64),
                     part["event_id"].fillna(0).to_numpy(dtype=np.int64),
                     part["song"].to_numpy(dtype=np.int64),
@@ -123,32 +120,25 @@ class IncrementalRunsProcessor(StatefulProcessor):
                     np.vstack([part[f"figure_{j}"].to_numpy(dtype=np.int64) for j in range(self.m)]) if self.m else np.empty((0, len(part)), np.int64),
                 )
             )
-        ts, eid, song = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        delim, figures = (np.concatenate([p[i] for p in parts], axis=1) for i in (3, 4))
-        if sess is None and len(ts) == 0:
-            return iter([])
-        timer = self._rearm(armed, sess, ts)
-        self._save(sess, timer, ts, eid, song, delim, figures)
+        if parts:
+            pending.add(parts)
+            self._save(sess, armed, pending)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        sess, armed, ts, eid, song, delim, figures = self._load()
+        sess, armed, pending = self._load()
         if armed == expiredTimerInfo.getExpiryTimeInMs():
             armed = None  # this timer has fired and is gone
-        order = np.lexsort((eid, ts))
-        ts, eid, song, delim, figures = ts[order], eid[order], song[order], delim[:, order], figures[:, order]
-        n_due = int(np.searchsorted(ts, wm, side="right"))
+        due = pending.due(wm)
         sess, out = fold_arrays(
-            sess, ts[:n_due], song[:n_due], [delim[k, :n_due] for k in range(self.n)], self.names, self.gap, self.touching,
-            figures=[(kind, figures[j, :n_due]) for j, kind in enumerate(self.kinds)],
+            sess, due.ts, due.song, list(due.delim), self.names, self.gap, self.touching,
+            figures=list(zip(self.kinds, due.figures, strict=True)),
         )
         if sess is not None and sess[1] + self.gap <= wm:
             _close_session(sess, self.names, out)
             sess = None
-        ts, eid, song, delim, figures = ts[n_due:], eid[n_due:], song[n_due:], delim[:, n_due:], figures[:, n_due:]
-        timer = self._rearm(armed, sess, ts)
-        self._save(sess, timer, ts, eid, song, delim, figures)
+        self._save(sess, armed, pending)
         cols = out.columns()
         if len(cols["kind"]) == 0:
             return iter([])
@@ -167,12 +157,15 @@ def stream_sessions_and_runs(
     watermark_delay_ms: int = 0,
     merge_touching: bool = True,
     figures: Figures | None = None,
+    slice_ms: int | None = None,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """Closed sessions and runs of every delimiter, as rows tagged by ``kind``, with one
     column ``figure_<j>`` for each of the caller's ``figures``.
 
     ``watermark_delay_ms`` is the lateness allowed beyond an event's own window (see
-    the module doc for the delay the engine is given)."""
+    the module doc for the delay the engine is given).  A user's pending events beyond
+    ``held_rows`` are kept in slices of ``slice_ms`` (by default an eighth of the gap)."""
     spark = events.sparkSession
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
@@ -191,7 +184,7 @@ def stream_sessions_and_runs(
     )
     schema = OUT_SCHEMA + "".join(f", figure_{j} BIGINT" for j in range(len(kinds)))
     return ev.groupBy("user_id").transformWithStateInPandas(
-        IncrementalRunsProcessor(gap_ms, names, merge_touching, kinds), schema, "Append", "EventTime"
+        IncrementalRunsProcessor(gap_ms, names, merge_touching, kinds, slice_ms, held_rows), schema, "Append", "EventTime"
     )
 
 
@@ -232,10 +225,11 @@ def stream_split_runs(
     watermark_delay_ms: int = 0,
     merge_touching: bool = True,
     figures: Figures | None = None,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """Runs split at ``delimiter``: ``(user_id, session_start_ms, start_ms, end_ms, length_s, songs)`` and the figures."""
     tagged = stream_sessions_and_runs(
-        events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms, merge_touching=merge_touching, figures=figures
+        events, gap_ms, {"split": delimiter}, watermark_delay_ms=watermark_delay_ms, merge_touching=merge_touching, figures=figures, held_rows=held_rows
     )
     return runs_of(tagged, "split", figures)
 
