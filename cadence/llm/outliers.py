@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import textkit as tk
-from cadence.llm.tables import begin, narrow, stored
+from cadence.llm.tables import begin, narrow, small, stored
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8  # words in a window that may repeat
@@ -179,16 +179,16 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     stats = stats.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
     stats = stored(stats.withColumn("x", F.expr(f"if(base_failed, null, {_VECTOR})")).withColumn("lang", F.coalesce("lang", F.lit("\x00"))).withColumn("source", F.coalesce("source", F.lit("\x00"))), "stats")
     size = stats.where("not base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = size.where(F.col("n") < MIN_CELL)
-    by_lang = small.groupBy("lang").agg(F.sum("n").alias("pool"))
+    few = size.where(F.col("n") < MIN_CELL)
+    by_lang = few.groupBy("lang").agg(F.sum("n").alias("pool"))
     cells = size.join(by_lang, "lang", "left").select(
         "lang", "source",
         F.when(F.col("n") >= MIN_CELL, F.concat_ws("\x01", F.lit("s"), "lang", "source")).when(F.col("pool") >= MIN_CELL, F.concat_ws("\x01", F.lit("l"), "lang")).otherwise(F.lit("all")).alias("cell"),
     )
     rows = stored(stats.where("not base_failed").select("doc_id", "lang", "source", "x").join(cells, ["lang", "source"]).select("doc_id", "cell", "x"), "vectors")
-    counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_CELL)
-    hashed = rows.withColumn("h", F.xxhash64("doc_id", "x")).join(counts, "cell")
-    # About twice the sample is let through by a hash rate; the start keeps the SAMPLE smallest hashes.
+    counts = stored(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_CELL), "counts")
+    # About twice the sample is let through by a hash rate, before rows are dealt by cell; the start keeps the SAMPLE smallest hashes.
+    hashed = rows.withColumn("h", F.xxhash64("doc_id", "x")).join(small(counts), "cell")
     some = hashed.where(F.pmod(F.col("h"), F.lit(1 << 30)) * F.col("n") < F.lit(2 * SAMPLE * (1 << 30))).withColumn("h", F.pmod(F.col("h"), F.lit(1 << 30)))
     params = stored(some.select("doc_id", "cell", "x", "h").dropDuplicates(["cell", "h"]).groupBy("cell").applyInArrow(_starts, _PARAMS), "starts")
     for _ in range(STEPS):
