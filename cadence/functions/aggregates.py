@@ -54,16 +54,6 @@ def over_segments(kind: str, values: np.ndarray, firsts: np.ndarray, lasts: np.n
     return values[firsts if kind == "first" else lasts].copy()
 
 
-def merged(kind: str, earlier: int, later: int) -> int:
-    if kind == "sum":
-        return earlier + later
-    if kind == "min":
-        return min(earlier, later)
-    if kind == "max":
-        return max(earlier, later)
-    return earlier if kind == "first" else later
-
-
 def shown(kind: str, value: Column) -> Column:
     """The merged number as a result: what stands for NULL becomes NULL again."""
     return value if kind == "sum" else F.when(value != F.lit(_EMPTY[kind]), value)
