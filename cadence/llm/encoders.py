@@ -8,7 +8,7 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-from cadence.llm.pretokens import PieceTable, gather, lower_case, plain_texts, split
+from cadence.llm.pretokens import REMEMBERED, PieceTable, gather, lower_case, plain_texts, split
 
 
 def only(raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,13 +49,13 @@ class TextEncoder:
     ``merger`` takes, by tiktoken with the same merges; other texts go to the library whole. Special strings inside
     texts are read as the library's default reads them."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, remembered: int = REMEMBERED):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
         self.kind = kind
         self.merge = merger(path) if kind == "byte" else None
-        self.table = PieceTable(self._encode)
+        self.table = PieceTable(self._encode, remembered, 6 * remembered)
 
     def _encode(self, pieces: list[bytes]) -> list[list[int]]:
         if self.merge:
@@ -85,11 +85,11 @@ class TextEncoder:
         return out
 
 
-_encoders: dict[tuple[str, str], TextEncoder] = {}
+_encoders: dict[tuple[str, str, int], TextEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> TextEncoder:
-    """The encoder of a vocabulary file, made once in each Python worker."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = TextEncoder(path, kind)
-    return _encoders[path, kind]
+def encoder(path: str, kind: str, remembered: int = REMEMBERED) -> TextEncoder:
+    """The encoder of a vocabulary file that remembers so many pieces, made once in each Python worker."""
+    if (path, kind, remembered) not in _encoders:
+        _encoders[path, kind, remembered] = TextEncoder(path, kind, remembered)
+    return _encoders[path, kind, remembered]

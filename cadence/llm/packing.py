@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import textkit as tk
 from cadence.llm.encoders import encoder
+from cadence.llm.pretokens import REMEMBERED
 from cadence.llm.tables import begin, narrow, stored
 
 PIECES_PER_BATCH = 16_384  # pieces that one task packs together
@@ -19,12 +22,12 @@ NODES = 10_000  # fillings that the branch and bound of one batch tries before i
 WIDTH = 8  # undominated fillings kept for a document at each node
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, if asked for) of every document's pieces: its ids, then
-    ``end_id``, cut only where longer than ``capacity``."""
+    ``end_id``, cut only where longer than ``capacity``. A worker remembers the ids of ``remembered`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary, "word"), np.array([end_id], dtype=np.uint32)
+        enc, end = encoder(vocabulary, "word", remembered), np.array([end_id], dtype=np.uint32)
         for batch in batches:
             raw, offsets = tk.utf8(batch.column(1))
             names = batch.column(0).to_pylist()
@@ -74,43 +77,54 @@ def _fits_into(small: tuple[int, ...], large: tuple[int, ...]) -> bool:
     return False
 
 
+def lengths_of(mask: int, most: int) -> list[int]:
+    """The lengths up to ``most`` whose bits are set, ascending."""
+    bits = np.frombuffer((mask & ((1 << (most + 1)) - 1)).to_bytes(most // 8 + 1, "little"), np.uint8)
+    return np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()
+
+
 def fillings(count: list[int], mask: int, room: int, width: int) -> list[tuple[int, ...]]:
     """Undominated sets of up to four available lengths for ``room``, the least waste first.
 
     Sets are grown from the larger lengths and kept where nothing more fits, up to 80 ``width`` steps; the ``width``
     fullest that no other one dominates are returned. (Both bounds limit the search, never what is packed.)"""
     found: list[tuple[int, ...]] = []
-    steps = 0
+    steps, most = 0, 80 * width
+    below = lengths_of(mask, room)
 
-    def largest(limit: int) -> int:
-        return (mask & ((1 << (limit + 1)) - 1)).bit_length() - 1 if limit > 0 else -1
-
-    def grow(chosen: tuple[int, ...], left: int, limit: int) -> None:
+    def grow(chosen: tuple[int, ...], left: int, i: int) -> None:
+        """Adds to ``chosen`` each length from below[i], which fits, down."""
         nonlocal steps
-        x = largest(min(left, limit))
-        while x > 0 and steps < 80 * width:
+        fourth = len(chosen) == 3
+        while i >= 0 and steps < most:
             steps += 1
-            if count[x] > chosen.count(x):
-                rest = left - x
-                nxt = largest(min(rest, x))
-                while nxt > 0 and count[nxt] <= (*chosen, x).count(nxt):
-                    nxt = largest(nxt - 1)
-                if nxt <= 0 or len(chosen) == 3:
+            x = below[i]
+            if count[x] > (chosen.count(x) if x in chosen else 0):
+                if fourth:
                     found.append((*chosen, x))
-                    if len(chosen) == 3 or rest == 0 and not chosen:
-                        return  # a smaller last length, or any set beside one that fills the room alone, is dominated
+                    return  # a smaller last length is dominated
+                more, rest = (*chosen, x), left - x
+                j = k = i if rest >= x else bisect_right(below, rest, 0, i) - 1
+                while k >= 0 and below[k] in more and count[below[k]] <= more.count(below[k]):
+                    k -= 1
+                if k >= 0:
+                    grow(more, rest, j)
                 else:
-                    grow((*chosen, x), rest, x)
-            x = largest(x - 1)
+                    found.append(more)
+                    if rest == 0 and not chosen:
+                        return  # any set beside one that fills the room alone is dominated
+            i -= 1
 
-    grow((), room, room)
-    found.sort(key=lambda f: (-sum(f), len(f)))
+    grow((), room, len(below) - 1)
     out: list[tuple[int, ...]] = []
-    for f in found:
+    kept: list[tuple[int, int, tuple[int, ...]]] = []  # with its sum and its number of lengths
+    for least, n, f in sorted([(-sum(f), len(f), f) for f in found], key=itemgetter(0, 1)):
         if len(out) == width:
             break
-        if not any(_fits_into(f, g) for g in out):
+        # Of equal sums, only one of more lengths can be dealt out over another; the largest needs a place first.
+        if not any((least != full or n > size) and f[0] <= g[0] and _fits_into(f, g) for full, size, g in kept):
             out.append(f)
+            kept.append((least, n, f))
     return out or [()]
 
 
@@ -119,8 +133,8 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int = NODES, width:
 
     Best-fit decreasing is the first incumbent. Branch and bound then fills one bin at a time around the largest
     remaining length, trying its undominated fillings, the fullest first; a branch ends when the waste of its bins
-    exceeds what a packing with one bin fewer than the incumbent may waste. At each improvement the rest of the
-    branch is also closed by best fit. It stops at the volume bound or after ``nodes`` fillings, so the result is
+    exceeds what a packing with one bin fewer than the incumbent may waste. Every 512 fillings the rest of the branch
+    is also closed by best fit. It stops at the volume bound or after ``nodes`` fillings, so the result is
     never worse than best-fit decreasing."""
     best = best_fit(lengths, capacity)
     total = sum(lengths)
@@ -153,7 +167,16 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int = NODES, width:
     def descend() -> None:
         x = mask.bit_length() - 1
         take(x, 1)
-        stack.append((x, fillings(count, mask, capacity - x, width), 0))
+        base: list[int] = []  # where four further lengths cannot fill the room, the largest go in before them
+        room = capacity - x
+        while 0 < 4 * (y := mask.bit_length() - 1) < room:
+            take(y, 1)
+            base.append(y)
+            room -= y
+        options = [(*base, *f) for f in fillings(count, mask, room, width)]
+        for y in base:
+            take(y, -1)
+        stack.append((x, options, 0))
 
     descend()
     while stack and tried < nodes and len(best) > bound:
@@ -208,7 +231,7 @@ def _pack(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every document's pieces.
 
     Pieces of full length are sequences of their own. The others are dealt evenly, whatever their id, into batches
@@ -219,7 +242,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
     Edges: null and empty texts are documents of one id (``end_id``); a null id and repeated rows are packed like any other row;
     a text of any length is cut into pieces; other columns are ignored; no rows give no rows."""
     begin(docs)
-    whole = stored(pieces(docs, vocabulary, capacity, end_id), "pieces").withColumn("row", F.monotonically_increasing_id())
+    whole = stored(pieces(docs, vocabulary, capacity, end_id, remembered=remembered), "pieces").withColumn("row", F.monotonically_increasing_id())
     parts = whole.where(F.col("length") < capacity)
     batches = max(1, -(-parts.count() // PIECES_PER_BATCH))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -10,6 +10,7 @@ import numpy as np
 
 from cadence.llm import textkit as tk
 
+REMEMBERED = 500_000  # pieces whose sequences a worker keeps
 LETTER, DIGIT, OTHER, BLANK = 1, 2, 3, 0
 _CLASS = np.full(256, OTHER, dtype=np.uint8)
 _CLASS[[32, *range(9, 14)]] = BLANK
@@ -110,7 +111,7 @@ class PieceTable:
     lengths are sorted numpy arrays (about 20 bytes a piece beside its sequence); beyond ``limit`` pieces or
     ``limit_values`` numbers the older half is forgotten, and worked out again if it comes back."""
 
-    def __init__(self, work, limit: int = 500_000, limit_values: int = 3_000_000):
+    def __init__(self, work, limit: int = REMEMBERED, limit_values: int = 6 * REMEMBERED):
         self.work, self.limit, self.limit_values = work, limit, limit_values
         self.worked = 0
         self._clear()

@@ -108,3 +108,26 @@ def test_batches_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(packing, "PIECES_PER_BATCH", 50)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(packing.pack(docs, PATH).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_short_lengths_fill_their_bins():
+    rng = np.random.default_rng(5)
+    rng.integers(20, 400, 3000)
+    lengths = rng.integers(100, 800, 3000).tolist()
+    bound = -(-sum(lengths) // 4096)
+    assert len(packing.best_fit(lengths, 4096)) == bound + 1
+    bins = packing.bin_completion(lengths, 4096)
+    assert sorted(itertools.chain(*bins)) == sorted(lengths) and max(map(sum, bins)) <= 4096
+    assert len(bins) == bound
+
+
+def test_lengths_of_a_mask():
+    rng = random.Random(6)
+    for most in (0, 1, 7, 8, 63, 400):
+        have = sorted(rng.sample(range(1, 500), 60))
+        assert packing.lengths_of(sum(1 << x for x in have), most) == [x for x in have if x <= most]
+
+
+def test_pieces_do_not_depend_on_what_is_remembered(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    check(packing.pack(docs, PATH, remembered=100).collect(), [(r.doc_id, r.text) for r in docs.collect()])
